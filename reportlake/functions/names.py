@@ -47,8 +47,8 @@ def date_key_to_date(key: Column | str) -> Column:
     """YYYYMMDD or YYYYMM text to a date; NULL when malformed, invalid or year outside 1900-2100."""
     k = _c(key).cast("string")
     parsed = (
-        F.when(F.length(k) == 8, F.try_to_date(k, F.lit("yyyyMMdd")))
-        .when(F.length(k) == 6, F.try_to_date(F.concat(k, F.lit("01")), F.lit("yyyyMMdd")))
+        F.when(F.length(k) == 8, F.try_to_date(k, "yyyyMMdd"))
+        .when(F.length(k) == 6, F.try_to_date(F.concat(k, F.lit("01")), "yyyyMMdd"))
     )
     ok = k.rlike("^[0-9]+$") & F.year(parsed).between(1900, 2100)
     return F.when(ok, parsed)
@@ -85,16 +85,25 @@ def readable_size(size: Column | str) -> Column:
     round-half-even, with no float or locale drift across engines.
     """
     s = _c(size).cast("bigint")
-    k = F.lit(0)
-    for i in range(1, len(SIZE_UNITS)):
-        k = F.when(s >= F.lit(1024**i), F.lit(i)).otherwise(k)
-    shift = k * 10
-    scaled = s * 100
-    q = F.shiftright(scaled, shift)
-    r = scaled - F.shiftleft(q, shift)
-    half = F.shiftleft(F.lit(1).cast("bigint"), shift) / 2
-    up = (k > 0) & ((r > half) | ((r == half) & (F.pmod(q, F.lit(2)) == 1)))
-    qr = q + F.when(up, 1).otherwise(0)
+    # k = number of 1024 steps taken (0..5): a sum of comparisons, no nested CASE.
+    k = sum((s >= F.lit(1024**i)).cast("int") for i in range(1, len(SIZE_UNITS)))
+    sh = k * 10
+
+    def shl(x, n):
+        return F.call_function("shiftleft", x, n)
+
+    def shr(x, n):
+        return F.call_function("shiftright", x, n)
+
+    # size = q_hi * 2**sh + r; all steps are exact integer shifts.
+    q_hi = shr(s, sh)
+    r100 = (s - shl(q_hi, sh)) * 100
+    q_lo = shr(r100, sh)
+    rem = r100 - shl(q_lo, sh)
+    d = shl(F.lit(1).cast("bigint"), sh)
+    q = q_hi * 100 + q_lo
+    up = (k > 0) & ((rem * 2 > d) | ((rem * 2 == d) & (F.pmod(q, F.lit(2)) == 1)))
+    qr = q + up.cast("bigint")
     units = F.array(*[F.lit(u) for u in SIZE_UNITS])
     return F.concat(
         (qr / 100).cast("bigint").cast("string"),

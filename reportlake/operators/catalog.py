@@ -3,7 +3,7 @@ set/aggregate operators over it (duplicates, versions, diffs, folder summaries).
 
 Scale notes
 - Source matching turns each spec into literal ``rlike`` tests inside one
-  projection (an array of matched source indexes, exploded). No join, no
+  projection (an array of per-source hit structs, exploded). No join, no
   shuffle, and each regex compiles once per task, whatever the catalog size.
 - Grouped reports use ``groupBy`` with partial aggregation; lists are bounded
   (top-3 samples via a row_number limit that Spark applies before the shuffle).
@@ -65,6 +65,22 @@ def _selected(name_lc: Column, spec: SourceSpec, extension: str | None) -> Colum
     return cond
 
 
+def _source_match(spec: SourceSpec, i: int, name: Column) -> Column:
+    """Struct computed once per (file, source): index, pattern hit, regex groups as a map."""
+    if spec.regex_pattern and spec.regex_group_names:
+        pat = "^(?:" + spec.regex_pattern + ")"
+        groups = list(spec.regex_group_names)
+        ok = name.rlike(pat)
+        attrs = F.map_from_arrays(
+            F.array(*[F.lit(g) for g in groups]),
+            F.array(*[F.regexp_extract(name, pat, j + 1) for j in range(len(groups))]),
+        )
+    else:
+        ok = F.lit(True)
+        attrs = F.create_map().cast("map<string,string>")
+    return F.struct(F.lit(i).alias("source_idx"), ok.alias("name_ok"), attrs.alias("attrs"))
+
+
 def match_sources(
     files: DataFrame, specs: list[SourceSpec], extension: str | None = None, name_col: str = "file_name"
 ) -> DataFrame:
@@ -72,17 +88,17 @@ def match_sources(
 
     Include is a case-insensitive "contains" glob (plus extension), exclude
     likewise; lock files never match. A file taken by two sources appears twice.
+    Each hit is a struct built before the explode, so every regex runs once per
+    (file, source) and later expressions only read fields of the exploded column.
     """
     enabled = [(i, s) for i, s in enumerate(specs) if s.is_enabled]
     name = F.col(name_col)
     lc = F.lower(name)
     not_lock = ~N.is_lock_file(name)
-    hits = F.array(*[F.when(_selected(lc, s, extension) & not_lock, F.lit(i)) for i, s in enabled])
+    hits = F.array(*[F.when(_selected(lc, s, extension) & not_lock, _source_match(s, i, name)) for i, s in enabled])
     return (
-        files.withColumn("_hits", F.filter(hits, lambda x: x.isNotNull()))
-        .where(F.size("_hits") > 0)
-        .withColumn("source_idx", F.explode("_hits"))
-        .drop("_hits")
+        files.select("*", F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("_m"))
+        .select("*", F.col("_m.source_idx").alias("source_idx"))
     )
 
 
@@ -92,63 +108,39 @@ def _spec_lookup(specs: list[SourceSpec], idx: Column, attr: str) -> Column:
     return F.element_at(arr, idx + 1)
 
 
-def _regex_attrs(specs: list[SourceSpec], idx: Column, name: Column) -> tuple[Column, Column]:
-    """(attrs map, name-matches flag) from each source's own anchored pattern."""
-    attrs = F.create_map().cast("map<string,string>")
-    ok = F.lit(True)
-    for i, s in enumerate(specs):
-        if not (s.regex_pattern and s.regex_group_names):
-            continue
-        pat = "^(?:" + s.regex_pattern + ")"
-        groups = list(s.regex_group_names)
-        m = F.map_from_arrays(
-            F.array(*[F.lit(g) for g in groups]),
-            F.array(*[F.regexp_extract(name, pat, j + 1) for j in range(len(groups))]),
-        )
-        attrs = F.when(idx == i, m).otherwise(attrs)
-        ok = F.when(idx == i, name.rlike(pat)).otherwise(ok)
-    return attrs, ok
-
-
 def enrich(matched: DataFrame, specs: list[SourceSpec], replace_override: bool = False) -> DataFrame:
-    """Matched files to catalog rows (P1-P11): attributes, dates, version, folder, size, and ``error``."""
+    """Matched files (with the ``_m`` hit struct) to catalog rows (P1-P11): attributes, dates,
+    version, folder, size, and ``error``."""
     idx = F.col("source_idx")
     name = F.col("file_name")
-    attrs, name_ok = _regex_attrs(specs, idx, name)
     base = _spec_lookup(specs, idx, "select_file_name_base")
     folder = _spec_lookup(specs, idx, "storage_folder_name")
     table = _spec_lookup(specs, idx, "table_name")
     mode = F.lit("replace") if replace_override else _spec_lookup(specs, idx, "table_append_or_replace")
+    attrs = F.col("_m.attrs")
+    date_key = attrs[DATE_GROUP]
+    version = F.coalesce(F.nullif(attrs[VERSION_GROUP], F.lit("")), N.file_version(name))
+    folder0 = N.folder_or_base(folder, base)
     df = matched.select(
-        "*",
+        *[c for c in matched.columns if c not in ("_m", "source_idx")],
         _spec_lookup(specs, idx, "source_id").alias("source_id"),
-        attrs.alias("_attrs"),
-        name_ok.alias("_name_ok"),
         base.alias("base_name"),
         F.coalesce(F.nullif(table, F.lit("")), base).alias("table_name"),
         mode.alias("table_append_or_replace"),
-        N.folder_or_base(folder, base).alias("_folder"),
-    )
-    date_key = F.col("_attrs")[DATE_GROUP]
-    rdate = N.month_end(N.date_key_to_date(date_key))
-    version = F.coalesce(F.nullif(F.col("_attrs")[VERSION_GROUP], F.lit("")), N.file_version(name))
-    error = (
-        F.when(~F.col("_name_ok"), F.lit("name_mismatch"))
+        F.coalesce(version, F.lit("")).alias("file_version"),
+        F.nullif(attrs[OWNER_GROUP], F.lit("")).alias("content_owner"),
+        N.month_end(N.date_key_to_date(date_key)).alias("report_date"),
+        F.map_filter(attrs, lambda k, v: ~k.isin(OWNER_GROUP, DATE_GROUP, VERSION_GROUP)).alias("attrs"),
+        F.when(~F.col("_m.name_ok"), F.lit("name_mismatch"))
         .when(date_key.isNotNull(), N.date_key_error(date_key))
+        .alias("error"),
+        folder0.alias("_folder"),
     )
     return (
-        df.withColumn("file_version", F.coalesce(version, F.lit("")))
-        .withColumn("content_owner", F.nullif(F.col("_attrs")[OWNER_GROUP], F.lit("")))
-        .withColumn("report_date", rdate)
-        .withColumn("report_date_str", F.date_format("report_date", "yyyy-MM-dd"))
+        df.withColumn("report_date_str", F.date_format("report_date", "yyyy-MM-dd"))
         .withColumn("report_date_key", F.date_format("report_date", "yyyyMMdd").cast("bigint"))
         .withColumn("storage_folder_name", N.versioned_folder(F.col("_folder"), F.col("file_version")))
-        .withColumn(
-            "attrs",
-            F.map_filter("_attrs", lambda k, v: ~k.isin(OWNER_GROUP, DATE_GROUP, VERSION_GROUP)),
-        )
-        .withColumn("error", error)
-        .drop("_attrs", "_name_ok", "_folder")
+        .drop("_folder")
     )
 
 
@@ -201,9 +193,12 @@ def catalog_for_source(
     """
     hit = [i for i, s in enumerate(specs) if s.select_file_name_base == select_base]
     files = _file_columns(listing)
+    i = hit[0] if hit else 0
+    m = files.select("*", _source_match(specs[i], i, F.col("file_name")).alias("_m"))
+    m = m.select("*", F.col("_m.source_idx").alias("source_idx"))
     if not hit:
-        return enrich(files.withColumn("source_idx", F.lit(-1)).where(F.lit(False)), specs).select(*CATALOG_COLUMNS)
-    return enrich(files.withColumn("source_idx", F.lit(hit[0])), specs, replace_override).select(*CATALOG_COLUMNS)
+        m = m.where(F.lit(False))
+    return enrich(m, specs, replace_override).select(*CATALOG_COLUMNS)
 
 
 def accepted(catalog: DataFrame) -> DataFrame:

@@ -126,7 +126,7 @@ def typed_value(raw: Column, type_name: str, strings_null_tokens: bool = False)
     if type_name == "TIMESTAMP":
         return F.try_to_timestamp(F.translate(v, "/", "-"))
     if type_name == "DATE":
-        return F.try_to_date(F.translate(v, "/", "-"), F.lit("yyyy-MM-dd"))
+        return F.try_to_date(F.translate(v, "/", "-"), "yyyy-MM-dd")
     return v if strings_null_tokens else raw
 
 

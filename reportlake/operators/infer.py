@@ -144,9 +144,6 @@ def read_typed(
     if schema is None:
         if not autodetect_fallback:
             raise ValueError(f"schema inference found no data in {root} and fallback is off")
-        return (
-            spark.read.option("header", "true").option("inferSchema", "true")
-            .option("pathGlobFilter", csvlake.GZ_GLOB).csv(root)
-        )
+        return spark.read.option("header", "true").option("inferSchema", "true").csv(root)
     raw = csvlake.read_raw(spark, root, schema.head)
     return csvlake.apply_types(raw, schema.columns, schema.types, on_error)

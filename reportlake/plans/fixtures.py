@@ -199,65 +199,95 @@ def specs_values_sql(specs: list[SourceSpec] = FIXTURE_SPECS) -> str:
 @dataclass(frozen=True)
 class LakeColumn:
     header: str  # raw header cell as written in the file
-    spark: Column
-    duck: str  # same value as DuckDB SQL text (VARCHAR or NULL)
+    duck: str  # the cell as DuckDB SQL text (VARCHAR or NULL), for oracles
+    build: object  # zero-arg callable giving the Spark Column (built lazily: needs a session)
+
+    @property
+    def spark(self) -> Column:
+        return self.build()
 
 
 def _fmt2(c: Column) -> Column:
     return F.format_string("%.2f", c)
 
 
+def _mixed_units() -> Column:
+    q, d = F.col("l_quantity"), F.col("l_discount")
+    return F.when(d == 0, _s(q.cast("bigint"))).otherwise(_fmt2(q * (1 - d)))
+
+
+_MIXED_DUCK = (
+    "CASE WHEN l_discount = 0 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) "
+    "ELSE printf('%.2f', l_quantity * (1 - l_discount)) END"
+)
+
+
+def _comment() -> Column:
+    k = F.col("o_orderkey")
+    return (
+        F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.lit("NULL")).when(k % 4 == 2, F.lit(" none "))
+        .otherwise(F.concat(F.lit("c"), _s(F.col("o_custkey"))))
+    )
+
+
+LAKE_LAYOUTS: dict[str, tuple[str, list[LakeColumn]]] = {
+    "orders": ("o_orderdate", [
+        LakeColumn("Order Key", "CAST(o_orderkey AS VARCHAR)", lambda: _s(F.col("o_orderkey"))),
+        LakeColumn("Cust Key", "CAST(o_custkey AS VARCHAR)", lambda: _s(F.col("o_custkey"))),
+        LakeColumn("Order Status", "o_orderstatus", lambda: F.col("o_orderstatus")),
+        LakeColumn("Total Price (USD)", "printf('%.2f', o_totalprice)", lambda: _fmt2(F.col("o_totalprice"))),
+        LakeColumn("Order Date", "strftime(o_orderdate, '%Y-%m-%d')", lambda: F.date_format("o_orderdate", "yyyy-MM-dd")),
+        LakeColumn("Order Priority", "o_orderpriority", lambda: F.col("o_orderpriority")),
+        LakeColumn(
+            "Is Urgent?", "CASE WHEN o_orderpriority = '1-URGENT' THEN 'yes' ELSE 'no' END",
+            lambda: F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("yes")).otherwise(F.lit("no")),
+        ),
+        LakeColumn(
+            "Comment",
+            "CASE WHEN o_orderkey % 4 = 0 THEN '' WHEN o_orderkey % 4 = 1 THEN 'NULL' "
+            "WHEN o_orderkey % 4 = 2 THEN ' none ' ELSE 'c' || CAST(o_custkey AS VARCHAR) END",
+            _comment,
+        ),
+    ]),
+    "lineitem": ("l_shipdate", [
+        LakeColumn("Order Key", "CAST(l_orderkey AS VARCHAR)", lambda: _s(F.col("l_orderkey"))),
+        LakeColumn("Part Key", "CAST(l_partkey AS VARCHAR)", lambda: _s(F.col("l_partkey"))),
+        LakeColumn("Supp Key", "CAST(l_suppkey AS VARCHAR)", lambda: _s(F.col("l_suppkey"))),
+        LakeColumn("Line Number", "CAST(l_linenumber AS VARCHAR)", lambda: _s(F.col("l_linenumber"))),
+        LakeColumn("Quantity", "printf('%.2f', l_quantity)", lambda: _fmt2(F.col("l_quantity"))),
+        LakeColumn("Extended Price", "printf('%.2f', l_extendedprice)", lambda: _fmt2(F.col("l_extendedprice"))),
+        LakeColumn("Discount", "printf('%.2f', l_discount)", lambda: _fmt2(F.col("l_discount"))),
+        LakeColumn("Tax", "printf('%.2f', l_tax)", lambda: _fmt2(F.col("l_tax"))),
+        LakeColumn("Return Flag", "l_returnflag", lambda: F.col("l_returnflag")),
+        LakeColumn("Line Status", "l_linestatus", lambda: F.col("l_linestatus")),
+        LakeColumn(
+            "Ship Date", "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')",
+            lambda: F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"),
+        ),
+        LakeColumn("Net Revenue", _MIXED_DUCK, _mixed_units),
+        LakeColumn("Net Units", _MIXED_DUCK, _mixed_units),
+    ]),
+    "events": ("ts", [
+        LakeColumn("Event Id", "CAST(event_id AS VARCHAR)", lambda: _s(F.col("event_id"))),
+        LakeColumn("TS", "strftime(ts, '%Y-%m-%d %H:%M:%S')", lambda: F.date_format("ts", "yyyy-MM-dd HH:mm:ss")),
+        LakeColumn("User Id", "CAST(user_id AS VARCHAR)", lambda: _s(F.col("user_id"))),
+        LakeColumn("Event Type", "event_type", lambda: F.col("event_type")),
+        LakeColumn("Value", "printf('%.2f', value)", lambda: _fmt2(F.col("value"))),
+        # Ragged rows: the last cell is missing on even event ids.
+        LakeColumn("Props", "CASE WHEN event_id % 2 = 1 THEN props END", lambda: F.col("props")),
+    ]),
+}
+
+
 def lake_columns(table: str) -> tuple[str, list[LakeColumn]]:
     """Raw header and value expressions of the report lake of a driver table, with its date column."""
-    if table == "orders":
-        k = F.col("o_orderkey")
-        return "o_orderdate", [
-            LakeColumn("Order Key", _s(k), "CAST(o_orderkey AS VARCHAR)"),
-            LakeColumn("Cust Key", _s(F.col("o_custkey")), "CAST(o_custkey AS VARCHAR)"),
-            LakeColumn("Order Status", F.col("o_orderstatus"), "o_orderstatus"),
-            LakeColumn("Total Price (USD)", _fmt2(F.col("o_totalprice")), "printf('%.2f', o_totalprice)"),
-            LakeColumn("Order Date", F.date_format("o_orderdate", "yyyy-MM-dd"), "strftime(o_orderdate, '%Y-%m-%d')"),
-            LakeColumn("Order Priority", F.col("o_orderpriority"), "o_orderpriority"),
-            LakeColumn(
-                "Is Urgent?",
-                F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("yes")).otherwise(F.lit("no")),
-                "CASE WHEN o_orderpriority = '1-URGENT' THEN 'yes' ELSE 'no' END",
-            ),
-            LakeColumn(
-                "Comment",
-                F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.lit("NULL")).when(k % 4 == 2, F.lit(" none "))
-                .otherwise(F.concat(F.lit("c"), _s(F.col("o_custkey")))),
-                "CASE WHEN o_orderkey % 4 = 0 THEN '' WHEN o_orderkey % 4 = 1 THEN 'NULL' "
-                "WHEN o_orderkey % 4 = 2 THEN ' none ' ELSE 'c' || CAST(o_custkey AS VARCHAR) END",
-            ),
-        ]
-    if table == "lineitem":
-        disc0 = F.col("l_discount") == 0
-        mixed = F.when(disc0, _s(F.col("l_quantity").cast("bigint"))).otherwise(
-            _fmt2(F.col("l_quantity") * (1 - F.col("l_discount")))
-        )
-        mixed_duck = (
-            "CASE WHEN l_discount = 0 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) "
-            "ELSE printf('%.2f', l_quantity * (1 - l_discount)) END"
-        )
-        return "l_shipdate", [
-            LakeColumn("Order Key", _s(F.col("l_orderkey")), "CAST(l_orderkey AS VARCHAR)"),
-            LakeColumn("Part Key", _s(F.col("l_partkey")), "CAST(l_partkey AS VARCHAR)"),
-            LakeColumn("Supp Key", _s(F.col("l_suppkey")), "CAST(l_suppkey AS VARCHAR)"),
-            LakeColumn("Line Number", _s(F.col("l_linenumber")), "CAST(l_linenumber AS VARCHAR)"),
-            LakeColumn("Quantity", _fmt2(F.col("l_quantity")), "printf('%.2f', l_quantity)"),
-            LakeColumn("Extended Price", _fmt2(F.col("l_extendedprice")), "printf('%.2f', l_extendedprice)"),
-            LakeColumn("Discount", _fmt2(F.col("l_discount")), "printf('%.2f', l_discount)"),
-            LakeColumn("Tax", _fmt2(F.col("l_tax")), "printf('%.2f', l_tax)"),
-            LakeColumn("Return Flag", F.col("l_returnflag"), "l_returnflag"),
-            LakeColumn("Line Status", F.col("l_linestatus"), "l_linestatus"),
-            LakeColumn(
-                "Ship Date", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"), "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')"
-            ),
-            LakeColumn("Net Revenue", mixed, mixed_duck),
-            LakeColumn("Net Units", mixed, mixed_duck),
-        ]
-    raise ValueError(f"no report lake layout for {table}")
+    if table not in LAKE_LAYOUTS:
+        raise ValueError(f"no report lake layout for {table}")
+    return LAKE_LAYOUTS[table]
+
+
+# Rows whose last cell is left out (short rows), per table.
+RAGGED = {"events": lambda: F.col("event_id") % 2 == 0}
 
 
 TITLE = "Monthly report"
@@ -288,7 +318,14 @@ def _heads_then_rows(header_line: str, titled_months: set[int]):
     return run
 
 
-def write_report_lake(df: DataFrame, date_col: str, columns: list[LakeColumn], root: str, files_per_month: int = 2) -> str:
+def write_report_lake(
+    df: DataFrame,
+    date_col: str,
+    columns: list[LakeColumn],
+    root: str,
+    files_per_month: int = 2,
+    short_row: Column | None = None,
+) -> str:
     """Write rows as gzip CSV report files under ``root/report_date=<month end>/``.
 
     Rows of a month are spread over ``files_per_month`` hash buckets, so a hot
@@ -301,6 +338,8 @@ def write_report_lake(df: DataFrame, date_col: str, columns: list[LakeColumn], r
         F.struct(*[c.spark.alias(f"c{i}") for i, c in enumerate(columns)]),
         {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
     )
+    if short_row is not None:
+        line = F.when(short_row, F.regexp_replace(line, ",[^,]*$", "")).otherwise(line)
     rows = df.select(rd.alias("report_date"), F.lit(2).alias("kind"), line.alias("line"))
     bucket = F.pmod(F.xxhash64("line"), F.lit(files_per_month))
     header_line = ",".join(c.header if "," not in c.header else '"' + c.header + '"' for c in columns)
@@ -335,7 +374,8 @@ def report_lake(spark: SparkSession, sf_dir: str, table: str) -> str:
     if key not in _LAKES:
         date_col, cols = lake_columns(table)
         src = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-        _LAKES[key] = write_report_lake(src, date_col, cols, shared_dir(spark, f"lake-{table}"))
+        short = RAGGED[table]() if table in RAGGED else None
+        _LAKES[key] = write_report_lake(src, date_col, cols, shared_dir(spark, f"lake-{table}"), short_row=short)
     return _LAKES[key]
 
 

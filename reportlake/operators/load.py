@@ -66,12 +66,25 @@ def read_log(spark: SparkSession, lake_root: str) -> DataFrame | None:
         return None
 
 
-def not_loaded(spark: SparkSession, files: DataFrame, lake_root: str, key: str = "src_file") -> DataFrame:
-    """Files whose key is not in the load log yet (K3). The log is read once, anti-joined."""
+def _small_or_none(df: DataFrame, limit: int) -> DataFrame | None:
+    """``df`` when it has at most ``limit`` rows (checked with a bounded count), else ``None``."""
+    n = df.limit(limit + 1).count()
+    return df if n <= limit else None
+
+
+def not_loaded(spark: SparkSession, rows: DataFrame, lake_root: str, key: str = "src_file") -> DataFrame:
+    """Rows of files whose key is not in the load log yet (K3).
+
+    The log has one row per landed file. When it holds at most
+    ``BROADCAST_FILES_MAX`` files it is broadcast, so the rows are filtered
+    where they are read, with no shuffle; beyond that a regular anti join.
+    """
     log = read_log(spark, lake_root)
     if log is None:
-        return files
-    return files.join(log.select(F.col("src_file").alias(key)).distinct(), key, "left_anti")
+        return rows
+    done = log.select(F.col("src_file").alias(key)).distinct()
+    small = _small_or_none(done, BROADCAST_FILES_MAX)
+    return rows.join(F.broadcast(small) if small is not None else done, key, "left_anti")
 
 
 def committed(spark: SparkSession, rows: DataFrame, lake_root: str) -> DataFrame:
@@ -89,15 +102,16 @@ def write_rows(
     mode: str = "append",
     fmt: str = "csv",
     partition_col: str = N.PARTITION_KEY,
+    max_records_per_file: int = 5_000_000,
 ) -> None:
     """Write rows partitioned by report date (K1, K6, K8).
 
-    ``mode='replace'`` overwrites only the report dates present in ``rows``
-    (dynamic partition overwrite); other dates stay. Rows are clustered by
-    date first so each task writes few files.
+    No shuffle: each task writes the dates it holds (landing input is one
+    task per gzip file, so one output file per input file and date), and
+    ``maxRecordsPerFile`` bounds file size. ``mode='replace'`` overwrites
+    only the report dates present in ``rows`` (dynamic partition overwrite).
     """
-    w = rows.repartition(partition_col).write if rows.isStreaming is False else rows.write
-    w = w.partitionBy(partition_col)
+    w = rows.write.partitionBy(partition_col).option("maxRecordsPerFile", max_records_per_file)
     if mode == "replace":
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "append":
@@ -112,6 +126,13 @@ def write_rows(
         raise ValueError("fmt must be csv or parquet")
 
 
+def read_landed(spark: SparkSession, dest: str, fmt: str = "csv") -> DataFrame:
+    """All landed rows of a destination folder as text (CSV) or as written (Parquet)."""
+    if fmt == "parquet":
+        return spark.read.parquet(dest)
+    return spark.read.option("header", "true").csv(dest)
+
+
 def land(
     spark: SparkSession,
     rows: DataFrame,
@@ -121,24 +142,26 @@ def land(
     fmt: str = "csv",
     load_id: str | None = None,
 ) -> str:
-    """Land new rows of landing files into ``lake_root/folder`` and log them (K1-K3).
+    """Land new rows of landing files into ``lake_root/folder`` and log them (K1-K4).
 
-    ``rows`` carry ``src_file`` and ``report_date``. Files already logged are
-    skipped. Per-file row counts for the log come from one aggregate over the
-    rows written (no second read of the landing files).
+    ``rows`` carry ``src_file`` and ``report_date``. In append mode files
+    already in the log are skipped. The log rows (per file: rows landed) are
+    counted from what actually landed under this ``load_id``, so the log is
+    also the verification of the write; it is appended last, which makes the
+    load visible to ``committed`` readers only when complete.
     """
     load_id = load_id or uuid.uuid4().hex
+    dest = f"{lake_root}/{folder}"
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     fresh = not_loaded(spark, rows, lake_root) if mode == "append" else rows
-    fresh = fresh.withColumn("load_id", F.lit(load_id))
-    ckpt = fresh.checkpoint(eager=True)  # cut lineage; reused for write and counts, survives executor loss
-    write_rows(ckpt, f"{lake_root}/{folder}", mode, fmt)
+    write_rows(fresh.withColumn("load_id", F.lit(load_id)), dest, mode, fmt)
     finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    log = ckpt.groupBy("src_file", "report_date").agg(F.count(F.lit(1)).alias("rows")).select(
+    landed = read_landed(spark, dest, fmt).where(F.col("load_id") == load_id)
+    log = landed.groupBy("src_file", "report_date").agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(load_id).alias("load_id"),
         F.lit(folder).alias("storage_folder_name"),
         "src_file",
-        "report_date",
+        F.col("report_date").cast("date").alias("report_date"),
         "rows",
         F.lit(None).cast("bigint").alias("bytes"),
         F.lit("ok").alias("status"),

@@ -1,3 +1,3 @@
 """Import every query module so its queries register."""
 
-from reportlake.plans import catalog_queries, lake_queries, value_queries  # noqa: F401
+from reportlake.plans import catalog_queries, lake_queries, load_queries, value_queries  # noqa: F401

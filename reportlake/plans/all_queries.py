@@ -1,3 +1,9 @@
 """Import every query module so its queries register."""
 
-from reportlake.plans import catalog_queries, lake_queries, load_queries, value_queries  # noqa: F401
+from reportlake.plans import (  # noqa: F401
+    archive_queries,
+    catalog_queries,
+    lake_queries,
+    load_queries,
+    value_queries,
+)

@@ -384,3 +384,57 @@ def lake_values_sql(table: str) -> str:
     date_col, cols = lake_columns(table)
     sel = ", ".join(f'{c.duck} AS "{c.header}"' for c in cols)
     return f"lake_{table} AS (SELECT {sel}, last_day(CAST({date_col} AS DATE)) AS report_date FROM {table})"
+
+
+def _fs_path(uri: str):
+    """pyarrow filesystem and path for a Spark path URI (``file:/x``, ``hdfs://..``, ``s3://..``)."""
+    import pyarrow.fs as pafs
+
+    if uri.startswith("file:/") and not uri.startswith("file:///"):
+        uri = "file://" + uri[len("file:"):]
+    if "://" not in uri:
+        uri = "file://" + uri
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _zip_writer(root: str):
+    def run(batches):
+        import gzip
+        import io
+        import zipfile
+
+        for pdf in batches:
+            out = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                folder = path.rsplit("/", 2)[-2]  # report_date=...
+                base = path.rsplit("/", 1)[-1][: -len(".csv.gz")]
+                buf = io.BytesIO()
+                with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+                    zf.writestr(f"exports/nested/{base}.csv", gzip.decompress(content))
+                    zf.writestr(f"__MACOSX/exports/nested/._{base}.csv", b"\x00\x05\x16\x07")
+                fs, p = _fs_path(f"{root}/{folder}/{base}.zip")
+                fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+                with fs.open_output_stream(p) as f:
+                    f.write(buf.getvalue())
+                out.append((f"{root}/{folder}/{base}.zip",))
+            yield pd.DataFrame(out, columns=["zip_path"])
+
+    return run
+
+
+_ZIPS: dict = {}
+
+
+def zip_lake(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """Every file of the table's report lake repacked as a zip archive (nested entry, macOS junk)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), table)
+    if key not in _ZIPS:
+        src = report_lake(spark, sf_dir, table)
+        root = shared_dir(spark, f"zips-{table}")
+        files = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.csv.gz").load(src).select("path", "content")
+        )
+        files.mapInPandas(_zip_writer(root), "zip_path string").count()
+        _ZIPS[key] = root
+    return _ZIPS[key]

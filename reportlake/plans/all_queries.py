@@ -5,5 +5,6 @@ from reportlake.plans import (  # noqa: F401
     catalog_queries,
     lake_queries,
     load_queries,
+    table_queries,
     value_queries,
 )

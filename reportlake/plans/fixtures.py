@@ -438,3 +438,20 @@ def zip_lake(spark: SparkSession, sf_dir: str, table: str) -> str:
         files.mapInPandas(_zip_writer(root), "zip_path string").count()
         _ZIPS[key] = root
     return _ZIPS[key]
+
+
+_STORES: dict = {}
+STORE_TABLES = {"orders": f"{STORE_PREFIX}/orders_v1-0", "lineitem": f"{STORE_PREFIX}/lineitem"}
+
+
+def report_store(spark: SparkSession, sf_dir: str) -> str:
+    """A store root holding the orders lake (versioned folder) and the lineitem lake side by side."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STORES:
+        root = shared_dir(spark, "store")
+        for table, folder in STORE_TABLES.items():
+            date_col, cols = lake_columns(table)
+            src = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+            write_report_lake(src, date_col, cols, f"{root}/{folder}")
+        _STORES[key] = root
+    return _STORES[key]

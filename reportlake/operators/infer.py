@@ -35,7 +35,10 @@ _CLASS_OF = dict(zip(COUNT_COLUMNS, ["INT64", "BOOL", "BIGNUMERIC", "TIMESTAMP",
 def classify(df: DataFrame, columns: list[str] | None = None, leading_zero: str = "decimal") -> DataFrame:
     """Class of every cell (I1), one ``<col>__class`` column per input column; NULL for null tokens."""
     cols = columns or df.columns
-    return df.select(*[V.value_class(V.null_if_token(F.col(c)), leading_zero).alias(f"{c}__class") for c in cols])
+    # Clean first, in its own projection: the cleaned value is read by every
+    # test below, and a separate projection keeps it computed once per cell.
+    cleaned = df.select(*[V.null_if_token(F.col(c)).alias(f"{c}__v") for c in cols])
+    return cleaned.select(*[V.value_class(F.col(f"{c}__v"), leading_zero).alias(f"{c}__class") for c in cols])
 
 
 def profile(df: DataFrame, columns: list[str] | None = None, leading_zero: str = "decimal") -> DataFrame:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportlake.session import shared_dir
+from reportlake.session import shared_dir, spread
 from reportlake.sources.specs import SourceSpec
 
 # Report families of the fixture, chosen by o_custkey % 8.
@@ -63,9 +63,9 @@ def _s(c: Column) -> Column:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    return spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
-    )
+    ))
 
 
 def _name_parts(o: DataFrame) -> DataFrame:
@@ -344,7 +344,8 @@ def write_report_lake(
     bucket = F.pmod(F.xxhash64("line"), F.lit(files_per_month))
     header_line = ",".join(c.header if "," not in c.header else '"' + c.header + '"' for c in columns)
     titled = {m for m in range(1, 13) if m % 2 == 0}
-    n_tasks = max(1, df.rdd.getNumPartitions()) * files_per_month
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    n_tasks = max(parallelism, df.rdd.getNumPartitions()) * files_per_month
     out = (
         rows.repartition(n_tasks, "report_date", bucket)
         .mapInPandas(_heads_then_rows(header_line, titled), "report_date date, kind int, line string")

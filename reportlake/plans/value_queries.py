@@ -15,10 +15,11 @@ from reportlake.functions import values as V
 from reportlake.operators import infer
 from reportlake.plans.catalog_queries import SIZE_SQL
 from reportlake.plans.registry import register
+from reportlake.session import spread
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 # ---------------------------------------------------------------- P4, P5, P6

@@ -53,3 +53,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root (never a machine-local temp dir)."""
     return f"{checkpoint_root(spark)}/reportlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition only when the input has fewer partitions than the cluster's
+    parallelism (few large files). At scale the input already has many splits and
+    this is a no-op, so no shuffle is added there."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

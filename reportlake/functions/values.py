@@ -30,9 +30,13 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# ASCII whitespace: space, tab, newline, vertical tab, form feed, carriage return.
+WHITESPACE = " \t\n\x0b\f\r"
+
+
 def strip_ws(v: Column | str) -> Column:
-    """Trim all leading/trailing whitespace (``F.trim`` only strips spaces)."""
-    return F.regexp_replace(_c(v), r"^\s+|\s+$", "")
+    """Trim leading/trailing ASCII whitespace: a character-set trim, no regex per cell."""
+    return F.trim(_c(v), F.lit(WHITESPACE))
 
 
 def null_if_token(v: Column | str) -> Column:
@@ -63,8 +67,11 @@ def is_date(v: Column | str) -> Column:
     return _c(v).rlike(DATE_PATTERN)
 
 
-def value_class(v: Column | str, leading_zero: str = "decimal") -> Column:
-    """Class of one cleaned, non-null value; NULL stays NULL.
+CLASS_NAMES = ["STRING", "INT64", "BOOL", "BIGNUMERIC", "TIMESTAMP", "DATE"]  # index = class code
+
+
+def class_code(v: Column | str, leading_zero: str = "decimal") -> Column:
+    """Class of one cleaned value as a small int (index into ``CLASS_NAMES``); NULL stays NULL.
 
     ``leading_zero='decimal'`` keeps the reference's outcome ("00123" fails the
     int test and then passes the number test); ``'string'`` keeps such IDs text.
@@ -74,16 +81,23 @@ def value_class(v: Column | str, leading_zero: str = "decimal") -> Column:
     if leading_zero == "string":
         numeric = numeric & ~t.rlike(r"^[+-]?0[0-9]")
     return (
-        F.when(t.isNull(), F.lit(None).cast("string"))
-        .when(is_int64(t), F.lit("INT64"))
-        .when(is_bool(t), F.lit("BOOL"))
-        .when(numeric, F.lit("BIGNUMERIC"))
-        .when(is_timestamp(t), F.lit("TIMESTAMP"))
-        .when(is_date(t), F.lit("DATE"))
-        .otherwise(F.lit("STRING"))
+        F.when(t.isNull(), F.lit(None).cast("int"))
+        .when(is_int64(t), F.lit(1))
+        .when(is_bool(t), F.lit(2))
+        .when(numeric, F.lit(3))
+        .when(is_timestamp(t), F.lit(4))
+        .when(is_date(t), F.lit(5))
+        .otherwise(F.lit(0))
     )
 
 
+def value_class(v: Column | str, leading_zero: str = "decimal") -> Column:
+    """Class name of one cleaned value (INT64, BOOL, BIGNUMERIC, TIMESTAMP, DATE, STRING); NULL stays NULL."""
+    code = class_code(v, leading_zero)
+    names = F.array(*[F.lit(n) for n in CLASS_NAMES])
+    return F.when(code.isNotNull(), F.element_at(names, code + 1))
+
+
 def normalize_name(name: Column | str) -> Column:
     """One header cell to a lower-case, warehouse-safe name (no de-duplication)."""
     n = _c(name)

@@ -2,7 +2,8 @@
 set/aggregate operators over it (duplicates, versions, diffs, folder summaries).
 
 Scale notes
-- Source matching turns each spec into literal ``rlike`` tests inside one
+- Source matching turns each spec into literal tests (``contains``/``endswith``
+  for the usual ``*base*ext`` globs, regex only for real wildcards) inside one
   projection (an array of per-source hit structs, exploded). No join, no
   shuffle, and each regex compiles once per task, whatever the catalog size.
 - Grouped reports use ``groupBy`` with partial aggregation; lists are bounded
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportlake.functions import names as N
-from reportlake.sources.specs import SourceSpec, exclude_regex, glob_to_regex, include_regex
+from reportlake.sources.specs import SourceSpec, exclude_glob, glob_condition, glob_to_regex, include_glob
 
 LISTING_SCHEMA = T.StructType(
     [
@@ -58,10 +59,10 @@ def with_prefix(listing: DataFrame, prefix: str, path_col: str = "path") -> Data
 
 
 def _selected(name_lc: Column, spec: SourceSpec, extension: str | None) -> Column:
-    cond = name_lc.rlike(include_regex(spec, extension))
-    exc = exclude_regex(spec)
+    cond = glob_condition(name_lc, include_glob(spec, extension))
+    exc = exclude_glob(spec)
     if exc is not None:
-        cond = cond & ~name_lc.rlike(exc)
+        cond = cond & ~glob_condition(name_lc, exc)
     return cond
 
 
@@ -96,8 +97,11 @@ def match_sources(
     lc = F.lower(name)
     not_lock = ~N.is_lock_file(name)
     hits = F.array(*[F.when(_selected(lc, s, extension) & not_lock, _source_match(s, i, name)) for i, s in enabled])
+    # explode_outer + a filter on the generated column: a plain explode makes Spark infer
+    # size(array) > 0 and push it below the projections, evaluating every test twice.
     return (
-        files.select("*", F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("_m"))
+        files.select("*", F.explode_outer(F.filter(hits, lambda x: x.isNotNull())).alias("_m"))
+        .where(F.col("_m").isNotNull())
         .select("*", F.col("_m.source_idx").alias("source_idx"))
     )
 
@@ -233,9 +237,8 @@ def match_stored(
         conds.append(F.when(cond, F.lit(i)))
     hits = F.filter(F.array(*conds), lambda x: x.isNotNull())
     return (
-        stored.select(p.alias("path"), name.alias("file_name"), hits.alias("_hits"))
-        .withColumn("source_idx", F.explode("_hits"))
-        .drop("_hits")
+        stored.select(p.alias("path"), name.alias("file_name"), F.explode_outer(hits).alias("source_idx"))
+        .where(F.col("source_idx").isNotNull())
         .withColumn("source_id", _spec_lookup(specs, F.col("source_idx"), "source_id"))
         .withColumn("base_name", _spec_lookup(specs, F.col("source_idx"), "select_file_name_base"))
     )

@@ -44,13 +44,15 @@ def classify(df: DataFrame, columns: list[str] | None = None, leading_zero: str
 def profile(df: DataFrame, columns: list[str] | None = None, leading_zero: str = "decimal") -> DataFrame:
     """Per column: position, non-null count and count per class."""
     cols = columns or [c for c in df.columns]
-    classes = classify(df, cols, leading_zero)
+    cleaned = df.select(*[V.null_if_token(F.col(c)).alias(f"{c}__v") for c in cols])
+    # Small integer codes instead of class names: the counts compare ints, not strings.
+    classes = cleaned.select(*[V.class_code(F.col(f"{c}__v"), leading_zero).alias(f"{c}__k") for c in cols])
     aggs = []
     for i, c in enumerate(cols):
-        k = F.col(f"{c}__class")
+        k = F.col(f"{c}__k")
         aggs.append(F.count(k).alias(f"{i}__n"))
-        for cnt in COUNT_COLUMNS:
-            aggs.append(F.count_if(k == _CLASS_OF[cnt]).alias(f"{i}__{cnt}"))
+        for code, cnt in enumerate(COUNT_COLUMNS, start=1):
+            aggs.append(F.count_if(k == code).alias(f"{i}__{cnt}"))
     wide = classes.agg(*aggs)
     rows = F.array(
         *[

@@ -105,6 +105,48 @@ def glob_to_regex(glob: str) -> str:
     return "^" + "".join(out) + "$"
 
 
+def glob_condition(name_lc, glob: str):
+    """Column test for an fnmatch glob over a (lower-cased) name.
+
+    Globs built from ``*`` and literals compile to ``startswith`` /
+    ``endswith`` / ``contains`` on the right slices (no regex, no
+    backtracking); a glob with ``?`` or ``[...]`` falls back to an anchored regex.
+    """
+    from pyspark.sql import functions as F
+
+    if "?" in glob or "[" in glob:
+        return name_lc.rlike("(?s)" + glob_to_regex(glob))
+    parts = glob.split("*")
+    if len(parts) == 1:
+        return name_lc == F.lit(glob)
+    head, tail, middle = parts[0], parts[-1], [m for m in parts[1:-1] if m]
+    cond = F.length(name_lc) >= len(head) + len(tail) + sum(len(m) for m in middle)
+    if head:
+        cond = cond & name_lc.startswith(head)
+    if tail:
+        cond = cond & name_lc.endswith(tail)
+    if middle:
+        # the literals must appear in order inside the slice between head and tail
+        inner = F.substring(name_lc, len(head) + 1, F.length(name_lc) - len(head) - len(tail))
+        if len(middle) == 1:
+            cond = cond & inner.contains(middle[0])
+        else:
+            cond = cond & inner.rlike("(?s)" + ".*".join(re.escape(m) for m in middle))
+    return cond
+
+
+def include_glob(spec: SourceSpec, extension: str | None) -> str:
+    """The include selector as a glob over the lower-cased name: ``*base*`` plus extension."""
+    return f"*{spec.select_file_name_base.lower()}*{(extension or '').lower()}"
+
+
+def exclude_glob(spec: SourceSpec) -> str | None:
+    """The exclude selector as a glob; an empty or missing exclude excludes nothing."""
+    if not spec.exclude_file_name_base:
+        return None
+    return f"*{spec.exclude_file_name_base.lower()}*"
+
+
 def include_regex(spec: SourceSpec, extension: str | None) -> str:
     """Regex over the lower-cased file name for the spec's include selector."""
     pattern = f"*{spec.select_file_name_base.lower()}*{(extension or '').lower()}" if extension else (

@@ -27,8 +27,10 @@ def orders_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rows_per_report_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per report date, newest first, over the typed lake (A9, the documented user query)."""
+    # The reference's default scope (newest file, 100 rows): the count needs no types.
+    lake = infer.read_typed(spark, report_lake(spark, sf_dir, "orders"), scope="newest_file")
     return (
-        orders_typed(spark, sf_dir)
+        lake
         .groupBy("report_date")
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .orderBy(F.desc("report_date"))

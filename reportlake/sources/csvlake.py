@@ -72,6 +72,20 @@ def _string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def header_row(head: LakeHead) -> Column:
+    """True for a row equal to the raw header (the one left under a title row).
+
+    A chain of null-safe equalities, first column first: almost every data row
+    is decided by one string comparison, and no struct is built per row.
+    """
+    cells = list(head.header) + [None] * (len(head.columns) - len(head.header))
+    cond = None
+    for c, v in zip(head.columns, cells):
+        eq = F.col(c).eqNullSafe(F.lit(v).cast("string"))
+        cond = eq if cond is None else cond & eq
+    return cond
+
+
 def read_raw(
     spark: SparkSession,
     root: str,
@@ -92,12 +106,7 @@ def read_raw(
         .option("pathGlobFilter", glob)
         .option("multiLine", str(multiline).lower())
     )
-    df = reader.csv(root)
-    cells = list(head.header) + [None] * (len(head.columns) - len(head.header))
-    is_header = F.struct(*[F.col(c) for c in head.columns]).eqNullSafe(
-        F.struct(*[F.lit(v).cast("string").alias(c) for c, v in zip(head.columns, cells)])
-    )
-    df = df.where(~is_header)
+    df = reader.csv(root).where(~header_row(head))
     if with_source:
         df = df.withColumn("src_file", F.col("_metadata.file_path"))
     return df

@@ -31,11 +31,7 @@ def stream_rows(spark: SparkSession, root: str, schema: InferredSchema, max_file
         .option("recursiveFileLookup", "false")
         .csv(root)
     )
-    cells = list(head.header) + [None] * (len(head.columns) - len(head.header))
-    is_header = F.struct(*[F.col(c) for c in head.columns]).eqNullSafe(
-        F.struct(*[F.lit(v).cast("string").alias(c) for c, v in zip(head.columns, cells)])
-    )
-    raw = raw.where(~is_header).withColumn("src_file", F.col("_metadata.file_path"))
+    raw = raw.where(~csvlake.header_row(head)).withColumn("src_file", F.col("_metadata.file_path"))
     return csvlake.apply_types(raw, schema.columns, schema.types)
 
 

@@ -244,12 +244,24 @@ def match_stored(
     )
 
 
-def storage_state(stored_files: DataFrame, with_names: bool = False) -> DataFrame:
-    """Stored files per base name: count, and optionally the sorted names (A2)."""
-    aggs = [F.count(F.lit(1)).alias("file_count")]
-    if with_names:
-        aggs.append(F.array_join(F.sort_array(F.collect_list("file_name")), ",").alias("source_files"))
-    return stored_files.groupBy("base_name").agg(*aggs)
+def storage_state(stored_files: DataFrame, samples: int = 0) -> DataFrame:
+    """Stored files per base name: count, and the first ``samples`` names when asked (A2).
+
+    The name list is bounded (a row_number limit evaluated per task before the
+    shuffle), so one hot base with millions of files never becomes one array;
+    the full list is ``stored_files`` itself, one row per file.
+    """
+    counts = stored_files.groupBy("base_name").agg(F.count(F.lit(1)).alias("file_count"))
+    if not samples:
+        return counts
+    w = Window.partitionBy("base_name").orderBy("file_name")
+    firsts = (
+        stored_files.withColumn("_rn", F.row_number().over(w))
+        .where(F.col("_rn") <= samples)
+        .groupBy("base_name")
+        .agg(F.array_join(F.array_sort(F.collect_list("file_name")), ",").alias("sample_files"))
+    )
+    return counts.join(firsts, "base_name")
 
 
 # ---------------------------------------------------------------- A1, A3, A4, A6, A8

@@ -351,12 +351,12 @@ def stored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     "storage_state",
     DUCK_CATALOG
     + """SELECT base_name, count(*) AS file_count,
-              array_to_string(list_sort(list(file_name)), ',') AS source_files
+              array_to_string(list_sort(list(file_name))[1:3], ',') AS sample_files
        FROM stored GROUP BY base_name""",
 )
 def storage_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored files per base name with the sorted names (A2)."""
-    return C.storage_state(_stored(spark, sf_dir), with_names=True)
+    """Stored files per base name: count and the first three names (A2; the full list is ``stored_files``)."""
+    return C.storage_state(_stored(spark, sf_dir), samples=3)
 
 
 @register(

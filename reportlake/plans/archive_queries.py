@@ -18,7 +18,7 @@ def _archive_date(col: str = "archive") -> F.Column:
 @register(
     "zip_ingest",
     """SELECT last_day(CAST(o_orderdate AS DATE)) AS report_date, count(*) AS n_rows,
-              round(sum(o_totalprice), 2) AS sum_price FROM orders GROUP BY 1""",
+              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price FROM orders GROUP BY 1""",
 )
 def zip_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV entries of zip archives (any depth, macOS junk skipped) parsed into rows."""
@@ -27,7 +27,7 @@ def zip_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = archives.archive_rows(lines, head.columns)
     return rows.groupBy(_archive_date().alias("report_date")).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.round(F.sum(typed_value(F.col("total_price__usd"), "BIGNUMERIC").cast("double")), 2).alias("sum_price"),
+        F.sum(typed_value(F.col("total_price__usd"), "BIGNUMERIC").cast("decimal(18,2)")).cast("double").alias("sum_price"),
     )
 
 

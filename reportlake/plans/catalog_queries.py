@@ -279,7 +279,7 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "load_summary",
     DUCK_CATALOG
-    + """SELECT table_name, count(*) AS files, sum(file_size_in_bytes) AS total_bytes,
+    + """SELECT table_name, count(*) AS files, CAST(sum(file_size_in_bytes) AS BIGINT) AS total_bytes,
               round(sum(file_size_in_bytes) / 1048576.0, 2) AS total_mb,
               count(*) FILTER (WHERE NOT (report_date_str IS NOT NULL AND NOT ends_with(file_name, '.csv.gz'))) AS ok,
               count(*) FILTER (WHERE report_date_str IS NOT NULL AND NOT ends_with(file_name, '.csv.gz')) AS failed
@@ -293,7 +293,7 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "files_by_base",
     DUCK_CATALOG
-    + """SELECT base_name, count(*) AS file_count, sum(file_size_in_bytes) AS total_bytes,
+    + """SELECT base_name, count(*) AS file_count, CAST(sum(file_size_in_bytes) AS BIGINT) AS total_bytes,
               count(DISTINCT file_version) AS version_count
        FROM catalog WHERE error IS NULL GROUP BY base_name""",
 )

@@ -81,7 +81,7 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "lake_scan",
     """SELECT last_day(CAST(l_shipdate AS DATE)) AS report_date, count(*) AS n_rows,
-              round(sum(l_quantity), 2) AS sum_qty, count(DISTINCT l_orderkey) AS n_orders
+              CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_qty, count(DISTINCT l_orderkey) AS n_orders
        FROM lineitem GROUP BY 1""",
 )
 def lake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,15 +91,15 @@ def lake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = csvlake.read_raw(spark, root, head, with_source=False)
     return raw.groupBy("report_date").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.round(F.sum(F.col("quantity").cast("double")), 2).alias("sum_qty"),
+        F.sum(F.col("quantity").cast("decimal(18,2)")).cast("double").alias("sum_qty"),
         F.count_distinct("order_key").alias("n_orders"),
     )
 
 
 @register(
     "lake_scan_mixed_layout",
-    """SELECT last_day(CAST(o_orderdate AS DATE)) AS report_date, count(*) AS n_rows, 0 AS header_rows,
-              0 AS title_rows FROM orders GROUP BY 1""",
+    """SELECT last_day(CAST(o_orderdate AS DATE)) AS report_date, count(*) AS n_rows, CAST(0 AS BIGINT) AS header_rows,
+              CAST(0 AS BIGINT) AS title_rows FROM orders GROUP BY 1""",
 )
 def lake_scan_mixed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titled and untitled files in one scan: no title or header row leaks into the data."""
@@ -289,7 +289,7 @@ _PLAIN: dict = {}
 @register(
     "infer_fallback",
     """SELECT last_day(CAST(o_orderdate AS DATE)) AS report_date, count(*) AS n_rows,
-              round(sum(o_totalprice), 2) AS sum_price FROM orders GROUP BY 1""",
+              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price FROM orders GROUP BY 1""",
 )
 def infer_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No ``.csv.gz`` to sample: fall back to Spark's own CSV inference over the folder."""
@@ -306,5 +306,5 @@ def infer_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
         _PLAIN[key] = root
     df = infer.read_typed(spark, _PLAIN[key], autodetect_fallback=True)
     return df.groupBy("report_date").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("sum_price")
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("sum_price")
     )

@@ -18,7 +18,7 @@ from reportlake.sources import csvlake
 from reportlake.streaming import ingest
 
 PER_MONTH_SQL = """SELECT last_day(CAST(o_orderdate AS DATE)) AS report_date, count(*) AS n_rows,
-       round(sum(o_totalprice), 2) AS sum_price FROM orders GROUP BY 1"""
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price FROM orders GROUP BY 1"""
 
 
 def _landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def _landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _per_month(df: DataFrame) -> DataFrame:
     return df.groupBy("report_date").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.round(F.sum(F.col("total_price__usd").cast("double")), 2).alias("sum_price"),
+        F.sum(F.col("total_price__usd").cast("decimal(18,2)")).cast("double").alias("sum_price"),
     )
 
 
@@ -61,7 +61,7 @@ def load_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "load_reconcile",
     """SELECT last_day(CAST(o_orderdate AS DATE)) AS report_date, count(*) AS source_rows,
-              count(*) AS landed_rows, 0 AS files_not_ok FROM orders GROUP BY 1""",
+              count(*) AS landed_rows, CAST(0 AS BIGINT) AS files_not_ok FROM orders GROUP BY 1""",
 )
 def load_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per landing file vs rows landed from it, summarised per report date (K4)."""

@@ -24,7 +24,7 @@ def _fresh_db(spark: SparkSession) -> str:
 @register(
     "create_table",
     """SELECT last_day(CAST(o_orderdate AS DATE)) AS report_date, count(*) AS n_rows,
-              round(sum(o_totalprice), 2) AS sum_price, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_urgent
+              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_urgent
        FROM orders GROUP BY 1""",
 )
 def create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         raise RuntimeError("table was not created")
     assert T.table_exists(spark, name)
     return spark.sql(
-        f"""SELECT report_date, count(*) AS n_rows, round(sum(CAST(total_price__usd AS DOUBLE)), 2) AS sum_price,
+        f"""SELECT report_date, count(*) AS n_rows, CAST(sum(CAST(total_price__usd AS DECIMAL(18,2))) AS DOUBLE) AS sum_price,
                    count_if(is_urgent) AS n_urgent
             FROM {name} GROUP BY report_date"""
     )

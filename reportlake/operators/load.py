@@ -92,8 +92,9 @@ def committed(spark: SparkSession, rows: DataFrame, lake_root: str) -> DataFrame
     log = read_log(spark, lake_root)
     if log is None:
         return rows.where(F.lit(False))
-    loads = log.select("load_id").distinct()  # one row per load run: small, broadcast
-    return rows.join(F.broadcast(loads), "load_id", "left_semi")
+    loads = log.select("load_id").distinct()  # one row per load run
+    small = _small_or_none(loads, BROADCAST_FILES_MAX)
+    return rows.join(F.broadcast(small) if small is not None else loads, "load_id", "left_semi")
 
 
 def write_rows(

@@ -230,7 +230,7 @@ def file_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM files f WHERE starts_with(f.file_name, 'video_report_')
     )
     SELECT source_id, file_path, 'replace' AS table_append_or_replace,
-           CASE WHEN ok THEN 'caravan-versioned/video_report' || CASE WHEN coalesce(nullif(g_v, ''), regexp_extract(file_name, '_(v[0-9]+(-[0-9]+)?)', 1)) <> '' THEN '_' || coalesce(nullif(g_v, ''), regexp_extract(file_name, '_(v[0-9]+(-[0-9]+)?)', 1)) ELSE '' END END AS storage_folder_name,
+           CASE WHEN ok THEN 'reports-versioned/video_report' || CASE WHEN coalesce(nullif(g_v, ''), regexp_extract(file_name, '_(v[0-9]+(-[0-9]+)?)', 1)) <> '' THEN '_' || coalesce(nullif(g_v, ''), regexp_extract(file_name, '_(v[0-9]+(-[0-9]+)?)', 1)) ELSE '' END END AS storage_folder_name,
            CASE WHEN NOT ok THEN 'name_mismatch' END AS error
     FROM forced""",
 )
@@ -361,11 +361,11 @@ def storage_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "prefix_scan",
-    DUCK_CATALOG + "SELECT path FROM store WHERE starts_with(path, 'caravan-versioned/claim_raw_v1')",
+    DUCK_CATALOG + "SELECT path FROM store WHERE starts_with(path, 'reports-versioned/claim_raw_v1')",
 )
 def prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stored object under a prefix."""
-    return C.with_prefix(store_listing(spark, sf_dir), "caravan-versioned/claim_raw_v1")
+    return C.with_prefix(store_listing(spark, sf_dir), "reports-versioned/claim_raw_v1")
 
 
 @register(

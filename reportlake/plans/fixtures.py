@@ -34,7 +34,7 @@ FAMILIES = [
 ]
 MONTH_PATTERN = r"YouTube_(.+)_M_(\d{8}|\d{6})"
 GROUPS = ("content_owner", "file_date_key")
-STORE_PREFIX = "caravan-versioned"
+STORE_PREFIX = "reports-versioned"
 
 FIXTURE_SPECS: list[SourceSpec] = [
     SourceSpec("claim_raw", "claim_raw", exclude_file_name_base="adj_claim_raw", regex_pattern=MONTH_PATTERN,
@@ -163,7 +163,7 @@ landing AS (
 
 STORE_SQL = """,
 store AS (
-  SELECT 'caravan-versioned/' || fam || CASE WHEN vtag <> '' THEN '_' || vtag ELSE '' END
+  SELECT 'reports-versioned/' || fam || CASE WHEN vtag <> '' THEN '_' || vtag ELSE '' END
          || CASE WHEN o_orderstatus = 'F' THEN '/report_date=' || strftime(last_day(CAST(o_orderdate AS DATE)), '%Y-%m-%d') ELSE '' END
          || '/' || core || '.csv.gz' AS path
   FROM name_parts WHERE o_orderstatus IN ('F', 'P')

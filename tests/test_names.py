@@ -70,12 +70,12 @@ def test_readable_size_matches_float_formatting(spark):
 
 def test_folder_naming(spark):
     df = spark.createDataFrame(
-        [("caravan/claim_raw", "claim_raw", "v1-1"), ("caravan/claim_raw", "claim_raw", ""), ("", "base", "v2"),
+        [("reports/claim_raw", "claim_raw", "v1-1"), ("reports/claim_raw", "claim_raw", ""), ("", "base", "v2"),
          (None, "base", "")],
         "folder string, base string, version string",
     )
     got = col_values(df, N.versioned_folder(N.folder_or_base("folder", "base"), "version"))
-    assert got == ["caravan/claim_raw_v1-1", "caravan/claim_raw", "base_v2", "base"]
+    assert got == ["reports/claim_raw_v1-1", "reports/claim_raw", "base_v2", "base"]
 
 
 def test_table_names_and_uris(spark):
@@ -90,13 +90,13 @@ def test_table_names_and_uris(spark):
 
 def test_stored_folder_parts(spark):
     paths = [
-        "caravan-versioned/claim_raw_v1-1/report_date=2023-06-30/file.csv.gz",
-        "caravan/claim_raw/file1.csv.gz",
+        "reports-versioned/claim_raw_v1-1/report_date=2023-06-30/file.csv.gz",
+        "reports/claim_raw/file1.csv.gz",
         "prefix/subfolder/report_date=2024-01-31/x.csv.gz",
     ]
     df = one_col(spark, paths)
     folders = col_values(df, N.stored_folder("v"))
-    assert folders == ["caravan-versioned/claim_raw_v1-1", "caravan/claim_raw", "prefix/subfolder"]
+    assert folders == ["reports-versioned/claim_raw_v1-1", "reports/claim_raw", "prefix/subfolder"]
     assert col_values(df, N.folder_table(N.stored_folder("v"))) == ["claim_raw", "claim_raw", "subfolder"]
     assert col_values(df, N.folder_version(N.stored_folder("v"))) == ["v1-1", "", ""]
     assert col_values(df, N.is_partitioned_path("v")) == [True, False, True]

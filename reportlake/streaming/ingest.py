@@ -38,8 +38,7 @@ def stream_rows(spark: SparkSession, root: str, schema: InferredSchema, max_file
 def run_once(
     spark: SparkSession, root: str, schema: InferredSchema, sink: str, checkpoint: str
 ) -> int:
-    """Process every file not yet in the checkpoint, then stop; returns rows read this run
-    (data rows plus any header row left under a title, which the stream drops)."""
+    """Process every file not yet in the checkpoint, then stop; returns the input rows of this run."""
     q = (
         stream_rows(spark, root, schema)
         .writeStream.format("parquet")

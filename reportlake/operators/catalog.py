@@ -214,6 +214,14 @@ def rejected(catalog: DataFrame) -> DataFrame:
     return catalog.where(F.col("error").isNotNull())
 
 
+def assert_no_rejects(catalog: DataFrame) -> DataFrame:
+    """Strict mode: raise on the first rejected file (one bounded ``limit(1)`` check), else return the catalog."""
+    bad = rejected(catalog).select("file_path", "error").limit(1).collect()
+    if bad:
+        raise ValueError(f"rejected file {bad[0]['file_path']}: {bad[0]['error']}")
+    return catalog
+
+
 # ---------------------------------------------------------------- stored side
 
 

@@ -145,8 +145,16 @@ def apply_types(
     """Typed projection of an all-STRING frame.
 
     ``on_error``: ``'null'`` leaves failed conversions NULL; ``'quarantine'``
-    adds ``_rejected`` (names of columns whose non-null text did not convert).
+    adds ``_rejected`` (names of columns whose non-null text did not convert);
+    ``'fail'`` raises when any row has a rejected cell (one bounded check,
+    ``limit(1)``, before the frame is returned).
     """
+    if on_error == "fail":
+        checked = apply_types(raw, columns, types, "quarantine", strings_null_tokens)
+        bad = checked.where(F.size("_rejected") > 0).limit(1).collect()
+        if bad:
+            raise ValueError(f"cells that do not convert to the inferred type: {bad[0]['_rejected']}")
+        return checked.drop("_rejected")
     typed = [typed_value(F.col(c), t, strings_null_tokens).alias(c) for c, t in zip(columns, types)]
     keep = [c for c in raw.columns if c not in columns]
     out = raw.select(*typed, *keep, *[F.col(c).alias(f"__raw_{c}") for c in columns])
@@ -158,7 +166,7 @@ def apply_types(
         ]
         out = out.withColumn("_rejected", F.filter(F.array(*bad), lambda x: x.isNotNull()) if bad else F.array())
     elif on_error != "null":
-        raise ValueError("on_error must be 'null' or 'quarantine'")
+        raise ValueError("on_error must be 'null', 'quarantine' or 'fail'")
     return out.drop(*[f"__raw_{c}" for c in columns])
 
 

@@ -144,3 +144,21 @@ def test_incremental_stream_only_new_files(spark, mixed_lake, tmp_path):
     write_gz(tmp_path / "claim_raw_v1-1" / "report_date=2018-07-31" / "d.csv.gz", HEADER + "\n" + rows(4, 900))
     assert ingest.run_once(spark, mixed_lake, schema, sink, ckpt) == 4
     assert spark.read.parquet(sink).count() == 59
+
+
+def test_on_error_fail_and_strict_catalog(spark, tmp_path):
+    from reportlake.operators import catalog as C
+
+    body = "".join(f"{i}\n" for i in range(40)) + "not-a-number\n"
+    write_gz(tmp_path / "f" / "x.csv.gz", "n\n" + body)
+    root = str(tmp_path / "f")
+    schema = infer.infer_lake_schema(spark, root, scope="all_rows")
+    assert schema.types == ["INT64"]
+    assert infer.read_typed(spark, root, schema, on_error="null").where("n is null").count() == 1
+    with pytest.raises(ValueError):
+        infer.read_typed(spark, root, schema, on_error="fail")
+    cat = spark.createDataFrame([("a.csv", "name_mismatch")], "file_path string, error string")
+    with pytest.raises(ValueError):
+        C.assert_no_rejects(cat)
+    ok = spark.createDataFrame([("a.csv", None)], "file_path string, error string")
+    assert C.assert_no_rejects(ok).count() == 1

@@ -26,7 +26,8 @@ from reportlake.operators import infer
 from reportlake.sources import csvlake
 
 RAW_SUFFIX = "__raw"
-TRIM = r"regexp_replace({c}, '^\\s+|\\s+$', '')"
+# Character-set trim of ASCII whitespace (same set as values.WHITESPACE), written with SQL unicode escapes.
+TRIM = r"trim(BOTH ' \u0009\u000A\u000B\u000C\u000D' FROM {c})"
 
 
 def _q(name: str) -> str:

@@ -123,3 +123,16 @@ def test_type_distribution(spark):
     df = spark.createDataFrame(rows, "a string, b string")
     dist = {r[0]: r[1] for r in infer.type_distribution(infer.decide(infer.profile(df, ["a", "b"]))).collect()}
     assert dist == {"INT64": 1, "STRING": 1}
+
+
+@pytest.mark.parametrize("t", ["INT64", "BOOL", "BIGNUMERIC", "TIMESTAMP", "DATE", "STRING"])
+def test_view_sql_matches_dataframe_typing(spark, t):
+    from reportlake.operators.tables import typed_sql
+    from reportlake.sources.csvlake import typed_value
+
+    vals = [" 12 ", "\t12\n", "null", " NONE ", "", "1.5", "yes", "2023/06/30", "2023-06-30 12:00:00", None,
+            "\x0b7\x0c", "2023-13-45", "abc"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    a = [r[0] for r in df.select(F.expr(typed_sql("v", t))).collect()]
+    b = [r[0] for r in df.select(typed_value(F.col("v"), t, True)).collect()]
+    assert a == b

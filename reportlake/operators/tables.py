@@ -114,14 +114,17 @@ class TableInfo:
     location: str | None
     is_partitioned: bool
     n_columns: int
+    partition_columns: list[str]
+    created: str | None
 
 
 def _describe(spark: SparkSession, name: str) -> TableInfo:
+    """Location, partitioning (read from the catalog, Q13), column count and creation time."""
     raw = name + RAW_SUFFIX
     info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_q(raw)}").collect()}
     parts = [c.name for c in spark.catalog.listColumns(raw) if c.isPartition]
     n_cols = len(spark.catalog.listColumns(name))
-    return TableInfo(name, info.get("Location"), bool(parts), n_cols)
+    return TableInfo(name, info.get("Location"), bool(parts), n_cols, parts, info.get("Created Time"))
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
@@ -133,9 +136,11 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
         if t.endswith(RAW_SUFFIX) or (t + RAW_SUFFIX) not in names:
             continue
         i = _describe(spark, f"{db}.{t}")
-        rows.append((t, db, i.location, i.is_partitioned, i.n_columns))
+        rows.append((t, db, i.location, i.is_partitioned, ",".join(i.partition_columns), i.n_columns, i.created))
     return spark.createDataFrame(
-        rows, "table_name string, database string, location string, is_partitioned boolean, n_columns int"
+        rows,
+        "table_name string, database string, location string, is_partitioned boolean, partition_columns string, "
+        "n_columns int, created string",
     )
 
 

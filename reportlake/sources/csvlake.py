@@ -57,7 +57,10 @@ def lake_head(spark: SparkSession, root: str, newest: str | None = None) -> Lake
     newest = newest or newest_file(spark, root)
     if newest is None:
         return None
-    lines = [r["value"] for r in spark.read.text(newest).limit(2).collect()]
+    try:
+        lines = [r["value"] for r in spark.read.text(newest).limit(2).collect()]
+    except Exception:  # noqa: BLE001 - unreadable (e.g. corrupt gzip): no schema, as for an empty file
+        return None
     if not lines:
         return None
     first = _csv_cells(lines[0])

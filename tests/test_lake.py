@@ -162,3 +162,11 @@ def test_on_error_fail_and_strict_catalog(spark, tmp_path):
         C.assert_no_rejects(cat)
     ok = spark.createDataFrame([("a.csv", None)], "file_path string, error string")
     assert C.assert_no_rejects(ok).count() == 1
+
+
+def test_corrupt_gzip_gives_no_schema(spark, tmp_path):
+    d = tmp_path / "bad"
+    d.mkdir()
+    (d / "x.csv.gz").write_bytes(b"this is not gzip data at all")
+    assert csvlake.lake_head(spark, str(d)) is None
+    assert infer.infer_lake_schema(spark, str(d)) is None

@@ -147,21 +147,6 @@ def exclude_glob(spec: SourceSpec) -> str | None:
     return f"*{spec.exclude_file_name_base.lower()}*"
 
 
-def include_regex(spec: SourceSpec, extension: str | None) -> str:
-    """Regex over the lower-cased file name for the spec's include selector."""
-    pattern = f"*{spec.select_file_name_base.lower()}*{(extension or '').lower()}" if extension else (
-        f"*{spec.select_file_name_base.lower()}*"
-    )
-    return "(?s)" + glob_to_regex(pattern)
-
-
-def exclude_regex(spec: SourceSpec) -> str | None:
-    """Regex for the exclude selector; an empty or missing exclude excludes nothing."""
-    if not spec.exclude_file_name_base:
-        return None
-    return "(?s)" + glob_to_regex(f"*{spec.exclude_file_name_base.lower()}*")
-
-
 def specs_from_toml(text: str) -> list[SourceSpec]:
     """Read ``[file.<id>]`` sections of a TOML config into specs."""
     doc = tomllib.loads(text)

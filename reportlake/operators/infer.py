@@ -111,11 +111,15 @@ def infer_lake_schema(
     threshold: float = DEFAULT_THRESHOLD,
     min_non_null: int = DEFAULT_MIN_NON_NULL,
     leading_zero: str = "decimal",
+    fraction: float = 0.01,
+    seed: int = 42,
 ) -> InferredSchema | None:
     """Folder to schema and title flag (I6). ``None`` when the folder has no file or the file is empty.
 
-    ``scope='newest_file'`` votes over the first ``sample_size`` rows of the
-    newest file; ``scope='all_rows'`` votes over every row of every file.
+    ``scope='newest_file'`` (the reference's default) votes over the first
+    ``sample_size`` rows of the newest file; ``scope='sample'`` over a seeded
+    ``fraction`` of the rows of every file; ``scope='all_rows'`` over every row.
+    All three are one partial aggregate.
     """
     head = csvlake.lake_head(spark, root)
     if head is None or not head.columns:
@@ -124,8 +128,10 @@ def infer_lake_schema(
         rows = csvlake.read_raw(spark, head.newest_path, head, with_source=False).limit(sample_size)
     elif scope == "all_rows":
         rows = csvlake.read_raw(spark, root, head, with_source=False)
+    elif scope == "sample":
+        rows = csvlake.read_raw(spark, root, head, with_source=False).sample(fraction=fraction, seed=seed)
     else:
-        raise ValueError("scope must be 'newest_file' or 'all_rows'")
+        raise ValueError("scope must be 'newest_file', 'sample' or 'all_rows'")
     decided = decide(profile(rows, head.columns, leading_zero), threshold, min_non_null)
     got = {r["column_name"]: (r["inferred_type"], r["n_non_null"]) for r in decided.collect()}
     types = [got[c][0] for c in head.columns]

@@ -170,3 +170,8 @@ def test_corrupt_gzip_gives_no_schema(spark, tmp_path):
     (d / "x.csv.gz").write_bytes(b"this is not gzip data at all")
     assert csvlake.lake_head(spark, str(d)) is None
     assert infer.infer_lake_schema(spark, str(d)) is None
+
+
+def test_sample_scope(spark, mixed_lake):
+    s = infer.infer_lake_schema(spark, mixed_lake, scope="sample", fraction=0.8, seed=7)
+    assert s.types == ["STRING", "BIGNUMERIC", "DATE"]

@@ -173,42 +173,67 @@ def apply_types(
     return out.drop(*[f"__raw_{c}" for c in columns])
 
 
-def file_layouts(spark: SparkSession, root: str, glob: str = GZ_GLOB) -> DataFrame:
-    """Per file: first line, its field count, second line's field count, title flag.
-
-    A text scan keeps the first split of each file, orders lines by
-    ``monotonically_increasing_id`` (in file order inside a split) and takes the
-    first line per file with ``min_by``. The second line comes from the same
-    aggregate over a CSV scan that skips line 1 (``header=true``) with a
-    separator and quote that never occur, so each record is one whole line.
-    Both are partial aggregates: one row per file and task crosses the shuffle.
-    """
-    fields = lambda line: F.size(F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
-    text = (
-        spark.read.option("pathGlobFilter", glob).text(root)
+def _second_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Line 2 of each given file: a CSV scan that skips line 1, separator and quote that never occur."""
+    return (
+        spark.read.schema("value string").option("header", "true").option("sep", "\u0001").option("quote", "")
+        .csv(paths)
         .where(F.col("_metadata.file_block_start") == 0)
         .select(F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("i"), "value")
         .groupBy("file_path")
-        .agg(F.min_by("value", "i").alias("first_line"))
+        .agg(F.min_by("value", "i").alias("second_line"))
     )
-    rest = (
-        spark.read.schema("value string")
-        .option("header", "true")
-        .option("sep", "\u0001")
-        .option("quote", "")
-        .option("pathGlobFilter", glob)
-        .csv(root)
+
+
+def file_layouts(spark: SparkSession, root: str, glob: str = GZ_GLOB) -> DataFrame:
+    """Per file: first line, header line, field count of line 1 and the title flag.
+
+    One text scan keeps the first split of each file and orders lines by
+    ``monotonically_increasing_id`` (file order inside a split). A single
+    partial aggregate per file takes the first line and the first line that
+    contains a comma: the header is line 1 of a plain file and line 2 under a
+    one-cell title, so that is the header in both layouts (``min_by`` skips
+    the NULL ordering of comma-free lines). Exact, quote-aware field counts run
+    only on these per-file rows, which are checkpointed (one row per file) to
+    the shared checkpoint folder. Only files whose one-cell first line itself
+    holds a quoted comma get a second, targeted scan for line 2. A file is
+    titled when line 1 has one field and the header has more (a one-column
+    CSV is not titled).
+    """
+    from reportlake.session import checkpoint_root
+
+    checkpoint_root(spark)
+    fields = lambda line: F.size(F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    lines = (
+        spark.read.option("pathGlobFilter", glob).text(root)
         .where(F.col("_metadata.file_block_start") == 0)
         .select(F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("i"), "value")
-        .groupBy("file_path")
-        .agg(F.min_by("value", "i").alias("second_line"))
     )
-    return (
-        text.join(rest, "file_path", "left")
-        .withColumn("first_fields", fields(F.col("first_line")).cast("bigint"))
-        .withColumn("second_fields", fields(F.col("second_line")).cast("bigint"))
-        .withColumn("has_title", (F.col("first_fields") == 1) & F.coalesce(F.col("second_fields") > 1, F.lit(False)))
-        .withColumn(
-            "header_line", F.when(F.col("has_title"), F.col("second_line")).otherwise(F.col("first_line"))
+    per_file = (
+        lines.groupBy("file_path")
+        .agg(
+            F.min_by("value", "i").alias("first_line"),
+            F.min_by("value", F.when(F.instr("value", ",") > 0, F.col("i"))).alias("comma_line"),
         )
+        .withColumn("first_fields", fields(F.col("first_line")).cast("bigint"))
+        .checkpoint(eager=True)
+    )
+    ambiguous = [
+        r["file_path"]
+        for r in per_file.where((F.col("first_fields") == 1) & (F.col("comma_line") == F.col("first_line")))
+        .select("file_path").collect()
+    ]
+    if ambiguous:
+        fixed = _second_lines(spark, ambiguous)
+        per_file = per_file.join(F.broadcast(fixed), "file_path", "left").withColumn(
+            "comma_line", F.coalesce(F.col("second_line"), F.col("comma_line"))
+        ).drop("second_line")
+    comma_fields = fields(F.col("comma_line")).cast("bigint")
+    titled = (F.col("first_fields") == 1) & F.coalesce(comma_fields > 1, F.lit(False))
+    return per_file.select(
+        "file_path",
+        "first_line",
+        "first_fields",
+        titled.alias("has_title"),
+        F.when(titled, F.col("comma_line")).otherwise(F.col("first_line")).alias("header_line"),
     )

@@ -175,3 +175,12 @@ def test_corrupt_gzip_gives_no_schema(spark, tmp_path):
 def test_sample_scope(spark, mixed_lake):
     s = infer.infer_lake_schema(spark, mixed_lake, scope="sample", fraction=0.8, seed=7)
     assert s.types == ["STRING", "BIGNUMERIC", "DATE"]
+
+
+def test_file_layouts_one_column_and_quoted_title(spark, tmp_path):
+    write_gz(tmp_path / "o" / "one.csv.gz", "only\n1\n2\n")
+    write_gz(tmp_path / "o" / "quoted.csv.gz", '"Report, June"\nA,B\n1,2\n')
+    lay = {r["file_path"].rsplit("/", 1)[-1]: r for r in csvlake.file_layouts(spark, str(tmp_path / "o")).collect()}
+    assert not lay["one.csv.gz"]["has_title"] and lay["one.csv.gz"]["header_line"] == "only"
+    q = lay["quoted.csv.gz"]
+    assert q["first_fields"] == 1 and q["has_title"] and q["header_line"] == "A,B"

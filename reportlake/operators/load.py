@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportlake.functions import names as N
+from reportlake.sources import csvlake
 
 LOG_DIR = "_load_log"
 BROADCAST_FILES_MAX = 2_000_000  # catalog rows of one load we are willing to broadcast
+PRUNE_PATHS_MAX = 10_000  # new files listed as a pushed-down path filter
 
 
 def load_rejects(catalog: DataFrame) -> DataFrame:
@@ -189,3 +191,68 @@ def reconcile(source_rows: DataFrame, landed_rows: DataFrame, key: str = "src_fi
         .when(F.col("source_rows") == 0, F.lit("unexpected"))
         .otherwise(F.lit("count_mismatch")),
     )
+
+
+def upload(
+    spark: SparkSession,
+    catalog: DataFrame,
+    lake_root: str,
+    mode: str | None = None,
+    fmt: str = "csv",
+) -> DataFrame:
+    """Land the new files of a catalog into ``lake_root/<storage_folder_name>/report_date=D/`` (K1-K5).
+
+    The reference's upload command, as Spark jobs. Rejected names and dated
+    files that are not ``.csv.gz`` (K5) are left out. Per destination folder
+    (a config-sized loop) the files not yet in the load log are found with a
+    file-level anti join, read in one scan with the folder's header (titles
+    dropped per file), given the report date of their catalog row (broadcast
+    when the file list is within ``BROADCAST_FILES_MAX``, else a shuffle join)
+    and landed. ``mode`` defaults to each source's append/replace setting.
+    Returns one row per folder: files landed, rows landed, load id.
+    """
+    ok = loadable(catalog.where(F.col("error").isNull())).select(
+        "file_path", "storage_folder_name", "report_date", "table_append_or_replace"
+    )
+    log = read_log(spark, lake_root)
+    if log is not None:
+        done = log.select(F.col("src_file").alias("file_path")).distinct()
+        small = _small_or_none(done, BROADCAST_FILES_MAX)
+        ok = ok.join(F.broadcast(small) if small is not None else done, "file_path", "left_anti")
+    folders = ok.groupBy("storage_folder_name").agg(F.max("table_append_or_replace").alias("m")).collect()
+    out = []
+    for f in folders:
+        folder = f["storage_folder_name"]
+        files = ok.where(F.col("storage_folder_name") == folder).select(
+            F.col("file_path").alias("src_file"), "report_date"
+        )
+        small = _small_or_none(files, BROADCAST_FILES_MAX)
+        newest = files.agg(F.max("src_file").alias("p")).first()["p"]
+        roots = files.select(F.regexp_replace("src_file", "/[^/]*$", "").alias("d")).distinct()
+        root = _common_dir([r["d"] for r in roots.limit(10_000).collect()])
+        head = csvlake.lake_head(spark, None, newest=newest)
+        if head is None:
+            continue
+        rows = csvlake.read_raw(spark, root, head, recursive=True)
+        if small is not None and small.count() <= PRUNE_PATHS_MAX:
+            # a file-constant metadata filter: files not in the list are skipped unopened
+            rows = rows.where(F.col("src_file").isin([r["src_file"] for r in small.collect()]))
+        dated = rows.join(F.broadcast(small) if small is not None else files, "src_file")
+        load_id = land(spark, dated, lake_root, folder, mode=mode or f["m"], fmt=fmt)
+        n = read_log(spark, lake_root).where(F.col("load_id") == load_id).agg(
+            F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")
+        ).first()
+        out.append((folder, int(n["files"] or 0), int(n["rows"] or 0), load_id))
+    return spark.createDataFrame(out, "storage_folder_name string, files bigint, rows bigint, load_id string")
+
+
+def _common_dir(dirs: list[str]) -> str:
+    """Longest common directory of path URIs (split on ``/``, scheme kept)."""
+    parts = [d.split("/") for d in dirs]
+    common = []
+    for seg in zip(*parts):
+        if all(x == seg[0] for x in seg):
+            common.append(seg[0])
+        else:
+            break
+    return "/".join(common) or "/"

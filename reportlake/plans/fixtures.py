@@ -298,8 +298,12 @@ def _title_month(rd: Column) -> Column:
     return F.month(rd) % 2 == 0
 
 
-def _heads_then_rows(header_line: str, titled_months: set[int]):
-    """mapInPandas body: per task, put title/header lines before the first row of each month."""
+def _heads_then_rows(header_line: str, titled_months: set[int], keyed: bool = False):
+    """mapInPandas body: per task, put title/header lines before the first row of each month
+    (or of each group key ``<...>|yyyymm`` when ``keyed``)."""
+
+    def month_of(d):
+        return int(d.rsplit("|", 1)[1][4:6]) if keyed else d.month
 
     def run(batches):
         seen: set = set()
@@ -308,7 +312,7 @@ def _heads_then_rows(header_line: str, titled_months: set[int]):
             heads = []
             for d in new:
                 seen.add(d)
-                if d.month in titled_months:
+                if month_of(d) in titled_months:
                     heads.append((d, 0, TITLE))
                 heads.append((d, 1, header_line))
             if heads:
@@ -325,6 +329,7 @@ def write_report_lake(
     root: str,
     files_per_month: int = 2,
     short_row: Column | None = None,
+    group: Column | None = None,
 ) -> str:
     """Write rows as gzip CSV report files under ``root/report_date=<month end>/``.
 
@@ -333,7 +338,7 @@ def write_report_lake(
     header (and the title in even months); the per-task head lines come from a
     small pandas step after the shuffle, and a local sort puts them first.
     """
-    rd = F.last_day(F.to_date(F.col(date_col)))
+    rd = F.last_day(F.to_date(F.col(date_col))) if group is None else group
     line = F.to_csv(
         F.struct(*[c.spark.alias(f"c{i}") for i, c in enumerate(columns)]),
         {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
@@ -348,7 +353,10 @@ def write_report_lake(
     n_tasks = max(parallelism, df.rdd.getNumPartitions()) * files_per_month
     out = (
         rows.repartition(n_tasks, "report_date", bucket)
-        .mapInPandas(_heads_then_rows(header_line, titled), "report_date date, kind int, line string")
+        .mapInPandas(
+            _heads_then_rows(header_line, titled, group is not None),
+            f"report_date {'string' if group is not None else 'date'}, kind int, line string",
+        )
         .sortWithinPartitions("report_date", "kind")
     )
     (
@@ -456,3 +464,48 @@ def report_store(spark: SparkSession, sf_dir: str) -> str:
             write_report_lake(src, date_col, cols, f"{root}/{folder}")
         _STORES[key] = root
     return _STORES[key]
+
+
+_LANDING: dict = {}
+LANDING_BASE = "claim_raw"
+LANDING_SPEC = SourceSpec(
+    "claim_raw", "claim_raw", exclude_file_name_base="adj_claim_raw", regex_pattern=MONTH_PATTERN,
+    regex_group_names=GROUPS, storage_folder_name=f"{STORE_PREFIX}/claim_raw", table_name="claim_raw",
+)
+
+
+def landing_files(spark: SparkSession, sf_dir: str) -> str:
+    """A flat landing folder of named report files: one gzip CSV per (priority, month) of ``orders``,
+    named ``YouTube_<priority>_M_<yyyymm>_claim_raw_v1-0.csv.gz``; even months carry a title row.
+
+    Spark writes one file per group (a hash repartition on the group puts each
+    group in one task), then the driver renames the part files to report names
+    through the Hadoop FileSystem API (metadata operations only).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key in _LANDING:
+        return _LANDING[key]
+    date_col, cols = lake_columns("orders")
+    base = shared_dir(spark, "landing")
+    staging, root = f"{base}/_staging", f"{base}/files"
+    src = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    grp = F.concat(F.regexp_replace("o_orderpriority", " ", "-"), F.lit("|"), F.date_format("o_orderdate", "yyyyMM"))
+    write_report_lake(src, date_col, cols, staging, files_per_month=1, group=grp)
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    staging_path = jvm.org.apache.hadoop.fs.Path(staging)
+    fs = staging_path.getFileSystem(conf)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(root))
+    it = fs.listFiles(staging_path, True)
+    while it.hasNext():
+        st = it.next().getPath()
+        name = st.getName()
+        if not name.endswith(".csv.gz"):
+            continue
+        from urllib.parse import unquote
+
+        owner, ym = unquote(st.getParent().getName().split("=", 1)[1]).rsplit("|", 1)
+        target = f"YouTube_{owner}_M_{ym}_{LANDING_BASE}_v1-0.csv.gz"
+        fs.rename(st, jvm.org.apache.hadoop.fs.Path(f"{root}/{target}"))
+    _LANDING[key] = root
+    return root

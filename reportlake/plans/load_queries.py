@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from reportlake.operators import infer
 from reportlake.operators import load as L
-from reportlake.plans.fixtures import report_lake
+from reportlake.operators import catalog as C
+from reportlake.plans.fixtures import LANDING_SPEC, landing_files, report_lake
 from reportlake.plans.registry import register
 from reportlake.session import shared_dir
 from reportlake.sources import csvlake
@@ -111,3 +112,17 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     if second != 0:
         raise AssertionError(f"second incremental run read {second} rows, expected 0")
     return _per_month(spark.read.parquet(sink))
+
+
+@register("upload_new_files", PER_MONTH_SQL)
+def upload_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upload command end to end: list a flat landing folder of named report files, build the
+    catalog, land 1995 first, then everything: only files not in the log land, each under the
+    report date its name carries (S1, S9, J2 at file level, K1-K5)."""
+    listing = C.list_files(spark, landing_files(spark, sf_dir))
+    cat = C.build_catalog(listing, [LANDING_SPEC])
+    lake_root = shared_dir(spark, "uploaded")
+    L.upload(spark, cat.where(F.year("report_date") == 1995), lake_root)
+    L.upload(spark, cat, lake_root)
+    folder = f"{LANDING_SPEC.storage_folder_name}_v1-0"
+    return _per_month(_read_back(spark, lake_root, folder))

@@ -96,6 +96,7 @@ def read_raw(
     glob: str = GZ_GLOB,
     multiline: bool = False,
     with_source: bool = True,
+    recursive: bool = False,
 ) -> DataFrame:
     """All-STRING rows of every file under ``root``, titles and headers removed per file.
 
@@ -109,6 +110,8 @@ def read_raw(
         .option("pathGlobFilter", glob)
         .option("multiLine", str(multiline).lower())
     )
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     df = reader.csv(root).where(~header_row(head))
     if with_source:
         df = df.withColumn("src_file", F.col("_metadata.file_path"))

@@ -184,3 +184,25 @@ def test_file_layouts_one_column_and_quoted_title(spark, tmp_path):
     assert not lay["one.csv.gz"]["has_title"] and lay["one.csv.gz"]["header_line"] == "only"
     q = lay["quoted.csv.gz"]
     assert q["first_fields"] == 1 and q["has_title"] and q["header_line"] == "A,B"
+
+
+def test_upload_lands_only_new_files_under_their_name_dates(spark, tmp_path):
+    from reportlake.operators import catalog as C
+    from reportlake.sources.specs import SourceSpec
+
+    land_dir = tmp_path / "landing"
+    write_gz(land_dir / "YouTube_Brand_M_202306_claim_raw.csv.gz", HEADER + "\n" + rows(10))
+    write_gz(land_dir / "YouTube_Brand_M_20230715_claim_raw.csv.gz", "Title\n" + HEADER + "\n" + rows(7, 50))
+    write_gz(land_dir / "sub" / "YouTube_Other_M_202306_claim_raw.csv.gz", HEADER + "\n" + rows(3, 90))
+    (land_dir / "YouTube_Brand_M_202308_claim_raw.csv").write_text(HEADER + "\n" + rows(2))  # dated, not gzip: rejected
+    spec = SourceSpec("claim_raw", "claim_raw", regex_pattern=r"YouTube_(.+)_M_(\d{8}|\d{6})",
+                      regex_group_names=("content_owner", "file_date_key"), storage_folder_name="reports/claim_raw")
+    cat = C.build_catalog(C.list_files(spark, str(land_dir)), [spec])
+    lake = str(tmp_path / "lake")
+    first = L.upload(spark, cat.where(F.col("content_owner") == "Brand"), lake).collect()
+    assert [(r["files"], r["rows"]) for r in first] == [(2, 17)]
+    second = L.upload(spark, cat, lake).collect()
+    assert [(r["files"], r["rows"]) for r in second] == [(1, 3)]
+    landed = L.read_landed(spark, f"{lake}/reports/claim_raw")
+    got = {str(r[0]): r[1] for r in landed.groupBy("report_date").count().collect()}
+    assert got == {"2023-06-30": 13, "2023-07-31": 7}

@@ -144,9 +144,13 @@ def land(
     mode: str = "append",
     fmt: str = "csv",
     load_id: str | None = None,
+    sizes: DataFrame | None = None,
 ) -> str:
     """Land new rows of landing files into ``lake_root/folder`` and log them (K1-K4).
 
+    ``sizes`` (``src_file``, ``bytes``), when given, fills the log's byte
+    column so ``throughput`` can report MB and MB/s (K7).
+
     ``rows`` carry ``src_file`` and ``report_date``. In append mode files
     already in the log are skipped. The log rows (per file: rows landed) are
     counted from what actually landed under this ``load_id``, so the log is
@@ -160,13 +164,18 @@ def land(
     write_rows(fresh.withColumn("load_id", F.lit(load_id)), dest, mode, fmt)
     finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     landed = read_landed(spark, dest, fmt).where(F.col("load_id") == load_id)
-    log = landed.groupBy("src_file", "report_date").agg(F.count(F.lit(1)).alias("rows")).select(
+    per_file = landed.groupBy("src_file", "report_date").agg(F.count(F.lit(1)).alias("rows"))
+    if sizes is not None:
+        per_file = per_file.join(sizes.select("src_file", F.col("bytes").cast("bigint").alias("bytes")), "src_file", "left")
+    else:
+        per_file = per_file.withColumn("bytes", F.lit(None).cast("bigint"))
+    log = per_file.select(
         F.lit(load_id).alias("load_id"),
         F.lit(folder).alias("storage_folder_name"),
         "src_file",
         F.col("report_date").cast("date").alias("report_date"),
         "rows",
-        F.lit(None).cast("bigint").alias("bytes"),
+        "bytes",
         F.lit("ok").alias("status"),
         F.lit(started).cast("timestamp").alias("started_at"),
         F.lit(finished).cast("timestamp").alias("finished_at"),
@@ -212,7 +221,7 @@ def upload(
     Returns one row per folder: files landed, rows landed, load id.
     """
     ok = loadable(catalog.where(F.col("error").isNull())).select(
-        "file_path", "storage_folder_name", "report_date", "table_append_or_replace"
+        "file_path", "storage_folder_name", "report_date", "table_append_or_replace", "file_size_in_bytes"
     )
     log = read_log(spark, lake_root)
     if log is not None:
@@ -223,9 +232,9 @@ def upload(
     out = []
     for f in folders:
         folder = f["storage_folder_name"]
-        files = ok.where(F.col("storage_folder_name") == folder).select(
-            F.col("file_path").alias("src_file"), "report_date"
-        )
+        in_folder = ok.where(F.col("storage_folder_name") == folder)
+        files = in_folder.select(F.col("file_path").alias("src_file"), "report_date")
+        sizes = in_folder.select(F.col("file_path").alias("src_file"), F.col("file_size_in_bytes").alias("bytes"))
         small = _small_or_none(files, BROADCAST_FILES_MAX)
         newest = files.agg(F.max("src_file").alias("p")).first()["p"]
         roots = files.select(F.regexp_replace("src_file", "/[^/]*$", "").alias("d")).distinct()
@@ -238,7 +247,7 @@ def upload(
             # a file-constant metadata filter: files not in the list are skipped unopened
             rows = rows.where(F.col("src_file").isin([r["src_file"] for r in small.collect()]))
         dated = rows.join(F.broadcast(small) if small is not None else files, "src_file")
-        load_id = land(spark, dated, lake_root, folder, mode=mode or f["m"], fmt=fmt)
+        load_id = land(spark, dated, lake_root, folder, mode=mode or f["m"], fmt=fmt, sizes=sizes)
         n = read_log(spark, lake_root).where(F.col("load_id") == load_id).agg(
             F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")
         ).first()

@@ -206,3 +206,6 @@ def test_upload_lands_only_new_files_under_their_name_dates(spark, tmp_path):
     landed = L.read_landed(spark, f"{lake}/reports/claim_raw")
     got = {str(r[0]): r[1] for r in landed.groupBy("report_date").count().collect()}
     assert got == {"2023-06-30": 13, "2023-07-31": 7}
+    summary = {r["load_id"]: r for r in L.throughput(L.read_log(spark, lake)).collect()}
+    assert sorted((r["files"], r["ok"], r["failed"]) for r in summary.values()) == [(1, 1, 0), (2, 2, 0)]
+    assert all(r["total_mb"] is not None and r["mb_per_s"] >= 0 for r in summary.values())

@@ -22,6 +22,7 @@ from reportlake.sources import csvlake
 LOG_DIR = "_load_log"
 BROADCAST_FILES_MAX = 2_000_000  # catalog rows of one load we are willing to broadcast
 PRUNE_PATHS_MAX = 10_000  # new files listed as a pushed-down path filter
+CLOCK_SKEW_MINUTES = 10  # margin between the driver clock and the store's modification times
 
 
 def load_rejects(catalog: DataFrame) -> DataFrame:
@@ -163,7 +164,15 @@ def land(
     fresh = not_loaded(spark, rows, lake_root) if mode == "append" else rows
     write_rows(fresh.withColumn("load_id", F.lit(load_id)), dest, mode, fmt)
     finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    landed = read_landed(spark, dest, fmt).where(F.col("load_id") == load_id)
+    # Only files written by this load: a file-constant metadata filter (modified since the
+    # load started, with a clock-skew margin) lets Spark skip older files unopened, so a
+    # load never rescans the table's history; load_id keeps the count exact.
+    since = started - dt.timedelta(minutes=CLOCK_SKEW_MINUTES)
+    landed = (
+        read_landed(spark, dest, fmt)
+        .where(F.col("_metadata.file_modification_time") >= F.lit(since).cast("timestamp"))
+        .where(F.col("load_id") == load_id)
+    )
     per_file = landed.groupBy("src_file", "report_date").agg(F.count(F.lit(1)).alias("rows"))
     if sizes is not None:
         per_file = per_file.join(sizes.select("src_file", F.col("bytes").cast("bigint").alias("bytes")), "src_file", "left")

@@ -209,3 +209,12 @@ def test_upload_lands_only_new_files_under_their_name_dates(spark, tmp_path):
     summary = {r["load_id"]: r for r in L.throughput(L.read_log(spark, lake)).collect()}
     assert sorted((r["files"], r["ok"], r["failed"]) for r in summary.values()) == [(1, 1, 0), (2, 2, 0)]
     assert all(r["total_mb"] is not None and r["mb_per_s"] >= 0 for r in summary.values())
+
+
+def test_sample_rows_from_newest_file(spark, tmp_path):
+    write_gz(tmp_path / "s" / "report_date=2023-01-31" / "a.csv.gz", HEADER + "\n" + rows(50))
+    write_gz(tmp_path / "s" / "report_date=2023-02-28" / "b.csv.gz", "Title\n" + HEADER + "\n" + rows(150, 1000))
+    head = csvlake.lake_head(spark, str(tmp_path / "s"))
+    assert head.newest_path.endswith("b.csv.gz") and head.has_title
+    sample = csvlake.read_raw(spark, head.newest_path, head, with_source=False).limit(100).collect()
+    assert [r["asset_id"] for r in sample] == [f"A{i}" for i in range(1000, 1100)]

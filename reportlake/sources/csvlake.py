@@ -46,10 +46,8 @@ def newest_file(spark: SparkSession, root: str, glob: str = GZ_GLOB) -> str | No
 
 
 def normalized_columns(spark: SparkSession, header: list[str]) -> list[str]:
-    """Header cells to column names with the Spark expression; the partition key stays reserved."""
-    cells = [N.PARTITION_KEY] + list(header)
-    row = spark.createDataFrame([(cells,)], "h array<string>").select(V.normalize_names("h").alias("n")).first()
-    return list(row["n"][1:])
+    """Header cells to column names (driver-side, one header); the partition key stays reserved."""
+    return V.normalize_header([N.PARTITION_KEY] + list(header))[1:]
 
 
 def lake_head(spark: SparkSession, root: str, newest: str | None = None) -> LakeHead | None:

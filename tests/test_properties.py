@@ -96,4 +96,5 @@ def test_normalize_names_matches_python(spark, headers):
     df = spark.createDataFrame([(h,) for h in headers], "h array<string>")
     got = [list(r[0]) for r in df.select(V.normalize_names("h")).collect()]
     assert got == [py_normalize(h) for h in headers]
+    assert got == [V.normalize_header(h) for h in headers]  # driver-side twin agrees
     assert all(len(set(g)) == len(g) for g in got)

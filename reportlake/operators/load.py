@@ -160,10 +160,10 @@ def land(
     """
     load_id = load_id or uuid.uuid4().hex
     dest = f"{lake_root}/{folder}"
-    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    started = dt.datetime.now(dt.timezone.utc)  # aware: PySpark turns it into the right instant in any zone
     fresh = not_loaded(spark, rows, lake_root) if mode == "append" else rows
     write_rows(fresh.withColumn("load_id", F.lit(load_id)), dest, mode, fmt)
-    finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    finished = dt.datetime.now(dt.timezone.utc)
     # Only files written by this load: a file-constant metadata filter (modified since the
     # load started, with a clock-skew margin) lets Spark skip older files unopened, so a
     # load never rescans the table's history; load_id keeps the count exact.

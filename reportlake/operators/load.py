@@ -217,9 +217,14 @@ def upload(
     lake_root: str,
     mode: str | None = None,
     fmt: str = "csv",
+    audit_headers: bool = False,
 ) -> DataFrame:
     """Land the new files of a catalog into ``lake_root/<storage_folder_name>/report_date=D/`` (K1-K5).
 
+    ``audit_headers`` runs the layout scan (S15) over the new files first; a
+    file whose header line differs from its folder's is quarantined (counted,
+    not landed), since its header would otherwise leak in as a data row.
+
     The reference's upload command, as Spark jobs. Rejected names and dated
     files that are not ``.csv.gz`` (K5) are left out. Per destination folder
     (a config-sized loop) the files not yet in the load log are found with a
@@ -252,16 +257,30 @@ def upload(
         if head is None:
             continue
         rows = csvlake.read_raw(spark, root, head, recursive=True)
+        plist = None
         if small is not None and small.count() <= PRUNE_PATHS_MAX:
+            plist = [r["src_file"] for r in small.collect()]
             # a file-constant metadata filter: files not in the list are skipped unopened
-            rows = rows.where(F.col("src_file").isin([r["src_file"] for r in small.collect()]))
+            rows = rows.where(F.col("src_file").isin(plist))
+        quarantined = 0
+        if audit_headers and plist is not None:
+            lay = csvlake.file_layouts(spark, root, paths=plist)
+            bad = lay.where(F.col("header_line") != F.lit(head.header_line)).select(
+                F.col("file_path").alias("src_file")
+            ).collect()  # at most PRUNE_PATHS_MAX paths
+            if bad:
+                quarantined = len(bad)
+                bad_paths = [r["src_file"] for r in bad]
+                rows = rows.where(~F.col("src_file").isin(bad_paths))
         dated = rows.join(F.broadcast(small) if small is not None else files, "src_file")
         load_id = land(spark, dated, lake_root, folder, mode=mode or f["m"], fmt=fmt, sizes=sizes)
         n = read_log(spark, lake_root).where(F.col("load_id") == load_id).agg(
             F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")
         ).first()
-        out.append((folder, int(n["files"] or 0), int(n["rows"] or 0), load_id))
-    return spark.createDataFrame(out, "storage_folder_name string, files bigint, rows bigint, load_id string")
+        out.append((folder, int(n["files"] or 0), int(n["rows"] or 0), quarantined, load_id))
+    return spark.createDataFrame(
+        out, "storage_folder_name string, files bigint, rows bigint, quarantined bigint, load_id string"
+    )
 
 
 def _common_dir(dirs: list[str]) -> str:

@@ -117,12 +117,14 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("upload_new_files", PER_MONTH_SQL)
 def upload_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The upload command end to end: list a flat landing folder of named report files, build the
-    catalog, land 1995 first, then everything: only files not in the log land, each under the
-    report date its name carries (S1, S9, J2 at file level, K1-K5)."""
+    catalog, land 1995 first, then everything with the header audit: only files not in the log
+    land, each under the report date its name carries (S1, S9, S15, J2 at file level, K1-K5)."""
     listing = C.list_files(spark, landing_files(spark, sf_dir))
     cat = C.build_catalog(listing, [LANDING_SPEC])
     lake_root = shared_dir(spark, "uploaded")
     L.upload(spark, cat.where(F.year("report_date") == 1995), lake_root)
-    L.upload(spark, cat, lake_root)
+    res = L.upload(spark, cat, lake_root, audit_headers=True).collect()  # one row per folder
+    if any(r["quarantined"] for r in res):
+        raise AssertionError("a landing file with a foreign header was quarantined")
     folder = f"{LANDING_SPEC.storage_folder_name}_v1-0"
     return _per_month(_read_back(spark, lake_root, folder))

@@ -31,6 +31,7 @@ class LakeHead:
     header: list[str]  # raw cells of the header row
     has_title: bool
     columns: list[str]  # normalised, de-duplicated, never clashing with the partition key
+    header_line: str = ""  # the header row as raw text
 
 
 def _csv_cells(line: str) -> list[str]:
@@ -66,7 +67,8 @@ def lake_head(spark: SparkSession, root: str, newest: str | None = None) -> Lake
     # A title is a one-cell first row above a real (multi-cell) header.
     has_title = len(first) == 1 and second is not None and len(second) > 1
     header = second if has_title else first
-    return LakeHead(newest, header, has_title, normalized_columns(spark, header))
+    raw_line = lines[1] if has_title else lines[0]
+    return LakeHead(newest, header, has_title, normalized_columns(spark, header), raw_line)
 
 
 def _string_schema(columns: list[str]) -> T.StructType:
@@ -186,7 +188,7 @@ def _second_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def file_layouts(spark: SparkSession, root: str, glob: str = GZ_GLOB) -> DataFrame:
+def file_layouts(spark: SparkSession, root: str, glob: str = GZ_GLOB, paths: list[str] | None = None) -> DataFrame:
     """Per file: first line, header line, field count of line 1 and the title flag.
 
     One text scan keeps the first split of each file and orders lines by
@@ -206,10 +208,13 @@ def file_layouts(spark: SparkSession, root: str, glob: str = GZ_GLOB) -> DataFra
     checkpoint_root(spark)
     fields = lambda line: F.size(F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
     lines = (
-        spark.read.option("pathGlobFilter", glob).text(root)
+        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", str(paths is not None).lower())
+        .text(root)
         .where(F.col("_metadata.file_block_start") == 0)
         .select(F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("i"), "value")
     )
+    if paths is not None:
+        lines = lines.where(F.col("file_path").isin(paths))  # file-constant filter: other files stay unopened
     per_file = (
         lines.groupBy("file_path")
         .agg(

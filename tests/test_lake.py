@@ -218,3 +218,18 @@ def test_sample_rows_from_newest_file(spark, tmp_path):
     assert head.newest_path.endswith("b.csv.gz") and head.has_title
     sample = csvlake.read_raw(spark, head.newest_path, head, with_source=False).limit(100).collect()
     assert [r["asset_id"] for r in sample] == [f"A{i}" for i in range(1000, 1100)]
+
+
+def test_upload_header_audit_quarantines_foreign_headers(spark, tmp_path):
+    from reportlake.operators import catalog as C
+    from reportlake.sources.specs import SourceSpec
+
+    land_dir = tmp_path / "landing2"
+    write_gz(land_dir / "YouTube_A_M_202305_claim_raw.csv.gz", HEADER + "\n" + rows(4))
+    write_gz(land_dir / "YouTube_A_M_202306_claim_raw.csv.gz", "Title\n" + HEADER + "\n" + rows(5, 10))
+    write_gz(land_dir / "YouTube_A_M_202304_claim_raw.csv.gz", "Title\nAsset ID,Views,Date\n" + rows(3, 20))
+    spec = SourceSpec("claim_raw", "claim_raw", regex_pattern=r"YouTube_(.+)_M_(\d{8}|\d{6})",
+                      regex_group_names=("content_owner", "file_date_key"), storage_folder_name="reports/claim_raw")
+    cat = C.build_catalog(C.list_files(spark, str(land_dir)), [spec])
+    res = L.upload(spark, cat, str(tmp_path / "lake3"), audit_headers=True).collect()
+    assert [(r["files"], r["rows"], r["quarantined"]) for r in res] == [(2, 9, 1)]

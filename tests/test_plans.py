@@ -80,3 +80,29 @@ def test_new_files_is_anti_join(spark, sf_small):
     st = C.match_stored(store_listing(spark, sf_small), FIXTURE_SPECS)
     p = plan(C.new_files(cat, st))
     assert "LeftAnti" in p
+
+
+def test_new_path_list_and_recent_file_filters_reach_the_scan(spark, tmp_path):
+    import datetime as dt
+    import gzip
+
+    from reportlake.sources import csvlake
+
+    for i in range(3):
+        p = tmp_path / "l" / f"f{i}.csv.gz"
+        p.parent.mkdir(parents=True, exist_ok=True)
+        with gzip.open(p, "wt") as f:
+            f.write("a,b\n1,2\n")
+    root = str(tmp_path / "l")
+    head = csvlake.lake_head(spark, root)
+    rows = csvlake.read_raw(spark, root, head, recursive=True)
+    keep = [r["src_file"] for r in rows.select("src_file").distinct().collect()][:1]
+    q = rows.where(F.col("src_file").isin(keep))
+    assert q.count() == 1
+    scan = [line for line in plan(q).split("\n") if "FileScan" in line][0]
+    assert "file_path" in scan and "DataFilters" in scan
+    since = dt.datetime.now(dt.timezone.utc) + dt.timedelta(minutes=5)
+    recent = spark.read.option("header", "true").csv(root).where(
+        F.col("_metadata.file_modification_time") >= F.lit(since))
+    assert recent.count() == 0
+    assert "file_modification_time" in [line for line in plan(recent).split("\n") if "FileScan" in line][0]

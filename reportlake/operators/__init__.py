@@ -1 +1 @@
-"""operators."""
+"""DataFrame-in, DataFrame-out operators: catalog, inference, loading, table lifecycle."""

@@ -1 +1 @@
-"""sources."""
+"""Inputs: source specs, mixed-layout gzip CSV lakes, zip archives."""

@@ -1 +1 @@
-"""streaming."""
+"""Incremental ingest as a checkpointed Structured Streaming file source."""

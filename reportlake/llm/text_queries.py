@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from reportlake.llm import decontaminate, secrets
+from pyspark.sql import functions as F
+
+from reportlake.llm import decontaminate, language, secrets
 from reportlake.llm.registry import query, table
 
 _WORDS = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"""
@@ -34,3 +36,12 @@ def op1_decontaminate(spark, sf_dir):
 def op10_secrets(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return secrets.digest(secrets.find_secrets(documents, secrets.train_from_documents(documents)))
+
+
+@query("op4_language")
+def op4_language(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
+    model = language.fit(documents.where(fold != 0))
+    found = language.predict(documents, model)
+    return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")

@@ -36,9 +36,9 @@ from reportlake.llm import words as W
 WINDOW = 4096
 END_ID = 2
 SENTENCE_CUT = 2
-TOKEN_CUT = 32
-#: A sentence longer than this gets cuts inside, this far apart.
-GRID = 512
+TOKEN_CUT = 8
+#: A sentence longer than this many tokens gets possible cuts inside, this far apart.
+GRID = 16
 
 
 def candidates(limits: np.ndarray, sentences: np.ndarray, sentence_cut: int, token_cut: int, grid: int) -> tuple[np.ndarray, np.ndarray]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reportlake.llm import decontaminate, language, secrets
+from reportlake.llm import decontaminate, language, language_model, secrets
 from reportlake.llm.registry import query, table
 
 _WORDS = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"""
@@ -45,3 +45,9 @@ def op4_language(spark, sf_dir):
     model = language.fit(documents.where(fold != 0))
     found = language.predict(documents, model)
     return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_language_model")
+def op8_language_model(spark, sf_dir):
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7))
+    return language_model.score(table(spark, sf_dir, "documents"), fold == 2)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reportlake.llm import near_duplicates
+from reportlake.llm import near_duplicates, passages
 from reportlake.llm.registry import query, table
 
 OP6_SQL = r"""
@@ -24,3 +24,8 @@ FROM dw JOIN comp USING (rid) LEFT JOIN size USING (rid)
 @query("op6_near_duplicates", OP6_SQL)
 def op6_near_duplicates(spark, sf_dir):
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op7_passages")
+def op7_passages(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))

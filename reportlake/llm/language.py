@@ -189,6 +189,12 @@ def fit(training: DataFrame, text: str = "text", lang: str = "lang", sample_rows
     return Model(languages, (SCALE * idf[:, None] * weights).astype(np.float32), bias, temperature)
 
 
+def _class_probabilities(m: Model, buckets: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    total = np.maximum(np.bincount(owner, minlength=n), 1)
+    logits = [np.bincount(owner, weights=m.weights[buckets, k], minlength=n) / total + m.bias[k] for k in range(len(m.languages))]
+    return _probabilities(np.stack(logits, axis=1) / m.temperature)
+
+
 def predict(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` (calibrated probability) of every row."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
@@ -198,13 +204,29 @@ def predict(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: st
         for batch in W.slices(batches):
             n, c = batch.num_rows, len(m.languages)
             buckets, owner, letter = ngrams(batch.column("text"))
-            total = np.maximum(np.bincount(owner, minlength=n), 1)
-            logits = np.stack([np.bincount(owner, weights=m.weights[buckets, k], minlength=n) / total + m.bias[k] for k in range(c)], axis=1) if c else np.zeros((n, 0))
             known = letter & (c > 0)
-            p = _probabilities(logits / m.temperature) if c else np.zeros((n, 1))
+            p = _class_probabilities(m, buckets, owner, n) if c else np.zeros((n, 1))
             best = p.argmax(axis=1)
             names = [m.languages[b] if k else "und" for b, k in zip(best.tolist(), known.tolist())]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, pa.string()), pa.array(np.where(known, p.max(axis=1), 0.0))], names=["id", "lang_pred", "score"])
 
     rows = documents.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double").withColumnRenamed("id", doc_id)
+
+
+def accepted(documents: DataFrame, model: Model, text: str = "text", least_score: float = 0.4) -> DataFrame:
+    """The rows, with all their columns, whose text has a language of at least ``least_score``."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    at = documents.columns.index(text)
+
+    def run(batches):
+        m = shared.value
+        for batch in W.slices(batches, text):
+            n, c = batch.num_rows, len(m.languages)
+            if not c:
+                continue
+            buckets, owner, letter = ngrams(batch.column(at))
+            best = _class_probabilities(m, buckets, owner, n).max(axis=1)
+            yield batch.filter(pa.array(letter & (best >= least_score)))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -277,3 +277,16 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     classes = classes.join(least, "label").select("key", "component_id")
     out = found.select("id", "n_shingles", "key").join(classes, "key", "left").withColumn("component_id", F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(doc_id), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+def deduplicated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows, with all their columns, that stand for their component. Rows without an id stay;
+    rows with equal id and text count as one."""
+    gone = near_duplicates(documents, doc_id, text, **options).where("NOT kept").select(doc_id).distinct()
+    gone = written(gone, "near-gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    left = documents.join(gone, doc_id, "left_anti").select(*documents.columns)
+    if documents.groupBy(doc_id).count().where("count > 1").isEmpty():
+        return left
+    return left.dropDuplicates([doc_id, text])

@@ -10,8 +10,12 @@ similarity, so they stay together in some tree; unlike ones part.
   give components, which take in large groups of copies in linear work.
 - A node whose members are all in one component is done. Nodes of at most ``node_limit`` members
   are compared exhaustively (members of different components only).
-- Larger nodes branch again, by two tokens each. A node still large at ``max_depth`` is compared
-  exactly in blocks: members outside its main component against all.
+- Larger nodes branch again, by two tokens each. A document with ``SMALL_ROOTS`` or more of its 16
+  root tokens in nodes of at most ``node_limit`` members doesn't take part: at the threshold, at
+  most a quarter of its set lies in the large nodes' tokens, so it meets a similar document in one
+  of its small nodes but for a chance of 2e-6.
+- A node still large at ``max_depth`` is compared exactly in blocks: members outside its main
+  component against all.
 
 Comparisons use 128 one-byte minwise tokens first and leave out pairs whose share of equal tokens
 is below ``screen``, 4.5 standard deviations under the threshold; the rest is confirmed on the full
@@ -37,9 +41,12 @@ from reportlake.llm.shared import written
 SHINGLE = 5
 TREES = 16
 SKETCH = 128
-NODE_LIMIT = 200
+NODE_LIMIT = 1000
 MAX_DEPTH = 9
 SCREEN = 0.58
+SMALL_ROOTS = 12
+#: Sets of a group that a task holds at once are two blocks of about this many, or this many bytes.
+BLOCK, BLOCK_BYTES = 400, 16 << 20
 #: Ids of members that may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -130,7 +137,9 @@ def _screened(pairs: DataFrame, members: DataFrame, screen: float) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, members: DataFrame, documents: DataFrame, doc_id: str, text: str, per_cent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * |intersection| >= per_cent * |union|."""
+    """The pairs whose full sets have 100 * |intersection| >= per_cent * |union|. Sets are not sent
+    with each pair: the documents of a connected group of pairs are dealt into blocks of about
+    BLOCK, and each pair of blocks gets its sets once, before its pairs."""
     need = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     ids = written(need.join(members, "key").select(F.col("id").alias("need_id")).distinct(), "near-need")
     if ids.count() <= BROADCAST_IDS:
@@ -146,21 +155,40 @@ def _confirmed(pairs: DataFrame, members: DataFrame, documents: DataFrame, doc_i
     sets = rows.mapInArrow(sets_of, "key binary, content binary").where("key IS NOT NULL").dropDuplicates(["key"])
     sets = written(sets, "near-sets")
 
+    labels = components(pairs, "near-clusters")
+    cluster = _labelled(sets.select("key", F.length("content").alias("bytes")), labels)
+    parts = cluster.groupBy("label").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("parts"))
+    cluster = written(cluster.join(parts, "label").drop("bytes"), "near-blocks")
+
+    def block(i, j):
+        return F.xxhash64("label", F.least(i, j), F.greatest(i, j)).alias("block")
+
+    part = lambda key: F.pmod(F.xxhash64(key), F.col("parts")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    held = cluster.select("key", "label", part("key").alias("part"), every).join(sets, "key").select(block(F.col("part"), F.col("other")), "key", F.lit(None).cast("binary").alias("b"), "content")
+    asked = pairs.join(cluster.withColumnRenamed("key", "a"), "a").select(block(part("a"), part("b")), F.col("a").alias("key"), "b", F.lit(None).cast("binary").alias("content"))
+
     def compare(batches):
+        now, known = None, {}
         for batch in batches:
             ok = []
-            for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for k, (where, key, other, content) in enumerate(zip(batch.column("block").to_pylist(), batch.column("key").to_pylist(), batch.column("b").to_pylist(), batch.column("content"))):
+                if where != now:
+                    now, known = where, {}
+                if other is None:
+                    known[key] = np.frombuffer(content.as_buffer().to_pybytes(), np.uint64)
+                    continue
+                x, y = known[key], known[other]
                 if 100 * min(len(x), len(y)) >= per_cent * max(len(x), len(y)):
                     both = np.sort(np.concatenate([x, y]))
                     common = int((both[1:] == both[:-1]).sum())
                     if 100 * common >= per_cent * (len(x) + len(y) - common):
                         ok.append(k)
-            yield batch.select(["a", "b"]).take(pa.array(ok, pa.int64()))
+            at = pa.array(ok, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(at), batch.column("b").take(at)], names=["a", "b"])
 
-    one = sets.select(F.col("key").alias("a"), F.col("content").alias("x"))
-    two = sets.select(F.col("key").alias("b"), F.col("content").alias("y"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary")
+    together = held.unionByName(asked).repartition("block").sortWithinPartitions("block", F.col("b").asc_nulls_first())
+    return together.mapInArrow(compare, "a binary, b binary")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -261,6 +289,9 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
         rows = rows.where(F.col("n") > node_limit)
         if rows.isEmpty():
             break
+        if depth == 1:
+            deep = shared.where(F.col("n") > node_limit).groupBy("key").agg(F.count("*").alias("large")).where(F.col("large") > TREES - SMALL_ROOTS)
+            rows = rows.join(deep, "key", "left_semi")
         if depth < max_depth:
             rows = _children(rows.drop("n")).dropDuplicates(["node", "key"])
             rows = rows.join(_open_nodes(rows), "node")

@@ -435,7 +435,7 @@ def score(documents: DataFrame, held_out, doc_id: str = "doc_id", text: str = "t
             at = look_up(v, hashes)
             known = at >= 0
             logp = score_slice(v, p, at, limits) / np.log(10.0)
-            total = lambda x, rows: np.bincount(rows, weights=x, minlength=n)
+            total = lambda x, rows: np.bincount(rows, weights=x, minlength=n).astype(np.float64)
             rare_at = np.flatnonzero(~known)
             order = np.lexsort((hashes[rare_at], owner[rare_at]))
             h, o = hashes[rare_at][order], owner[rare_at][order]

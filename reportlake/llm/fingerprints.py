@@ -87,14 +87,16 @@ def next_rows(keys: DataFrame, *order: str) -> DataFrame:
 def edit_report(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text, whose last half is replaced by as much
     of the start of the next document, with the likeness to both."""
-    base = documents.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body")).select("id", F.xxhash64("body").alias("h"), "body")
+    base = documents.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body")).withColumn("h", F.xxhash64("body"))
+    # one column that is never null: joins on it keep the exchange of the texts as it is
+    key = lambda i, h: F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("-")), h.cast("string"))
     order = next_rows(base.select("id", "h", F.length("body").cast("long").alias("n_chars")).distinct(), "id", "h")
-    placed = base.repartition("id", "h")  # one exchange of the texts serves both joins
-    once = placed.dropDuplicates(["id", "h"]).select(F.col("id").alias("next_id"), F.col("h").alias("next_h"), F.col("body").alias("next_body"))
-    asked = order.join(once, order["next_id"].eqNullSafe(once["next_id"]) & (order["next_h"] == once["next_h"]))
-    asked = asked.select(order["id"].alias("of"), order["h"].alias("of_h"), "n_chars", F.substring("next_body", F.lit(1), F.shiftright("n_chars", 1).cast("int")).alias("head"), "next_body")
-    asked = with_tree(asked, "next_body", "n_").select("of", "of_h", "n_chars", "head", _distinct_leaves("n_").alias("next_leaves"))
-    both = placed.join(asked, placed["id"].eqNullSafe(asked["of"]) & (placed["h"] == asked["of_h"]))
+    order = order.select(key(F.col("id"), F.col("h")).alias("of"), "id", "n_chars", key(F.col("next_id"), F.col("next_h")).alias("next_key"))
+    placed = base.select(key(F.col("id"), F.col("h")).alias("key"), "body").repartition("key")
+    once = placed.dropDuplicates(["key"]).select(F.col("key").alias("next_key"), F.col("body").alias("next_body"))
+    asked = order.join(once, "next_key").select("of", "id", "n_chars", F.substring("next_body", F.lit(1), F.shiftright("n_chars", 1).cast("int")).alias("head"), "next_body")
+    asked = with_tree(asked, "next_body", "n_").select("of", "id", "n_chars", "head", _distinct_leaves("n_").alias("next_leaves"))
+    both = placed.join(asked, placed["key"] == asked["of"])
     keep = (F.col("n_chars") - F.shiftright("n_chars", 1)).cast("int")
     both = both.select("id", "n_chars", "body", F.concat(F.substring("body", F.lit(1), keep), "head").alias("edited"), "next_leaves")
     both = with_tree(with_tree(both, "body", "a_"), "edited", "b_")

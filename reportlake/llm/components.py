@@ -14,12 +14,13 @@ from reportlake.llm.shared import written
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).repartition("u")
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
+    links = links.repartition("u")
     least = links.groupBy("u").agg(F.min("v").alias("m"))
     moved = links.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
@@ -41,3 +42,16 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             break
         before = after
     return now.withColumnRenamed("v", "label")
+
+
+def forest_roots(parents: DataFrame, name: str = "roots") -> DataFrame:
+    """(u, label) of a forest: ``parents`` has one row (u, parent) for each vertex but the roots.
+    Every round doubles the length of the steps."""
+    now = written(parents.select("u", F.col("parent").alias("label")), name)
+    while True:
+        up = now.select(F.col("u").alias("label"), F.col("label").alias("above"))
+        stepped = now.join(up, "label", "left")
+        after = written(stepped.select("u", F.coalesce("above", "label").alias("label"), F.col("above").isNotNull().alias("moved")), name)
+        if not after.where("moved").head(1):
+            return after.select("u", "label")
+        now = after.select("u", "label")

@@ -35,13 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportlake.llm import words as W
-from reportlake.llm.components import components
+from reportlake.llm.components import components, forest_roots
 from reportlake.llm.shared import written
 
 SHINGLE = 5
 TREES = 16
 SKETCH = 128
-NODE_LIMIT = 1000
+NODE_LIMIT = 4000
 MAX_DEPTH = 9
 SCREEN = 0.58
 SMALL_ROOTS = 12
@@ -136,9 +136,18 @@ def _screened(pairs: DataFrame, members: DataFrame, screen: float) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary, share double")
 
 
+def _gathered(pairs: DataFrame) -> DataFrame:
+    """The pairs with a ``label`` that is the same for most pairs around: the least neighbour of the
+    least neighbours of ``a``."""
+    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(pairs.select(F.col("b").alias("x"), F.col("a").alias("y")))
+    one = both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("near"))
+    two = both.join(one.withColumnRenamed("x", "y"), "y").groupBy("x").agg(F.min("near").alias("label"))
+    return pairs.join(two.withColumnRenamed("x", "a"), "a")
+
+
 def _confirmed(pairs: DataFrame, members: DataFrame, documents: DataFrame, doc_id: str, text: str, per_cent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * |intersection| >= per_cent * |union|. Sets are not sent
-    with each pair: the documents of a connected group of pairs are dealt into blocks of about
+    """The pairs (a, b, label) whose full sets have 100 * |intersection| >= per_cent * |union|. Sets are
+    not sent with each pair: the documents of all pairs of a label are dealt into blocks of about
     BLOCK, and each pair of blocks gets its sets once, before its pairs."""
     need = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     ids = written(need.join(members, "key").select(F.col("id").alias("need_id")).distinct(), "near-need")
@@ -155,10 +164,10 @@ def _confirmed(pairs: DataFrame, members: DataFrame, documents: DataFrame, doc_i
     sets = rows.mapInArrow(sets_of, "key binary, content binary").where("key IS NOT NULL").dropDuplicates(["key"])
     sets = written(sets, "near-sets")
 
-    labels = components(pairs, "near-clusters")
-    cluster = _labelled(sets.select("key", F.length("content").alias("bytes")), labels)
+    cluster = pairs.select("label", F.col("a").alias("key")).unionByName(pairs.select("label", F.col("b").alias("key"))).distinct()
+    cluster = cluster.join(sets.select("key", F.length("content").alias("bytes")), "key")
     parts = cluster.groupBy("label").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("parts"))
-    cluster = written(cluster.join(parts, "label").drop("bytes"), "near-blocks")
+    cluster = cluster.drop("bytes").join(parts, "label")
 
     def block(i, j):
         return F.xxhash64("label", F.least(i, j), F.greatest(i, j)).alias("block")
@@ -166,7 +175,7 @@ def _confirmed(pairs: DataFrame, members: DataFrame, documents: DataFrame, doc_i
     part = lambda key: F.pmod(F.xxhash64(key), F.col("parts")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     held = cluster.select("key", "label", part("key").alias("part"), every).join(sets, "key").select(block(F.col("part"), F.col("other")), "key", F.lit(None).cast("binary").alias("b"), "content")
-    asked = pairs.join(cluster.withColumnRenamed("key", "a"), "a").select(block(part("a"), part("b")), F.col("a").alias("key"), "b", F.lit(None).cast("binary").alias("content"))
+    asked = pairs.join(parts, "label").select(block(part("a"), part("b")), F.col("a").alias("key"), "b", F.lit(None).cast("binary").alias("content"))
 
     def compare(batches):
         now, known = None, {}
@@ -198,7 +207,9 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def _node_pairs(rows: DataFrame, screen: float) -> DataFrame:
     """Exhaustive comparison inside nodes: (a, b) of different labels with like sketches.
     ``rows``: (node, side, key, label, sketch); members of side 1 are compared with all of the
-    node, those of side 0 only with side 1."""
+    node, those of side 0 only with side 1. Rows of root nodes also have their tree, roots and a
+    mask of the trees whose root nodes are compared: a pair is given in the first of them only."""
+    rooted = "tree" in rows.columns
 
     def run(batches):
         rest: pa.Table | None = None
@@ -206,6 +217,9 @@ def _node_pairs(rows: DataFrame, screen: float) -> DataFrame:
         def compared(t: pa.Table):
             node, side, sketch = t.column("node").to_numpy(), t.column("side").to_numpy(), _matrix(t.column("sketch"))
             label = np.unique(np.array(t.column("label").to_pylist(), "S16"), return_inverse=True)[1]
+            if rooted:
+                roots = t.column("roots").combine_chunks().flatten().to_numpy().reshape(-1, TREES)
+                tree, mask = t.column("tree").to_numpy(), t.column("mask").to_numpy()
             one, two = [], []
             for lag in range(1, t.num_rows):
                 at = np.flatnonzero(node[lag:] == node[:-lag])
@@ -214,6 +228,9 @@ def _node_pairs(rows: DataFrame, screen: float) -> DataFrame:
                 at = at[(label[at] != label[at + lag]) & ((side[at] == 1) | (side[at + lag] == 1))]
                 for part in np.array_split(at, len(at) // 20_000 + 1):
                     like = part[(sketch[part] == sketch[part + lag]).mean(axis=1) >= screen]
+                    if rooted and len(like):
+                        met = (roots[like] == roots[like + lag]) & (mask[like, None] >> np.arange(TREES) & 1).astype(bool)
+                        like = like[met.argmax(axis=1) == tree[like]]
                     one.append(like)
                     two.append(like + lag)
             one, two = np.concatenate([*one, np.zeros(0, np.int64)]), np.concatenate([*two, np.zeros(0, np.int64)])
@@ -233,7 +250,8 @@ def _node_pairs(rows: DataFrame, screen: float) -> DataFrame:
         if rest is not None:
             yield from compared(rest)
 
-    ordered = rows.select("node", "side", "key", "label", "sketch").repartition("node").sortWithinPartitions("node", "key")
+    columns = ["node", "side", "key", "label", "sketch"] + ["tree", "mask", "roots"] * rooted
+    ordered = rows.select(*columns).repartition("node").sortWithinPartitions("node", "key")
     return ordered.mapInArrow(run, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -268,39 +286,42 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     """``doc_id``, n_shingles, component_id (the least id of the component) and kept of every row."""
     found = written(signatures(documents, doc_id, text), "near-signatures")
     members = written(found.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("roots").alias("roots"), F.first("sketch").alias("sketch")), "near-members")
-    placed = members.select("key", F.posexplode("roots").alias("tree", "token")).select(F.xxhash64("tree", "token").alias("node"), "key")
+    placed = members.select("key", F.posexplode("roots").alias("tree", "token")).select(F.xxhash64("tree", "token").alias("node"), "tree", "key")
     nodes = placed.groupBy("node").agg(F.count("*").alias("n"), F.min("key").alias("b")).where("n > 1")
-    shared = written(placed.join(nodes, "node").select("node", "key", "n", "b"), "near-nodes")
+    shared = written(placed.join(nodes, "node").select("node", "tree", "key", "n", "b"), "near-nodes")
 
     star = shared.where("key <> b").select(F.col("key").alias("a"), "b").distinct()
-    star = written(_screened(star, members, screen), "near-star")
-    best = star.groupBy("a").agg(F.max_by("b", F.struct("share", "b")).alias("b"))
-    links = written(_confirmed(best, members, documents, doc_id, text, per_cent), "near-links")
-    labels = components(links, "near-labels")
-
-    rows = written(_labelled(shared.select("node", "key"), labels), "near-rows")
-    open_nodes = _open_nodes(rows)
-    rows = rows.join(open_nodes, "node").join(members.select("key", "sketch"), "key")
-    wanted = None
+    star = _screened(star, members, screen)
+    best = written(star.groupBy("a").agg(F.max_by("b", F.struct("share", "b")).alias("b")), "near-star")  # b < a: a forest
+    links = written(_confirmed(best.withColumn("label", F.col("b")), members, documents, doc_id, text, per_cent), "near-links")
+    labels = forest_roots(links.select(F.col("a").alias("u"), F.col("b").alias("parent")), "near-labels")
+
+    rows = written(_labelled(shared.select("node", "tree", "key", "n"), labels), "near-rows")
+    small_nodes = rows.where(F.col("n") <= node_limit)
+    small_nodes = small_nodes.join(_open_nodes(small_nodes).select("node"), "node", "left_semi")
+    masks = small_nodes.groupBy("key").agg(F.sum(F.expr("shiftleft(1L, tree)")).alias("mask"))
+    small_nodes = small_nodes.join(masks, "key").join(members.select("key", "sketch", "roots"), "key")
+    wanted = _node_pairs(small_nodes.withColumn("side", F.lit(1)), screen)
+
+    large = rows.where(F.col("n") > node_limit)
+    deep = large.groupBy("key").agg(F.count("*").alias("large")).where(F.col("large") > TREES - SMALL_ROOTS).select("key")
+    large = large.join(deep, "key", "left_semi").drop("n", "tree")
+    large = large.join(_open_nodes(large), "node").join(members.select("key", "sketch"), "key")
     for depth in range(1, max_depth + 1):
-        rows = written(rows.select("node", "n", "key", "label", "sketch"), f"near-depth{depth}")
-        small = _node_pairs(rows.where(F.col("n") <= node_limit).withColumn("side", F.lit(1)), screen)
-        wanted = small if wanted is None else wanted.unionByName(small)
-        rows = rows.where(F.col("n") > node_limit)
-        if rows.isEmpty():
+        large = written(large.select("node", "n", "key", "label", "sketch"), f"near-depth{depth}")
+        if not large.head(1):
             break
-        if depth == 1:
-            deep = shared.where(F.col("n") > node_limit).groupBy("key").agg(F.count("*").alias("large")).where(F.col("large") > TREES - SMALL_ROOTS)
-            rows = rows.join(deep, "key", "left_semi")
+        wanted = wanted.unionByName(_node_pairs(large.where(F.col("n") <= node_limit).withColumn("side", F.lit(1)), screen))
+        large = large.where(F.col("n") > node_limit)
         if depth < max_depth:
-            rows = _children(rows.drop("n")).dropDuplicates(["node", "key"])
-            rows = rows.join(_open_nodes(rows), "node")
-        else:
-            by_label = rows.groupBy("node", "label").agg(F.count("*").alias("size"))
+            large = _children(large.drop("n")).dropDuplicates(["node", "key"])
+            large = large.join(_open_nodes(large), "node")
+        elif large.head(1):
+            by_label = large.groupBy("node", "label").agg(F.count("*").alias("size"))
             main = by_label.groupBy("node").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
-            wanted = wanted.unionByName(_node_pairs(_blocks(rows, main, node_limit), screen))
+            wanted = wanted.unionByName(_node_pairs(_blocks(large, main, node_limit), screen))
     wanted = written(wanted.distinct(), "near-wanted")
-    more = written(_confirmed(wanted, members, documents, doc_id, text, per_cent), "near-more")
+    more = written(_confirmed(_gathered(wanted), members, documents, doc_id, text, per_cent), "near-more")
     labels = components(links.unionByName(more), "near-labels")
 
     classes = _labelled(members.select("key", "id"), labels)

@@ -28,4 +28,4 @@ def op6_near_duplicates(spark, sf_dir):
 
 @query("op7_passages")
 def op7_passages(spark, sf_dir):
-    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+    return passages.by_document(passages.repeated_passages(table(spark, sf_dir, "documents")))

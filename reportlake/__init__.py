@@ -8,9 +8,9 @@ Typical flow::
     import reportlake as rl
     specs = rl.specs_from_toml(open("sources.toml").read())
     catalog = rl.build_catalog(rl.list_files(spark, landing_dir), specs)
-    rl.upload(spark, catalog, lake_root, audit_headers=True)
+    rl.upload(spark, catalog, lake_root)
     rl.publish_missing(spark, lake_root)          # external tables + typed views
-    spark.sql("SELECT report_date, count(*) FROM claim_raw_v1_1 GROUP BY 1")
+    spark.sql("SELECT report_date, count(*) FROM ledger_v1_1 GROUP BY 1")
 """
 
 from reportlake.operators.catalog import (

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's for equal results.
 MAX_OBJECT_NAME = 1024
-URL_DECODE_ROUNDS = 3
 
 
 def _c(x: Column | str) -> Column:
@@ -46,33 +45,43 @@ def is_within(path: Column | str, root: str) -> Column:
     return (n == F.lit(r)) | n.startswith(prefix)
 
 
-def _decoded(p: Column) -> Column:
-    return F.coalesce(F.try_url_decode(p), p)
+def percent_decoded(name: Column) -> Column:
+    """One round of percent-decoding: every good escape becomes its byte, anything else (bad escapes,
+    ``+``) stays; bytes that are no UTF-8 become the replacement character."""
+    head = F.split(name, "%")
+
+    def piece(part: Column) -> Column:
+        escape = F.substring(part, 1, 2)
+        rest = F.hex(F.encode(F.substring(part, F.lit(3), F.length(part)), "UTF-8"))
+        return F.when(escape.rlike("^[0-9a-fA-F]{2}$"), F.concat(escape, rest)).otherwise(
+            F.concat(F.lit("25"), F.hex(F.encode(part, "UTF-8")))
+        )
+
+    tail = F.transform(F.slice(head, 2, F.size(head)), piece)
+    raw = F.concat(F.hex(F.encode(F.element_at(head, 1), "UTF-8")), F.array_join(tail, ""))
+    return F.when(name.rlike("%[0-9a-fA-F]{2}"), F.make_valid_utf8(F.unhex(raw).cast("string"))).otherwise(name)
 
 
 def object_name_violations(name: Column | str, max_length: int = MAX_OBJECT_NAME) -> Column:
     """Array of rule names an object name breaks (empty array = valid).
 
-    Rules: too long, ``..`` anywhere, leading ``/``, control characters; each
-    also checked on the URL-decoded form, decoded up to three times. A name
-    still changing after the last round is flagged as ``encoding_depth``.
+    Rules: too long, ``..`` anywhere, leading ``/``, control characters; each also checked on every
+    percent-decoded form, decoded until nothing changes (a form gets shorter each time, so the
+    number of escape characters bounds the rounds).
     """
     n = _c(name)
-    forms = [n]
-    cur = n
-    for _ in range(URL_DECODE_ROUNDS):
-        cur = _decoded(cur)
-        forms.append(cur)
-    too_long = F.exists(F.array(*forms), lambda f: F.length(f) > max_length)
-    traversal = F.exists(F.array(*forms), lambda f: f.contains("..") | f.startswith("/"))
-    control = F.exists(F.array(*forms), lambda f: f.rlike("[\\x00-\\x1f]"))
-    still_encoded = _decoded(cur) != cur
+    rounds = F.sequence(F.lit(1), F.greatest((F.length(n) / 2).cast("int"), F.lit(1)))
+
+    def again(forms: Column, _: Column) -> Column:
+        last = F.element_at(forms, -1)
+        return F.when(last.rlike("%[0-9a-fA-F]{2}"), F.concat(forms, F.array(percent_decoded(last)))).otherwise(forms)
+
+    forms = F.when(n.contains("%"), F.aggregate(rounds, F.array(n), again)).otherwise(F.array(n))
     return F.filter(
         F.array(
-            F.when(too_long, F.lit("too_long")),
-            F.when(traversal, F.lit("path_traversal")),
-            F.when(control, F.lit("control_chars")),
-            F.when(still_encoded, F.lit("encoding_depth")),
+            F.when(F.exists(forms, lambda f: F.length(f) > max_length), F.lit("too_long")),
+            F.when(F.exists(forms, lambda f: f.contains("..") | f.startswith("/")), F.lit("path_traversal")),
+            F.when(F.exists(forms, lambda f: f.rlike("[\\x00-\\x1f]")), F.lit("control_chars")),
         ),
         lambda x: x.isNotNull(),
     )

@@ -122,19 +122,3 @@ def normalize_names(names: Column | str) -> Column:
         return F.concat(acc, F.array(chosen))
 
     return F.aggregate(arr, F.array().cast("array<string>"), step)
-
-
-def normalize_header(cells: list[str]) -> list[str]:
-    """The same rule as ``normalize_names`` for one header on the driver (schema-sized metadata,
-    no Spark job); tests check the two agree."""
-    table = str.maketrans({**{c: "_" for c in NAME_TO_UNDERSCORE}, **{c: None for c in NAME_DROPPED}})
-    out: list[str] = []
-    for cell in cells:
-        name = cell.translate(table).lower()
-        if name in out:
-            k = 1
-            while f"{name}_{k}" in out:
-                k += 1
-            name = f"{name}_{k}"
-        out.append(name)
-    return out

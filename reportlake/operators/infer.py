@@ -106,7 +106,7 @@ class InferredSchema:
 def infer_lake_schema(
     spark: SparkSession,
     root: str,
-    scope: str = "newest_file",
+    scope: str = "all_rows",
     sample_size: int = DEFAULT_SAMPLE_SIZE,
     threshold: float = DEFAULT_THRESHOLD,
     min_non_null: int = DEFAULT_MIN_NON_NULL,
@@ -116,10 +116,9 @@ def infer_lake_schema(
 ) -> InferredSchema | None:
     """Folder to schema and title flag (I6). ``None`` when the folder has no file or the file is empty.
 
-    ``scope='newest_file'`` (the reference's default) votes over the first
-    ``sample_size`` rows of the newest file; ``scope='sample'`` over a seeded
-    ``fraction`` of the rows of every file; ``scope='all_rows'`` over every row.
-    All three are one partial aggregate.
+    ``scope='all_rows'`` votes over every row. Samples are taken only by name: ``'newest_file'`` votes
+    over the first ``sample_size`` rows of the newest file, ``'sample'`` over a seeded ``fraction`` of the
+    rows of every file; cells outside such a vote may not convert. All are one partial aggregate.
     """
     head = csvlake.lake_head(spark, root)
     if head is None or not head.columns:
@@ -138,17 +137,25 @@ def infer_lake_schema(
     return InferredSchema(head.columns, types, head.has_title, head)
 
 
+def typed(raw: DataFrame, columns: list[str], on_error: str = "quarantine", **decide_kwargs) -> DataFrame:
+    """An all-STRING frame with types voted over all its rows; cells that don't convert (a minority of
+    their column) are named in ``_rejected`` unless ``on_error`` says otherwise (I2, I3, I8)."""
+    got = {r["column_name"]: r["inferred_type"] for r in decide(profile(raw, columns), **decide_kwargs).collect()}
+    return csvlake.apply_types(raw, columns, [got[c] for c in columns], on_error)
+
+
 def read_typed(
     spark: SparkSession,
     root: str,
     schema: InferredSchema | None = None,
-    on_error: str = "null",
+    on_error: str = "quarantine",
     autodetect_fallback: bool = True,
     **infer_kwargs,
 ) -> DataFrame:
     """A lake folder as a typed DataFrame (I8, I9): infer if no schema is given.
 
-    When inference finds nothing, ``autodetect_fallback`` falls back to
+    Cells that don't convert are NULL and named in ``_rejected`` (``on_error='null'`` leaves that column
+    out, ``'fail'`` raises). When inference finds nothing, ``autodetect_fallback`` falls back to
     Spark's own CSV inference over the folder; otherwise it raises.
     """
     schema = schema or infer_lake_schema(spark, root, **infer_kwargs)

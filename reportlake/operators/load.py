@@ -1,11 +1,15 @@
-"""Landing report files into a lake (K1-K8): plan, rejects, write, log, reconcile, replace.
-
-A load moves the rows of new landing files into ``<lake>/<folder>/report_date=D/``
-as gzip CSV (or Parquet). Each landed row keeps ``src_file`` (the landing
-path) and ``load_id``; a load log (Parquet, append-only) records per file
-what was landed. Files already in the log are skipped (create-if-absent), and
-a crash between the data write and the log append leaves rows whose
-``load_id`` is not in the log, which ``committed`` filters out on read.
+"""Landing report files into a lake (K1-K8): plan, accounting, write, log, reconcile, replace.
+
+A load moves the rows of new landing files to ``<lake>/<folder>/report_date=D/load_id=L/`` as gzip CSV
+(or Parquet); undated files go to ``<folder>/load_id=L/``. Every load has its own directories, so a
+write never touches another load's files. The load log (Parquet, append-only) has one row for each
+file of a load with its status: ``ok``, ``rejected``, ``duplicate``, ``skipped``, ``quarantined`` or
+``failed``. It is appended last, which commits the load: ``committed`` keeps the rows that the newest
+``ok`` entry of their file points to. A crashed load isn't in the log, and a replaced file's old rows
+aren't in its newest entry, so both stay out of sight without deleting anything.
+
+The columns of a folder are kept beside its data (``_schema``) and only ever grow at the end: files
+with other headers are landed by column name, and older files read NULL in newer columns.
 """
 
 from __future__ import annotations
@@ -13,16 +17,26 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reportlake.functions import names as N
+from reportlake.session import shared_dir
 from reportlake.sources import csvlake
 
 LOG_DIR = "_load_log"
-BROADCAST_FILES_MAX = 2_000_000  # catalog rows of one load we are willing to broadcast
-PRUNE_PATHS_MAX = 10_000  # new files listed as a pushed-down path filter
-CLOCK_SKEW_MINUTES = 10  # margin between the driver clock and the store's modification times
+LOG_SCHEMA = (
+    "load_id string, storage_folder_name string, src_file string, file_name string, report_date date, rows bigint, "
+    "bytes bigint, modified_at timestamp, status string, reason string, started_at timestamp, finished_at timestamp"
+)
+
+
+def _wrong_extension() -> Column:
+    """Dated files must be ``.csv.gz``; undated ones ``.csv`` or ``.csv.gz`` (K5, K8)."""
+    gz = F.col("file_name").endswith(".csv.gz")
+    return F.when(F.col("report_date_str").isNotNull(), ~gz).otherwise(~(gz | F.col("file_name").endswith(".csv")))
 
 
 def load_rejects(catalog: DataFrame) -> DataFrame:
@@ -31,11 +45,6 @@ def load_rejects(catalog: DataFrame) -> DataFrame:
     return catalog.where(bad).withColumn("reason", F.lit("bad_extension"))
 
 
-def loadable(catalog: DataFrame) -> DataFrame:
-    bad = F.col("report_date_str").isNotNull() & ~F.col("file_name").endswith(".csv.gz")
-    return catalog.where(~bad)
-
-
 def plan_summary(catalog: DataFrame) -> DataFrame:
     """Per table: files, bytes, MB, files that can land and files rejected."""
     bad = F.col("report_date_str").isNotNull() & ~F.col("file_name").endswith(".csv.gz")
@@ -62,79 +71,89 @@ def throughput(log: DataFrame) -> DataFrame:
 
 
 def read_log(spark: SparkSession, lake_root: str) -> DataFrame | None:
-    path = f"{lake_root}/{LOG_DIR}"
+    """The load log, or None before the first load."""
     try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no log yet
+        return spark.read.schema(LOG_SCHEMA).parquet(f"{lake_root}/{LOG_DIR}")
+    except AnalysisException:  # no such path yet
         return None
 
 
-def _small_or_none(df: DataFrame, limit: int) -> DataFrame | None:
-    """``df`` when it has at most ``limit`` rows (checked with a bounded count), else ``None``."""
-    n = df.limit(limit + 1).count()
-    return df if n <= limit else None
-
+def current_files(log: DataFrame) -> DataFrame:
+    """The newest ``ok`` entry of each file of a folder (replaced entries drop out)."""
+    entry = F.struct("finished_at", "load_id", "src_file")
+    newest = log.where("status = 'ok'").groupBy("storage_folder_name", "file_name", "report_date").agg(F.max(entry).alias("e"))
+    return newest.select("storage_folder_name", "file_name", F.col("e.load_id").alias("load_id"), F.col("e.src_file").alias("src_file"))
 
-def not_loaded(spark: SparkSession, rows: DataFrame, lake_root: str, key: str = "src_file") -> DataFrame:
-    """Rows of files whose key is not in the load log yet (K3).
 
-    The log has one row per landed file. When it holds at most
-    ``BROADCAST_FILES_MAX`` files it is broadcast, so the rows are filtered
-    where they are read, with no shuffle; beyond that a regular anti join.
-    """
+def not_loaded(spark: SparkSession, rows: DataFrame, lake_root: str, folder: str | None = None, key: str = "src_file") -> DataFrame:
+    """Rows of files whose path has no ``ok`` entry (of ``folder``) in the load log yet (K3)."""
     log = read_log(spark, lake_root)
     if log is None:
         return rows
-    done = log.select(F.col("src_file").alias(key)).distinct()
-    small = _small_or_none(done, BROADCAST_FILES_MAX)
-    return rows.join(F.broadcast(small) if small is not None else done, key, "left_anti")
+    done = log.where("status = 'ok'")
+    if folder is not None:
+        done = done.where(F.col("storage_folder_name") == folder)
+    return rows.join(done.select(F.col("src_file").alias(key)).distinct(), key, "left_anti")
 
 
 def committed(spark: SparkSession, rows: DataFrame, lake_root: str) -> DataFrame:
-    """Rows of loads that reached the log (drops leftovers of a crashed load)."""
+    """Rows that the newest log entry of their file points to: no leftovers of crashed loads, no
+    replaced rows."""
     log = read_log(spark, lake_root)
     if log is None:
         return rows.where(F.lit(False))
-    loads = log.select("load_id").distinct()  # one row per load run
-    small = _small_or_none(loads, BROADCAST_FILES_MAX)
-    return rows.join(F.broadcast(small) if small is not None else loads, "load_id", "left_semi")
+    return rows.join(current_files(log).select("load_id", "src_file").distinct(), ["load_id", "src_file"], "left_semi").select(*rows.columns)
 
 
-def write_rows(
-    rows: DataFrame,
-    dest: str,
-    mode: str = "append",
-    fmt: str = "csv",
-    partition_col: str = N.PARTITION_KEY,
-    max_records_per_file: int = 5_000_000,
-) -> None:
-    """Write rows partitioned by report date (K1, K6, K8).
-
-    No shuffle: each task writes the dates it holds (landing input is one
-    task per gzip file, so one output file per input file and date), and
-    ``maxRecordsPerFile`` bounds file size. ``mode='replace'`` overwrites
-    only the report dates present in ``rows`` (dynamic partition overwrite).
+folder_columns = csvlake.folder_columns
+SCHEMA_DIR = csvlake.SCHEMA_DIR
+
+
+def _extended_columns(spark: SparkSession, dest: str, columns: list[str]) -> list[str]:
+    known = folder_columns(spark, dest)
+    new = [c for c in columns if c not in known]
+    if new:
+        rows = [(len(known) + i, c) for i, c in enumerate(new)]
+        spark.createDataFrame(rows, "position int, column_name string").coalesce(1).write.mode("append").parquet(f"{dest}/{SCHEMA_DIR}")
+    return known + new
+
+
+def write_rows(rows: DataFrame, dest: str, partitions: list[str], fmt: str = "csv", max_records_per_file: int = 5_000_000) -> None:
+    """Write rows under the given partition columns (K1, K8).
+
+    No shuffle: each task writes the dates it holds (landing input is one task per gzip file), and
+    ``maxRecordsPerFile`` bounds file size.
     """
-    w = rows.write.partitionBy(partition_col).option("maxRecordsPerFile", max_records_per_file)
-    if mode == "replace":
-        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    elif mode == "append":
-        w = w.mode("append")
-    else:
-        raise ValueError("mode must be append or replace")
+    w = rows.write.partitionBy(*partitions).option("maxRecordsPerFile", max_records_per_file).mode("append")
     if fmt == "csv":
-        w.option("header", "true").option("compression", "gzip").csv(dest)
+        w.options(**csvlake.CSV_WRITE).csv(dest)
     elif fmt == "parquet":
         w.parquet(dest)
     else:
         raise ValueError("fmt must be csv or parquet")
 
 
-def read_landed(spark: SparkSession, dest: str, fmt: str = "csv") -> DataFrame:
-    """All landed rows of a destination folder as text (CSV) or as written (Parquet)."""
-    if fmt == "parquet":
-        return spark.read.parquet(dest)
-    return spark.read.option("header", "true").csv(dest)
+def read_landed(spark: SparkSession, dest: str, fmt: str = "csv", load_id: str | None = None) -> DataFrame:
+    """All landed rows of a destination folder as text, or those of one load."""
+    columns = folder_columns(spark, dest)
+    fields = [T.StructField(c, T.StringType()) for c in ["src_file", *columns]]
+    fields += [T.StructField(N.PARTITION_KEY, T.DateType()), T.StructField("load_id", T.StringType())]
+    reader = spark.read.schema(T.StructType(fields))
+    if fmt == "csv":
+        reader = reader.options(**csvlake.CSV_READ)
+    paths = [dest]
+    if load_id is not None:  # this load's own directories, dated and undated
+        reader = reader.option("basePath", dest)
+        paths = _existing(spark, [f"{dest}/{N.PARTITION_KEY}=*/load_id={load_id}", f"{dest}/load_id={load_id}"])
+        if not paths:
+            return spark.createDataFrame([], T.StructType(fields))
+    return reader.csv(paths) if fmt == "csv" else reader.parquet(*paths)
+
+
+def _existing(spark: SparkSession, globs: list[str]) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(globs[0].split("*")[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+    return [g for g in globs if fs.globStatus(path(g))]
 
 
 def land(
@@ -145,54 +164,49 @@ def land(
     mode: str = "append",
     fmt: str = "csv",
     load_id: str | None = None,
-    sizes: DataFrame | None = None,
+    files: DataFrame | None = None,
 ) -> str:
-    """Land new rows of landing files into ``lake_root/folder`` and log them (K1-K4).
-
-    ``sizes`` (``src_file``, ``bytes``), when given, fills the log's byte
-    column so ``throughput`` can report MB and MB/s (K7).
+    """Land rows of landing files into ``lake_root/folder`` and log them (K1-K4, K6).
 
-    ``rows`` carry ``src_file`` and ``report_date``. In append mode files
-    already in the log are skipped. The log rows (per file: rows landed) are
-    counted from what actually landed under this ``load_id``, so the log is
-    also the verification of the write; it is appended last, which makes the
-    load visible to ``committed`` readers only when complete.
+    ``rows`` carry ``src_file``, ``report_date`` and data columns. ``append`` leaves out files that the
+    log has already; ``replace`` lands them again and the new entry takes the old one's place, file by
+    file. ``files`` (src_file, file_name, report_date, bytes, modified_at), when given, is what gets
+    logged, so files without rows are logged too. Rows are counted per file from what was written.
     """
-    load_id = load_id or uuid.uuid4().hex
+    if mode not in ("append", "replace"):
+        raise ValueError("mode must be append or replace")
+    load_id = load_id or f"load-{uuid.uuid4().hex}"
     dest = f"{lake_root}/{folder}"
     started = dt.datetime.now(dt.timezone.utc)  # aware: PySpark turns it into the right instant in any zone
-    fresh = not_loaded(spark, rows, lake_root) if mode == "append" else rows
-    write_rows(fresh.withColumn("load_id", F.lit(load_id)), dest, mode, fmt)
+    fresh = not_loaded(spark, rows, lake_root, folder) if mode == "append" else rows
+    data = [c for c in fresh.columns if c not in ("src_file", N.PARTITION_KEY, "load_id")]
+    columns = _extended_columns(spark, dest, data)
+    shaped = fresh.select("src_file", *[F.col(c) if c in data else F.lit(None).cast("string").alias(c) for c in columns], N.PARTITION_KEY)
+    seen = Observation()
+    shaped = shaped.observe(seen, F.count_if(F.col(N.PARTITION_KEY).isNotNull()).alias("dated"), F.count(F.lit(1)).alias("n"))
+    undated_folder = files is not None and not files.where(F.col("report_date").isNotNull()).head(1)
+    if undated_folder:
+        write_rows(shaped.drop(N.PARTITION_KEY).withColumn("load_id", F.lit(load_id)), dest, ["load_id"], fmt)
+    else:
+        write_rows(shaped.withColumn("load_id", F.lit(load_id)), dest, [N.PARTITION_KEY, "load_id"], fmt)
     finished = dt.datetime.now(dt.timezone.utc)
-    # Only files written by this load: a file-constant metadata filter (modified since the
-    # load started, with a clock-skew margin) lets Spark skip older files unopened, so a
-    # load never rescans the table's history; load_id keeps the count exact.
-    since = started - dt.timedelta(minutes=CLOCK_SKEW_MINUTES)
-    landed = (
-        read_landed(spark, dest, fmt)
-        .where(F.col("_metadata.file_modification_time") >= F.lit(since).cast("timestamp"))
-        .where(F.col("load_id") == load_id)
-    )
-    per_file = landed.groupBy("src_file", "report_date").agg(F.count(F.lit(1)).alias("rows"))
-    if sizes is not None:
-        per_file = per_file.join(sizes.select("src_file", F.col("bytes").cast("bigint").alias("bytes")), "src_file", "left")
+    landed = read_landed(spark, dest, fmt, load_id) if seen.get["n"] else read_landed(spark, dest, fmt).limit(0)
+    counts = landed.groupBy("src_file", F.col(N.PARTITION_KEY).alias("landed_date")).agg(F.count(F.lit(1)).alias("rows"))
+    if files is None:
+        entries = counts.select("src_file", N.base_name("src_file").alias("file_name"), F.col("landed_date").alias("report_date"), "rows", F.lit(None).cast("bigint").alias("bytes"), F.lit(None).cast("timestamp").alias("modified_at"))
     else:
-        per_file = per_file.withColumn("bytes", F.lit(None).cast("bigint"))
-    log = per_file.select(
-        F.lit(load_id).alias("load_id"),
-        F.lit(folder).alias("storage_folder_name"),
-        "src_file",
-        F.col("report_date").cast("date").alias("report_date"),
-        "rows",
-        "bytes",
-        F.lit("ok").alias("status"),
-        F.lit(started).cast("timestamp").alias("started_at"),
-        F.lit(finished).cast("timestamp").alias("finished_at"),
-    )
-    log.write.mode("append").parquet(f"{lake_root}/{LOG_DIR}")
+        counts = counts.groupBy("src_file").agg(F.sum("rows").alias("rows"))
+        entries = files.join(counts, "src_file", "left").select("src_file", "file_name", "report_date", F.coalesce("rows", F.lit(0)).alias("rows"), "bytes", "modified_at")
+    entries = entries.select(F.lit(load_id).alias("load_id"), F.lit(folder).alias("storage_folder_name"), "*", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("reason"), F.lit(started).cast("timestamp").alias("started_at"), F.lit(finished).cast("timestamp").alias("finished_at"))
+    append_log(entries, lake_root)
     return load_id
 
 
+def append_log(entries: DataFrame, lake_root: str) -> None:
+    names = [f.name for f in T._parse_datatype_string(LOG_SCHEMA)]
+    entries.select(*names).write.mode("append").parquet(f"{lake_root}/{LOG_DIR}")
+
+
 def reconcile(source_rows: DataFrame, landed_rows: DataFrame, key: str = "src_file") -> DataFrame:
     """Rows per file at the source vs in the lake; full outer join, status per file (K4)."""
     s = source_rows.groupBy(key).agg(F.count(F.lit(1)).alias("source_rows"))
@@ -211,85 +225,121 @@ def reconcile(source_rows: DataFrame, landed_rows: DataFrame, key: str = "src_fi
     )
 
 
+def plan_upload(spark: SparkSession, catalog: DataFrame, lake_root: str, mode: str | None = None) -> DataFrame:
+    """Every catalog row with what an upload will do with it: ``new``, ``rejected``, ``duplicate`` (the
+    same name of a folder again; the first path stays) or ``skipped`` (its bare name is loaded
+    already; in replace mode, with the same size and time)."""
+    plan = catalog.select(
+        csvlake.plain_path(F.col("file_path")).alias("src_file"), "file_name", "storage_folder_name", "report_date",
+        F.coalesce(F.lit(mode), F.col("table_append_or_replace"), F.lit("append")).alias("mode"),
+        F.col("file_size_in_bytes").alias("bytes"), F.col("modified_at").cast("timestamp").alias("modified_at"),
+        F.coalesce(F.col("error"), F.when(_wrong_extension(), F.lit("bad_extension"))).alias("reason"),
+    )
+    group = ["storage_folder_name", "file_name"]
+    first = plan.where("reason IS NULL").groupBy(*group).agg(F.min("src_file").alias("first_path"))
+    plan = plan.join(first, group, "left")
+    log = read_log(spark, lake_root)
+    if log is None:
+        plan = plan.withColumn("done", F.lit(False))
+    else:
+        entry = F.struct("finished_at", "bytes", "modified_at")
+        done = log.where("status = 'ok'").groupBy(*group).agg(F.max(entry).alias("e"))
+        same = F.col("e.bytes").eqNullSafe(F.col("bytes")) & F.col("e.modified_at").eqNullSafe(F.col("modified_at"))
+        plan = plan.join(done, group, "left").withColumn("done", F.col("e").isNotNull() & ((F.col("mode") == "append") | same)).drop("e")
+    status = (
+        F.when(F.col("reason").isNotNull(), "rejected").when(F.col("src_file") != F.col("first_path"), "duplicate")
+        .when(F.col("done"), "skipped").otherwise("new")
+    )
+    return plan.withColumn("status", status).drop("first_path", "done")
+
+
+def _log_others(spark: SparkSession, rows: DataFrame, lake_root: str, load_id: str) -> None:
+    """Log files that did not land (status and reason set), with 0 rows."""
+    now = F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")
+    append_log(rows.select(F.lit(load_id).alias("load_id"), "storage_folder_name", "src_file", "file_name", "report_date", F.lit(0).cast("bigint").alias("rows"), "bytes", "modified_at", "status", "reason", now.alias("started_at"), now.alias("finished_at")), lake_root)
+
+
 def upload(
     spark: SparkSession,
     catalog: DataFrame,
     lake_root: str,
     mode: str | None = None,
     fmt: str = "csv",
-    audit_headers: bool = False,
+    on_drift: str = "evolve",
 ) -> DataFrame:
-    """Land the new files of a catalog into ``lake_root/<storage_folder_name>/report_date=D/`` (K1-K5).
-
-    ``audit_headers`` runs the layout scan (S15) over the new files first; a
-    file whose header line differs from its folder's is quarantined (counted,
-    not landed), since its header would otherwise leak in as a data row.
-
-    The reference's upload command, as Spark jobs. Rejected names and dated
-    files that are not ``.csv.gz`` (K5) are left out. Per destination folder
-    (a config-sized loop) the files not yet in the load log are found with a
-    file-level anti join, read in one scan with the folder's header (titles
-    dropped per file), given the report date of their catalog row (broadcast
-    when the file list is within ``BROADCAST_FILES_MAX``, else a shuffle join)
-    and landed. ``mode`` defaults to each source's append/replace setting.
-    Returns one row per folder: files landed, rows landed, load id.
+    """Land the new files of a catalog into ``lake_root/<storage_folder_name>/`` (K1-K6, K8).
+
+    Every file of the catalog ends in the load log: landed (``ok``), ``rejected`` (name, date key or
+    extension), ``duplicate``, ``skipped`` (loaded before), ``quarantined`` (a header that shares no
+    column with its folder's; with ``on_drift='quarantine'`` any other header) or ``failed`` (unreadable).
+    The folder's header is that of its landed columns or, at first, of its newest file by report date
+    and name; other headers are landed by column name. The driver holds one path for each new file,
+    as Spark's own file index does, and one header for each layout. Returns one row a folder.
     """
-    ok = loadable(catalog.where(F.col("error").isNull())).select(
-        "file_path", "storage_folder_name", "report_date", "table_append_or_replace", "file_size_in_bytes"
-    )
-    log = read_log(spark, lake_root)
-    if log is not None:
-        done = log.select(F.col("src_file").alias("file_path")).distinct()
-        small = _small_or_none(done, BROADCAST_FILES_MAX)
-        ok = ok.join(F.broadcast(small) if small is not None else done, "file_path", "left_anti")
-    folders = ok.groupBy("storage_folder_name").agg(F.max("table_append_or_replace").alias("m")).collect()
+    load = f"load-{uuid.uuid4().hex}"
+    path = shared_dir(spark, "upload-plan")
+    plan_upload(spark, catalog, lake_root, mode).write.parquet(path)
+    plan = spark.read.parquet(path)
+    _log_others(spark, plan.where("status <> 'new'"), lake_root, load)
+    todo = plan.where("status = 'new'")
+    paths = [r["src_file"] for r in todo.select("src_file").distinct().collect()]
     out = []
-    for f in folders:
-        folder = f["storage_folder_name"]
-        in_folder = ok.where(F.col("storage_folder_name") == folder)
-        files = in_folder.select(F.col("file_path").alias("src_file"), "report_date")
-        sizes = in_folder.select(F.col("file_path").alias("src_file"), F.col("file_size_in_bytes").alias("bytes"))
-        small = _small_or_none(files, BROADCAST_FILES_MAX)
-        newest = files.agg(F.max("src_file").alias("p")).first()["p"]
-        roots = files.select(F.regexp_replace("src_file", "/[^/]*$", "").alias("d")).distinct()
-        root = _common_dir([r["d"] for r in roots.limit(10_000).collect()])
-        head = csvlake.lake_head(spark, None, newest=newest)
-        if head is None:
-            continue
-        rows = csvlake.read_raw(spark, root, head, recursive=True)
-        plist = None
-        if small is not None and small.count() <= PRUNE_PATHS_MAX:
-            plist = [r["src_file"] for r in small.collect()]
-            # a file-constant metadata filter: files not in the list are skipped unopened
-            rows = rows.where(F.col("src_file").isin(plist))
-        quarantined = 0
-        if audit_headers and plist is not None:
-            lay = csvlake.file_layouts(spark, root, paths=plist)
-            bad = lay.where(F.col("header_line") != F.lit(head.header_line)).select(
-                F.col("file_path").alias("src_file")
-            ).collect()  # at most PRUNE_PATHS_MAX paths
-            if bad:
-                quarantined = len(bad)
-                bad_paths = [r["src_file"] for r in bad]
-                rows = rows.where(~F.col("src_file").isin(bad_paths))
-        dated = rows.join(F.broadcast(small) if small is not None else files, "src_file")
-        load_id = land(spark, dated, lake_root, folder, mode=mode or f["m"], fmt=fmt, sizes=sizes)
-        n = read_log(spark, lake_root).where(F.col("load_id") == load_id).agg(
-            F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")
-        ).first()
-        out.append((folder, int(n["files"] or 0), int(n["rows"] or 0), quarantined, load_id))
-    return spark.createDataFrame(
-        out, "storage_folder_name string, files bigint, rows bigint, quarantined bigint, load_id string"
-    )
-
-
-def _common_dir(dirs: list[str]) -> str:
-    """Longest common directory of path URIs (split on ``/``, scheme kept)."""
-    parts = [d.split("/") for d in dirs]
-    common = []
-    for seg in zip(*parts):
-        if all(x == seg[0] for x in seg):
-            common.append(seg[0])
-        else:
-            break
-    return "/".join(common) or "/"
+    if paths:
+        layouts = csvlake.file_layouts(spark, None, paths=paths).select("file_path", "has_title", "header_line")
+        files = todo.join(layouts.withColumnRenamed("file_path", "src_file"), "src_file", "left").collect()
+        folders: dict[tuple[str, str], list] = {}
+        for r in files:
+            folders.setdefault((r["storage_folder_name"], r["mode"]), []).append(r)
+        for (folder, how), rows in sorted(folders.items()):
+            out.append(_upload_folder(spark, rows, lake_root, folder, how, fmt, on_drift, load))
+    return spark.createDataFrame(out, "storage_folder_name string, files bigint, rows bigint, quarantined bigint, failed bigint, load_id string")
+
+
+def _upload_folder(spark, files, lake_root, folder, mode, fmt, on_drift, load) -> tuple:
+    known = folder_columns(spark, f"{lake_root}/{folder}")
+    with_head = [r for r in files if r["header_line"] is not None]
+    columns = {h: csvlake.normalized_columns(spark, csvlake.csv_cells(h)) for h in {r["header_line"] for r in with_head}}
+    if not known and with_head:
+        newest = max(with_head, key=lambda r: (r["report_date"] or dt.date.min, r["file_name"]))
+        known = columns[newest["header_line"]]
+    foreign = lambda r: r["header_line"] is not None and (not set(columns[r["header_line"]]) & set(known) or on_drift == "quarantine" and columns[r["header_line"]] != known)
+    quarantined = [r for r in files if foreign(r)]
+    good = [r for r in files if not foreign(r)]
+    failed = _land_files(spark, good, lake_root, folder, mode, fmt, load, known, columns)
+    others = [(r, "quarantined", "foreign_header") for r in quarantined] + [(r, "failed", why) for r, why in failed]
+    if others:
+        rows = [(folder, r["src_file"], r["file_name"], r["report_date"], r["bytes"], r["modified_at"], status, why) for r, status, why in others]
+        _log_others(spark, spark.createDataFrame(rows, "storage_folder_name string, src_file string, file_name string, report_date date, bytes bigint, modified_at timestamp, status string, reason string"), lake_root, load)
+    n = read_log(spark, lake_root).where((F.col("load_id").startswith(load)) & (F.col("storage_folder_name") == folder) & (F.col("status") == "ok")).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")).first()
+    return folder, int(n["files"] or 0), int(n["rows"] or 0), len(quarantined), len(failed), load
+
+
+def _land_files(spark, files, lake_root, folder, mode, fmt, load, known, columns) -> list[tuple]:
+    """Land files of one folder in one write; where that fails, halves of them, down to single files.
+    Returns the files that can't be read, with the reason."""
+    if not files:
+        return []
+    layouts: dict[tuple, list[str]] = {}
+    for r in files:
+        if r["header_line"] is not None:
+            layouts.setdefault((r["header_line"], r["has_title"]), []).append(r["src_file"])
+    every = known + [c for h in sorted({h for h, _ in layouts}) for c in columns[h] if c not in known]
+    every = list(dict.fromkeys(every))
+    parts = []
+    for (header, titled), paths in sorted(layouts.items()):
+        raw = csvlake.read_files(spark, paths, csvlake.csv_cells(header), columns[header], titled)
+        parts.append(raw.select(*[F.col(c) if c in columns[header] else F.lit(None).cast("string").alias(c) for c in every], "src_file"))
+    listed = spark.createDataFrame([(r["src_file"], r["file_name"], r["report_date"], r["bytes"], r["modified_at"]) for r in files], "src_file string, file_name string, report_date date, bytes bigint, modified_at timestamp")
+    rows = parts[0] if parts else spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in [*every, "src_file"]]))
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    dated = rows.join(listed.select("src_file", "report_date", F.lit(True).alias("listed")), "src_file", "left")
+    dated = dated.where(F.coalesce("listed", F.raise_error(F.concat(F.lit("no plan row for "), "src_file")).cast("boolean"))).drop("listed")
+    try:
+        land(spark, dated, lake_root, folder, "replace", fmt, f"{load}-{uuid.uuid4().hex[:8]}", listed)
+    except Exception as e:  # noqa: BLE001 - narrowed down to the file, which is then logged as failed
+        if len(files) == 1:
+            return [(files[0], str(e).split("\n")[0][:300])]
+        half = len(files) // 2
+        return _land_files(spark, files[:half], lake_root, folder, mode, fmt, load, known, columns) + _land_files(spark, files[half:], lake_root, folder, mode, fmt, load, known, columns)
+    return []

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from reportlake.functions import names as N
 from reportlake.operators import catalog as C
 from reportlake.operators import infer
+from reportlake.operators.load import LOG_DIR
 from reportlake.sources import csvlake
 
 RAW_SUFFIX = "__raw"
@@ -58,11 +59,24 @@ def typed_sql(col: str, type_name: str, strings_null_tokens: bool = True) -> str
     return v if strings_null_tokens else f"`{col}`"
 
 
-def _has_partitions(spark: SparkSession, folder: str) -> bool:
-    row = C.list_files(spark, folder, csvlake.GZ_GLOB).where(
-        N.is_partitioned_path("path")
-    ).limit(1).collect()
-    return bool(row)
+def _partitions(spark: SparkSession, folder: str) -> list[str]:
+    """Partition columns of the folder's paths, in order."""
+    listed = C.list_files(spark, folder, csvlake.GZ_GLOB)
+    row = listed.agg(*[F.max(F.col("path").contains(f"/{k}=")).alias(k) for k in (N.PARTITION_KEY, "load_id")]).first()
+    return [k for k in (N.PARTITION_KEY, "load_id") if row[k]]
+
+
+def _log_of(spark: SparkSession, folder: str) -> str | None:
+    """The load log of the lake that holds the folder, if there is one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    here = path(folder)
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    while here is not None:
+        log = path(here, LOG_DIR)
+        if fs.exists(log):
+            return log.toString()
+        here = here.getParent()
+    return None
 
 
 def create_table(
@@ -72,37 +86,53 @@ def create_table(
     schema: infer.InferredSchema | None = None,
     partitioned: bool | None = None,
     autodetect_fallback: bool = True,
-    scope: str = "newest_file",
+    scope: str = "all_rows",
 ) -> bool:
-    """Create the raw table and the typed view over ``folder`` (T2). ``False`` if it exists or fails."""
+    """Create the raw table and the typed view over ``folder`` (T2). ``False`` if it exists or fails.
+
+    The view of a landed folder shows committed rows only: those the newest entry of their file in
+    the load log points to, looked up when the view is read."""
     raw = name + RAW_SUFFIX
     if spark.catalog.tableExists(name) or spark.catalog.tableExists(raw):
         return False
     schema = schema or infer.infer_lake_schema(spark, folder, scope=scope)
-    if partitioned is None:
-        partitioned = _has_partitions(spark, folder)
-    part_col = f", `{N.PARTITION_KEY}` DATE" if partitioned else ""
-    part_by = f" PARTITIONED BY (`{N.PARTITION_KEY}`)" if partitioned else ""
-    opts = f"path {_lit(folder)}, header 'true', pathGlobFilter '{csvlake.GZ_GLOB}'"
+    parts = _partitions(spark, folder) if partitioned is not False else []
+    types = {N.PARTITION_KEY: "DATE", "load_id": "STRING"}
+    part_col = "".join(f", `{k}` {types[k]}" for k in parts)
+    part_by = f" PARTITIONED BY ({', '.join(f'`{k}`' for k in parts)})" if parts else ""
+    reader = ", ".join(f"{k} {_lit(v)}" for k, v in csvlake.CSV_READ.items())
+    opts = f"path {_lit(folder)}, {reader}, pathGlobFilter '{csvlake.GZ_GLOB}'"
     if schema is None:
-        if not autodetect_fallback:
+        if not autodetect_fallback or C.list_files(spark, folder, csvlake.GZ_GLOB).isEmpty():
             return False
         spark.sql(f"CREATE TABLE {_q(raw)} USING csv OPTIONS ({opts}, inferSchema 'true')")
         spark.sql(f"CREATE VIEW {_q(name)} AS SELECT * FROM {_q(raw)}")
         return True
     cols = ", ".join(f"`{c}` STRING" for c in schema.columns)
     spark.sql(f"CREATE TABLE {_q(raw)} ({cols}{part_col}) USING csv OPTIONS ({opts}){part_by}")
-    if partitioned:
+    if parts:
         spark.sql(f"MSCK REPAIR TABLE {_q(raw)}")
     cells = list(schema.head.header) + [None] * (len(schema.columns) - len(schema.head.header))
     header_row = " AND ".join(f"`{c}` <=> {_lit(v)}" for c, v in zip(schema.columns, cells))
     select = ", ".join(f"{typed_sql(c, t)} AS `{c}`" for c, t in zip(schema.columns, schema.types))
-    if partitioned:
-        select += f", `{N.PARTITION_KEY}`"
-    spark.sql(f"CREATE VIEW {_q(name)} AS SELECT {select} FROM {_q(raw)} WHERE NOT ({header_row})")
+    select += "".join(f", `{k}`" for k in parts)
+    source = f"(SELECT * FROM {_q(raw)} WHERE NOT ({header_row}))"
+    log = _log_of(spark, folder) if "load_id" in parts else None
+    if log:
+        newest = f"SELECT max(struct(finished_at, load_id, src_file)) AS e FROM parquet.`{log}` WHERE status = 'ok' GROUP BY storage_folder_name, file_name, report_date"
+        source += f" r LEFT SEMI JOIN (SELECT e.load_id AS l, e.src_file AS f FROM ({newest})) c ON r.load_id = c.l AND r.src_file = c.f"
+    spark.sql(f"CREATE VIEW {_q(name)} AS SELECT {select} FROM {source}")
     return True
 
 
+def refresh_table(spark: SparkSession, name: str) -> None:
+    """Take in files and partitions that came after the table was created."""
+    raw = name + RAW_SUFFIX
+    if any(c.isPartition for c in spark.catalog.listColumns(raw)):
+        spark.sql(f"MSCK REPAIR TABLE {_q(raw)}")
+    spark.catalog.refreshTable(raw)
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     """(T3)"""
     return spark.catalog.tableExists(name)
@@ -166,9 +196,10 @@ def drop_tables(
 
 
 def publish_missing(
-    spark: SparkSession, store_root: str, database: str | None = None, scope: str = "newest_file"
+    spark: SparkSession, store_root: str, database: str | None = None, scope: str = "all_rows"
 ) -> DataFrame:
-    """Create a table for every stored folder that has none yet, continue past errors (T5).
+    """Create a table for every stored folder that has none yet, continue past errors (T5); tables that
+    exist take in new partitions.
 
     Folders come from one listing of the store (A5); the anti join against the
     catalog's table names (J3) leaves the folders to publish.
@@ -179,6 +210,10 @@ def publish_missing(
     missing = C.missing_tables(folders, existing).select(
         "storage_folder_name", "proposed_table_name", "has_partitioning"
     ).collect()  # one row per table to create
+    names = {t.name for t in spark.catalog.listTables(db)}
+    for t in sorted(names):
+        if t + RAW_SUFFIX in names:
+            refresh_table(spark, f"{db}.{t}")
     results = []
     for r in missing:
         name = f"{db}.{r['proposed_table_name']}"
@@ -191,7 +226,7 @@ def publish_missing(
 
 
 def republish(
-    spark: SparkSession, names: list[str], database: str | None = None, scope: str = "newest_file"
+    spark: SparkSession, names: list[str], database: str | None = None, scope: str = "all_rows"
 ) -> DataFrame:
     """Recreate tables with a fresh schema: infer first, then swap; a failed inference keeps the old table."""
     db = database or spark.catalog.currentDatabase()
@@ -204,8 +239,13 @@ def republish(
             if schema is None:
                 out.append((t, False, "no data to infer from; table kept"))
                 continue
-            spark.sql(f"DROP VIEW IF EXISTS {_q(full)}")
-            spark.sql(f"DROP TABLE IF EXISTS {_q(full + RAW_SUFFIX)}")
+            trial = f"{full}__trial"  # what can't be created fails here, before anything is dropped
+            if not create_table(spark, trial, info.location, schema=schema, partitioned=info.is_partitioned):
+                out.append((t, False, "create failed; table kept"))
+                continue
+            for n in (trial, full):
+                spark.sql(f"DROP VIEW IF EXISTS {_q(n)}")
+                spark.sql(f"DROP TABLE IF EXISTS {_q(n + RAW_SUFFIX)}")
             ok = create_table(spark, full, info.location, schema=schema, partitioned=info.is_partitioned)
             out.append((t, ok, None if ok else "create failed"))
         except Exception as e:  # noqa: BLE001

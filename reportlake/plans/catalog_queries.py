@@ -107,6 +107,7 @@ catalog AS (
     coalesce(nullif(storage_folder_name, ''), select_file_name_base)
       || CASE WHEN fv <> '' THEN '_' || fv ELSE '' END AS storage_folder_name,
     nullif(g_content_owner, '') AS content_owner,
+    g_desk AS desk,
     last_day(key_date) AS report_date,
     CAST(strftime(last_day(key_date), '%Y%m%d') AS BIGINT) AS report_date_key,
     strftime(last_day(key_date), '%Y-%m-%d') AS report_date_str,
@@ -192,13 +193,14 @@ def build_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     "name_attrs",
     DUCK_CATALOG
     + """SELECT file_path, source_id, content_owner, report_date_str, file_version,
-              CAST(NULL AS VARCHAR) AS extra_attrs
+              'desk=' || desk AS extra_attrs
        FROM catalog WHERE error IS NULL""",
 )
 def name_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regex groups of accepted names as columns; other groups kept in ``attrs``."""
     cat = C.accepted(_cat(spark, sf_dir))
-    extra = F.when(F.size("attrs") > 0, F.array_join(F.map_keys("attrs"), ","))
+    pairs = F.transform(F.map_entries("attrs"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    extra = F.when(F.size("attrs") > 0, F.array_join(pairs, ","))
     return cat.select("file_path", "source_id", "content_owner", "report_date_str", "file_version",
                       extra.alias("extra_attrs"))
 
@@ -224,20 +226,20 @@ def file_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     "build_catalog_override",
     DUCK_CATALOG
     + """, forced AS (
-      SELECT f.*, 'video_report' AS source_id,
-             regexp_matches(f.file_name, '^(?:video_report_(.+)_V_(.+)\\.csv)') AS ok,
-             regexp_extract(f.file_name, '^(?:video_report_(.+)_V_(.+)\\.csv)', 2) AS g_v
-      FROM files f WHERE starts_with(f.file_name, 'video_report_')
+      SELECT f.*, 'price_list' AS source_id,
+             regexp_matches(f.file_name, '^(?:price_list_(.+)_ed(.+)\\.csv)') AS ok,
+             regexp_extract(f.file_name, '^(?:price_list_(.+)_ed(.+)\\.csv)', 2) AS g_v
+      FROM files f WHERE starts_with(f.file_name, 'price_list_')
     )
     SELECT source_id, file_path, 'replace' AS table_append_or_replace,
-           CASE WHEN ok THEN 'reports-versioned/video_report' || CASE WHEN coalesce(nullif(g_v, ''), regexp_extract(file_name, '_(v[0-9]+(-[0-9]+)?)', 1)) <> '' THEN '_' || coalesce(nullif(g_v, ''), regexp_extract(file_name, '_(v[0-9]+(-[0-9]+)?)', 1)) ELSE '' END END AS storage_folder_name,
+           CASE WHEN ok THEN 'office-store/price_list' || CASE WHEN coalesce(nullif(g_v, ''), regexp_extract(file_name, '_(v[0-9]+(-[0-9]+)?)', 1)) <> '' THEN '_' || coalesce(nullif(g_v, ''), regexp_extract(file_name, '_(v[0-9]+(-[0-9]+)?)', 1)) ELSE '' END END AS storage_folder_name,
            CASE WHEN NOT ok THEN 'name_mismatch' END AS error
     FROM forced""",
 )
 def build_catalog_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Named files against one named source with the replace override."""
-    listing = landing_listing(spark, sf_dir).where(N.base_name("path").startswith("video_report_"))
-    cat = C.catalog_for_source(listing, SPECS, "video_report", replace_override=True)
+    listing = landing_listing(spark, sf_dir).where(N.base_name("path").startswith("price_list_"))
+    cat = C.catalog_for_source(listing, SPECS, "price_list", replace_override=True)
     return cat.select(
         "source_id", "file_path", "table_append_or_replace",
         F.when(F.col("error").isNull() | (F.col("error") != "name_mismatch"), F.col("storage_folder_name")).alias(
@@ -361,11 +363,11 @@ def storage_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "prefix_scan",
-    DUCK_CATALOG + "SELECT path FROM store WHERE starts_with(path, 'reports-versioned/claim_raw_v1')",
+    DUCK_CATALOG + "SELECT path FROM store WHERE starts_with(path, 'office-store/ledger_v1')",
 )
 def prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stored object under a prefix."""
-    return C.with_prefix(store_listing(spark, sf_dir), "reports-versioned/claim_raw_v1")
+    return C.with_prefix(store_listing(spark, sf_dir), "office-store/ledger_v1")
 
 
 @register(
@@ -468,11 +470,11 @@ def missing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "selected_tables",
     DUCK_CATALOG + ", " + EXISTING_TABLES_SQL
-    + " SELECT table_name FROM existing WHERE table_name IN ('claim_raw_v1_1', 'asset_raw_v1', 'video_raw_v1_2')",
+    + " SELECT table_name FROM existing WHERE table_name IN ('ledger_v1_1', 'stock_v1', 'freight_v1_2')",
 )
 def selected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables named by the user as a comma list, unknown names ignored."""
-    return C.selected_tables(_existing_tables(spark, sf_dir), "claim_raw_v1_1, asset_raw_v1,video_raw_v1_2,no_such")
+    return C.selected_tables(_existing_tables(spark, sf_dir), "ledger_v1_1, stock_v1,freight_v1_2,no_such")
 
 
 @register(
@@ -481,7 +483,7 @@ def selected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """SELECT storage_folder_name,
               CASE WHEN file_version <> '' THEN table_name || '_' || replace(file_version, '-', '_')
                    ELSE table_name END AS warehouse_table,
-              'reports.youtube_analytics.' || CASE WHEN file_version <> '' THEN table_name || '_' || replace(file_version, '-', '_')
+              'reports.office_lake.' || CASE WHEN file_version <> '' THEN table_name || '_' || replace(file_version, '-', '_')
                    ELSE table_name END AS full_table_id,
               CASE WHEN has_partitioning THEN 'lake://store/' || storage_folder_name || '/*'
                    ELSE 'lake://store/' || storage_folder_name || '/*.csv.gz' END AS source_uri
@@ -493,7 +495,7 @@ def table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fs.select(
         "storage_folder_name",
         N.warehouse_table_name("table_name", "file_version").alias("warehouse_table"),
-        N.full_table_id(F.lit("reports"), F.lit("youtube_analytics"),
+        N.full_table_id(F.lit("reports"), F.lit("office_lake"),
                         N.warehouse_table_name("table_name", "file_version")).alias("full_table_id"),
         N.source_uri_pattern(F.lit("lake://store"), "storage_folder_name", "has_partitioning").alias("source_uri"),
     )

@@ -1,8 +1,8 @@
 """Inputs derived from the driver tables, so every registered query grows with them.
 
 * ``landing_listing``: a file inventory (``path, length, modificationTime``),
-  one file per ``orders`` row, names shaped like monthly report files (owner,
-  date key, report family, version, extension, lock files, bad names).
+  one file per ``orders`` row, names shaped like monthly report files (report
+  family, version, date key, owner, desk, extension, lock files, bad names).
 * ``store_listing``: objects already in the store, from the same orders.
 * ``report_lake``: a test table written as gzip CSV report files under
   ``report_date=`` folders, half of the months with a one-cell title row.
@@ -21,40 +21,34 @@ from pyspark.sql import functions as F
 from reportlake.session import shared_dir, spread
 from reportlake.sources.specs import SourceSpec
 
-# Report families of the fixture, chosen by o_custkey % 8.
-FAMILIES = [
-    "claim_raw",
-    "adj_claim_raw",
-    "asset_raw",
-    "adj_asset_raw",
-    "video_raw",
-    "red_rawdata_asset",
-    "video_report",
-    "claim_raw_extract",
-]
-MONTH_PATTERN = r"YouTube_(.+)_M_(\d{8}|\d{6})"
-GROUPS = ("content_owner", "file_date_key")
-STORE_PREFIX = "reports-versioned"
+# An invented office: ledgers, stock and freight reports of several desks. The family of a file is
+# chosen by o_custkey % 8. ``ledger_notes`` files are selected by the ledger source but carry no key.
+FAMILIES = ["ledger", "ledger_fx", "stock", "stock_moves", "freight", "tariff", "price_list", "ledger_notes"]
+#: ``<family>[_v<a>-<b>]__<yyyymm[dd]>__<owner>__d<desk>``
+KEYED_PATTERN = r"[a-z_]+?(?:_v\d+(?:-\d+)?)?__(\d{8}|\d{6})__([^_]+)__d(\d)"
+KEYED_GROUPS = ("file_date_key", "content_owner", "desk")
+STORE_PREFIX = "office-store"
+
+
+def _keyed(family: str, excluded: str | None = None, folder: str | None = None, **options) -> SourceSpec:
+    """A source of dated files of one family; ``excluded`` keeps a longer family name out."""
+    return SourceSpec(
+        family, family, exclude_file_name_base=excluded, regex_pattern=KEYED_PATTERN, regex_group_names=KEYED_GROUPS,
+        storage_folder_name=f"{STORE_PREFIX}/{family}" if folder is None else folder, table_name=family, **options,
+    )
+
 
 FIXTURE_SPECS: list[SourceSpec] = [
-    SourceSpec("claim_raw", "claim_raw", exclude_file_name_base="adj_claim_raw", regex_pattern=MONTH_PATTERN,
-               regex_group_names=GROUPS, storage_folder_name=f"{STORE_PREFIX}/claim_raw", table_name="claim_raw"),
-    SourceSpec("adj_claim_raw", "adj_claim_raw", regex_pattern=MONTH_PATTERN, regex_group_names=GROUPS,
-               storage_folder_name=f"{STORE_PREFIX}/adj_claim_raw", table_name="adj_claim_raw"),
-    SourceSpec("asset_raw", "asset_raw", exclude_file_name_base="adj_asset_raw", regex_pattern=MONTH_PATTERN,
-               regex_group_names=GROUPS, storage_folder_name=f"{STORE_PREFIX}/asset_raw", table_name="asset_raw"),
-    SourceSpec("adj_asset_raw", "adj_asset_raw", regex_pattern=MONTH_PATTERN, regex_group_names=GROUPS,
-               storage_folder_name=f"{STORE_PREFIX}/adj_asset_raw", table_name="adj_asset_raw"),
-    SourceSpec("video_raw", "video_raw", exclude_file_name_base="adj_video_raw", regex_pattern=MONTH_PATTERN,
-               regex_group_names=GROUPS, storage_folder_name=f"{STORE_PREFIX}/video_raw", table_name="video_raw"),
-    SourceSpec("adj_video_raw", "adj_video_raw", is_enabled=False, regex_pattern=MONTH_PATTERN,
-               regex_group_names=GROUPS, storage_folder_name=f"{STORE_PREFIX}/adj_video_raw"),
-    SourceSpec("red_rawdata_asset", "red_rawdata_asset", regex_pattern=MONTH_PATTERN, regex_group_names=GROUPS,
-               storage_folder_name=""),
-    SourceSpec("video_report", "video_report", regex_pattern=r"video_report_(.+)_V_(.+)\.csv",
-               regex_group_names=("content_owner", "file_version"),
-               storage_folder_name=f"{STORE_PREFIX}/video_report", table_name="video_report",
-               table_append_or_replace="replace"),
+    _keyed("ledger", "ledger_fx"),
+    _keyed("ledger_fx"),
+    _keyed("stock", "stock_moves"),
+    _keyed("stock_moves"),
+    _keyed("freight", "freight_void"),
+    _keyed("freight_void", is_enabled=False),
+    _keyed("tariff", folder=""),
+    SourceSpec("price_list", "price_list", regex_pattern=r"price_list_(.+)_ed(.+)\.csv",
+               regex_group_names=("content_owner", "file_version"), storage_folder_name=f"{STORE_PREFIX}/price_list",
+               table_name="price_list", table_append_or_replace="replace"),
 ]
 
 
@@ -86,12 +80,12 @@ def _name_parts(o: DataFrame) -> DataFrame:
     )
     ext = F.when(k % 13 == 0, F.lit(".csv")).when(k % 17 == 0, F.lit(".csv.zip")).otherwise(F.lit(".csv.gz"))
     core = (
-        F.when(fam == "video_report", F.concat(F.lit("video_report_"), owner, F.lit("_V_"), _s(1 + k % 3)))
-        .when(fam == "claim_raw_extract", F.concat(F.lit("claim_raw_extract_"), _s(k)))
+        F.when(fam == "price_list", F.concat(F.lit("price_list_"), owner, F.lit("_ed"), _s(1 + k % 3)))
+        .when(fam == "ledger_notes", F.concat(F.lit("ledger_notes-"), _s(k)))
         .otherwise(
             F.concat(
-                F.lit("YouTube_"), owner, F.lit("_M_"), datekey, F.lit("_"), fam,
-                F.when(vtag != "", F.concat(F.lit("_"), vtag)).otherwise(F.lit("")),
+                fam, F.when(vtag != "", F.concat(F.lit("_"), vtag)).otherwise(F.lit("")),
+                F.lit("__"), datekey, F.lit("__"), owner, F.lit("__d"), _s(c % 4),
             )
         )
     )
@@ -144,9 +138,10 @@ name_base AS (
 ),
 name_parts AS (
   SELECT *,
-         CASE WHEN fam = 'video_report' THEN 'video_report_' || owner || '_V_' || CAST(1 + o_orderkey % 3 AS VARCHAR)
-              WHEN fam = 'claim_raw_extract' THEN 'claim_raw_extract_' || CAST(o_orderkey AS VARCHAR)
-              ELSE 'YouTube_' || owner || '_M_' || datekey || '_' || fam || CASE WHEN vtag <> '' THEN '_' || vtag ELSE '' END
+         CASE WHEN fam = 'price_list' THEN 'price_list_' || owner || '_ed' || CAST(1 + o_orderkey % 3 AS VARCHAR)
+              WHEN fam = 'ledger_notes' THEN 'ledger_notes-' || CAST(o_orderkey AS VARCHAR)
+              ELSE fam || CASE WHEN vtag <> '' THEN '_' || vtag ELSE '' END || '__' || datekey || '__' || owner
+                   || '__d' || CAST(o_custkey % 4 AS VARCHAR)
          END AS core
   FROM name_base
 )"""
@@ -163,7 +158,7 @@ landing AS (
 
 STORE_SQL = """,
 store AS (
-  SELECT 'reports-versioned/' || fam || CASE WHEN vtag <> '' THEN '_' || vtag ELSE '' END
+  SELECT 'office-store/' || fam || CASE WHEN vtag <> '' THEN '_' || vtag ELSE '' END
          || CASE WHEN o_orderstatus = 'F' THEN '/report_date=' || strftime(last_day(CAST(o_orderdate AS DATE)), '%Y-%m-%d') ELSE '' END
          || '/' || core || '.csv.gz' AS path
   FROM name_parts WHERE o_orderstatus IN ('F', 'P')
@@ -431,6 +426,25 @@ def _zip_writer(root: str):
     return run
 
 
+def write_named_gzip(files: DataFrame, root: str) -> None:
+    """Write (name, content) rows as gzip files (plain where the name doesn't end in ``.gz``), one file a
+    row, in the tasks."""
+
+    def run(batches):
+        import gzip
+        import urllib.parse
+
+        for pdf in batches:
+            for name, content in zip(pdf["name"], pdf["content"]):
+                fs, p = _fs_path(f"{root}/{urllib.parse.quote(name)}")
+                fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+                with fs.open_output_stream(p, compression=None) as f:
+                    f.write(gzip.compress(content.encode()) if name.endswith(".gz") else content.encode())
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    files.select("name", "content").mapInPandas(run, "n long").count()
+
+
 _ZIPS: dict = {}
 
 
@@ -467,16 +481,13 @@ def report_store(spark: SparkSession, sf_dir: str) -> str:
 
 
 _LANDING: dict = {}
-LANDING_BASE = "claim_raw"
-LANDING_SPEC = SourceSpec(
-    "claim_raw", "claim_raw", exclude_file_name_base="adj_claim_raw", regex_pattern=MONTH_PATTERN,
-    regex_group_names=GROUPS, storage_folder_name=f"{STORE_PREFIX}/claim_raw", table_name="claim_raw",
-)
+LANDING_BASE = "ledger"
+LANDING_SPEC = _keyed("ledger", "ledger_fx")
 
 
 def landing_files(spark: SparkSession, sf_dir: str) -> str:
     """A flat landing folder of named report files: one gzip CSV per (priority, month) of ``orders``,
-    named ``YouTube_<priority>_M_<yyyymm>_claim_raw_v1-0.csv.gz``; even months carry a title row.
+    named ``ledger_v1-0__<yyyymm>__<priority>__d0.csv.gz``; even months carry a title row.
 
     Spark writes one file per group (a hash repartition on the group puts each
     group in one task), then the driver renames the part files to report names
@@ -505,7 +516,7 @@ def landing_files(spark: SparkSession, sf_dir: str) -> str:
         from urllib.parse import unquote
 
         owner, ym = unquote(st.getParent().getName().split("=", 1)[1]).rsplit("|", 1)
-        target = f"YouTube_{owner}_M_{ym}_{LANDING_BASE}_v1-0.csv.gz"
+        target = f"{LANDING_BASE}_v1-0__{ym}__{owner}__d0.csv.gz"
         fs.rename(st, jvm.org.apache.hadoop.fs.Path(f"{root}/{target}"))
     _LANDING[key] = root
     return root

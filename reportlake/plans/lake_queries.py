@@ -27,8 +27,7 @@ def orders_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rows_per_report_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per report date, newest first, over the typed lake (A9, the documented user query)."""
-    # The reference's default scope (newest file, 100 rows): the count needs no types.
-    lake = infer.read_typed(spark, report_lake(spark, sf_dir, "orders"), scope="newest_file")
+    lake = infer.read_typed(spark, report_lake(spark, sf_dir, "orders"))
     return (
         lake
         .groupBy("report_date")
@@ -151,12 +150,22 @@ def file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("sample_rows")
+@register(
+    "sample_rows",
+    """SELECT max(last_day(CAST(o_orderdate AS DATE))) AS newest_date, TRUE AS one_month, TRUE AS within_limit,
+              CAST(0 AS BIGINT) AS header_rows FROM orders""",
+)
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First 100 data rows of the newest file, title and header skipped."""
+    """First 100 data rows of the newest file, title and header skipped: what holds of them in any
+    row order (S13, L5)."""
     root = _lake(spark, sf_dir, "orders")
     head = csvlake.lake_head(spark, root)
-    return csvlake.read_raw(spark, head.newest_path, head, with_source=False).limit(100)
+    sample = csvlake.read_raw(spark, head.newest_path, head, with_source=False).limit(100)
+    month = F.last_day(F.to_date("order_date"))
+    return sample.agg(
+        F.max(month).alias("newest_date"), (F.min(month) == F.max(month)).alias("one_month"),
+        F.count(F.lit(1)).between(1, 100).alias("within_limit"), F.count_if(F.col("order_key") == head.header[0]).alias("header_rows"),
+    )
 
 
 @register(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportlake.operators import tables as T
-from reportlake.plans.fixtures import report_lake, report_store
+from reportlake.plans.fixtures import lake_columns, report_lake, report_store
 from reportlake.plans.registry import register
 
 
@@ -77,17 +77,26 @@ def republish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_counts(spark, db, again)
 
 
-@register("list_tables")
+@register(
+    "list_tables",
+    """SELECT * FROM (VALUES ('orders_v1_0', TRUE, 'report_date', CAST(9 AS INTEGER)), ('lineitem', TRUE, 'report_date', CAST(%d AS INTEGER)))
+       AS t(table_name, is_partitioned, partition_columns, n_columns)"""
+    % (len(lake_columns("lineitem")[1]) + 1),
+)
 def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published tables with location, partitioned flag and column count."""
+    """Published tables with partitioning and column count; location and time differ in every run."""
     db, _ = _publish(spark, sf_dir)
-    return T.list_tables(spark, db)
+    return T.list_tables(spark, db).select("table_name", "is_partitioned", "partition_columns", "n_columns")
 
 
-@register("drop_plan")
+@register(
+    "drop_plan",
+    """SELECT * FROM (VALUES ('orders_v1_0', 'would_drop', TRUE), ('lineitem', 'dropped', FALSE)) AS t(table_name, action, exists_after)""",
+)
 def drop_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dry-run drop of one named table: the plan only, nothing dropped."""
+    """A dry-run drop of one table and a real drop of another, and whether each is there after."""
     db, _ = _publish(spark, sf_dir)
-    plan = T.drop_tables(spark, ["orders_v1_0"], database=db, dry_run=True)
-    assert T.table_exists(spark, f"{db}.orders_v1_0")
-    return plan
+    dry = T.drop_tables(spark, ["orders_v1_0"], database=db, dry_run=True)
+    real = T.drop_tables(spark, ["lineitem"], database=db, dry_run=False)
+    rows = [(r["table_name"], r["action"], T.table_exists(spark, f"{db}.{r['table_name']}")) for r in dry.collect() + real.collect()]
+    return spark.createDataFrame(rows, "table_name string, action string, exists_after boolean")

@@ -95,7 +95,9 @@ def readable_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- P8, S5, P23
 
 OBJECT_NAME_SQL = """CASE WHEN page_id % 5 = 0 THEN '../' WHEN page_id % 7 = 0 THEN '%2e%2e/'
-                         WHEN page_id % 11 = 0 THEN '/' WHEN page_id % 13 = 0 THEN 'a/./b/../' ELSE '' END
+                         WHEN page_id % 11 = 0 THEN '/' WHEN page_id % 13 = 0 THEN 'a/./b/../'
+                         WHEN page_id % 17 = 0 THEN '%2e%2e/%zz/' WHEN page_id % 19 = 0 THEN '%2525252525252e./'
+                         WHEN page_id % 23 = 0 THEN '%2525252541+%c3%bc%/' WHEN page_id % 29 = 0 THEN 'a%252500b' ELSE '' END
                     || regexp_replace(url, '^[a-z]+://[^/]+/?', '')"""
 
 
@@ -103,7 +105,9 @@ def _object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     pid = F.col("page_id")
     prefix = (
         F.when(pid % 5 == 0, F.lit("../")).when(pid % 7 == 0, F.lit("%2e%2e/"))
-        .when(pid % 11 == 0, F.lit("/")).when(pid % 13 == 0, F.lit("a/./b/../")).otherwise(F.lit(""))
+        .when(pid % 11 == 0, F.lit("/")).when(pid % 13 == 0, F.lit("a/./b/../"))
+        .when(pid % 17 == 0, F.lit("%2e%2e/%zz/")).when(pid % 19 == 0, F.lit("%2525252525252e./"))
+        .when(pid % 23 == 0, F.lit("%2525252541+%c3%bc%/")).when(pid % 29 == 0, F.lit("a%252500b")).otherwise(F.lit(""))
     )
     return _t(spark, sf_dir, "pages").select(
         "page_id", F.concat(prefix, F.regexp_replace("url", "^[a-z]+://[^/]+/?", "")).alias("object_name")
@@ -134,20 +138,16 @@ _NORM_SQL = """list_reduce(string_split('site/' || object_name, '/'),
 
 @register(
     "path_audit",
-    f"""WITH n AS (SELECT page_id, {OBJECT_NAME_SQL} AS object_name FROM pages),
-    f AS (SELECT page_id, object_name, url_decode(object_name) AS d1 FROM n),
-    g AS (SELECT *, url_decode(d1) AS d2 FROM f),
-    h AS (SELECT *, url_decode(d2) AS d3 FROM g)
+    f"""WITH RECURSIVE n AS (SELECT page_id, {OBJECT_NAME_SQL} AS object_name FROM pages),
+    forms AS (SELECT page_id, object_name AS f FROM n
+              UNION ALL SELECT page_id, url_decode(f) FROM forms WHERE url_decode(f) <> f),
+    worst AS (SELECT page_id, max(length(f)) > 1024 AS too_long, bool_or(contains(f, '..') OR starts_with(f, '/')) AS up,
+                     bool_or(regexp_matches(f, '[\\x00-\\x1f]')) AS control FROM forms GROUP BY page_id)
     SELECT page_id, object_name,
            array_to_string({_NORM_SQL}, '/') = 'site' OR starts_with(array_to_string({_NORM_SQL}, '/'), 'site/') AS within_root,
-           array_to_string(list_filter([
-             CASE WHEN greatest(length(object_name), length(d1), length(d2), length(d3)) > 1024 THEN 'too_long' END,
-             CASE WHEN contains(object_name, '..') OR contains(d1, '..') OR contains(d2, '..') OR contains(d3, '..')
-                    OR starts_with(object_name, '/') OR starts_with(d1, '/') OR starts_with(d2, '/') OR starts_with(d3, '/')
-                  THEN 'path_traversal' END,
-             CASE WHEN regexp_matches(object_name || d1 || d2 || d3, '[\\x00-\\x1f]') THEN 'control_chars' END,
-             CASE WHEN url_decode(d3) <> d3 THEN 'encoding_depth' END], lambda x: x IS NOT NULL), ',') AS violations
-    FROM h""",
+           array_to_string(list_filter([CASE WHEN too_long THEN 'too_long' END, CASE WHEN up THEN 'path_traversal' END,
+             CASE WHEN control THEN 'control_chars' END], lambda x: x IS NOT NULL), ',') AS violations
+    FROM n JOIN worst USING (page_id)""",
 )
 def path_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object names derived from page URLs: inside the root after folding ``.``/``..``, and the

@@ -39,9 +39,12 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app_name
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; our own temp folder only if unset."""
+    """The shared folder named by the cluster; our own temp folder only if unset and all tasks run in
+    this process (local masters)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="reportlake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

@@ -15,6 +15,7 @@ from __future__ import annotations
 import csv
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,10 @@ from reportlake.functions import names as N
 from reportlake.functions import values as V
 
 GZ_GLOB = "*.csv.gz"
+SCHEMA_DIR = "_schema"  # beside landed data: its columns in order
+#: RFC 4180: doubled quotes, quoted line breaks. gzip isn't splittable, so multiLine costs no task.
+CSV_READ = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "compression": "gzip", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 @dataclass(frozen=True)
@@ -34,10 +39,26 @@ class LakeHead:
     header_line: str = ""  # the header row as raw text
 
 
-def _csv_cells(line: str) -> list[str]:
+def csv_cells(line: str) -> list[str]:
     return next(csv.reader([line])) if line is not None else []
 
 
+def plain_path(path: Column) -> Column:
+    """A listed path with one slash after ``file:``; listings aren't URL-encoded."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def source_file() -> Column:
+    """The plain path of the file a row comes from (always encoded in the scan's metadata)."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))  # a plus is no blank here
+    return plain_path(F.url_decode(encoded))
+
+
+def literal_path(path: str) -> str:
+    """A path for a reader: characters that globs give a meaning are escaped."""
+    return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
+
+
 def newest_file(spark: SparkSession, root: str, glob: str = GZ_GLOB) -> str | None:
     """Greatest path among the folder's files (names sort by ``report_date=``)."""
     from reportlake.operators.catalog import list_files
@@ -47,23 +68,40 @@ def newest_file(spark: SparkSession, root: str, glob: str = GZ_GLOB) -> str | No
 
 
 def normalized_columns(spark: SparkSession, header: list[str]) -> list[str]:
-    """Header cells to column names (driver-side, one header); the partition key stays reserved."""
-    return V.normalize_header([N.PARTITION_KEY] + list(header))[1:]
+    """Header cells to column names by the same expression as any header column (one row); the
+    partition key stays reserved."""
+    cells = F.array(*[F.lit(c) for c in [N.PARTITION_KEY, *header]])
+    return spark.range(1).select(V.normalize_names(cells).alias("n")).first()["n"][1:]
+
+
+def folder_columns(spark: SparkSession, dest: str) -> list[str]:
+    """The data columns of a folder that was landed by us, in order ([] for any other folder)."""
+    try:
+        kept = spark.read.schema("position int, column_name string").parquet(f"{dest}/{SCHEMA_DIR}")
+    except AnalysisException:
+        return []
+    first = kept.groupBy("column_name").agg(F.min("position").alias("position"))
+    return [r["column_name"] for r in first.orderBy("position", "column_name").collect()]  # one row a column
 
 
 def lake_head(spark: SparkSession, root: str, newest: str | None = None) -> LakeHead | None:
-    """Header and layout of the newest file; ``None`` when the folder has no file or it is empty."""
+    """Header and layout of the newest file, or the kept columns of a folder that was landed by us;
+    ``None`` when the folder has no file or it is empty."""
     newest = newest or newest_file(spark, root)
     if newest is None:
         return None
+    if root is not None and (known := folder_columns(spark, root)):
+        columns = ["src_file", *known]
+        return LakeHead(newest, columns, False, columns, ",".join(columns))
     try:
-        lines = [r["value"] for r in spark.read.text(newest).limit(2).collect()]
+        shown = spark.read.text(literal_path(newest)).where(F.trim("value") != "")  # blank lines are no records
+        lines = [r["value"] for r in shown.limit(2).collect()]
     except Exception:  # noqa: BLE001 - unreadable (e.g. corrupt gzip): no schema, as for an empty file
         return None
     if not lines:
         return None
-    first = _csv_cells(lines[0])
-    second = _csv_cells(lines[1]) if len(lines) > 1 else None
+    first = csv_cells(lines[0])
+    second = csv_cells(lines[1]) if len(lines) > 1 else None
     # A title is a one-cell first row above a real (multi-cell) header.
     has_title = len(first) == 1 and second is not None and len(second) > 1
     header = second if has_title else first
@@ -94,7 +132,6 @@ def read_raw(
     root: str,
     head: LakeHead,
     glob: str = GZ_GLOB,
-    multiline: bool = False,
     with_source: bool = True,
     recursive: bool = False,
 ) -> DataFrame:
@@ -104,20 +141,26 @@ def read_raw(
     ``report_date`` partition column comes from the folder names.
     """
     reader = (
-        spark.read.schema(_string_schema(head.columns))
-        .option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .option("pathGlobFilter", glob)
-        .option("multiLine", str(multiline).lower())
+        spark.read.schema(_string_schema(head.columns)).options(**CSV_READ).option("pathGlobFilter", glob)
     )
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     df = reader.csv(root).where(~header_row(head))
-    if with_source:
-        df = df.withColumn("src_file", F.col("_metadata.file_path"))
+    if with_source and "src_file" not in head.columns:
+        df = df.withColumn("src_file", source_file())
     return df
 
 
+def read_files(spark: SparkSession, paths: list[str], header: list[str], columns: list[str], titled: bool) -> DataFrame:
+    """Rows of the given files of one layout, all STRING, with ``src_file``. The reader drops line 1; the
+    header that is left under a title is dropped only in titled files, so no data row equal to the
+    header is lost elsewhere."""
+    df = spark.read.schema(_string_schema(columns)).options(**CSV_READ).csv([literal_path(p) for p in paths])
+    if titled:
+        df = df.where(~header_row(LakeHead("", header, True, columns)))
+    return df.withColumn("src_file", source_file())
+
+
 TYPE_TO_SPARK = {
     "INT64": T.LongType(),
     "BOOL": T.BooleanType(),
@@ -176,70 +219,28 @@ def apply_types(
     return out.drop(*[f"__raw_{c}" for c in columns])
 
 
-def _second_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Line 2 of each given file: a CSV scan that skips line 1, separator and quote that never occur."""
-    return (
-        spark.read.schema("value string").option("header", "true").option("sep", "\u0001").option("quote", "")
-        .csv(paths)
-        .where(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("i"), "value")
-        .groupBy("file_path")
-        .agg(F.min_by("value", "i").alias("second_line"))
-    )
-
-
-def file_layouts(spark: SparkSession, root: str, glob: str = GZ_GLOB, paths: list[str] | None = None) -> DataFrame:
+def file_layouts(spark: SparkSession, root: str | None, glob: str = GZ_GLOB, paths: list[str] | None = None) -> DataFrame:
     """Per file: first line, header line, field count of line 1 and the title flag.
 
-    One text scan keeps the first split of each file and orders lines by
-    ``monotonically_increasing_id`` (file order inside a split). A single
-    partial aggregate per file takes the first line and the first line that
-    contains a comma: the header is line 1 of a plain file and line 2 under a
-    one-cell title, so that is the header in both layouts (``min_by`` skips
-    the NULL ordering of comma-free lines). Exact, quote-aware field counts run
-    only on these per-file rows, which are checkpointed (one row per file) to
-    the shared checkpoint folder. Only files whose one-cell first line itself
-    holds a quoted comma get a second, targeted scan for line 2. A file is
-    titled when line 1 has one field and the header has more (a one-column
-    CSV is not titled).
+    One text scan keeps the first split of each file and numbers its lines that aren't blank with
+    ``monotonically_increasing_id`` (consecutive in a split). A partial aggregate per file takes line 1;
+    only files whose line 1 has one field need line 2, the one with the next number, from a second
+    scan. Nothing is collected. A file is titled when line 1 has one field and line 2 has more.
     """
-    from reportlake.session import checkpoint_root
-
-    checkpoint_root(spark)
-    fields = lambda line: F.size(F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    fields = lambda line: F.size(F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')).cast("bigint")
+    # a file that breaks off still shows its first lines here; reading its rows fails
+    reader = spark.read.option("ignoreCorruptFiles", "true")
+    scan = reader.text([literal_path(p) for p in paths]) if paths is not None else reader.option("pathGlobFilter", glob).text(root)
     lines = (
-        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", str(paths is not None).lower())
-        .text(root)
-        .where(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("i"), "value")
-    )
-    if paths is not None:
-        lines = lines.where(F.col("file_path").isin(paths))  # file-constant filter: other files stay unopened
-    per_file = (
-        lines.groupBy("file_path")
-        .agg(
-            F.min_by("value", "i").alias("first_line"),
-            F.min_by("value", F.when(F.instr("value", ",") > 0, F.col("i"))).alias("comma_line"),
-        )
-        .withColumn("first_fields", fields(F.col("first_line")).cast("bigint"))
-        .checkpoint(eager=True)
+        scan.where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+        .select(source_file().alias("file_path"), F.monotonically_increasing_id().alias("i"), "value")
     )
-    ambiguous = [
-        r["file_path"]
-        for r in per_file.where((F.col("first_fields") == 1) & (F.col("comma_line") == F.col("first_line")))
-        .select("file_path").collect()
-    ]
-    if ambiguous:
-        fixed = _second_lines(spark, ambiguous)
-        per_file = per_file.join(F.broadcast(fixed), "file_path", "left").withColumn(
-            "comma_line", F.coalesce(F.col("second_line"), F.col("comma_line"))
-        ).drop("second_line")
-    comma_fields = fields(F.col("comma_line")).cast("bigint")
-    titled = (F.col("first_fields") == 1) & F.coalesce(comma_fields > 1, F.lit(False))
-    return per_file.select(
-        "file_path",
-        "first_line",
-        "first_fields",
-        titled.alias("has_title"),
-        F.when(titled, F.col("comma_line")).otherwise(F.col("first_line")).alias("header_line"),
+    first = lines.groupBy("file_path").agg(F.min(F.struct("i", "value")).alias("a"))
+    first = first.select("file_path", F.col("a.i").alias("i"), F.col("a.value").alias("first_line"), fields(F.col("a.value")).alias("first_fields"))
+    asked = first.where("first_fields = 1").select("file_path", (F.col("i") + 1).alias("i"))
+    second = lines.join(asked, ["file_path", "i"]).select("file_path", F.col("value").alias("second_line"))
+    titled = (F.col("first_fields") == 1) & F.coalesce(fields(F.col("second_line")) > 1, F.lit(False))
+    return first.join(second, "file_path", "left").select(
+        "file_path", "first_line", "first_fields", titled.alias("has_title"),
+        F.when(titled, F.col("second_line")).otherwise(F.col("first_line")).alias("header_line"),
     )

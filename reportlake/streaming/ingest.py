@@ -9,9 +9,12 @@ title, apply the inferred types, write Parquet partitioned by report date.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from reportlake.functions import names as N
 from reportlake.operators.infer import InferredSchema
@@ -25,20 +28,45 @@ def stream_rows(spark: SparkSession, root: str, schema: InferredSchema, max_file
     fields.append(T.StructField(N.PARTITION_KEY, T.DateType(), True))
     raw = (
         spark.readStream.schema(T.StructType(fields))
-        .option("header", "true")
+        .options(**csvlake.CSV_READ)
         .option("pathGlobFilter", csvlake.GZ_GLOB)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .option("recursiveFileLookup", "false")
         .csv(root)
     )
-    raw = raw.where(~csvlake.header_row(head)).withColumn("src_file", F.col("_metadata.file_path"))
+    raw = raw.where(~csvlake.header_row(head)).withColumn("src_file", csvlake.source_file())
     return csvlake.apply_types(raw, schema.columns, schema.types)
 
 
+class _Counted(StreamingQueryListener):
+    """Input rows of the query that runs while the listener is there."""
+
+    def __init__(self):
+        self.rows, self.run, self.ended = 0, None, threading.Event()
+
+    def onQueryStarted(self, event):
+        self.run = self.run or event.runId
+
+    def onQueryProgress(self, event):
+        if event.progress.runId == self.run:
+            self.rows += event.progress.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        if event.runId == self.run:
+            self.ended.set()
+
+
 def run_once(
     spark: SparkSession, root: str, schema: InferredSchema, sink: str, checkpoint: str
 ) -> int:
-    """Process every file not yet in the checkpoint, then stop; returns the input rows of this run."""
+    """Process every file not yet in the checkpoint, then stop; returns the input rows of this run.
+
+    Rows are added up as each batch reports, since a query keeps only its last 100 reports."""
+    counted = _Counted()
+    spark.streams.addListener(counted)
     q = (
         stream_rows(spark, root, schema)
         .writeStream.format("parquet")
@@ -48,6 +76,9 @@ def run_once(
         .trigger(availableNow=True)
         .start()
     )
-    q.awaitTermination()
-    progress = q.recentProgress or []
-    return int(sum(p.get("numInputRows", 0) for p in progress))
+    try:
+        q.awaitTermination()
+        counted.ended.wait(60)
+    finally:
+        spark.streams.removeListener(counted)
+    return counted.rows

@@ -1,207 +1,158 @@
-"""File catalog: selectors over real folders, name groups, overrides, diffs and reports
-(reference scanner, comparator and file-utils tests)."""
+"""File catalog over an invented harbour's files: selectors, name groups, overrides, diffs, reports."""
 
+import calendar
 import datetime as dt
+import itertools
 
 import pytest
-from pyspark.sql import functions as F
 
 from reportlake.operators import catalog as C
 from reportlake.sources.specs import SourceSpec, specs_from_toml
 
-PATTERN = r"YouTube_(.+)_M_(\d{8}|\d{6})"
-GROUPS = ("content_owner", "file_date_key")
+SHAPE = r"(\d{8}|\d{6})\.(pier\w+)\.(\w+?)(?:_v\d+(?:-\d+)?)?\.csv"
+GROUPS = ("file_date_key", "content_owner", "cargo")
 
 
-def spec(**kw):
-    base = dict(source_id="claim_raw", select_file_name_base="claim_raw", regex_pattern=PATTERN,
-                regex_group_names=GROUPS, storage_folder_name="reports/claim_raw", table_name="claim_raw")
-    base.update(kw)
-    return SourceSpec(**base)
+def source(base, **options):
+    known = dict(regex_pattern=SHAPE, regex_group_names=GROUPS, storage_folder_name=f"harbour/{base}", table_name=base)
+    return SourceSpec(base, base, **{**known, **options})
 
 
-def make_tree(root, names):
-    for n in names:
-        p = root / n
-        p.parent.mkdir(parents=True, exist_ok=True)
-        p.write_bytes(b"a,b\n1,2\n")
-    return str(root)
+def inventory(spark, paths):
+    return spark.createDataFrame([(p, 100 + len(p), dt.datetime(2020, 5, 17)) for p in paths], C.LISTING_SCHEMA)
 
 
-def listing(spark, root):
-    # an inventory (path, length, modificationTime) of the tree, lock files included
-    import os
+def catalog(spark, paths, specs, **options):
+    return {r["file_path"]: r for r in C.build_catalog(inventory(spark, paths), specs, **options).collect()}
 
-    rows = []
-    for dirpath, _, files in os.walk(root):
-        for f in files:
-            full = os.path.join(dirpath, f)
-            rows.append((full, os.path.getsize(full), dt.datetime(2024, 1, 1)))
-    return spark.createDataFrame(rows, C.LISTING_SCHEMA)
 
+def test_selectors_take_and_leave(spark):
+    families, ends, places = ["crane", "crane_night", "tug"], [".csv.gz", ".csv"], ["", "in/", "in/deep/er/"]
+    paths = [f"{p}202005.pierA.{f}{e}" for p, f, e in itertools.product(places, families, ends)] + ["in/.~lock.202005.pierA.crane.csv.gz"]
+    specs = [source("crane", exclude_file_name_base="crane_night"), source("tug", is_enabled=False)]
+    assert set(catalog(spark, paths, specs)) == {p for p in paths if ".crane." in p and "lock" not in p}
+    assert set(catalog(spark, paths, specs, extension=".csv.gz")) == {p for p in paths if p.endswith(".crane.csv.gz") and "lock" not in p}
+    both = [source("crane", exclude_file_name_base=""), source("crane_night")]
+    rows = C.build_catalog(inventory(spark, paths), both).groupBy("source_id").count().collect()
+    assert {r[0]: r[1] for r in rows} == {"crane": 12, "crane_night": 6}
 
-def names_of(df):
-    return sorted(r["file_name"] for r in df.select("file_name").collect())
 
-
-def test_include_exclude_extension_lock_nested(spark, tmp_path):
-    root = make_tree(tmp_path, [
-        "YouTube_Brand_M_20230601_claim_raw_v1-1.csv.gz",
-        "sub/deeper/YouTube_Other_M_202307_claim_raw.csv.gz",
-        "YouTube_Brand_M_20230601_adj_claim_raw_v1-1.csv.gz",
-        "YouTube_Brand_M_20230601_claim_raw.csv",
-        ".~lock.YouTube_Brand_M_20230601_claim_raw.csv.gz#",
-        "unrelated.csv.gz",
-    ])
-    specs = [spec(exclude_file_name_base="adj_claim_raw")]
-    cat = C.build_catalog(listing(spark, root), specs, extension=".csv.gz")
-    assert names_of(cat) == ["YouTube_Brand_M_20230601_claim_raw_v1-1.csv.gz",
-                             "YouTube_Other_M_202307_claim_raw.csv.gz"]
-    no_ext = C.build_catalog(listing(spark, root), specs)
-    assert "YouTube_Brand_M_20230601_claim_raw.csv" in names_of(no_ext)
-
-
-def test_spark_listing_hides_lock_files_and_reads_no_content(spark, tmp_path):
-    root = make_tree(tmp_path, ["a/x.csv.gz", "b/.~lock.x.csv.gz#", "b/_hidden.csv.gz"])
-    files = C.list_files(spark, root)
-    assert sorted(p.rsplit("/", 1)[-1] for p in [r["path"] for r in files.collect()]) == ["x.csv.gz"]
+def test_listing_hides_marked_files_and_reads_no_content(spark, tmp_path):
+    for name in ("berth/one.csv.gz", "berth/.~lock.one.csv.gz#", "quay/_draft.csv.gz", "quay/two.csv.gz"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    files = C.list_files(spark, str(tmp_path))
+    assert sorted(r["path"].rsplit("/", 1)[-1] for r in files.collect()) == ["one.csv.gz", "two.csv.gz"]
     plan = files._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
 
 
-def test_empty_exclude_excludes_nothing(spark, tmp_path):
-    root = make_tree(tmp_path, ["YouTube_B_M_202301_claim_raw.csv.gz"])
-    cat = C.build_catalog(listing(spark, root), [spec(exclude_file_name_base="")])
-    assert cat.count() == 1
-
-
-def test_empty_tree(spark, tmp_path):
-    cat = C.build_catalog(spark.createDataFrame([], C.LISTING_SCHEMA), [spec()])
-    assert cat.count() == 0
-    assert C.compare_files(cat, spark.createDataFrame([], "base_name string, file_count bigint")).count() == 0
-
+def test_no_files(spark):
+    none = C.build_catalog(spark.createDataFrame([], C.LISTING_SCHEMA), [source("crane")])
+    assert none.count() == 0
+    assert C.compare_files(none, spark.createDataFrame([], "base_name string, file_count bigint")).count() == 0
 
-def test_groups_dates_versions_and_attrs(spark, tmp_path):
-    root = make_tree(tmp_path, ["YouTube_BrandName_M_20230601_claim_raw_v1-1.csv.gz",
-                                "YouTube_X_M_202302_claim_raw.csv.gz", "YouTube_X_M_202402_claim_raw.csv.gz"])
-    cat = {r["file_name"]: r for r in C.accepted(C.build_catalog(listing(spark, root), [spec()])).collect()}
-    first = cat["YouTube_BrandName_M_20230601_claim_raw_v1-1.csv.gz"]
-    assert first["content_owner"] == "BrandName"
-    assert first["report_date_str"] == "2023-06-30" and first["report_date_key"] == 20230630
-    assert first["file_version"] == "v1-1"
-    assert first["storage_folder_name"] == "reports/claim_raw_v1-1"
-    assert cat["YouTube_X_M_202302_claim_raw.csv.gz"]["report_date"] == dt.date(2023, 2, 28)
-    assert cat["YouTube_X_M_202402_claim_raw.csv.gz"]["report_date"] == dt.date(2024, 2, 29)
-    assert cat["YouTube_X_M_202302_claim_raw.csv.gz"]["storage_folder_name"] == "reports/claim_raw"
 
+def test_groups_become_columns(spark):
+    made = {}
+    for (year, month), day, pier, version in itertools.product([(2019, 2), (2020, 2), (2020, 12)], [None, 9], ["pierA", "pier_12"], ["", "v4", "v4-1"]):
+        name = f"drop/{year}{month:02d}{'' if day is None else f'{day:02d}'}.{pier}.crane{version and '_' + version}.csv.gz"
+        made[name] = (pier, dt.date(year, month, calendar.monthrange(year, month)[1]), version)
+    rows = catalog(spark, list(made), [source("crane")])
+    for path, (pier, end, version) in made.items():
+        r = rows[path]
+        assert (r["error"], r["content_owner"], r["file_version"], dict(r["attrs"])) == (None, pier, version, {"cargo": "crane"})
+        assert (r["report_date"], r["report_date_str"], r["report_date_key"]) == (end, end.isoformat(), int(end.strftime("%Y%m%d")))
+        assert r["storage_folder_name"] == "harbour/crane" + (version and f"_{version}")
 
-def test_extra_groups_pass_through(spark, tmp_path):
-    root = make_tree(tmp_path, ["YouTube_B_M_20230601_EU_chan42_short_claim_raw.csv.gz"])
-    s = spec(regex_pattern=r"YouTube_(.+)_M_(\d{8})_(\w+?)_(\w+?)_(\w+?)_claim_raw",
-             regex_group_names=("content_owner", "file_date_key", "region", "channel_id", "video_type"))
-    row = C.build_catalog(listing(spark, root), [s]).first()
-    assert row["error"] is None
-    assert dict(row["attrs"]) == {"region": "EU", "channel_id": "chan42", "video_type": "short"}
 
-
-def test_bad_name_is_rejected_not_fatal(spark, tmp_path):
-    root = make_tree(tmp_path, ["invalid_claim_raw_file_name.csv", "YouTube_B_M_202313_claim_raw.csv",
-                                "YouTube_B_M_202301_claim_raw.csv"])
-    cat = C.build_catalog(listing(spark, root), [spec()])
-    errors = {r["file_name"]: r["error"] for r in C.rejected(cat).collect()}
-    assert errors == {"invalid_claim_raw_file_name.csv": "name_mismatch",
-                      "YouTube_B_M_202313_claim_raw.csv": "date_key_invalid"}
-    assert C.accepted(cat).count() == 1
+def test_bad_names_are_rejected_with_a_reason(spark):
+    good = ["20200517.pierA.crane.csv", "202005.pierB.crane.csv"]
+    bad = {"crane-overview.csv": "name_mismatch", "20205.pierA.crane.csv": "name_mismatch", "202014.pierA.crane.csv": "date_key_invalid", "20200230.pierA.crane.csv": "date_key_invalid", "189912.pierA.crane.csv": "date_key_invalid"}
+    cat = C.build_catalog(inventory(spark, [*good, *bad]), [source("crane")])
+    assert {r["file_path"]: r["error"] for r in C.rejected(cat).collect()} == bad
+    assert sorted(r["file_path"] for r in C.accepted(cat).collect()) == sorted(good)
+    with pytest.raises(ValueError):
+        C.assert_no_rejects(cat)
+    assert C.assert_no_rejects(C.accepted(cat)).count() == 2
 
 
-def test_captured_version_wins(spark, tmp_path):
-    root = make_tree(tmp_path, ["video_report_Owner_V_v2-1.csv.gz"])
-    s = spec(source_id="video_report", select_file_name_base="video_report",
-             regex_pattern=r"video_report_(.+)_V_(.+)\.csv", regex_group_names=("content_owner", "file_version"),
-             storage_folder_name="reports/video_report", table_append_or_replace="replace")
-    row = C.build_catalog(listing(spark, root), [s]).first()
-    assert (row["file_version"], row["storage_folder_name"], row["table_append_or_replace"]) == (
-        "v2-1", "reports/video_report_v2-1", "replace")
+def test_captured_version_goes_before_the_tag(spark):
+    spec = source("manifest", regex_pattern=r"manifest-(\w+)-rev(\w+)_v\d\.csv", regex_group_names=("content_owner", "file_version"), table_append_or_replace="replace")
+    (row,) = catalog(spark, ["manifest-pierC-rev7_v1.csv.gz"], [spec]).values()
+    assert (row["file_version"], row["storage_folder_name"], row["table_append_or_replace"], row["report_date"]) == ("7", "harbour/manifest_7", "replace", None)
 
 
-def test_override_for_named_source(spark, tmp_path):
-    root = make_tree(tmp_path, ["YouTube_B_M_20230601_claim_raw_v1-0.csv.gz"])
-    cat = C.catalog_for_source(listing(spark, root), [spec()], "claim_raw", replace_override=True).first()
-    assert cat["table_append_or_replace"] == "replace"
-    assert cat["storage_folder_name"] == "reports/claim_raw_v1-0"
-    assert C.catalog_for_source(listing(spark, root), [spec()], "nope").count() == 0
+def test_named_source_skips_the_selectors(spark):
+    files = inventory(spark, ["202005.pierA.anything_v2.csv.gz"])
+    row = C.catalog_for_source(files, [source("tug"), source("crane")], "crane", replace_override=True).first()
+    assert (row["source_id"], row["table_append_or_replace"], row["storage_folder_name"], row["attrs"]["cargo"]) == ("crane", "replace", "harbour/crane_v2", "anything")
+    assert C.catalog_for_source(files, [source("crane")], "ferry").count() == 0
 
 
-def _cat_rows(spark, rows):
+def entries(spark, *rows):
     return spark.createDataFrame(rows, "base_name string, file_name string, file_version string, source_id string")
 
 
-def test_compare_files_outer_join_and_sort(spark):
-    local = _cat_rows(spark, [("b", "1", "", "s"), ("b", "2", "", "s"), ("a", "3", "", "s")])
-    stored = spark.createDataFrame([("c", 4), ("b", 1)], "base_name string, file_count bigint")
-    got = [tuple(r) for r in C.compare_files(local, stored).collect()]
-    assert got == [("a", 0, 1), ("b", 1, 2), ("c", 4, 0)]
+def test_both_sides_are_counted(spark):
+    local = entries(spark, *[(b, f"{b}{i}", "", b) for b, n in (("tug", 3), ("crane", 2)) for i in range(n)])
+    stored = spark.createDataFrame([("crane", 5), ("ferry", 1)], "base_name string, file_count bigint")
+    assert [tuple(r) for r in C.compare_files(local, stored).collect()] == [("crane", 5, 2), ("ferry", 1, 0), ("tug", 0, 3)]
 
 
-@pytest.mark.parametrize("stored,expected", [([], ["f1", "f2", "f3"]), (["f1", "f2", "f3"], []), (["f2"], ["f1", "f3"])])
-def test_new_files(spark, stored, expected):
-    local = _cat_rows(spark, [("b", "f1", "", "s"), ("b", "f2", "", "s"), ("c", "f3", "", "t")])
-    st = spark.createDataFrame([(n,) for n in stored], "file_name string")
-    assert sorted(r["file_name"] for r in C.new_files(local, st).collect()) == expected
+def test_new_files_are_those_not_stored(spark):
+    names = ["n0", "n1", "n2", "n3"]
+    local = entries(spark, *[("tug", n, "", "s") for n in names])
+    for k in range(len(names) + 1):
+        for have in itertools.combinations(names, k):
+            if k in (0, 2, 4):
+                stored = spark.createDataFrame([(n,) for n in have], "file_name string")
+                assert {r["file_name"] for r in C.new_files(local, stored).collect()} == set(names) - set(have)
 
 
 def test_duplicates_and_mixed_versions(spark):
-    local = _cat_rows(spark, [("b", "f1", "v1-0", "s"), ("b", "f1", "v1-1", "t"), ("c", "f3", "", "t"),
-                              ("c", "f4", "", "t")])
-    assert sorted(r["source_id"] for r in C.duplicate_files(local).collect()) == ["s", "t"]
-    assert sorted(r["file_version"] for r in C.mixed_versions(local).collect()) == ["v1-0", "v1-1"]
+    local = entries(spark, ("tug", "same", "v1", "here"), ("tug", "same", "v2", "there"), ("tug", "own", "v2", "here"), ("ferry", "x", "v5", "here"), ("ferry", "y", "v5", "here"))
+    assert sorted(r["source_id"] for r in C.duplicate_files(local).collect()) == ["here", "there"]
+    assert {(r["base_name"], r["file_version"]) for r in C.mixed_versions(local).collect()} == {("tug", "v1"), ("tug", "v2")}
 
 
 def test_folder_summary(spark):
-    paths = [
-        "reports-versioned/claim_raw_v1-1/report_date=2023-06-30/f3.csv.gz",
-        "reports-versioned/claim_raw_v1-1/report_date=2023-05-31/f2.csv.gz",
-        "reports-versioned/claim_raw_v1-1/report_date=2023-04-30/f1.csv.gz",
-        "reports-versioned/claim_raw_v1-1/report_date=2023-03-31/f0.csv.gz",
-        "reports/claim_raw/file1.csv.gz",
-        "reports/claim_raw/notes.txt",
-        "rootfile.csv.gz",
-    ]
-    fs = {r["storage_folder_name"]: r for r in C.folder_summary(spark.createDataFrame([(p,) for p in paths], "path string")).collect()}
-    v = fs["reports-versioned/claim_raw_v1-1"]
-    assert (v["file_count"], v["has_partitioning"], v["table_name"], v["file_version"], v["proposed_table_name"]) == (
-        4, True, "claim_raw", "v1-1", "claim_raw_v1_1")
-    assert v["sample_files"].split(",") == sorted(paths[:4])[:3]
-    f = fs["reports/claim_raw"]
-    assert (f["file_count"], f["has_partitioning"], f["proposed_table_name"]) == (1, False, "claim_raw")
-    assert len(fs) == 2
+    dated = [f"harbour/tug_v2/report_date=2020-{m:02d}-28/{m}.csv.gz" for m in range(1, 8)]
+    flat = ["harbour/old/crane/a.csv.gz", "harbour/old/crane/readme.md"]
+    got = {r["storage_folder_name"]: r for r in C.folder_summary(spark.createDataFrame([(p,) for p in [*dated, *flat, "loose.csv.gz"]], "path string")).collect()}
+    assert set(got) == {"harbour/tug_v2", "harbour/old/crane"}
+    tug, crane = got["harbour/tug_v2"], got["harbour/old/crane"]
+    assert (tug["file_count"], tug["has_partitioning"], tug["table_name"], tug["file_version"], tug["proposed_table_name"]) == (7, True, "tug", "v2", "tug_v2")
+    assert tug["sample_files"].split(",") == dated[:3]
+    assert (crane["file_count"], crane["has_partitioning"], crane["proposed_table_name"]) == (1, False, "crane")
 
 
 def test_selected_tables(spark):
-    t = spark.createDataFrame([("a",), ("b",), ("c",)], "table_name string")
-    assert sorted(r[0] for r in C.selected_tables(t, "a, c,zz").collect()) == ["a", "c"]
+    tables = spark.createDataFrame([(t,) for t in ("tug", "crane", "ferry")], "table_name string")
+    assert {r[0] for r in C.selected_tables(tables, " tug,ferry ,pilot").collect()} == {"tug", "ferry"}
 
 
 def test_preview(spark):
-    df = spark.createDataFrame([(f"n{i:02d}",) for i in range(25)], "file_name string")
-    rows = C.preview(df, "file_name", 10).collect()
-    assert [r["file_name"] for r in rows] == [f"n{i:02d}" for i in range(10)] and rows[0]["more_count"] == 15
+    names = [f"f{i:03d}" for i in range(37)]
+    rows = C.preview(spark.createDataFrame([(n,) for n in reversed(names)], "file_name string"), "file_name", 5).collect()
+    assert [r["file_name"] for r in rows] == names[:5] and {r["more_count"] for r in rows} == {32}
 
 
 def test_specs_from_toml():
-    text = '''
-[file.claim_raw]
+    (spec,) = specs_from_toml(f'''
+[file.tugboats]
 is_enabled = true
-storage_folder_name = "reports-versioned/claim_raw"
-select_file_name_base = "claim_raw"
-exclude_file_name_base = "adj_claim_raw"
-regex_pattern = 'YouTube_(.+)_M_(\\d{8}|\\d{6})'
-regex_group_names = ["content_owner", "file_date_key"]
+storage_folder_name = "harbour/tug"
+select_file_name_base = "tug"
+exclude_file_name_base = "tug_test"
+regex_pattern = '{SHAPE}'
+regex_group_names = ["file_date_key", "content_owner", "cargo"]
 table_append_or_replace = "append"
-'''
-    (s,) = specs_from_toml(text)
-    assert s.source_id == "claim_raw" and s.effective_table == "claim_raw" and s.regex_group_names == GROUPS
-    with pytest.raises(ValueError):
-        SourceSpec("x", "x", regex_pattern="(a)(b)", regex_group_names=("one",))
+''')
+    assert (spec.source_id, spec.select_file_name_base, spec.effective_table, tuple(spec.regex_group_names)) == ("tugboats", "tug", "tug", GROUPS)
+
+
+@pytest.mark.parametrize("options", [{"regex_pattern": "(x)(y)", "regex_group_names": ("one",)}, {"table_append_or_replace": "upsert"}])
+def test_specs_that_cannot_work(options):
     with pytest.raises(ValueError):
-        SourceSpec("x", "x", table_append_or_replace="merge")
+        SourceSpec("tug", "tug", **options)

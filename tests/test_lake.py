@@ -6,9 +6,11 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
+from reportlake.operators import catalog as C
 from reportlake.operators import infer
 from reportlake.operators import load as L
 from reportlake.sources import csvlake
+from reportlake.sources.specs import SourceSpec
 from reportlake.streaming import ingest
 
 
@@ -27,7 +29,7 @@ def rows(n, start=0):
 
 @pytest.fixture()
 def mixed_lake(tmp_path):
-    root = tmp_path / "claim_raw_v1-1"
+    root = tmp_path / "tide_v1-1"
     write_gz(root / "report_date=2018-01-31" / "a.csv.gz", HEADER + "\n" + rows(20))
     write_gz(root / "report_date=2018-06-30" / "b.csv.gz", "Invalid Single Column\n" + HEADER + "\n" + rows(30, 100))
     write_gz(root / "report_date=2018-06-30" / "c.csv.gz", HEADER + "\n" + rows(5, 500))
@@ -96,31 +98,62 @@ def test_ragged_and_null_tokens(spark, tmp_path):
     assert typed.where(F.size("_rejected") > 0).count() == 0
 
 
-def test_load_append_idempotent_replace_and_reconcile(spark, mixed_lake, tmp_path):
-    head = csvlake.lake_head(spark, mixed_lake)
-    src = csvlake.read_raw(spark, mixed_lake, head)
+def by_date(df):
+    return {str(r[0]): r[1] for r in df.groupBy("report_date").count().collect()}
+
+
+def test_load_twice_replace_a_file_and_reconcile(spark, mixed_lake, tmp_path):
+    src = csvlake.read_raw(spark, mixed_lake, csvlake.lake_head(spark, mixed_lake))
     lake = str(tmp_path / "lake")
-    L.land(spark, src, lake, "claim_raw_v1-1")
-    L.land(spark, src, lake, "claim_raw_v1-1")  # nothing new
-    landed = L.read_landed(spark, f"{lake}/claim_raw_v1-1")
-    assert landed.count() == 55
-    rec = L.reconcile(src, landed).collect()
+    L.land(spark, src, lake, "tide")
+    L.land(spark, src, lake, "tide")  # nothing new
+    landed = lambda: L.committed(spark, L.read_landed(spark, f"{lake}/tide"), lake)
+    rec = L.reconcile(src, landed()).collect()
     assert {r["status"] for r in rec} == {"ok"} and len(rec) == 3
-    log = L.read_log(spark, lake)
-    assert log.count() == 3 and log.agg(F.sum("rows")).first()[0] == 55
-    L.land(spark, src.where(F.col("report_date") == "2018-06-30").limit(7), lake, "claim_raw_v1-1", mode="replace")
-    counts = {str(r[0]): r[1] for r in L.read_landed(spark, f"{lake}/claim_raw_v1-1").groupBy("report_date").count().collect()}
-    assert counts == {"2018-01-31": 20, "2018-06-30": 7}
+    assert L.read_log(spark, lake).agg(F.count("*"), F.sum("rows")).first()[:] == (3, 55)
+    one_file = src.where(F.col("src_file").endswith("c.csv.gz"))  # 5 rows of the 35 of its month
+    L.land(spark, one_file.limit(2), lake, "tide", mode="replace")
+    assert by_date(landed()) == {"2018-01-31": 20, "2018-06-30": 32}
+    assert by_date(L.read_landed(spark, f"{lake}/tide")) == {"2018-01-31": 20, "2018-06-30": 37}  # old rows are hidden, not lost
 
 
-def test_committed_hides_unlogged_rows(spark, mixed_lake, tmp_path):
-    head = csvlake.lake_head(spark, mixed_lake)
-    src = csvlake.read_raw(spark, mixed_lake, head)
+def test_committed_hides_a_crashed_load(spark, mixed_lake, tmp_path, monkeypatch):
+    src = csvlake.read_raw(spark, mixed_lake, csvlake.lake_head(spark, mixed_lake))
     lake = str(tmp_path / "lake2")
-    L.land(spark, src, lake, "t")
-    L.write_rows(src.withColumn("load_id", F.lit("crashed")), f"{lake}/t")  # data written, log never appended
+    L.land(spark, src.where("report_date = '2018-01-31'"), lake, "t")
+    with monkeypatch.context() as m:
+        m.setattr(L, "append_log", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            L.land(spark, src.where("report_date = '2018-06-30'"), lake, "t")
     rows = L.read_landed(spark, f"{lake}/t")
-    assert rows.count() == 110 and L.committed(spark, rows, lake).count() == 55
+    assert rows.count() == 55 and L.committed(spark, rows, lake).count() == 20
+    L.land(spark, src, lake, "t")  # the crashed files land again, the others don't
+    assert by_date(L.committed(spark, L.read_landed(spark, f"{lake}/t"), lake)) == {"2018-01-31": 20, "2018-06-30": 35}
+
+
+def test_schema_drift_lands_by_name(spark, tmp_path):
+    lake = str(tmp_path / "drift")
+    frame = lambda columns, rows, day: spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns)).withColumn("src_file", F.lit(f"file:/{day}")).withColumn("report_date", F.lit(day).cast("date"))
+    L.land(spark, frame(["a", "b"], [("1", "x")], "2020-01-31"), lake, "t")
+    L.land(spark, frame(["b", "c", "a"], [("y", "new", "2")], "2020-02-29"), lake, "t")
+    L.land(spark, frame(["a"], [("3",)], "2020-03-31"), lake, "t")
+    got = L.committed(spark, L.read_landed(spark, f"{lake}/t"), lake).orderBy("a").select("a", "b", "c").collect()
+    assert [tuple(r) for r in got] == [("1", "x", None), ("2", "y", "new"), ("3", None, None)]
+    assert L.folder_columns(spark, f"{lake}/t") == ["a", "b", "c"]
+
+
+def test_quotes_blanks_and_line_breaks_survive(spark, tmp_path):
+    cells = ['He said ""hi"", ok', "two\nlines", "C:\\", " padded ", "", "a,b"]
+    write_gz(tmp_path / "q" / "one.csv.gz", "\n\nkey,note\n" + "".join(f'{i},"{c}"\n' for i, c in enumerate(cells)))
+    root = str(tmp_path / "q")
+    head = csvlake.lake_head(spark, root)
+    assert head.columns == ["key", "note"]
+    raw = csvlake.read_raw(spark, root, head).withColumn("report_date", F.lit("2020-01-31").cast("date"))
+    want = [c.replace('""', '"') for c in cells]
+    shown = lambda df: [r["note"] or "" for r in df.orderBy("key").collect()]
+    assert shown(raw) == want
+    L.land(spark, raw, str(tmp_path / "lake"), "q")
+    assert shown(L.read_landed(spark, str(tmp_path / "lake" / "q"))) == want
 
 
 def test_plan_summary_and_rejects(spark):
@@ -141,14 +174,12 @@ def test_incremental_stream_only_new_files(spark, mixed_lake, tmp_path):
     assert ingest.run_once(spark, mixed_lake, schema, sink, ckpt) in (55, 56)
     assert spark.read.parquet(sink).count() == 55
     assert ingest.run_once(spark, mixed_lake, schema, sink, ckpt) == 0
-    write_gz(tmp_path / "claim_raw_v1-1" / "report_date=2018-07-31" / "d.csv.gz", HEADER + "\n" + rows(4, 900))
+    write_gz(tmp_path / "tide_v1-1" / "report_date=2018-07-31" / "d.csv.gz", HEADER + "\n" + rows(4, 900))
     assert ingest.run_once(spark, mixed_lake, schema, sink, ckpt) == 4
     assert spark.read.parquet(sink).count() == 59
 
 
 def test_on_error_fail_and_strict_catalog(spark, tmp_path):
-    from reportlake.operators import catalog as C
-
     body = "".join(f"{i}\n" for i in range(40)) + "not-a-number\n"
     write_gz(tmp_path / "f" / "x.csv.gz", "n\n" + body)
     root = str(tmp_path / "f")
@@ -186,29 +217,65 @@ def test_file_layouts_one_column_and_quoted_title(spark, tmp_path):
     assert q["first_fields"] == 1 and q["has_title"] and q["header_line"] == "A,B"
 
 
-def test_upload_lands_only_new_files_under_their_name_dates(spark, tmp_path):
-    from reportlake.operators import catalog as C
-    from reportlake.sources.specs import SourceSpec
-
-    land_dir = tmp_path / "landing"
-    write_gz(land_dir / "YouTube_Brand_M_202306_claim_raw.csv.gz", HEADER + "\n" + rows(10))
-    write_gz(land_dir / "YouTube_Brand_M_20230715_claim_raw.csv.gz", "Title\n" + HEADER + "\n" + rows(7, 50))
-    write_gz(land_dir / "sub" / "YouTube_Other_M_202306_claim_raw.csv.gz", HEADER + "\n" + rows(3, 90))
-    (land_dir / "YouTube_Brand_M_202308_claim_raw.csv").write_text(HEADER + "\n" + rows(2))  # dated, not gzip: rejected
-    spec = SourceSpec("claim_raw", "claim_raw", regex_pattern=r"YouTube_(.+)_M_(\d{8}|\d{6})",
-                      regex_group_names=("content_owner", "file_date_key"), storage_folder_name="reports/claim_raw")
-    cat = C.build_catalog(C.list_files(spark, str(land_dir)), [spec])
-    lake = str(tmp_path / "lake")
-    first = L.upload(spark, cat.where(F.col("content_owner") == "Brand"), lake).collect()
-    assert [(r["files"], r["rows"]) for r in first] == [(2, 17)]
-    second = L.upload(spark, cat, lake).collect()
-    assert [(r["files"], r["rows"]) for r in second] == [(1, 3)]
-    landed = L.read_landed(spark, f"{lake}/reports/claim_raw")
-    got = {str(r[0]): r[1] for r in landed.groupBy("report_date").count().collect()}
-    assert got == {"2023-06-30": 13, "2023-07-31": 7}
-    summary = {r["load_id"]: r for r in L.throughput(L.read_log(spark, lake)).collect()}
-    assert sorted((r["files"], r["ok"], r["failed"]) for r in summary.values()) == [(1, 1, 0), (2, 2, 0)]
-    assert all(r["total_mb"] is not None and r["mb_per_s"] >= 0 for r in summary.values())
+def test_file_layouts_go_by_the_second_line(spark, tmp_path):
+    write_gz(tmp_path / "p" / "late.csv.gz", "only\n1\n2,3\n")
+    write_gz(tmp_path / "p" / "blank.csv.gz", "\nTitle\n\nA,B\n1,2\n")
+    lay = {r["file_path"].rsplit("/", 1)[-1]: r for r in csvlake.file_layouts(spark, str(tmp_path / "p")).collect()}
+    assert (lay["late.csv.gz"]["has_title"], lay["late.csv.gz"]["header_line"]) == (False, "only")
+    assert (lay["blank.csv.gz"]["has_title"], lay["blank.csv.gz"]["header_line"]) == (True, "A,B")
+
+
+SHAPE = r"(\d{8}|\d{6})\.([^.]+)\.tide"
+TIDE = SourceSpec("tide", "tide", regex_pattern=SHAPE, regex_group_names=("file_date_key", "content_owner"), storage_folder_name="sea/tide")
+
+
+def uploaded(spark, landing, lake, **options):
+    cat = C.build_catalog(C.list_files(spark, str(landing)), [TIDE, SourceSpec("loose", "loose", storage_folder_name="sea/loose")])
+    (L.upload(spark, cat, lake, **options)).collect()
+    return {(r["file_name"], r["status"], r["rows"]) for r in L.read_log(spark, lake).collect()}
+
+
+def test_upload_accounts_for_every_file(spark, tmp_path):
+    land_dir, lake = tmp_path / "landing", str(tmp_path / "lake")
+    write_gz(land_dir / "202306.North Pier.tide.csv.gz", HEADER + "\n" + rows(10))
+    write_gz(land_dir / "20230715.50%+.tide.csv.gz", "Title\n" + HEADER + "\n" + rows(7, 50))
+    write_gz(land_dir / "deep" / "202306.Süd#1.tide.csv.gz", HEADER + "\n" + rows(3, 90))
+    write_gz(land_dir / "deep" / "202306.North Pier.tide.csv.gz", HEADER + "\n" + rows(10))  # same bare name
+    write_gz(land_dir / "202307.head.tide.csv.gz", HEADER + "\n")
+    write_gz(land_dir / "202307.none.tide.csv.gz", "")
+    write_gz(land_dir / "202305.drift.tide.csv.gz", "Date,Extra,Asset ID\n2023-05-01,e,A1\n")
+    write_gz(land_dir / "202304.other.tide.csv.gz", "Alpha,Beta\n1,2\n")
+    (land_dir / "202308.plain.tide.csv").write_text(HEADER + "\n" + rows(2))
+    (land_dir / "202308.broken.tide.csv.gz").write_bytes(gzip.compress((HEADER + "\n" + rows(5000)).encode())[:-900])
+    (land_dir / "loose.csv").write_text("k,v\n1,2\n3,4\n")
+    write_gz(land_dir / "202313.late.tide.csv.gz", HEADER + "\n" + rows(1))
+    log = uploaded(spark, land_dir, lake)
+    assert log == {
+        ("202306.North Pier.tide.csv.gz", "ok", 10), ("20230715.50%+.tide.csv.gz", "ok", 7), ("202306.Süd#1.tide.csv.gz", "ok", 3),
+        ("202306.North Pier.tide.csv.gz", "duplicate", 0), ("202307.head.tide.csv.gz", "ok", 0), ("202307.none.tide.csv.gz", "ok", 0),
+        ("202305.drift.tide.csv.gz", "ok", 1), ("202304.other.tide.csv.gz", "quarantined", 0), ("202308.plain.tide.csv", "rejected", 0),
+        ("202308.broken.tide.csv.gz", "failed", 0), ("loose.csv", "ok", 2), ("202313.late.tide.csv.gz", "rejected", 0),
+    }
+    tide = L.committed(spark, L.read_landed(spark, f"{lake}/sea/tide"), lake)
+    assert by_date(tide) == {"2023-06-30": 13, "2023-07-31": 7, "2023-05-31": 1}
+    assert [r["extra"] for r in tide.where("extra IS NOT NULL").collect()] == ["e"]
+    loose = L.read_landed(spark, f"{lake}/sea/loose")
+    assert [tuple(r) for r in loose.select("k", "v", "report_date").orderBy("k").collect()] == [("1", "2", None), ("3", "4", None)]
+    again = uploaded(spark, land_dir, lake) - log
+    assert {s for _, s, _ in again} == {"skipped"} and len(again) == 7
+    summary = L.throughput(L.read_log(spark, lake)).collect()
+    assert all(r["mb_per_s"] >= 0 for r in summary)
+
+
+def test_upload_replaces_a_redelivered_file_only(spark, tmp_path):
+    land_dir, lake = tmp_path / "landing", str(tmp_path / "lake")
+    write_gz(land_dir / "202306.a.tide.csv.gz", HEADER + "\n" + rows(5))
+    write_gz(land_dir / "202306.b.tide.csv.gz", HEADER + "\n" + rows(3))
+    uploaded(spark, land_dir, lake, mode="replace")
+    write_gz(land_dir / "202306.b.tide.csv.gz", HEADER + "\n" + rows(4, 70))
+    log = uploaded(spark, land_dir, lake, mode="replace")
+    assert ("202306.a.tide.csv.gz", "skipped", 0) in log and ("202306.b.tide.csv.gz", "ok", 4) in log
+    assert by_date(L.committed(spark, L.read_landed(spark, f"{lake}/sea/tide"), lake)) == {"2023-06-30": 9}
 
 
 def test_sample_rows_from_newest_file(spark, tmp_path):
@@ -220,16 +287,10 @@ def test_sample_rows_from_newest_file(spark, tmp_path):
     assert [r["asset_id"] for r in sample] == [f"A{i}" for i in range(1000, 1100)]
 
 
-def test_upload_header_audit_quarantines_foreign_headers(spark, tmp_path):
-    from reportlake.operators import catalog as C
-    from reportlake.sources.specs import SourceSpec
-
-    land_dir = tmp_path / "landing2"
-    write_gz(land_dir / "YouTube_A_M_202305_claim_raw.csv.gz", HEADER + "\n" + rows(4))
-    write_gz(land_dir / "YouTube_A_M_202306_claim_raw.csv.gz", "Title\n" + HEADER + "\n" + rows(5, 10))
-    write_gz(land_dir / "YouTube_A_M_202304_claim_raw.csv.gz", "Title\nAsset ID,Views,Date\n" + rows(3, 20))
-    spec = SourceSpec("claim_raw", "claim_raw", regex_pattern=r"YouTube_(.+)_M_(\d{8}|\d{6})",
-                      regex_group_names=("content_owner", "file_date_key"), storage_folder_name="reports/claim_raw")
-    cat = C.build_catalog(C.list_files(spark, str(land_dir)), [spec])
-    res = L.upload(spark, cat, str(tmp_path / "lake3"), audit_headers=True).collect()
-    assert [(r["files"], r["rows"], r["quarantined"]) for r in res] == [(2, 9, 1)]
+def test_strict_uploads_quarantine_any_other_header(spark, tmp_path):
+    land_dir, lake = tmp_path / "landing2", str(tmp_path / "lake3")
+    write_gz(land_dir / "202305.a.tide.csv.gz", HEADER + "\n" + rows(4))
+    write_gz(land_dir / "202306.a.tide.csv.gz", "Title\n" + HEADER + "\n" + rows(5, 10))
+    write_gz(land_dir / "202304.a.tide.csv.gz", "Title\nAsset ID,Views,Date\n" + rows(3, 20))
+    log = uploaded(spark, land_dir, lake, on_drift="quarantine")
+    assert {(n[:6], s, r) for n, s, r in log} == {("202305", "ok", 4), ("202306", "ok", 5), ("202304", "quarantined", 0)}

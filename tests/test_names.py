@@ -1,8 +1,10 @@
-"""Name, date, size and folder expressions (reference metadata and naming tests)."""
+"""Name, date, size and folder expressions on names put together from their parts."""
 
+import calendar
 import datetime as dt
+import itertools
+from decimal import ROUND_HALF_EVEN, Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import one_col
@@ -13,95 +15,69 @@ def col_values(df, expr):
     return [r[0] for r in df.select(expr).collect()]
 
 
-@pytest.mark.parametrize(
-    "name,version",
-    [
-        ("YouTube_BrandName_M_20230601_claim_raw_v1-1.csv.gz", "v1-1"),
-        ("data_v1_backup_v2.csv", "v1"),
-        ("data_file.csv", ""),
-        ("report_v12.csv", "v12"),
-        ("x_v3-10_y.csv", "v3-10"),
-        ("xv1.csv", ""),
-    ],
-)
-def test_file_version(spark, name, version):
-    assert col_values(one_col(spark, [name]), N.file_version("v")) == [version]
-
-
-def test_date_keys(spark):
-    keys = ["20230615", "202306", "202302", "202402", "20230231", "2023061", "19000101", "18991231", "21001231",
-            "20231301", "202300", None]
-    got = col_values(one_col(spark, keys), N.date_key_to_date("v"))
-    assert got == [
-        dt.date(2023, 6, 15), dt.date(2023, 6, 1), dt.date(2023, 2, 1), dt.date(2024, 2, 1), None, None,
-        dt.date(1900, 1, 1), None, dt.date(2100, 12, 31), None, None, None,
-    ]
-    errs = col_values(one_col(spark, keys), N.date_key_error("v"))
-    assert errs[:6] == [None, None, None, None, "date_key_invalid", "date_key_length"]
-    assert errs[-1] is None
-
-
-def test_month_end_leap_and_december(spark):
-    df = spark.createDataFrame([(dt.date(2023, 2, 3),), (dt.date(2024, 2, 3),), (dt.date(2023, 12, 1),)], "d date")
-    rows = df.select(N.month_end("d"), N.month_end_str("d"), N.month_end_key("d")).collect()
-    assert [tuple(r) for r in rows] == [
-        (dt.date(2023, 2, 28), "2023-02-28", 20230228),
-        (dt.date(2024, 2, 29), "2024-02-29", 20240229),
-        (dt.date(2023, 12, 31), "2023-12-31", 20231231),
-    ]
-
-
-def _py_size(size):
-    units = ["B", "KB", "MB", "GB", "TB", "PB"]
-    i, f = 0, float(size)
-    while f >= 1024.0 and i < len(units) - 1:
-        f /= 1024.0
-        i += 1
-    return f"{f:.2f} {units[i]}"
-
-
-def test_readable_size_matches_float_formatting(spark):
-    sizes = [0, 1, 1023, 1024, 1152, 1126, 2048, 2621440, 5242880, 3 * 1024**3 + 7, 7 * 1024**5 + 12345,
-             3 * 1024**6, 9 * 10**18] + [1024 * k + 5 * k for k in range(0, 4000, 37)]
-    got = col_values(one_col(spark, sizes, dtype="bigint"), N.readable_size("v"))
-    assert got == [_py_size(s) for s in sizes]
-    assert _py_size(1152) == "1.12 KB"  # tie rounds to even
-
-
-def test_folder_naming(spark):
-    df = spark.createDataFrame(
-        [("reports/claim_raw", "claim_raw", "v1-1"), ("reports/claim_raw", "claim_raw", ""), ("", "base", "v2"),
-         (None, "base", "")],
-        "folder string, base string, version string",
-    )
-    got = col_values(df, N.versioned_folder(N.folder_or_base("folder", "base"), "version"))
-    assert got == ["reports/claim_raw_v1-1", "reports/claim_raw", "base_v2", "base"]
-
-
-def test_table_names_and_uris(spark):
-    df = spark.createDataFrame([("claim_raw", "v1-1"), ("asset_raw", "")], "t string, v string")
-    assert col_values(df, N.warehouse_table_name("t", "v")) == ["claim_raw_v1_1", "asset_raw"]
-    uris = one_col(spark, ["gs://bucket/folder/year=*/month=*/file.csv.gz", "gs://b/f/*", "gs://b/x/report_date=*/*.csv.gz"])
-    assert col_values(uris, F.array_join(N.partition_columns("v"), ",")) == ["year,month", "", "report_date"]
-    # only the bucket prefix, a report_date part and a trailing wildcard file part are removed
-    assert col_values(uris, N.uri_folder("v", "gs://b/")) == [
-        "gs://bucket/folder/year=*/month=*/file.csv.gz", "f", "x"]
-
-
-def test_stored_folder_parts(spark):
-    paths = [
-        "reports-versioned/claim_raw_v1-1/report_date=2023-06-30/file.csv.gz",
-        "reports/claim_raw/file1.csv.gz",
-        "prefix/subfolder/report_date=2024-01-31/x.csv.gz",
-    ]
-    df = one_col(spark, paths)
-    folders = col_values(df, N.stored_folder("v"))
-    assert folders == ["reports-versioned/claim_raw_v1-1", "reports/claim_raw", "prefix/subfolder"]
-    assert col_values(df, N.folder_table(N.stored_folder("v"))) == ["claim_raw", "claim_raw", "subfolder"]
-    assert col_values(df, N.folder_version(N.stored_folder("v"))) == ["v1-1", "", ""]
-    assert col_values(df, N.is_partitioned_path("v")) == [True, False, True]
+def test_file_version_is_the_first_tag(spark):
+    tags = ["", "v3", "v0-12", "v44-0"]
+    made = [(f"harvest{'_' + a if a else ''}_north{'_' + b if b else ''}.csv.gz", a or b) for a, b in itertools.product(tags, tags)]
+    made += [("harvestv3.csv", ""), ("harvest_w3.csv", ""), ("harvest_v.csv", "")]
+    assert col_values(one_col(spark, [n for n, _ in made]), N.file_version("v")) == [v for _, v in made]
+
+
+def test_date_keys_by_the_calendar(spark):
+    keys, days = [], []
+    for year, month, day in itertools.product((1899, 1900, 1996, 2019, 2100, 2101), (0, 1, 2, 12, 13), (None, 0, 1, 28, 29, 30, 32)):
+        keys.append(f"{year:04d}{month:02d}" + ("" if day is None else f"{day:02d}"))
+        known = 1900 <= year <= 2100 and 1 <= month <= 12 and (day is None or 1 <= day <= calendar.monthrange(year, month)[1])
+        days.append(dt.date(year, month, day or 1) if known else None)
+    df = one_col(spark, keys)
+    assert col_values(df, N.date_key_to_date("v")) == days
+    assert [e is None for e in col_values(df, N.date_key_error("v"))] == [d is not None for d in days]
+    odd = one_col(spark, ["", "1", "19960", "1996010", "199601011", None])
+    assert col_values(odd, N.date_key_to_date("v")) == [None] * 6
+    assert col_values(odd, N.date_key_error("v"))[1:] == ["date_key_length"] * 4 + [None]
+
+
+def test_month_ends_of_four_years(spark):
+    days = [dt.date(y, m, 1 + (7 * m) % 27) for y in (1999, 2000, 2004, 2100) for m in range(1, 13)]
+    ends = [dt.date(d.year, d.month, calendar.monthrange(d.year, d.month)[1]) for d in days]
+    rows = one_col(spark, days, dtype="date").select(N.month_end("v"), N.month_end_str("v"), N.month_end_key("v")).collect()
+    assert [tuple(r) for r in rows] == [(e, e.isoformat(), int(e.strftime("%Y%m%d"))) for e in ends]
+
+
+def size_text(size):
+    """Two decimals of the largest unit that is not above the size, by exact arithmetic."""
+    power = min(max(size.bit_length() - 1, 0) // 10, 5)
+    shown = (Decimal(size) / Decimal(1 << (10 * power))).quantize(Decimal("0.01"), ROUND_HALF_EVEN)
+    return f"{shown} {'B KB MB GB TB PB'.split()[power]}"
+
+
+def test_readable_size_is_exact(spark):
+    sizes = [0, 1, 9 * 10**18] + [max(0, (m << (10 * p)) + d) for p in range(6) for m in (1, 3, 999, 1023) for d in (-1, 0, 1, 5 << max(0, 10 * p - 10))]
+    assert col_values(one_col(spark, sizes, dtype="bigint"), N.readable_size("v")) == [size_text(s) for s in sizes]
+
+
+def test_folders_tables_and_uris(spark):
+    made = [(folder, base, version) for folder in ("barn/grain", "grain", "", None) for base in ("grain", "seed_corn") for version in ("", "v2", "v2-7")]
+    df = spark.createDataFrame(made, "folder string, base string, version string")
+    want = [(f or b) + (f"_{v}" if v else "") for f, b, v in made]
+    assert col_values(df, N.versioned_folder(N.folder_or_base("folder", "base"), "version")) == want
+    assert col_values(df, N.warehouse_table_name("base", "version")) == [b + (f"_{v.replace('-', '_')}" if v else "") for _, b, v in made]
+    keys = [[], ["season"], ["season", "field"], ["report_date"]]
+    uris = one_col(spark, ["gs://farm/grain/" + "".join(f"{k}=*/" for k in ks) + "*.csv.gz" for ks in keys])
+    assert col_values(uris, F.array_join(N.partition_columns("v"), ",")) == [",".join(k) for k in keys]
+    assert col_values(one_col(spark, ["gs://farm/grain/report_date=*/*.csv.gz", "gs://farm/barn/hay/*"]), N.uri_folder("v", "gs://farm/")) == ["grain", "barn/hay"]
+
+
+def test_stored_paths_come_apart(spark):
+    made = [(parent, table, version, day) for parent in ("", "barn/", "barn/old/") for table in ("grain", "seed_corn") for version in ("", "v1", "v8-2") for day in (None, "2011-11-30")]
+    tag = lambda v: f"_{v}" if v else ""
+    df = one_col(spark, [f"{p}{t}{tag(v)}/" + (f"report_date={d}/" if d else "") + "file-1.csv.gz" for p, t, v, d in made])
+    folder = N.stored_folder("v")
+    assert col_values(df, folder) == [f"{p}{t}{tag(v)}" for p, t, v, _ in made]
+    assert col_values(df, N.folder_table(folder)) == [t for _, t, _, _ in made]
+    assert col_values(df, N.folder_version(folder)) == [v for _, _, v, _ in made]
+    assert col_values(df, N.is_partitioned_path("v")) == [d is not None for *_, d in made]
 
 
 def test_destination_path(spark):
-    df = spark.createDataFrame([("f", "2023-06-30", "a.csv.gz"), ("f", None, "b.csv")], "f string, d string, n string")
-    assert col_values(df, N.destination_path("f", "d", "n")) == ["f/report_date=2023-06-30/a.csv.gz", "f/b.csv"]
+    df = spark.createDataFrame([("grain", "2011-11-30", "x.csv.gz"), ("grain", None, "y.csv")], "f string, d string, n string")
+    assert col_values(df, N.destination_path("f", "d", "n")) == ["grain/report_date=2011-11-30/x.csv.gz", "grain/y.csv"]

@@ -2,6 +2,10 @@
 
 import gzip
 
+import pytest
+from pyspark.sql import functions as F
+
+from reportlake.operators import load as L
 from reportlake.operators import tables as T
 
 
@@ -14,10 +18,10 @@ def write_gz(path, text):
 def build_store(root):
     hdr = "Asset ID,Views,Revenue (USD),Date"
     body = lambda a, n: "".join(f"A{i},{i},{i}.25,2023-06-{(i % 28) + 1:02d}\n" for i in range(a, a + n))
-    write_gz(root / "reports" / "claim_raw_v1-1" / "report_date=2023-05-31" / "a.csv.gz", hdr + "\n" + body(0, 30))
-    write_gz(root / "reports" / "claim_raw_v1-1" / "report_date=2023-06-30" / "b.csv.gz",
+    write_gz(root / "reports" / "tide_v1-1" / "report_date=2023-05-31" / "a.csv.gz", hdr + "\n" + body(0, 30))
+    write_gz(root / "reports" / "tide_v1-1" / "report_date=2023-06-30" / "b.csv.gz",
              "Title\n" + hdr + "\n" + body(30, 20))
-    write_gz(root / "reports" / "asset_raw" / "flat.csv.gz", hdr + "\n" + body(100, 15))
+    write_gz(root / "reports" / "wind" / "flat.csv.gz", hdr + "\n" + body(100, 15))
     return str(root)
 
 
@@ -25,38 +29,72 @@ def test_publish_query_list_drop_republish(spark, tmp_path):
     store = build_store(tmp_path)
     spark.sql("CREATE DATABASE IF NOT EXISTS t_life")
     res = {r["table_name"]: r for r in T.publish_missing(spark, store, database="t_life", scope="all_rows").collect()}
-    assert set(res) == {"claim_raw_v1_1", "asset_raw"} and all(r["ok"] for r in res.values())
+    assert set(res) == {"tide_v1_1", "wind"} and all(r["ok"] for r in res.values())
     # second run: nothing missing any more
     assert T.publish_missing(spark, store, database="t_life").count() == 0
-    assert T.table_exists(spark, "t_life.claim_raw_v1_1")
+    assert T.table_exists(spark, "t_life.tide_v1_1")
 
-    q = spark.sql("SELECT report_date, count(*) n, sum(views) v FROM t_life.claim_raw_v1_1 GROUP BY report_date")
+    q = spark.sql("SELECT report_date, count(*) n, sum(views) v FROM t_life.tide_v1_1 GROUP BY report_date")
     got = {str(r["report_date"]): (r["n"], r["v"]) for r in q.collect()}
     assert got == {"2023-05-31": (30, sum(range(30))), "2023-06-30": (20, sum(range(30, 50)))}
-    types = dict(spark.table("t_life.claim_raw_v1_1").dtypes)
+    types = dict(spark.table("t_life.tide_v1_1").dtypes)
     assert types["views"] == "bigint" and types["revenue__usd"] == "decimal(38,18)" and types["date"] == "date"
-    assert spark.table("t_life.asset_raw").count() == 15
+    assert spark.table("t_life.wind").count() == 15
 
     listed = {r["table_name"]: r for r in T.list_tables(spark, "t_life").collect()}
-    assert listed["claim_raw_v1_1"]["is_partitioned"] and listed["claim_raw_v1_1"]["partition_columns"] == "report_date"
-    assert not listed["asset_raw"]["is_partitioned"]
-    assert listed["asset_raw"]["created"]
+    assert listed["tide_v1_1"]["is_partitioned"] and listed["tide_v1_1"]["partition_columns"] == "report_date"
+    assert not listed["wind"]["is_partitioned"]
+    assert listed["wind"]["created"]
 
-    plan = T.drop_tables(spark, ["asset_raw"], database="t_life").collect()
-    assert [(r["table_name"], r["action"]) for r in plan] == [("asset_raw", "would_drop")]
-    assert T.table_exists(spark, "t_life.asset_raw")
+    plan = T.drop_tables(spark, ["wind"], database="t_life").collect()
+    assert [(r["table_name"], r["action"]) for r in plan] == [("wind", "would_drop")]
+    assert T.table_exists(spark, "t_life.wind")
 
-    again = T.republish(spark, ["claim_raw_v1_1"], database="t_life", scope="all_rows").collect()
-    assert again[0]["ok"] and spark.table("t_life.claim_raw_v1_1").count() == 50
+    again = T.republish(spark, ["tide_v1_1"], database="t_life", scope="all_rows").collect()
+    assert again[0]["ok"] and spark.table("t_life.tide_v1_1").count() == 50
 
     T.drop_tables(spark, None, database="t_life", dry_run=False)
-    assert not T.table_exists(spark, "t_life.asset_raw") and not T.table_exists(spark, "t_life.claim_raw_v1_1")
-    assert (tmp_path / "reports" / "asset_raw" / "flat.csv.gz").exists()  # files stay
+    assert not T.table_exists(spark, "t_life.wind") and not T.table_exists(spark, "t_life.tide_v1_1")
+    assert (tmp_path / "reports" / "wind" / "flat.csv.gz").exists()  # files stay
 
 
 def test_create_conflict_returns_false(spark, tmp_path):
     store = build_store(tmp_path)
-    folder = f"{store}/reports/asset_raw"
+    folder = f"{store}/reports/wind"
     spark.sql("CREATE DATABASE IF NOT EXISTS t_conf")
     assert T.create_table(spark, "t_conf.x", folder)
     assert not T.create_table(spark, "t_conf.x", folder)
+
+
+def landed(spark, lake, day, n, first=0):
+    rows = spark.createDataFrame([(str(first + i), f"{i}.5") for i in range(n)], "key string, height string")
+    return L.land(spark, rows.withColumn("src_file", F.lit(f"file:/{day}")).withColumn("report_date", F.lit(day).cast("date")), lake, "tide")
+
+
+def test_tables_follow_later_loads_and_hide_crashed_ones(spark, tmp_path, monkeypatch):
+    lake = str(tmp_path / "lake")
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_follow")
+    landed(spark, lake, "2020-01-31", 20)
+    T.publish_missing(spark, lake, database="t_follow").collect()
+    counted = lambda: spark.sql("SELECT count(*) FROM t_follow.tide").first()[0]
+    assert counted() == 20
+    landed(spark, lake, "2020-02-29", 7)
+    T.publish_missing(spark, lake, database="t_follow").collect()
+    assert counted() == 27
+    with monkeypatch.context() as m:
+        m.setattr(L, "append_log", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            landed(spark, lake, "2020-03-31", 5)
+    T.publish_missing(spark, lake, database="t_follow").collect()
+    assert counted() == 27
+    again = T.republish(spark, ["tide"], database="t_follow").collect()
+    assert again[0]["ok"] and counted() == 27
+
+
+def test_a_failed_republish_keeps_the_table(spark, tmp_path, monkeypatch):
+    store = build_store(tmp_path)
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_keep")
+    assert T.create_table(spark, "t_keep.wind", f"{store}/reports/wind")
+    monkeypatch.setattr(T, "typed_sql", lambda *a: "no_such_function(1)")
+    assert not T.republish(spark, ["wind"], database="t_keep").first()["ok"]
+    assert spark.table("t_keep.wind").count() == 15

@@ -32,6 +32,8 @@ SIZES = (1, 2, 3)
 SAMPLE_ROWS = 2400
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.02, 0.001
+#: Bytes of text whose n-grams are in memory at once (about 60 bytes for each).
+SLICE = 1 << 20
 #: Features are shares of a text, so they are small; this brings them near 1.
 SCALE = 10.0
 
@@ -135,7 +137,7 @@ def calibrate(logits: np.ndarray, labels: np.ndarray) -> float:
 def _document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches):
         totals, n = np.zeros(BUCKETS + 1, np.int64), 0
-        for batch in W.slices(batches):
+        for batch in W.slices(batches, most=SLICE):
             buckets, owner, _ = ngrams(batch.column("text"))
             totals[:-1] += np.bincount(_features(buckets, owner)[1], minlength=BUCKETS)
             n += batch.num_rows
@@ -164,7 +166,7 @@ def fit(training: DataFrame, text: str = "text", lang: str = "lang", sample_rows
     chosen = rows.where(place < share[F.col("lang")]).select("text", "lang", (F.pmod(F.xxhash64("lang", "text"), F.lit(5)) == 0).alias("calibration"))
 
     def features(batches):
-        for batch in W.slices(batches):
+        for batch in W.slices(batches, most=SLICE):
             buckets, owner, _ = ngrams(batch.column("text"))
             row, bucket, count = _features(buckets, owner)
             limits = np.searchsorted(row, np.arange(batch.num_rows + 1))
@@ -201,7 +203,7 @@ def predict(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: st
 
     def run(batches):
         m = shared.value
-        for batch in W.slices(batches):
+        for batch in W.slices(batches, most=SLICE):
             n, c = batch.num_rows, len(m.languages)
             buckets, owner, letter = ngrams(batch.column("text"))
             known = letter & (c > 0)
@@ -221,7 +223,7 @@ def accepted(documents: DataFrame, model: Model, text: str = "text", least_score
 
     def run(batches):
         m = shared.value
-        for batch in W.slices(batches, text):
+        for batch in W.slices(batches, text, SLICE):
             n, c = batch.num_rows, len(m.languages)
             if not c:
                 continue

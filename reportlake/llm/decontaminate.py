@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportlake.llm import words as W
+from reportlake.llm.shared import written
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
@@ -226,36 +227,38 @@ def match_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     """``doc_id``, n_words, hit word spans, the same spans in code points, item ids and the longest
     match of every document, one row each.
 
-    With more than one block a row is kept for each block and document until spans are merged by a
-    row number; one block needs no shuffle at all."""
+    With more than one block the rows are written under a number, by which the blocks' spans are
+    merged; one block needs no shuffle at all."""
     spark = documents.sparkSession
     rows = documents.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    blocks = item_blocks(items, item_id, item_text, window, block_words)
-    content = next(blocks)
-    found = _scan_block(rows, spark.sparkContext.broadcast(content), kind)
-    more = [_scan_block(rows, spark.sparkContext.broadcast(content), kind) for content in blocks]
-    for part in more:
-        found = found.unionByName(part)
-    return (_merge_blocks(found) if more else found).withColumnRenamed("id", doc_id)
+    blocks = [spark.sparkContext.broadcast(content) for content in item_blocks(items, item_id, item_text, window, block_words)]
+    if len(blocks) == 1:
+        return _scan_block(rows, blocks[0], kind).withColumnRenamed("id", doc_id)
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "decontaminate-rows")
+    rows = rows.select(F.struct("row", "id").alias("id"), "text")
+    found = _scan_block(rows, blocks[0], f"struct<row:bigint,id:{kind}>")
+    for block in blocks[1:]:
+        found = found.unionByName(_scan_block(rows, block, f"struct<row:bigint,id:{kind}>").where("size(spans) > 0"))
+    return _merge_blocks(found).withColumn("id", F.col("id.id")).withColumnRenamed("id", doc_id)
 
 
 def _merge_blocks(found: DataFrame) -> DataFrame:
-    """One row for each document id: spans of all blocks laid together. Rows that share an id are
-    taken for one document here (documents with one block of items stay row by row)."""
+    """One row for each id, which must be a row's own: spans of all blocks laid together as those of
+    one block are, by their words."""
+    both = F.transform(F.arrays_zip("spans", "chars"), lambda x: F.struct(x["spans"]["start"].alias("start"), x["spans"]["end"].alias("end"), x["chars"]["start"].alias("first"), x["chars"]["end"].alias("last")))
 
-    def union(name: str):
-        ordered = F.sort_array(F.flatten(F.collect_list(name)))
+    def add(acc, span):
+        last = F.element_at(acc, -1)
+        grow = (F.size(acc) > 0) & (span["start"] <= last["end"])
+        merged = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"), last["first"].alias("first"), F.greatest(last["last"], span["last"]).alias("last"))
+        return F.when(F.size(acc) == 0, F.array(span)).when(grow, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(merged))).otherwise(F.concat(acc, F.array(span)))
 
-        def add(acc, span):
-            last = F.element_at(acc, -1)
-            grow = (F.size(acc) > 0) & (span["start"] <= last["end"])
-            merged = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
-            return F.when(F.size(acc) == 0, F.array(span)).when(grow, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(merged))).otherwise(F.concat(acc, F.array(span)))
-
-        return F.aggregate(ordered, F.expr("CAST(array() AS array<struct<start:int,end:int>>)"), add).alias(name)
-
-    return found.groupBy("id").agg(F.max("n_words").alias("n_words"), union("spans"), union("chars"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("longest").alias("longest"))
+    merged = F.aggregate(F.sort_array(F.flatten(F.collect_list(both))), F.expr("CAST(array() AS array<struct<start:int,end:int,first:int,last:int>>)"), add)
+    out = found.groupBy("id").agg(F.max("n_words").alias("n_words"), merged.alias("both"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("longest").alias("longest"))
+    spans = F.transform("both", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+    chars = F.transform("both", lambda x: F.struct(x["first"].alias("start"), x["last"].alias("end")))
+    return out.select("id", "n_words", spans.alias("spans"), chars.alias("chars"), "items", "longest")
 
 
 def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -265,34 +268,55 @@ def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
 def remove_matches(documents: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, max_coverage: float = 0.8, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The same columns with hit spans cut out of ``text``; a document whose hit words are more
-    than ``max_coverage`` of its words goes. A cut leaves one blank. Null texts stay."""
+    than ``max_coverage`` of its words goes. A cut leaves one blank. Null texts stay.
+
+    With more than one block the spans of all of them are found in the original texts, written
+    under a row number, and merged before anything is cut."""
     spark = documents.sparkSession
     at, schema = documents.columns.index(text), documents.schema
-    out = documents
-    for content in item_blocks(items, item_id, item_text, window, block_words):
-        block = spark.sparkContext.broadcast(content)
-
-        def clean(batches, block=block):
-            content = block.value
-            automaton = Automaton(content["items"], content["window"])
-            for batch in W.slices(batches, text):
-                data, offsets = W.text_buffers(batch.column(at))
-                starts, ends, owner = W.word_spans(data, offsets, W.ALNUM)
-                n_words = np.bincount(owner, minlength=batch.num_rows)
-                hits: dict[int, list] = defaultdict(list)
-                for s, e, _, _ in _matches(W.word_hashes(data, starts, ends), owner, content, automaton):
-                    hits[int(owner[s])].append((s, e))
-                texts, keep = batch.column(at).to_pylist(), np.ones(batch.num_rows, bool)
-                for row, found in hits.items():
-                    merged = _merged(found)
-                    keep[row] = sum(e - s for s, e in merged) <= max_coverage * n_words[row]
-                    parts, over = [], int(offsets[row])
-                    for s, e in merged:
-                        parts += [data[over : starts[s]].tobytes(), b" "]
-                        over = int(ends[e - 1])
-                    texts[row] = b"".join([*parts, data[over : offsets[row + 1]].tobytes()]).decode()
-                columns = [pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(batch.num_columns)]
-                yield pa.RecordBatch.from_arrays(columns, names=list(batch.schema.names)).filter(pa.array(keep))
-
-        out = out.mapInArrow(clean, schema)
-    return out
+
+    def cut(batch, data, offsets, starts, ends, owner, hits):
+        """The batch's first columns, with merged word spans (counted over the slice) cut out."""
+        n_words = np.bincount(owner, minlength=batch.num_rows)
+        texts, keep = batch.column(at).to_pylist(), np.ones(batch.num_rows, bool)
+        for row, merged in hits.items():
+            keep[row] = sum(e - s for s, e in merged) <= max_coverage * n_words[row]
+            parts, over = [], int(offsets[row])
+            for s, e in merged:
+                parts += [data[over : starts[s]].tobytes(), b" "]
+                over = int(ends[e - 1])
+            texts[row] = b"".join([*parts, data[over : offsets[row + 1]].tobytes()]).decode()
+        columns = [pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(len(schema))]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array(keep))
+
+    def clean(batches):
+        content = blocks[0].value
+        automaton = Automaton(content["items"], content["window"])
+        for batch in W.slices(batches, text):
+            data, offsets = W.text_buffers(batch.column(at))
+            starts, ends, owner = W.word_spans(data, offsets, W.ALNUM)
+            hits: dict[int, list] = defaultdict(list)
+            for s, e, _, _ in _matches(W.word_hashes(data, starts, ends), owner, content, automaton):
+                hits[int(owner[s])].append((s, e))
+            yield cut(batch, data, offsets, starts, ends, owner, {row: _merged(found) for row, found in hits.items()})
+
+    def clean_given(batches):
+        for batch in W.slices(batches, text):
+            data, offsets = W.text_buffers(batch.column(at))
+            starts, ends, owner = W.word_spans(data, offsets, W.ALNUM)
+            first = np.searchsorted(owner, np.arange(batch.num_rows))
+            hits = {row: [(int(first[row]) + x["start"], int(first[row]) + x["end"]) for x in spans] for row, spans in enumerate(batch.column(len(schema)).to_pylist()) if spans}
+            yield cut(batch, data, offsets, starts, ends, owner, hits)
+
+    blocks = [spark.sparkContext.broadcast(content) for content in item_blocks(items, item_id, item_text, window, block_words)]
+    if len(blocks) == 1:
+        return documents.mapInArrow(clean, schema)
+    number, spans = "decontaminate_row", "decontaminate_spans"
+    numbered = written(documents.withColumn(number, F.monotonically_increasing_id()), "decontaminate-rows")
+    rows = numbered.select(F.col(number).alias("id"), F.col(text).cast("string").alias("text"))
+    found = None
+    for block in blocks:
+        part = _scan_block(rows, block, "bigint").where("size(spans) > 0")
+        found = part if found is None else found.unionByName(part)
+    found = _merge_blocks(found).select(F.col("id").alias(number), F.col("spans").alias(spans))
+    return numbered.join(found, number, "left").select(*documents.columns, spans).mapInArrow(clean_given, schema)

@@ -75,3 +75,18 @@ def test_automaton_tracks_the_longest_match():
         state, matched = automaton.advance(state, matched, word)
         lengths.append(matched)
     assert lengths == [1, 2, 3, 1, 2, 3, 4, 0, 1, 2, 3, 4, 3]
+
+
+def test_blocks_change_nothing(spark):
+    """Repeated and null ids, spans that touch or overlap, and coverage summed over the blocks."""
+    words = [f"v{k}" for k in range(60)]
+    items = spark.createDataFrame([(k, " ".join(words[a : a + 14])) for k, a in enumerate(range(0, 46, 5))] + [(90, "lone item"), (91, "item here")], "item_id long, text string")
+    most = " ".join(words[:10] + words[20:30]) + " x y z"  # 20 of 23 words, no item of them has more than 10
+    rows = [(1, most), (1, "a lone item here b"), (1, "clean"), (None, "lone item"), (None, " ".join(["p"] * 30 + words)), (None, None), (2, ""), (3, " ".join(["q r s"] * 20 + words[3:40] + ["t"]))]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    listed = lambda frame: sorted(map(str, frame.collect()))
+    for each in (D.match_items, D.remove_matches):
+        whole, parts = listed(each(documents, items)), listed(each(documents, items, block_words=4))
+        assert parts == whole
+    assert len(listed(D.match_items(documents, items, block_words=4))) == len(rows)
+    assert not any("v1" in str(r) for r in D.remove_matches(documents, items, block_words=4).collect())

@@ -32,7 +32,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_small():
     return SF_SMALL
-
-
-def one_col(spark, values, name="v", dtype="string"):
-    return spark.createDataFrame([(v,) for v in values], f"{name} {dtype}")

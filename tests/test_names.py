@@ -7,7 +7,7 @@ from decimal import ROUND_HALF_EVEN, Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import one_col
+from frames import one_col
 from reportlake.functions import names as N
 
 

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import one_col
+from frames import one_col
 from reportlake.functions import paths as P
 
 

@@ -7,7 +7,7 @@ import string
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import one_col
+from frames import one_col
 from reportlake.functions import values as V
 from reportlake.operators import infer
 

@@ -12,7 +12,7 @@ The search takes the longest piece left and enumerates the undominated fillings
 (a filling is dominated if some pieces of it could be exchanged for one unused piece that takes at
 least their room and still fits). It follows each, for as many sequences as the counts allow and then
 for fewer; it turns back where the bound on waste shows that no fewer sequences can come of it; and
-it completes each state by best fit, whose result becomes the incumbent if it needs fewer sequences.
+it completes states by best fit, whose result becomes the incumbent if it needs fewer sequences.
 It ends when the incumbent meets the bound, when all is enumerated, or after ``max_nodes`` states (at
 ``max_fillings`` fillings each): a limit on effort only, as every piece is packed by any incumbent.
 
@@ -45,6 +45,8 @@ ROW_TOKENS = 2048
 END_ID = 0
 MAX_NODES = 1500
 MAX_FILLINGS = 256
+#: States of more than this many lengths are completed by best fit only every so many states.
+FEW_LENGTHS, BEST_FIT_EVERY = 64, 16
 
 Filling = tuple[tuple[int, int], ...]  # (length, copies), lengths falling
 
@@ -126,7 +128,9 @@ def fillings(counts: dict[int, int], room: int, most: int) -> list[list[tuple[in
     lengths = sorted((x for x in counts if x <= room), reverse=True)
     found: list[tuple[int, list[tuple[int, int]]]] = []
     looked = 0
-    least = lengths[-1] if lengths else 0
+    least, all_free = lengths[-1] if lengths else 0, 0
+    for length in lengths:
+        all_free |= 1 << length
     stack: list[tuple[int, int, list[tuple[int, int]]]] = [(0, room, [])]
     while stack and looked < most:
         at, left, chosen = stack.pop()
@@ -134,8 +138,9 @@ def fillings(counts: dict[int, int], room: int, most: int) -> list[list[tuple[in
             at += 1
         if at == len(lengths) or left < least:
             looked += 1
-            used = dict(chosen)
-            free = sum(1 << x for x in lengths if counts[x] > used.get(x, 0))
+            free = all_free
+            for length, copies in chosen:
+                free &= ~(int(counts[length] == copies) << length)
             if not free & ((2 << left) - 1) and not dominated(chosen, left, free):
                 found.append((left, chosen))
             continue
@@ -190,9 +195,10 @@ def bin_completion(counts: dict[int, int], capacity: int, max_nodes: int = MAX_N
             continue
         seen[key] = now
         path.append(step)
-        rest_fit = best_fit(after, capacity)
-        if (total := now + sum(n for _, n in rest_fit)) < fewest:
-            fewest, best = total, [*path, *rest_fit]
+        if len(after) <= FEW_LENGTHS or nodes % BEST_FIT_EVERY == 1:
+            rest_fit = best_fit(after, capacity)
+            if (total := now + sum(n for _, n in rest_fit)) < fewest:
+                fewest, best = total, [*path, *rest_fit]
         if after and now + needed(after, capacity) < fewest:
             states.append((after, now, branches(after)))
         else:

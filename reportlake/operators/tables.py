@@ -108,6 +108,8 @@ def create_table(
         spark.sql(f"CREATE TABLE {_q(raw)} USING csv OPTIONS ({opts}, inferSchema 'true')")
         spark.sql(f"CREATE VIEW {_q(name)} AS SELECT * FROM {_q(raw)}")
         return True
+    if len({tuple(layout.columns) for layout in schema.head.layouts}) > 1:
+        raise ValueError(f"the files of {folder} have {len(schema.head.layouts)} headers and a catalog table reads by position; land them first")
     cols = ", ".join(f"`{c}` STRING" for c in schema.columns)
     spark.sql(f"CREATE TABLE {_q(raw)} ({cols}{part_col}) USING csv OPTIONS ({opts}){part_by}")
     if parts:
@@ -116,7 +118,8 @@ def create_table(
     header_row = " AND ".join(f"`{c}` <=> {_lit(v)}" for c, v in zip(schema.columns, cells))
     select = ", ".join(f"{typed_sql(c, t)} AS `{c}`" for c, t in zip(schema.columns, schema.types))
     select += "".join(f", `{k}`" for k in parts)
-    source = f"(SELECT * FROM {_q(raw)} WHERE NOT ({header_row}))"
+    titled = any(layout.n_titled for layout in schema.head.layouts)
+    source = f"(SELECT * FROM {_q(raw)} WHERE NOT ({header_row}))" if titled else _q(raw)
     log = _log_of(spark, folder) if "load_id" in parts else None
     if log:
         newest = f"SELECT max(struct(finished_at, load_id, src_file)) AS e FROM parquet.`{log}` WHERE status = 'ok' GROUP BY storage_folder_name, file_name, report_date"

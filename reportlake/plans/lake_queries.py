@@ -122,12 +122,12 @@ def lake_scan_mixed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title row detection per file, summarised per partition."""
     root = _lake(spark, sf_dir, "orders")
-    lay = csvlake.file_layouts(spark, root)
+    heads = csvlake.file_heads(spark, root)
     rd = F.to_date(F.regexp_extract("file_path", "report_date=([0-9-]+)/", 1))
-    return lay.groupBy(rd.alias("report_date")).agg(
+    return heads.groupBy(rd.alias("report_date")).agg(
         F.bool_and("has_title").alias("titled"),
-        F.count_distinct("header_line").alias("header_variants"),
-        F.max("first_fields").alias("first_fields"),
+        F.count_distinct("header").alias("header_variants"),
+        F.max(F.when(F.col("has_title"), 1).otherwise(F.size("header"))).cast("bigint").alias("first_fields"),
     )
 
 
@@ -139,15 +139,10 @@ def file_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header row of every file (below a title when present) and its normalised names."""
-    from reportlake.functions import values as V
-
-    root = _lake(spark, sf_dir, "orders")
-    lay = csvlake.file_layouts(spark, root)
+    heads = csvlake.file_heads(spark, _lake(spark, sf_dir, "orders"))
     folder = F.regexp_extract("file_path", "(report_date=[0-9-]+)/", 1)
-    cells = F.split("header_line", ",")
-    return lay.groupBy("header_line").agg(F.count_distinct(folder).alias("n_folders")).select(
-        "header_line", F.array_join(V.normalize_names(cells), ",").alias("columns"), "n_folders"
-    )
+    found = heads.groupBy("header", "columns").agg(F.count_distinct(folder).alias("n_folders"))
+    return found.select(F.array_join("header", ",").alias("header_line"), F.array_join("columns", ",").alias("columns"), "n_folders")
 
 
 @register(

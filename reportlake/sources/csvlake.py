@@ -1,10 +1,11 @@
 """Reading report lakes: gzip CSV files under ``report_date=`` folders, with mixed layouts.
 
-Some files carry a one-cell title row above the header, some do not, and names
-do not tell them apart. One scan handles both per file: the reader drops line
-1 of every file (title or header), and a filter drops the header that is left
-under a title. The exact header comes from the first two lines of the newest
-file (a ``limit(2)`` that decompresses only the start of one file).
+Files of a lake need not agree: some carry a one-cell title row above the header, some do not,
+columns may change their order or number, and names do not tell. ``file_heads`` takes the header
+of every file from its first bytes, and ``read_raw`` reads all files in one scan: the reader drops
+record 1 of each file (title or header), record 2 goes where it is the header under a title (by its
+place, not by its value, so a data row equal to the header stays), and cells are mapped to columns by
+the names in their own file's header.
 
 gzip is not splittable, so parallelism is one task per file; partition
 filters on ``report_date`` prune whole folders before any file is opened.
@@ -13,15 +14,20 @@ filters on ``report_date`` prune whole folders before any file is opened.
 from __future__ import annotations
 
 import csv
+import io
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportlake.functions import names as N
 from reportlake.functions import values as V
+from reportlake.session import shared_dir
 
 GZ_GLOB = "*.csv.gz"
 SCHEMA_DIR = "_schema"  # beside landed data: its columns in order
@@ -31,16 +37,21 @@ CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "compression": "gzip
 
 
 @dataclass(frozen=True)
-class LakeHead:
-    newest_path: str
+class Layout:
     header: list[str]  # raw cells of the header row
-    has_title: bool
     columns: list[str]  # normalised, de-duplicated, never clashing with the partition key
-    header_line: str = ""  # the header row as raw text
+    n_files: int
+    n_titled: int
 
 
-def csv_cells(line: str) -> list[str]:
-    return next(csv.reader([line])) if line is not None else []
+@dataclass(frozen=True)
+class LakeHead:
+    newest_path: str
+    header: list[str]  # raw cells of the newest file's header row
+    has_title: bool
+    columns: list[str]  # of all files: the newest file's, then what other files have besides
+    layouts: tuple[Layout, ...] = ()  # one for each distinct header; none for folders landed by us
+    files: DataFrame | None = None  # file_path, has_title, header, columns of every file
 
 
 def plain_path(path: Column) -> Column:
@@ -67,64 +78,188 @@ def newest_file(spark: SparkSession, root: str, glob: str = GZ_GLOB) -> str | No
     return row["p"] if row else None
 
 
-def normalized_columns(spark: SparkSession, header: list[str]) -> list[str]:
-    """Header cells to column names by the same expression as any header column (one row); the
-    partition key stays reserved."""
-    cells = F.array(*[F.lit(c) for c in [N.PARTITION_KEY, *header]])
-    return spark.range(1).select(V.normalize_names(cells).alias("n")).first()["n"][1:]
-
-
 def folder_columns(spark: SparkSession, dest: str) -> list[str]:
     """The data columns of a folder that was landed by us, in order ([] for any other folder)."""
-    try:
-        kept = spark.read.schema("position int, column_name string").parquet(f"{dest}/{SCHEMA_DIR}")
-    except AnalysisException:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{dest}/{SCHEMA_DIR}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return []
+    kept = spark.read.schema("position int, column_name string").parquet(f"{dest}/{SCHEMA_DIR}")
     first = kept.groupBy("column_name").agg(F.min("position").alias("position"))
     return [r["column_name"] for r in first.orderBy("position", "column_name").collect()]  # one row a column
 
 
-def lake_head(spark: SparkSession, root: str, newest: str | None = None) -> LakeHead | None:
-    """Header and layout of the newest file, or the kept columns of a folder that was landed by us;
-    ``None`` when the folder has no file or it is empty."""
-    newest = newest or newest_file(spark, root)
+PREFIX = 64 << 10  # stored bytes that show the first two records of nearly every file
+CONTENT_LIMIT = (1 << 31) - 1  # a file of more is read as text lines
+HEAD_SCHEMA = "file_path string, has_title boolean, header array<string>, settled boolean, readable boolean"
+
+
+def _first_records(raw: bytes, complete: bool, packed: bool) -> tuple[list[list[str]], bool]:
+    """The first two records that aren't blank, and whether the bytes suffice to tell them."""
+    text, left = b"" if packed else raw, raw if packed else b""
+    while left:  # gzip members one after the other
+        member = zlib.decompressobj(31)
+        text += member.decompress(left)
+        left = member.unused_data
+    if not complete:
+        text = text[: text.rfind(b"\n") + 1]
+    lines = io.StringIO(text.decode("utf-8-sig", "replace"), newline="")
+    size = lines.seek(0, io.SEEK_END)
+    lines.seek(0)
+    found: list[list[str]] = []
+    for record in csv.reader(iter(lines.readline, "")):
+        if any(cell.strip() for cell in record):
+            found.append(record)
+        if len(found) == 2:
+            break
+    return found, complete or len(found) == 2 and lines.tell() < size
+
+
+def _heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    csv.field_size_limit(CONTENT_LIMIT)
+    for frame in frames:
+        out = []
+        for path, length, packed, start in zip(frame["file_path"], frame["length"], frame["packed"], frame["start"]):
+            try:
+                records, settled = _first_records(bytes(start), len(start) == length, packed)
+                readable = True
+            except (zlib.error, csv.Error):  # no header, as for an empty file
+                records, settled, readable = [], True, False
+            # A title is a one-cell first record above a real (multi-cell) header.
+            titled = len(records) == 2 and len(records[0]) == 1 and len(records[1]) > 1
+            out.append((path, titled, records[titled] if records else None, settled, readable))
+        yield pd.DataFrame(out, columns=["file_path", "has_title", "header", "settled", "readable"])
+
+
+def file_heads(spark: SparkSession, root: str | None, glob: str | None = GZ_GLOB, paths: list[str] | None = None, recursive: bool = False) -> DataFrame:
+    """(file_path, has_title, header, columns, readable) of every file, as a written table; header is
+    null where a file is empty or its start can't be read.
+
+    The stored bytes of each file are read, but only their first PREFIX go to Python and are
+    decompressed, the whole only of files whose first two records don't end there.
+    """
+    def reader(kind: str):
+        r = spark.read.format(kind)
+        if recursive:
+            r = r.option("recursiveFileLookup", "true")
+        if glob is not None and paths is None:
+            r = r.option("pathGlobFilter", glob)
+        return r
+
+    def start_of(files: DataFrame, most: int) -> DataFrame:
+        small = files.where(F.col("length") <= CONTENT_LIMIT)
+        return small.select(source_file().alias("file_path"), "length", source_file().endswith(".gz").alias("packed"), F.substring("content", 1, most).alias("start"))
+
+    where = [literal_path(p) for p in paths] if paths is not None else root
+    files = reader("binaryFile").load(where)
+    starts = start_of(files, PREFIX)
+    large = [r["p"] for r in files.where(F.col("length") > CONTENT_LIMIT).select(source_file().alias("p")).collect()]
+    if large:
+        lines = file_layouts(spark, None, paths=large)
+        shown = F.encode(F.concat("first_line", F.lit("\n"), F.when(F.col("has_title"), F.col("header_line")).otherwise("")), "UTF-8")
+        starts = starts.unionByName(lines.select("file_path", F.length(shown).cast("long").alias("length"), F.lit(False).alias("packed"), shown.alias("start")))
+    kept = shared_dir(spark, "file-heads")
+    starts.mapInPandas(_heads, HEAD_SCHEMA).write.parquet(f"{kept}/first")
+    heads = spark.read.schema(HEAD_SCHEMA).parquet(f"{kept}/first")
+    unsettled = [r["file_path"] for r in heads.where("NOT settled").select("file_path").collect()]
+    if unsettled:
+        whole = start_of(spark.read.format("binaryFile").load([literal_path(p) for p in unsettled]), CONTENT_LIMIT)
+        whole.mapInPandas(_heads, HEAD_SCHEMA).write.parquet(f"{kept}/whole")
+        heads = heads.where("settled").unionByName(spark.read.schema(HEAD_SCHEMA).parquet(f"{kept}/whole"))
+    named = V.normalize_names(F.concat(F.array(F.lit(N.PARTITION_KEY)), F.col("header")))
+    heads.select("file_path", "has_title", "header", F.when(F.col("header").isNotNull(), F.slice(named, 2, CONTENT_LIMIT)).alias("columns"), "readable").write.parquet(f"{kept}/named")
+    return spark.read.parquet(f"{kept}/named")
+
+
+def layouts_of(heads: DataFrame) -> tuple[Layout, ...]:
+    """The distinct headers of some files, the one of the greatest path first: one row a header."""
+    found = heads.where("header IS NOT NULL").groupBy("header", "columns").agg(
+        F.max("file_path").alias("last"), F.count(F.lit(1)).alias("n"), F.count_if("has_title").alias("titled"))
+    return tuple(Layout(r["header"], r["columns"], r["n"], r["titled"]) for r in found.orderBy(F.desc("last")).collect())
+
+
+def united(layouts: tuple[Layout, ...], known: list[str] | None = None) -> list[str]:
+    """The columns of all layouts, those known first, in the order of their first layout."""
+    return list(dict.fromkeys([*(known or []), *[c for layout in layouts for c in layout.columns]]))
+
+
+def lake_head(spark: SparkSession, root: str, glob: str = GZ_GLOB, recursive: bool = False) -> LakeHead | None:
+    """The headers of all files of a folder, or the kept columns of a folder that was landed by us;
+    ``None`` when the folder has no file or none has a header."""
+    newest = newest_file(spark, root, glob)
     if newest is None:
         return None
-    if root is not None and (known := folder_columns(spark, root)):
+    if known := folder_columns(spark, root):
         columns = ["src_file", *known]
-        return LakeHead(newest, columns, False, columns, ",".join(columns))
-    try:
-        shown = spark.read.text(literal_path(newest)).where(F.trim("value") != "")  # blank lines are no records
-        lines = [r["value"] for r in shown.limit(2).collect()]
-    except Exception:  # noqa: BLE001 - unreadable (e.g. corrupt gzip): no schema, as for an empty file
-        return None
-    if not lines:
+        return LakeHead(newest, columns, False, columns)
+    heads = file_heads(spark, root, glob, recursive=recursive)
+    layouts = layouts_of(heads)
+    if not layouts:
         return None
-    first = csv_cells(lines[0])
-    second = csv_cells(lines[1]) if len(lines) > 1 else None
-    # A title is a one-cell first row above a real (multi-cell) header.
-    has_title = len(first) == 1 and second is not None and len(second) > 1
-    header = second if has_title else first
-    raw_line = lines[1] if has_title else lines[0]
-    return LakeHead(newest, header, has_title, normalized_columns(spark, header), raw_line)
+    last = heads.where("header IS NOT NULL").agg(F.max(F.struct("file_path", "has_title")).alias("h")).first()["h"]
+    return LakeHead(last["file_path"], layouts[0].header, last["has_title"], united(layouts), layouts, heads)
 
 
 def _string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def header_row(head: LakeHead) -> Column:
-    """True for a row equal to the raw header (the one left under a title row).
+@F.pandas_udf(T.LongType())
+def _place_in_run(keys: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """0, 1, 2, ... for each run of equal keys; runs go on over batches. A scan gives the rows of a file
+    that isn't split one after the other, so this numbers the rows of each file. Only the key goes
+    to Python."""
+    last, count = None, 0
+    for some in keys:
+        values = some.to_numpy()
+        if not len(values):
+            yield pd.Series([], dtype="int64")
+            continue
+        new = np.flatnonzero(np.concatenate([[last is None or values[0] != last], values[1:] != values[:-1]]))
+        first = np.zeros(len(values), np.int64)
+        first[new] = new
+        place = np.arange(len(values)) - np.maximum.accumulate(first)
+        go_on = new[0] if len(new) else len(values)
+        place[:go_on] += count
+        last, count = values[-1], int(place[-1]) + 1
+        yield pd.Series(place)
 
-    A chain of null-safe equalities, first column first: almost every data row
-    is decided by one string comparison, and no struct is built per row.
+
+#: Bytes of a per-file table up to which it is sent to all tasks; beyond, the rows are joined with it.
+SENT_BYTES = 32 << 20
+
+
+def sent_if_small(files: DataFrame, key: str) -> DataFrame:
+    """A per-file table with a broadcast hint if its measured size allows it."""
+    size = files.agg(F.coalesce(F.sum(F.length(key) + F.lit(200)), F.lit(0)).alias("n")).first()["n"]
+    return F.broadcast(files) if size <= SENT_BYTES else files
+
+
+def by_name(rows: DataFrame, files: DataFrame, layouts: tuple[Layout, ...], columns: list[str], key: str, width: int, keep: list[str]) -> DataFrame:
+    """Rows of cells ``_c0``, ``_c1``, ... to the named ``columns`` of their own file's header.
+
+    ``files`` has ``key``, has_title and columns. Rows come without the first record of their file;
+    those of titled files also lose the next one, the header (place 0). Rows of files that ``files`` doesn't have are left
+    out. ``keep``: other columns of ``rows`` or ``files`` that stay.
     """
-    cells = list(head.header) + [None] * (len(head.columns) - len(head.header))
-    cond = None
-    for c, v in zip(head.columns, cells):
-        eq = F.col(c).eqNullSafe(F.lit(v).cast("string"))
-        cond = eq if cond is None else cond & eq
-    return cond
+    titled = any(layout.n_titled for layout in layouts)
+    drifted = any(layout.columns != columns for layout in layouts)
+    if titled and "_place" not in rows.columns:
+        rows = rows.withColumn("_place", _place_in_run(F.xxhash64(key)))
+    known = rows.columns
+    if titled or drifted or set(keep) - set(known):
+        places = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: F.array_position("columns", c).cast("int") - 1)
+        extra = [c for c in keep if c not in known]
+        rows = rows.join(sent_if_small(files.select(key, "has_title", places.alias("_places"), *extra), key), key)
+    stays = ~(F.col("has_title") & (F.col("_place") == 0)) if titled else None
+    cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
+    out = []
+    for k, c in enumerate(columns):
+        cell = F.get(cells, F.get("_places", F.lit(k))) if drifted else F.col(f"_c{k}")
+        # a row's cells depend on its place, so no filter on them moves below the numbering
+        out.append((F.when(stays, cell) if titled else cell).alias(c))
+    if titled:
+        rows = rows.where(stays)
+    return rows.select(*out, *keep)
 
 
 def read_raw(
@@ -135,30 +270,32 @@ def read_raw(
     with_source: bool = True,
     recursive: bool = False,
 ) -> DataFrame:
-    """All-STRING rows of every file under ``root``, titles and headers removed per file.
+    """All-STRING rows of every file under ``root``, titles and headers removed per file, cells by the
+    names of their own file's header (S11, S12).
 
-    Short rows give NULL cells, extra cells are dropped (PERMISSIVE). The
-    ``report_date`` partition column comes from the folder names.
+    Short rows give NULL cells, extra cells are dropped (PERMISSIVE). The ``report_date`` partition
+    column comes from the folder names, and filters on it prune folders.
     """
-    reader = (
-        spark.read.schema(_string_schema(head.columns)).options(**CSV_READ).option("pathGlobFilter", glob)
-    )
+    reader = spark.read.options(**CSV_READ).option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    df = reader.csv(root).where(~header_row(head))
-    if with_source and "src_file" not in head.columns:
-        df = df.withColumn("src_file", source_file())
-    return df
-
-
-def read_files(spark: SparkSession, paths: list[str], header: list[str], columns: list[str], titled: bool) -> DataFrame:
-    """Rows of the given files of one layout, all STRING, with ``src_file``. The reader drops line 1; the
-    header that is left under a title is dropped only in titled files, so no data row equal to the
-    header is lost elsewhere."""
-    df = spark.read.schema(_string_schema(columns)).options(**CSV_READ).csv([literal_path(p) for p in paths])
-    if titled:
-        df = df.where(~header_row(LakeHead("", header, True, columns)))
-    return df.withColumn("src_file", source_file())
+    if not head.layouts:  # landed by us: one order of columns, no titles
+        df = reader.schema(_string_schema(head.columns)).csv(root)
+        return df.withColumn("src_file", source_file()) if with_source and "src_file" not in head.columns else df
+    width = max(len(layout.columns) for layout in head.layouts)
+    rows = reader.schema(_string_schema([f"_c{i}" for i in range(width)])).csv(literal_path(root) if root == head.newest_path else root)
+    others = [c for c in rows.columns if not c.startswith("_c")]
+    rows = rows.withColumn("file_path", source_file())
+    df = by_name(rows, head.files, head.layouts, head.columns, "file_path", width, [*others, "file_path"])
+    return df.withColumnRenamed("file_path", "src_file") if with_source else df.drop("file_path")
+
+
+def read_files(spark: SparkSession, paths: list[str], files: DataFrame, layouts: tuple[Layout, ...], columns: list[str], keep: list[str] = ()) -> DataFrame:
+    """Rows of the given files in one scan, all STRING, as the named ``columns``, with ``src_file`` and
+    what ``keep`` names of ``files`` (src_file, has_title, columns, ...)."""
+    width = max(len(layout.columns) for layout in layouts)
+    rows = spark.read.schema(_string_schema([f"_c{i}" for i in range(width)])).options(**CSV_READ).csv([literal_path(p) for p in paths])
+    return by_name(rows.withColumn("src_file", source_file()), files, layouts, columns, "src_file", width, ["src_file", *keep])
 
 
 TYPE_TO_SPARK = {

@@ -1,84 +1,95 @@
-"""Incremental ingest (R1): each run lands only files not seen before.
+"""Incremental ingest (R1): each run takes only the files that no run has seen before.
 
-A file-source stream over the landing lake with the folder's raw header
-schema; the checkpoint remembers which files were processed (keyed on path),
-so a rerun with ``trigger(availableNow=True)`` picks up only new files and
-then stops. The per-row work is stateless: drop the header row left under a
-title, apply the inferred types, write Parquet partitioned by report date.
+A stream over a folder's file names (the contents aren't read by it) gives each micro-batch the files
+that arrived; its checkpoint remembers them by path. The batch itself is an ordinary batch job over
+those files, by their own headers, so nothing is read by position and files that don't fit aren't lost:
+
+- ``run_uploads`` hands the arrivals to ``load.upload``: every file ends in the load log under one
+  status, and rows are shown by ``load.committed``. A batch is known by its stream and number, so a batch
+  that is run again after a crash lands only what it had not committed.
+- ``run_once`` writes typed rows as Parquet under the batch's number; a batch that is run again
+  overwrites its own rows. Cells that don't convert are named in ``_rejected``.
 """
 
 from __future__ import annotations
 
-import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQueryListener
 
 from reportlake.functions import names as N
+from reportlake.operators import catalog as C
+from reportlake.operators import load as L
 from reportlake.operators.infer import InferredSchema
+from reportlake.session import shared_dir
 from reportlake.sources import csvlake
+from reportlake.sources.specs import SourceSpec
 
+FILES_PER_BATCH = 1000
 
-def stream_rows(spark: SparkSession, root: str, schema: InferredSchema, max_files_per_trigger: int = 1000) -> DataFrame:
-    """Typed streaming rows of a landing lake (S11, S12, I8 as a stream)."""
-    head = schema.head
-    fields = [T.StructField(c, T.StringType(), True) for c in head.columns]
-    fields.append(T.StructField(N.PARTITION_KEY, T.DateType(), True))
-    raw = (
-        spark.readStream.schema(T.StructType(fields))
-        .options(**csvlake.CSV_READ)
-        .option("pathGlobFilter", csvlake.GZ_GLOB)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .option("recursiveFileLookup", "false")
-        .csv(root)
-    )
-    raw = raw.where(~csvlake.header_row(head)).withColumn("src_file", csvlake.source_file())
-    return csvlake.apply_types(raw, schema.columns, schema.types)
 
+def arrivals(spark: SparkSession, root: str, glob: str = "*", max_files_per_trigger: int = FILES_PER_BATCH, recursive: bool = True) -> DataFrame:
+    """Streaming file names under a root: path, length, modificationTime."""
+    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files_per_trigger)
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    files = reader.schema(schema).option("recursiveFileLookup", str(recursive).lower()).load(root)
+    return files.select("path", "length", "modificationTime")
 
-class _Counted(StreamingQueryListener):
-    """Input rows of the query that runs while the listener is there."""
 
-    def __init__(self):
-        self.rows, self.run, self.ended = 0, None, threading.Event()
+def _run(files: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    query = files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
 
-    def onQueryStarted(self, event):
-        self.run = self.run or event.runId
 
-    def onQueryProgress(self, event):
-        if event.progress.runId == self.run:
-            self.rows += event.progress.numInputRows
+def upload_batch(files: DataFrame, number: int, specs: list[SourceSpec], lake_root: str, stream: str, **options) -> None:
+    """One batch of arrivals into the lake and its log, once: files that an earlier run of the same
+    batch has logged are left out."""
+    spark = files.sparkSession
+    load = f"{stream}-{number:09d}"
+    log = L.read_log(spark, lake_root)
+    listing = files.withColumn("src_file", csvlake.plain_path(F.col("path")))
+    if log is not None:
+        done = log.where(F.col("load_id").startswith(load)).select("src_file").distinct()
+        listing = listing.join(done, "src_file", "left_anti")
+    kept = shared_dir(spark, "stream-batch")
+    listing.select("path", "length", "modificationTime").write.parquet(kept)
+    listing = spark.read.parquet(kept)
+    if listing.head(1):
+        L.upload(spark, C.build_catalog(listing, specs), lake_root, load=load, **options)
 
-    def onQueryIdle(self, event):
-        pass
 
-    def onQueryTerminated(self, event):
-        if event.runId == self.run:
-            self.ended.set()
+def run_uploads(spark: SparkSession, root: str, specs: list[SourceSpec], lake_root: str, checkpoint: str, stream: str = "stream", max_files_per_trigger: int = FILES_PER_BATCH, **options) -> None:
+    """Load every file under ``root`` that isn't in the checkpoint yet, then stop (``options``: of ``load.upload``).
 
+    ``stream`` names the load ids; a checkpoint and a name belong together."""
+    _run(
+        arrivals(spark, root, max_files_per_trigger=max_files_per_trigger),
+        lambda files, number: upload_batch(files, number, specs, lake_root, stream, **options),
+        checkpoint,
+    )
 
-def run_once(
-    spark: SparkSession, root: str, schema: InferredSchema, sink: str, checkpoint: str
-) -> int:
-    """Process every file not yet in the checkpoint, then stop; returns the input rows of this run.
 
-    Rows are added up as each batch reports, since a query keeps only its last 100 reports."""
-    counted = _Counted()
-    spark.streams.addListener(counted)
-    q = (
-        stream_rows(spark, root, schema)
-        .writeStream.format("parquet")
-        .option("path", sink)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(N.PARTITION_KEY)
-        .trigger(availableNow=True)
-        .start()
-    )
-    try:
-        q.awaitTermination()
-        counted.ended.wait(60)
-    finally:
-        spark.streams.removeListener(counted)
-    return counted.rows
+def run_once(spark: SparkSession, root: str, schema: InferredSchema, sink: str, checkpoint: str, max_files_per_trigger: int = FILES_PER_BATCH) -> int:
+    """Process every file of a lake folder not yet in the checkpoint, then stop; returns the rows of this run.
+
+    Columns are those of ``schema``; a column that only later files have waits for the next inference."""
+    rows = 0
+
+    def batch(files: DataFrame, number: int) -> None:
+        nonlocal rows
+        paths = [r["p"] for r in files.select(csvlake.plain_path(F.col("path")).alias("p")).collect()]  # FILES_PER_BATCH at most
+        heads = csvlake.file_heads(spark, None, paths=paths) if paths else None
+        layouts = csvlake.layouts_of(heads) if paths else ()
+        if not layouts:
+            return
+        held = heads.where("columns IS NOT NULL").withColumnRenamed("file_path", "src_file")
+        raw = csvlake.read_files(spark, paths, held, layouts, schema.columns)
+        date = F.to_date(F.regexp_extract("src_file", f"/{N.PARTITION_KEY}=([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})/", 1))
+        typed = csvlake.apply_types(raw, schema.columns, schema.types, "quarantine").withColumn(N.PARTITION_KEY, date)
+        out = typed.withColumn("batch", F.lit(number))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(N.PARTITION_KEY, "batch").parquet(sink)
+        rows += spark.read.schema(out.schema).parquet(sink).where(F.col("batch") == number).count()
+
+    _run(arrivals(spark, root, csvlake.GZ_GLOB, max_files_per_trigger), batch, checkpoint)
+    return rows

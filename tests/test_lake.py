@@ -294,3 +294,129 @@ def test_strict_uploads_quarantine_any_other_header(spark, tmp_path):
     write_gz(land_dir / "202304.a.tide.csv.gz", "Title\nAsset ID,Views,Date\n" + rows(3, 20))
     log = uploaded(spark, land_dir, lake, on_drift="quarantine")
     assert {(n[:6], s, r) for n, s, r in log} == {("202305", "ok", 4), ("202306", "ok", 5), ("202304", "quarantined", 0)}
+
+
+def test_two_files_of_one_name_are_two_files(spark, tmp_path):
+    lake = str(tmp_path / "names")
+    frame = lambda path, n: spark.range(n).select(F.col("id").cast("string").alias("k"), F.lit(path).alias("src_file"), F.lit("2020-01-31").cast("date").alias("report_date"))
+    L.land(spark, frame("/x/a/r.csv.gz", 3).unionByName(frame("/x/b/r.csv.gz", 5)), lake, "t")
+    shown = lambda: {r["src_file"]: r["count"] for r in L.committed(spark, L.read_landed(spark, f"{lake}/t"), lake).groupBy("src_file").count().collect()}
+    assert shown() == {"/x/a/r.csv.gz": 3, "/x/b/r.csv.gz": 5}
+    L.land(spark, frame("/x/b/r.csv.gz", 2), lake, "t", mode="replace")
+    assert shown() == {"/x/a/r.csv.gz": 3, "/x/b/r.csv.gz": 2}
+    named = frame("/y/r.csv.gz", 4).withColumn("file_key", F.lit("/x/a/r.csv.gz"))  # a declared name takes that file's place
+    L.land(spark, named, lake, "t", mode="append", key="file_key")
+    assert shown() == {"/x/a/r.csv.gz": 3, "/x/b/r.csv.gz": 2}
+    L.land(spark, named, lake, "t", mode="replace", key="file_key")
+    assert shown() == {"/y/r.csv.gz": 4, "/x/b/r.csv.gz": 2} and L.folder_columns(spark, f"{lake}/t") == ["k"]
+
+
+def test_any_order_of_loads_shows_the_newest_versions(spark, tmp_path):
+    """Random appends and replaces of files of equal names, against a dictionary."""
+    import random
+
+    rng = random.Random(8)
+    lake, want, schema = str(tmp_path / "order"), {}, "k string, src_file string, report_date date"
+    for load in range(7):
+        mode, some = rng.choice(["append", "replace"]), rng.sample(["/a/r.csv.gz", "/b/r.csv.gz", "/c/r.csv.gz", "/a/s.csv.gz"], rng.randint(1, 3))
+        rows, days = [], ["2020-01-31", "2020-02-29"]
+        import datetime as dt
+
+        for f in some:
+            cells = [(f"{load}-{i}", f, dt.date.fromisoformat(rng.choice(days))) for i in range(rng.randint(1, 4))]
+            rows += cells
+            if mode == "replace" or f not in want:
+                want[f] = sorted((k, str(d)) for k, _, d in cells)
+        L.land(spark, spark.createDataFrame(rows, schema), lake, "t", mode=mode)
+    got: dict = {}
+    for r in L.committed(spark, L.read_landed(spark, f"{lake}/t"), lake).collect():
+        got.setdefault(r["src_file"], []).append((r["k"], str(r["report_date"])))
+    assert {f: sorted(v) for f, v in got.items()} == want
+    assert {r["status"] for r in L.verify(spark, lake, "t").collect()} == {"ok"}
+
+
+def test_verify_names_changed_lost_and_missing_rows(spark, tmp_path):
+    lake = str(tmp_path / "checked")
+    rows = spark.range(40).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") % 3 > 0, F.concat(F.lit('a "b",\n '), "id")).alias("note"), F.concat(F.lit("f"), F.col("id") % 4).alias("src_file"), F.lit("2020-01-31").cast("date").alias("report_date"))
+    L.land(spark, rows, lake, "t")
+    wider = rows.where("k = '1'").withColumn("extra", F.lit("e")).withColumn("src_file", F.lit("g"))
+    L.land(spark, wider, lake, "t")  # a column more doesn't change what was logged
+    landed = L.read_landed(spark, f"{lake}/t")
+    assert {r["src_file"]: r["status"] for r in L.verify(spark, lake, "t").collect()} == {"f0": "ok", "f1": "ok", "f2": "ok", "f3": "ok", "g": "ok"}
+    harmed = landed.where("src_file <> 'f3' AND k <> '9'").withColumn("note", F.when(F.col("k") == "10", F.lit("x")).otherwise(F.col("note")))
+    assert {r["src_file"]: r["status"] for r in L.verify(spark, lake, "t", harmed).collect()} == {"f0": "ok", "f1": "count_mismatch", "f2": "changed", "f3": "missing", "g": "ok"}
+
+
+def test_what_doesnt_arrive_whole_isnt_logged(spark, tmp_path, monkeypatch):
+    lake = str(tmp_path / "lossy")
+    rows = spark.range(9).select(F.col("id").cast("string").alias("k"), F.lit("f").alias("src_file"), F.lit("2020-01-31").cast("date").alias("report_date"))
+    write = L.write_rows
+    with monkeypatch.context() as m:
+        m.setattr(L, "write_rows", lambda df, *a, **o: write(df.withColumn("k", F.when(F.col("k") == "3", "33").otherwise(F.col("k"))), *a, **o))
+        with pytest.raises(ValueError, match="isn't logged"):
+            L.land(spark, rows, lake, "t")
+    assert L.read_log(spark, lake) is None
+    L.land(spark, rows, lake, "t")
+    assert L.committed(spark, L.read_landed(spark, f"{lake}/t"), lake).count() == 9
+
+
+def test_drifted_lake_reads_by_name(spark, tmp_path):
+    """Changed order, an added column, repeated rows equal to the header, titles, quoted headers."""
+    root = tmp_path / "drifted"
+    write_gz(root / "report_date=2020-01-31" / "a.csv.gz", "k,v\n1,x\n")
+    write_gz(root / "report_date=2020-02-29" / "b.csv.gz", "Title\nv,k,Extra (New)\ny,2,e\nv,k,Extra (New)\n")
+    write_gz(root / "report_date=2020-03-31" / "c.csv.gz", 'v,"k"\n"two\nlines",3\nshort\n')
+    write_gz(root / "report_date=2020-03-31" / "d.csv.gz", "")
+    write_gz(root / "report_date=2020-03-31" / "e.csv.gz", "v,k\n")
+    head = csvlake.lake_head(spark, str(root))
+    assert head.columns == ["v", "k", "extra__new"] and len(head.layouts) == 3
+    got = sorted(tuple("" if x is None else str(x) for x in r) for r in csvlake.read_raw(spark, str(root), head, with_source=False).collect())
+    assert got == sorted([("x", "1", "", "2020-01-31"), ("y", "2", "e", "2020-02-29"), ("v", "k", "Extra (New)", "2020-02-29"), ("two\nlines", "3", "", "2020-03-31"), ("short", "", "", "2020-03-31")])
+    typed = infer.read_typed(spark, str(root))
+    assert {r["k"] for r in typed.collect()} == {"1", "2", "k", "3", None}
+
+
+def test_heads_beyond_the_prefix(spark, tmp_path, monkeypatch):
+    import random
+
+    rng = random.Random(2)
+    wide = ",".join(f"c{rng.random()}" for _ in range(3000))
+    write_gz(tmp_path / "wide" / "a.csv.gz", "Title\n" + wide + "\n" + ",".join("1" * 3000) + "\n")
+    monkeypatch.setattr(csvlake, "PREFIX", 512)
+    head = csvlake.lake_head(spark, str(tmp_path / "wide"))
+    assert head.has_title and len(head.columns) == 3000
+
+
+def test_stream_through_the_log_once(spark, tmp_path):
+    """Two arrivals with drift and misfits, a replayed batch; equal to one upload of the same files."""
+    land_dir, lake, plain, ckpt = tmp_path / "arrive", str(tmp_path / "lake"), str(tmp_path / "plain"), str(tmp_path / "ckpt")
+    specs = [TIDE]
+    write_gz(land_dir / "202301.a.tide.csv.gz", HEADER + "\n" + rows(4))
+    write_gz(land_dir / "202313.bad.tide.csv.gz", HEADER + "\n")
+    ingest.run_uploads(spark, str(land_dir), specs, lake, ckpt)
+    write_gz(land_dir / "202302.b.tide.csv.gz", "Title\nDate,Extra,Asset ID\n2023-02-01,e,A1\n")
+    write_gz(land_dir / "202212.c.tide.csv.gz", "Alpha,Beta\n1,2\n")
+    write_gz(land_dir / "deep" / "202301.a.tide.csv.gz", HEADER + "\n" + rows(9))
+    ingest.run_uploads(spark, str(land_dir), specs, lake, ckpt)
+    before = L.read_log(spark, lake).count()
+    (sorted((tmp_path / "ckpt" / "commits").glob("[0-9]*"))[-1]).unlink()  # a crash before the stream's own commit
+    for crc in (tmp_path / "ckpt" / "commits").glob(".*.crc"):
+        crc.unlink()
+    ingest.run_uploads(spark, str(land_dir), specs, lake, ckpt)
+    assert L.read_log(spark, lake).count() == before
+    log = lambda at: {(r["file_name"], r["rows"], r["status"] if r["status"] != "duplicate" else "skipped") for r in L.read_log(spark, at).collect()}
+    L.upload(spark, C.build_catalog(C.list_files(spark, str(land_dir)), specs), plain).collect()
+    assert log(lake) == log(plain)
+    cells = lambda at: sorted(str(tuple(r)) for r in L.committed(spark, L.read_landed(spark, f"{at}/sea/tide"), at).select("asset_id", "date", "extra", "report_date").collect())
+    assert cells(lake) == cells(plain) and len(cells(lake)) == 5
+
+
+def test_stream_reads_drift_by_name(spark, tmp_path):
+    root, sink, ckpt = tmp_path / "s", str(tmp_path / "sink2"), str(tmp_path / "ckpt2")
+    write_gz(root / "report_date=2020-01-31" / "a.csv.gz", "k,v\n" + "".join(f"{i},x\n" for i in range(20)))
+    schema = infer.infer_lake_schema(spark, str(root))
+    assert ingest.run_once(spark, str(root), schema, sink, ckpt) == 20
+    write_gz(root / "report_date=2020-02-29" / "b.csv.gz", "v,k\ny,21\nz,misfit\n")
+    assert ingest.run_once(spark, str(root), schema, sink, ckpt) == 2
+    late = spark.read.parquet(sink).where("report_date = DATE'2020-02-29'").collect()
+    assert {(r["v"], r["k"], tuple(r["_rejected"])) for r in late} == {("y", 21, ()), ("z", None, ("k",))}

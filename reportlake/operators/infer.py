@@ -41,19 +41,20 @@ def classify(df: DataFrame, columns: list[str] | None = None, leading_zero: str
     return cleaned.select(*[V.value_class(F.col(f"{c}__v"), leading_zero).alias(f"{c}__class") for c in cols])
 
 
-def profile(df: DataFrame, columns: list[str] | None = None, leading_zero: str = "decimal") -> DataFrame:
-    """Per column: position, non-null count and count per class."""
-    cols = columns or [c for c in df.columns]
-    cleaned = df.select(*[V.null_if_token(F.col(c)).alias(f"{c}__v") for c in cols])
+def profile(df: DataFrame, columns: list[str] | None = None, leading_zero: str = "decimal", by: list[str] = (), extra: list = ()) -> DataFrame:
+    """Per column (and group of ``by``): position, non-null count and count per class (I2). The counts of
+    groups add up to those of all rows. ``extra``: other aggregates of the same pass, which stay columns."""
+    cols = columns if columns is not None else list(df.columns)
+    cleaned = df.select(*[V.null_if_token(F.col(c)).alias(f"{c}__v") for c in cols], *([F.col(c) for c in df.columns] if by or extra else []))
     # Small integer codes instead of class names: the counts compare ints, not strings.
-    classes = cleaned.select(*[V.class_code(F.col(f"{c}__v"), leading_zero).alias(f"{c}__k") for c in cols])
+    classes = cleaned.select(*[V.class_code(F.col(f"{c}__v"), leading_zero).alias(f"{c}__k") for c in cols], *([F.col(c) for c in df.columns] if by or extra else []))
     aggs = []
     for i, c in enumerate(cols):
         k = F.col(f"{c}__k")
         aggs.append(F.count(k).alias(f"{i}__n"))
         for code, cnt in enumerate(COUNT_COLUMNS, start=1):
             aggs.append(F.count_if(k == code).alias(f"{i}__{cnt}"))
-    wide = classes.agg(*aggs)
+    wide = classes.groupBy(*by).agg(*aggs, *extra) if by or extra else classes.agg(*aggs)
     rows = F.array(
         *[
             F.struct(
@@ -65,7 +66,13 @@ def profile(df: DataFrame, columns: list[str] | None = None, leading_zero: str =
             for i, c in enumerate(cols)
         ]
     )
-    return wide.select(F.inline(rows))
+    kept = [c for c in wide.columns if "__" not in c or not c.split("__")[0].isdigit()]
+    return wide.select(*kept, F.inline(rows))
+
+
+def merged(profiles: DataFrame) -> DataFrame:
+    """One profile from the profiles of files: counts add up, so no row is read again."""
+    return profiles.groupBy("column_name").agg(F.min("position").alias("position"), *[F.sum(c).alias(c) for c in ["n_non_null", *COUNT_COLUMNS]]).select("column_name", "position", "n_non_null", *COUNT_COLUMNS)
 
 
 def decide(prof: DataFrame, threshold: float = DEFAULT_THRESHOLD, min_non_null: int = DEFAULT_MIN_NON_NULL,

@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from reportlake.functions import names as N
 from reportlake.operators import catalog as C
+from reportlake.operators import infer
 from reportlake.session import shared_dir
 from reportlake.sources import archives, csvlake
 from reportlake.sources.specs import SourceSpec
@@ -154,6 +155,26 @@ def digests(rows: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
     return rows.groupBy(*by).agg(*_digest_sums(columns)).select(*by, "rows", _digest_text().alias("digest"))
 
 
+def folder_profile(spark: SparkSession, lake_root: str, folder: str) -> DataFrame:
+    """The profile of a landed folder (``infer.profile``) from the counts kept with its loads: those of
+    current files add up, replaced and crashed ones don't count, and no data file is read (I2, I6)."""
+    dest = f"{lake_root}/{folder}"
+    current = current_files(read_log(spark, lake_root)).where(F.col("storage_folder_name") == folder).select("load_id", "src_file").distinct()
+    kept = spark.read.schema(f"load_id string, src_file string, column_name string, position bigint, n_non_null bigint, {', '.join(f'{c} bigint' for c in infer.COUNT_COLUMNS)}").parquet(f"{dest}/{PROFILE_DIR}")
+    names = spark.createDataFrame([(c, i) for i, c in enumerate(folder_columns(spark, dest))], "column_name string, place bigint")
+    counted = infer.merged(kept.join(current, ["load_id", "src_file"], "left_semi"))
+    counted = names.join(counted.drop("position"), "column_name", "left").withColumnRenamed("place", "position")
+    return counted.select("column_name", "position", *[F.coalesce(c, F.lit(0)).alias(c) for c in ["n_non_null", *infer.COUNT_COLUMNS]])
+
+
+def read_committed(spark: SparkSession, lake_root: str, folder: str, fmt: str = "csv", on_error: str = "quarantine") -> DataFrame:
+    """The committed rows of a landed folder, typed by the vote over all of them that the loads kept."""
+    dest = f"{lake_root}/{folder}"
+    columns = folder_columns(spark, dest)
+    types = {r["column_name"]: r["inferred_type"] for r in infer.decide(folder_profile(spark, lake_root, folder)).collect()}
+    return csvlake.apply_types(committed(spark, read_landed(spark, dest, fmt), lake_root), columns, [types[c] for c in columns], on_error)
+
+
 def verify(spark: SparkSession, lake_root: str, folder: str, landed: DataFrame | None = None, fmt: str = "csv") -> DataFrame:
     """Every current file of a folder: logged and found rows and whether the found rows have the digest
     that was logged (K4): ``ok``, ``missing``, ``count_mismatch`` or ``changed``."""
@@ -175,6 +196,7 @@ def verify(spark: SparkSession, lake_root: str, folder: str, landed: DataFrame |
 
 folder_columns = csvlake.folder_columns
 SCHEMA_DIR = csvlake.SCHEMA_DIR
+PROFILE_DIR = "_profile"  # beside landed data: class counts of every file's columns
 
 
 def _extended_columns(spark: SparkSession, dest: str, columns: list[str]) -> list[str]:
@@ -262,9 +284,12 @@ def land(
         write_rows(shaped.withColumn("load_id", F.lit(load_id)), dest, [N.PARTITION_KEY, "load_id"], fmt)
     finished = dt.datetime.now(dt.timezone.utc)
     landed = read_landed(spark, dest, fmt, load_id) if seen.get["rows"] else read_landed(spark, dest, fmt).limit(0)
-    kept = shared_dir(spark, "landed-digests")
-    digests(landed, columns, ["src_file", N.PARTITION_KEY]).write.parquet(kept)
-    counts = spark.read.parquet(kept)
+    # one pass over what was written: rows, digests and the class counts of every column, per file
+    kept = f"{dest}/{PROFILE_DIR}/load_id={load_id}"
+    found = infer.profile(landed, columns or ["src_file"], by=["src_file", N.PARTITION_KEY], extra=_digest_sums(columns)).withColumn("digest", _digest_text())
+    found.drop("d1", "d2").write.mode("overwrite").parquet(kept)
+    first = F.col("position") == 0
+    counts = spark.read.schema(found.drop("d1", "d2").schema).parquet(kept).where(first).select("src_file", N.PARTITION_KEY, "rows", "digest")
     d = F.split("digest", ":")
     total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), *[F.coalesce(F.sum(d[i].cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias(f"d{i + 1}") for i in (0, 1)]).first()
     if any(total[c] != seen.get[c] for c in ("rows", "d1", "d2")):

@@ -520,3 +520,26 @@ def landing_files(spark: SparkSession, sf_dir: str) -> str:
         fs.rename(st, jvm.org.apache.hadoop.fs.Path(f"{root}/{target}"))
     _LANDING[key] = root
     return root
+
+
+def write_named_zips(files: DataFrame, root: str) -> None:
+    """Write (name, entries: array of (entry, content)) rows as zip archives, one a row, in the tasks."""
+
+    def run(batches):
+        import io
+        import urllib.parse
+        import zipfile
+
+        for pdf in batches:
+            for name, entries in zip(pdf["name"], pdf["entries"]):
+                buf = io.BytesIO()
+                with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+                    for e in entries:
+                        zf.writestr(e["entry"], e["content"])
+                fs, p = _fs_path(f"{root}/{urllib.parse.quote(name)}")
+                fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+                with fs.open_output_stream(p, compression=None) as f:
+                    f.write(buf.getvalue())
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    files.select("name", "entries").mapInPandas(run, "n long").count()

@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportlake.operators import infer
-from reportlake.plans.fixtures import lake_values_sql, report_lake
+from reportlake.plans.fixtures import lake_values_sql, report_lake, write_named_gzip
 from reportlake.plans.registry import register
+from reportlake.session import shared_dir
 from reportlake.sources import csvlake
 
+#: Orders of one bucket of ``lake_scan_drift``: a file holds a bucket's orders of one month.
+DRIFT_KEYS = 50_000
+
 
 def orders_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer.read_typed(spark, report_lake(spark, sf_dir, "orders"), scope="all_rows")
@@ -112,6 +116,43 @@ def lake_scan_mixed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_DRIFT = {0: ("key,price,note\n", ("key", "price", "note")), 1: ("Monthly report\nprice,note,key\n", ("price", "note", "key")), 2: ("note,key,price,Extra (New)\n", ("note", "key", "price", "extra"))}
+
+
+def _drifted_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as files by (month, bucket of keys), with three headers by month (another order and a
+    title; another order and one more column) and in every file a data row equal to its header."""
+    root = shared_dir(spark, "lake-drifted")
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    cells = o.select(
+        F.last_day(F.to_date("o_orderdate")).alias("d"), (F.col("o_orderkey") / DRIFT_KEYS).cast("long").alias("b"), F.col("o_orderkey").cast("string").alias("key"),
+        F.format_string("%.2f", "o_totalprice").alias("price"), F.concat(F.lit('"a, ""b""\n'), F.col("o_orderkey").cast("string"), F.lit('"')).alias("note"), F.lit("e").alias("extra"))
+    for kind, (head, columns) in _DRIFT.items():
+        files = cells.where(F.month("d") % 3 == kind).groupBy("d", "b").agg(F.array_join(F.collect_list(F.concat_ws(",", *columns)), "\n").alias("text"))  # a bucket bounds them
+        name = F.concat(F.lit("report_date="), F.date_format("d", "yyyy-MM-dd"), F.lit("/part_"), F.col("b").cast("string"), F.lit(".csv.gz"))
+        header = head.split("\n")[-2]
+        write_named_gzip(files.select(name.alias("name"), F.concat(F.lit(head), "text", F.lit(f"\n{header}\n")).alias("content")), root)
+    return root
+
+
+@register(
+    "lake_scan_drift",
+    f"""WITH r AS (SELECT last_day(CAST(o_orderdate AS DATE)) AS report_date, o_orderkey, o_totalprice, o_orderkey // {DRIFT_KEYS} AS b FROM orders)
+    SELECT report_date, count(*) + count(DISTINCT b) AS n_rows, count(DISTINCT b) AS header_rows, count(*) AS n_notes, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price,
+           sum(o_orderkey) AS sum_key, CASE WHEN month(report_date) % 3 = 2 THEN count(*) ELSE 0 END AS n_extra FROM r GROUP BY report_date""",
+)
+def lake_scan_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake whose files differ in the order and number of columns, in one scan: cells by the names of
+    their own header, the header under a title dropped by its place, data rows equal to it kept (S11, S12)."""
+    root = _drifted_lake(spark, sf_dir)
+    head = csvlake.lake_head(spark, root)
+    raw = csvlake.read_raw(spark, root, head, with_source=False)
+    note = F.col("note") == F.concat(F.lit('a, "b"\n'), F.col("key"))
+    return raw.groupBy("report_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if((F.col("key") == "key") & (F.col("price") == "price")).alias("header_rows"), F.count_if(note).alias("n_notes"),
+        F.sum(F.col("price").try_cast("decimal(18,2)")).cast("double").alias("sum_price"), F.sum(F.col("key").try_cast("bigint")).alias("sum_key"), F.count_if(F.col("extra__new") == "e").alias("n_extra"))
+
+
 @register(
     "file_layouts",
     """SELECT DISTINCT last_day(CAST(o_orderdate AS DATE)) AS report_date,

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,9 @@ class Layout:
     columns: list[str]  # normalised, de-duplicated, never clashing with the partition key
     n_files: int
     n_titled: int
+    last_path: str = ""  # the greatest path with this header, and whether that file has a title
+    last_titled: bool = False
+    n_bytes: int = 0  # of the per-file rows of these files, about
 
 
 @dataclass(frozen=True)
@@ -70,14 +73,6 @@ def literal_path(path: str) -> str:
     return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
 
 
-def newest_file(spark: SparkSession, root: str, glob: str = GZ_GLOB) -> str | None:
-    """Greatest path among the folder's files (names sort by ``report_date=``)."""
-    from reportlake.operators.catalog import list_files
-
-    row = list_files(spark, root, glob).agg(F.max("path").alias("p")).first()
-    return row["p"] if row else None
-
-
 def folder_columns(spark: SparkSession, dest: str) -> list[str]:
     """The data columns of a folder that was landed by us, in order ([] for any other folder)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{dest}/{SCHEMA_DIR}")
@@ -130,12 +125,13 @@ def _heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["file_path", "has_title", "header", "settled", "readable"])
 
 
-def file_heads(spark: SparkSession, root: str | None, glob: str | None = GZ_GLOB, paths: list[str] | None = None, recursive: bool = False) -> DataFrame:
+def file_heads(spark: SparkSession, root: str | None, glob: str | None = GZ_GLOB, paths: list[str] | None = None, recursive: bool = False, longest: int | None = None) -> DataFrame:
     """(file_path, has_title, header, columns, readable) of every file, as a written table; header is
     null where a file is empty or its start can't be read.
 
     The stored bytes of each file are read, but only their first PREFIX go to Python and are
-    decompressed, the whole only of files whose first two records don't end there.
+    decompressed, the whole only of files whose first two records don't end there. ``longest``: the
+    length of the longest file, if it is known.
     """
     def reader(kind: str):
         r = spark.read.format(kind)
@@ -152,29 +148,36 @@ def file_heads(spark: SparkSession, root: str | None, glob: str | None = GZ_GLOB
     where = [literal_path(p) for p in paths] if paths is not None else root
     files = reader("binaryFile").load(where)
     starts = start_of(files, PREFIX)
-    large = [r["p"] for r in files.where(F.col("length") > CONTENT_LIMIT).select(source_file().alias("p")).collect()]
+    large = []
+    if longest is None or longest > CONTENT_LIMIT:
+        large = [r["p"] for r in files.where(F.col("length") > CONTENT_LIMIT).select(source_file().alias("p")).collect()]
     if large:
         lines = file_layouts(spark, None, paths=large)
         shown = F.encode(F.concat("first_line", F.lit("\n"), F.when(F.col("has_title"), F.col("header_line")).otherwise("")), "UTF-8")
         starts = starts.unionByName(lines.select("file_path", F.length(shown).cast("long").alias("length"), F.lit(False).alias("packed"), shown.alias("start")))
     kept = shared_dir(spark, "file-heads")
-    starts.mapInPandas(_heads, HEAD_SCHEMA).write.parquet(f"{kept}/first")
-    heads = spark.read.schema(HEAD_SCHEMA).parquet(f"{kept}/first")
-    unsettled = [r["file_path"] for r in heads.where("NOT settled").select("file_path").collect()]
-    if unsettled:
-        whole = start_of(spark.read.format("binaryFile").load([literal_path(p) for p in unsettled]), CONTENT_LIMIT)
-        whole.mapInPandas(_heads, HEAD_SCHEMA).write.parquet(f"{kept}/whole")
-        heads = heads.where("settled").unionByName(spark.read.schema(HEAD_SCHEMA).parquet(f"{kept}/whole"))
-    named = V.normalize_names(F.concat(F.array(F.lit(N.PARTITION_KEY)), F.col("header")))
-    heads.select("file_path", "has_title", "header", F.when(F.col("header").isNotNull(), F.slice(named, 2, CONTENT_LIMIT)).alias("columns"), "readable").write.parquet(f"{kept}/named")
-    return spark.read.parquet(f"{kept}/named")
+
+    def settle(some: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """Heads as a table with their normalised columns, and how many aren't settled."""
+        named = V.normalize_names(F.concat(F.array(F.lit(N.PARTITION_KEY)), F.col("header")))
+        heads = some.mapInPandas(_heads, HEAD_SCHEMA).withColumn("columns", F.when(F.col("header").isNotNull(), F.slice(named, 2, CONTENT_LIMIT)))
+        seen = Observation()
+        heads.observe(seen, F.count_if(~F.col("settled")).alias("open")).write.parquet(f"{kept}/{name}")
+        return spark.read.schema(heads.schema).parquet(f"{kept}/{name}"), seen.get["open"] or 0
+
+    heads, still_open = settle(starts, "first")
+    if still_open:
+        unsettled = [r["file_path"] for r in heads.where("NOT settled").select("file_path").collect()]
+        whole, _ = settle(start_of(spark.read.format("binaryFile").load([literal_path(p) for p in unsettled]), CONTENT_LIMIT), "whole")
+        heads = heads.where("settled").unionByName(whole)
+    return heads.select("file_path", "has_title", "header", "columns", "readable")
 
 
 def layouts_of(heads: DataFrame) -> tuple[Layout, ...]:
     """The distinct headers of some files, the one of the greatest path first: one row a header."""
     found = heads.where("header IS NOT NULL").groupBy("header", "columns").agg(
-        F.max("file_path").alias("last"), F.count(F.lit(1)).alias("n"), F.count_if("has_title").alias("titled"))
-    return tuple(Layout(r["header"], r["columns"], r["n"], r["titled"]) for r in found.orderBy(F.desc("last")).collect())
+        F.max(F.struct("file_path", "has_title")).alias("last"), F.count(F.lit(1)).alias("n"), F.count_if("has_title").alias("titled"), F.sum(F.length("file_path") + 200).alias("size"))
+    return tuple(Layout(r["header"], r["columns"], r["n"], r["titled"], *r["last"], r["size"]) for r in found.orderBy(F.desc("last")).collect())
 
 
 def united(layouts: tuple[Layout, ...], known: list[str] | None = None) -> list[str]:
@@ -185,18 +188,19 @@ def united(layouts: tuple[Layout, ...], known: list[str] | None = None) -> list[
 def lake_head(spark: SparkSession, root: str, glob: str = GZ_GLOB, recursive: bool = False) -> LakeHead | None:
     """The headers of all files of a folder, or the kept columns of a folder that was landed by us;
     ``None`` when the folder has no file or none has a header."""
-    newest = newest_file(spark, root, glob)
-    if newest is None:
+    from reportlake.operators.catalog import list_files
+
+    listed = list_files(spark, root, glob).agg(F.max("path").alias("newest"), F.max("length").alias("longest")).first()
+    if listed["newest"] is None:
         return None
     if known := folder_columns(spark, root):
         columns = ["src_file", *known]
-        return LakeHead(newest, columns, False, columns)
-    heads = file_heads(spark, root, glob, recursive=recursive)
+        return LakeHead(listed["newest"], columns, False, columns)
+    heads = file_heads(spark, root, glob, recursive=recursive, longest=listed["longest"])
     layouts = layouts_of(heads)
     if not layouts:
         return None
-    last = heads.where("header IS NOT NULL").agg(F.max(F.struct("file_path", "has_title")).alias("h")).first()["h"]
-    return LakeHead(last["file_path"], layouts[0].header, last["has_title"], united(layouts), layouts, heads)
+    return LakeHead(layouts[0].last_path, layouts[0].header, layouts[0].last_titled, united(layouts), layouts, heads)
 
 
 def _string_schema(columns: list[str]) -> T.StructType:
@@ -228,12 +232,6 @@ def _place_in_run(keys: Iterator[pd.Series]) -> Iterator[pd.Series]:
 SENT_BYTES = 32 << 20
 
 
-def sent_if_small(files: DataFrame, key: str) -> DataFrame:
-    """A per-file table with a broadcast hint if its measured size allows it."""
-    size = files.agg(F.coalesce(F.sum(F.length(key) + F.lit(200)), F.lit(0)).alias("n")).first()["n"]
-    return F.broadcast(files) if size <= SENT_BYTES else files
-
-
 def by_name(rows: DataFrame, files: DataFrame, layouts: tuple[Layout, ...], columns: list[str], key: str, width: int, keep: list[str]) -> DataFrame:
     """Rows of cells ``_c0``, ``_c1``, ... to the named ``columns`` of their own file's header.
 
@@ -249,7 +247,9 @@ def by_name(rows: DataFrame, files: DataFrame, layouts: tuple[Layout, ...], colu
     if titled or drifted or set(keep) - set(known):
         places = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: F.array_position("columns", c).cast("int") - 1)
         extra = [c for c in keep if c not in known]
-        rows = rows.join(sent_if_small(files.select(key, "has_title", places.alias("_places"), *extra), key), key)
+        each = files.select(key, "has_title", places.alias("_places"), *extra)
+        small = sum(layout.n_bytes for layout in layouts) <= SENT_BYTES
+        rows = rows.join(F.broadcast(each) if small else each, key)
     stays = ~(F.col("has_title") & (F.col("_place") == 0)) if titled else None
     cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
     out = []

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reportlake.functions import names as N
@@ -88,8 +88,9 @@ def run_once(spark: SparkSession, root: str, schema: InferredSchema, sink: str,
         date = F.to_date(F.regexp_extract("src_file", f"/{N.PARTITION_KEY}=([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})/", 1))
         typed = csvlake.apply_types(raw, schema.columns, schema.types, "quarantine").withColumn(N.PARTITION_KEY, date)
         out = typed.withColumn("batch", F.lit(number))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(N.PARTITION_KEY, "batch").parquet(sink)
-        rows += spark.read.schema(out.schema).parquet(sink).where(F.col("batch") == number).count()
+        seen = Observation()
+        out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(N.PARTITION_KEY, "batch").parquet(sink)
+        rows += seen.get["n"]
 
     _run(arrivals(spark, root, csvlake.GZ_GLOB, max_files_per_trigger), batch, checkpoint)
     return rows

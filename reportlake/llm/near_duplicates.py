@@ -332,13 +332,18 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
 
 
 def deduplicated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows, with all their columns, that stand for their component. Rows without an id stay;
-    rows with equal id and text count as one."""
-    gone = near_duplicates(documents, doc_id, text, **options).where("NOT kept").select(doc_id).distinct()
-    gone = written(gone, "near-gone")
+    """The rows, with all their columns, that stand for their component. Rows without an id stay; rows
+    with equal id and text count as one; where an id stands for several texts, each (id, text) is a
+    document of its own, so no text is lost with another one of its id."""
+    repeated = not documents.where(F.col(doc_id).isNotNull()).groupBy(doc_id).count().where("count > 1").isEmpty()
+    if repeated:
+        one = F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h"))
+        named = documents.where(F.col(doc_id).isNotNull()).select(one.alias("one"), F.col(text).alias("text")).distinct()
+        found = near_duplicates(named, "one", "text", **options).where("NOT kept").select("one.id", "one.h").distinct()
+        gone = written(found.withColumnsRenamed({"id": doc_id, "h": "_text_hash"}), "near-gone")
+        left = documents.withColumn("_text_hash", F.xxhash64(text)).join(gone, [doc_id, "_text_hash"], "left_anti")
+        return left.select(*documents.columns).dropDuplicates([doc_id, text])
+    gone = written(near_duplicates(documents, doc_id, text, **options).where("NOT kept").select(doc_id).distinct(), "near-gone")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    left = documents.join(gone, doc_id, "left_anti").select(*documents.columns)
-    if documents.groupBy(doc_id).count().where("count > 1").isEmpty():
-        return left
-    return left.dropDuplicates([doc_id, text])
+    return documents.join(gone, doc_id, "left_anti").select(*documents.columns)

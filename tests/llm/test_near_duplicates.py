@@ -88,3 +88,9 @@ def test_components_of_chains_stars_and_cycles(spark):
     got = {r["u"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, **{100 + k: 100 for k in range(1, 30)}, 201: 200, 202: 200}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_text_under_a_repeated_id_is_not_lost(spark):
+    rows = [(5, "one two three four five six seven"), (2, "a b c d e f g h"), (5, "a b c d e f g h"), (None, "a b c d e f g h"), (7, None), (7, None)]
+    got = N.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == [(0, rows[1][1]), (2, rows[1][1]), (5, rows[0][1]), (7, "")]

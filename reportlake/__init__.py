@@ -26,15 +26,16 @@ from reportlake.operators.catalog import (
     rejected,
 )
 from reportlake.operators.infer import infer_lake_schema, profile, read_typed
-from reportlake.operators.load import land, reconcile, upload
+from reportlake.operators.load import committed, land, read_committed, reconcile, upload, upload_archives, verify
 from reportlake.operators.tables import create_table, drop_tables, list_tables, publish_missing, republish
 from reportlake.session import get_session, shared_dir
 from reportlake.sources.specs import SourceSpec, specs_from_toml
+from reportlake.streaming.ingest import run_uploads
 
 __all__ = [
-    "SourceSpec", "accepted", "build_catalog", "compare_files", "create_table", "drop_tables", "duplicate_files",
+    "SourceSpec", "accepted", "build_catalog", "committed", "compare_files", "create_table", "drop_tables", "duplicate_files",
     "folder_summary", "get_session", "infer_lake_schema", "land", "list_files", "list_tables", "match_stored",
-    "mixed_versions", "new_files", "profile", "publish_missing", "read_typed", "reconcile", "rejected", "republish",
-    "shared_dir", "specs_from_toml", "upload",
+    "mixed_versions", "new_files", "profile", "publish_missing", "read_committed", "read_typed", "reconcile", "rejected",
+    "republish", "run_uploads", "shared_dir", "specs_from_toml", "upload", "upload_archives", "verify",
 ]
 __version__ = "0.1.0"

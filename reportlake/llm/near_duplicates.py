@@ -9,7 +9,8 @@ similarity, so they stay together in some tree; unlike ones part.
 - Every node, whatever its size, first compares its members with its least member. Confirmed links
   give components, which take in large groups of copies in linear work.
 - A node whose members are all in one component is done. Nodes of at most ``node_limit`` members
-  are compared exhaustively (members of different components only).
+  are compared exhaustively (members of different components only): candidates are pairs with like
+  sketches. A node gives a spanning forest of its candidates, not the pairs.
 - Larger nodes branch again, by two tokens each. A document with ``SMALL_ROOTS`` or more of its 16
   root tokens in nodes of at most ``node_limit`` members doesn't take part: at the threshold, at
   most a quarter of its set lies in the large nodes' tokens, so it meets a similar document in one
@@ -17,6 +18,11 @@ similarity, so they stay together in some tree; unlike ones part.
 - A node still large at ``max_depth`` is compared exactly in blocks: members outside its main
   component against all.
 
+Documents that the forests join are one cluster, so both ends of every candidate pair lie in one.
+A cluster's members outside its main component are compared with all of the cluster, in blocks that
+hold the full sets, and give the confirmed links that unite two components: rows grow with the members
+of a group, not with its pairs.
+
 Comparisons use 128 one-byte minwise tokens first and leave out pairs whose share of equal tokens
 is below ``screen``, 4.5 standard deviations under the threshold; the rest is confirmed on the full
 sets. With 16 trees the chance of losing a pair at the threshold is below 1e-6 for each of these
@@ -47,8 +53,8 @@ SCREEN = 0.58
 SMALL_ROOTS = 12
 #: Sets of a group that a task holds at once are two blocks of about this many, or this many bytes.
 BLOCK, BLOCK_BYTES = 400, 16 << 20
-#: Ids of members that may be broadcast (8 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: The same for the members of a cluster of candidates, which come without pairs.
+CLUSTER_BLOCK = 1000
 
 _rng = np.random.default_rng(424242)
 _FACTORS = _rng.integers(1, 1 << 63, TREES + SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -136,23 +142,17 @@ def _screened(pairs: DataFrame, members: DataFrame, screen: float) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary, share double")
 
 
-def _gathered(pairs: DataFrame) -> DataFrame:
-    """The pairs with a ``label`` that is the same for most pairs around: the least neighbour of the
-    least neighbours of ``a``."""
-    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(pairs.select(F.col("b").alias("x"), F.col("a").alias("y")))
-    one = both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("near"))
-    two = both.join(one.withColumnRenamed("x", "y"), "y").groupBy("x").agg(F.min("near").alias("label"))
-    return pairs.join(two.withColumnRenamed("x", "a"), "a")
+def _alike(x: np.ndarray, y: np.ndarray, per_cent: int) -> bool:
+    if 100 * min(len(x), len(y)) < per_cent * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate([x, y]))
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= per_cent * (len(x) + len(y) - common)
 
 
-def _confirmed(pairs: DataFrame, members: DataFrame, documents: DataFrame, doc_id: str, text: str, per_cent: int) -> DataFrame:
-    """The pairs (a, b, label) whose full sets have 100 * |intersection| >= per_cent * |union|. Sets are
-    not sent with each pair: the documents of all pairs of a label are dealt into blocks of about
-    BLOCK, and each pair of blocks gets its sets once, before its pairs."""
-    need = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+def _sets(need: DataFrame, members: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(key, content) of the classes in ``need``, content being the full set."""
     ids = written(need.join(members, "key").select(F.col("id").alias("need_id")).distinct(), "near-need")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
     rows = documents.select(F.col(doc_id).alias("need_id"), F.col(text).cast("string").alias("text")).join(ids, "need_id", "left_semi").select("text")
 
     def sets_of(batches):
@@ -162,8 +162,13 @@ def _confirmed(pairs: DataFrame, members: DataFrame, documents: DataFrame, doc_i
             yield pa.RecordBatch.from_arrays([pa.array(_class_keys(sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "content"])
 
     sets = rows.mapInArrow(sets_of, "key binary, content binary").where("key IS NOT NULL").dropDuplicates(["key"])
-    sets = written(sets, "near-sets")
+    return written(sets, "near-sets")
 
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """The pairs (a, b, label) whose full sets have 100 * |intersection| >= per_cent * |union|. Sets are
+    not sent with each pair: the documents of all pairs of a label are dealt into blocks of about
+    BLOCK, and each pair of blocks gets its sets once, before its pairs."""
     cluster = pairs.select("label", F.col("a").alias("key")).unionByName(pairs.select("label", F.col("b").alias("key"))).distinct()
     cluster = cluster.join(sets.select("key", F.length("content").alias("bytes")), "key")
     parts = cluster.groupBy("label").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("parts"))
@@ -187,12 +192,8 @@ def _confirmed(pairs: DataFrame, members: DataFrame, documents: DataFrame, doc_i
                 if other is None:
                     known[key] = np.frombuffer(content.as_buffer().to_pybytes(), np.uint64)
                     continue
-                x, y = known[key], known[other]
-                if 100 * min(len(x), len(y)) >= per_cent * max(len(x), len(y)):
-                    both = np.sort(np.concatenate([x, y]))
-                    common = int((both[1:] == both[:-1]).sum())
-                    if 100 * common >= per_cent * (len(x) + len(y) - common):
-                        ok.append(k)
+                if _alike(known[key], known[other], per_cent):
+                    ok.append(k)
             at = pa.array(ok, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("key").take(at), batch.column("b").take(at)], names=["a", "b"])
 
@@ -204,12 +205,34 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels.withColumnRenamed("u", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
 
 
-def _node_pairs(rows: DataFrame, screen: float) -> DataFrame:
-    """Exhaustive comparison inside nodes: (a, b) of different labels with like sketches.
+def _united(top: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Places of the pairs that join two trees of ``top`` (each row's tree), which is brought up to date."""
+    parent = top.tolist()
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    kept = []
+    for k in np.flatnonzero(top[one] != top[two]).tolist():
+        x, y = find(int(one[k])), find(int(two[k]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append(k)
+    if kept:
+        top[:] = parent
+        while (top[top] != top).any():
+            top[:] = top[top]
+    return np.array(kept, np.int64)
+
+
+def _node_forest(rows: DataFrame, screen: float) -> DataFrame:
+    """Candidate links inside nodes: members of different labels whose sketches are alike. Of each
+    node a spanning forest of its candidate links is given, (a, b), one link a member at most:
+    enough to say which members have candidates and which of them belong together.
     ``rows``: (node, side, key, label, sketch); members of side 1 are compared with all of the
-    node, those of side 0 only with side 1. Rows of root nodes also have their tree, roots and a
-    mask of the trees whose root nodes are compared: a pair is given in the first of them only."""
-    rooted = "tree" in rows.columns
+    node, those of side 0 only with side 1."""
 
     def run(batches):
         rest: pa.Table | None = None
@@ -217,25 +240,20 @@ def _node_pairs(rows: DataFrame, screen: float) -> DataFrame:
         def compared(t: pa.Table):
             node, side, sketch = t.column("node").to_numpy(), t.column("side").to_numpy(), _matrix(t.column("sketch"))
             label = np.unique(np.array(t.column("label").to_pylist(), "S16"), return_inverse=True)[1]
-            if rooted:
-                roots = t.column("roots").combine_chunks().flatten().to_numpy().reshape(-1, TREES)
-                tree, mask = t.column("tree").to_numpy(), t.column("mask").to_numpy()
-            one, two = [], []
+            top = np.arange(t.num_rows)
+            one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for lag in range(1, t.num_rows):
                 at = np.flatnonzero(node[lag:] == node[:-lag])
                 if not len(at):
                     break
-                at = at[(label[at] != label[at + lag]) & ((side[at] == 1) | (side[at + lag] == 1))]
+                at = at[(top[at] != top[at + lag]) & (label[at] != label[at + lag]) & ((side[at] == 1) | (side[at + lag] == 1))]
                 for part in np.array_split(at, len(at) // 20_000 + 1):
                     like = part[(sketch[part] == sketch[part + lag]).mean(axis=1) >= screen]
-                    if rooted and len(like):
-                        met = (roots[like] == roots[like + lag]) & (mask[like, None] >> np.arange(TREES) & 1).astype(bool)
-                        like = like[met.argmax(axis=1) == tree[like]]
+                    like = like[_united(top, like, like + lag)]
                     one.append(like)
                     two.append(like + lag)
-            one, two = np.concatenate([*one, np.zeros(0, np.int64)]), np.concatenate([*two, np.zeros(0, np.int64)])
             keys = t.column("key").combine_chunks()
-            yield from pa.table({"a": keys.take(pa.array(one, pa.int64())), "b": keys.take(pa.array(two, pa.int64()))}).to_batches()
+            yield from pa.table({"a": keys.take(pa.array(np.concatenate(one))), "b": keys.take(pa.array(np.concatenate(two)))}).to_batches()
 
         for batch in batches:
             if not batch.num_rows:
@@ -250,11 +268,84 @@ def _node_pairs(rows: DataFrame, screen: float) -> DataFrame:
         if rest is not None:
             yield from compared(rest)
 
-    columns = ["node", "side", "key", "label", "sketch"] + ["tree", "mask", "roots"] * rooted
-    ordered = rows.select(*columns).repartition("node").sortWithinPartitions("node", "key")
+    ordered = rows.select("node", "side", "key", "label", "sketch").repartition("node").sortWithinPartitions("node", "key")
     return ordered.mapInArrow(run, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _cluster_links(involved: DataFrame, sets: DataFrame, members: DataFrame, screen: float, per_cent: int) -> DataFrame:
+    """Confirmed links (a, b) that join the labels inside each cluster of candidates.
+    ``involved``: (key, cluster, label). The members outside a cluster's main label (the one with most
+    members) meet all of the cluster, in blocks of bounded size; a block gets each full set once,
+    confirms its candidates, most alike first, and gives only links that unite two labels."""
+    rows = involved.join(sets.select("key", F.length("content").alias("bytes")), "key")
+    size = lambda n, b: F.ceil(F.greatest(n / CLUSTER_BLOCK, b / BLOCK_BYTES)).cast("int")
+    by_label = rows.groupBy("cluster", "label").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    most = F.struct("n", "bytes", "label")
+    shape = by_label.groupBy("cluster").agg(F.count("*").alias("labels"), F.max(most).alias("most"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).where("labels > 1")
+    shape = shape.select("cluster", F.col("most.label").alias("main"), size(F.col("n"), F.col("bytes")).alias("parts"), size(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("asking"))
+    dealt = written(rows.drop("bytes").join(shape, "cluster").withColumn("outer", F.col("label") != F.col("main")).drop("main"), "near-clusters")
+
+    part = lambda parts: F.pmod(F.xxhash64("key"), F.col(parts)).cast("int")
+    upto = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    block = lambda i, j: F.xxhash64("cluster", i, j).alias("block")
+    asked = dealt.where("outer").select("cluster", "key", "label", "outer", part("asking").alias("i"), upto("parts").alias("j")).withColumn("side", F.lit(0))
+    given = dealt.select("cluster", "key", "label", "outer", upto("asking").alias("i"), part("parts").alias("j")).withColumn("side", F.lit(1))
+    full = sets.join(members.select("key", "sketch"), "key")
+    rows = asked.unionByName(given).select(block("i", "j"), "side", "key", "label", "outer").join(full, "key")
+
+    def links_of(block_rows: pa.Table):
+        side = block_rows.column("side").to_numpy()
+        first = int(np.searchsorted(side, 1))
+        sketch, outer = _matrix(block_rows.column("sketch")), block_rows.column("outer").to_numpy()
+        keys, content = block_rows.column("key").to_pylist(), block_rows.column("content")
+        label = np.unique(np.array(block_rows.column("label").to_pylist(), "S16"), return_inverse=True)[1]
+        found = [np.zeros((0, 3))]
+        names = np.array(keys, "S16")
+        for a in range(first):
+            b = first + np.flatnonzero((label[first:] != label[a]) & (~outer[first:] | (names[first:] > names[a])))
+            share = (sketch[b] == sketch[a]).mean(axis=1)
+            ok = share >= screen
+            found.append(np.column_stack([-share[ok], np.full(int(ok.sum()), a), b[ok]]))
+        pairs = np.concatenate(found)
+        pairs = pairs[np.lexsort((pairs[:, 2], pairs[:, 1], pairs[:, 0]))][:, 1:].astype(np.int64)
+        label = label.tolist()
+        top, known, out = list(range(len(label))), {}, []
+
+        def of(k: int) -> np.ndarray:
+            if k not in known:
+                known[k] = np.frombuffer(content[k].as_buffer(), np.uint64)
+            return known[k]
+
+        for a, b in pairs.tolist():
+            x, y = label[a], label[b]
+            while top[x] != x:
+                x = top[x]
+            while top[y] != y:
+                y = top[y]
+            if x != y and _alike(of(a), of(b), per_cent):
+                top[max(x, y)] = min(x, y)
+                out.append((keys[a], keys[b]))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
+
+    def run(batches):
+        rest: list[pa.Table] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch])
+            where = t.column("block").to_numpy()
+            edges = [0, *(np.flatnonzero(where[1:] != where[:-1]) + 1).tolist(), t.num_rows]
+            for a, b in zip(edges[:-1], edges[1:]):
+                if rest and rest[0].column("block")[0].as_py() != where[a]:
+                    yield from links_of(pa.concat_tables(rest)).to_batches()
+                    rest = []
+                rest.append(t.slice(a, b - a))
+        if rest:
+            yield from links_of(pa.concat_tables(rest)).to_batches()
+
+    return rows.repartition("block").sortWithinPartitions("block", "side").mapInArrow(run, "a binary, b binary").distinct()
+
+
 def _open_nodes(rows: DataFrame) -> DataFrame:
     """(node, n) of nodes with members of two components or more."""
     return rows.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("node", "n")
@@ -288,30 +379,29 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     members = written(found.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("roots").alias("roots"), F.first("sketch").alias("sketch")), "near-members")
     placed = members.select("key", F.posexplode("roots").alias("tree", "token")).select(F.xxhash64("tree", "token").alias("node"), "tree", "key")
     nodes = placed.groupBy("node").agg(F.count("*").alias("n"), F.min("key").alias("b")).where("n > 1")
-    shared = written(placed.join(nodes, "node").select("node", "tree", "key", "n", "b"), "near-nodes")
+    shared = written(placed.join(nodes, "node").select("node", "key", "n", "b"), "near-nodes")
 
     star = shared.where("key <> b").select(F.col("key").alias("a"), "b").distinct()
     star = _screened(star, members, screen)
     best = written(star.groupBy("a").agg(F.max_by("b", F.struct("share", "b")).alias("b")), "near-star")  # b < a: a forest
-    links = written(_confirmed(best.withColumn("label", F.col("b")), members, documents, doc_id, text, per_cent), "near-links")
+    ends = lambda pairs: pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    links = written(_confirmed(best.withColumn("label", F.col("b")), _sets(ends(best), members, documents, doc_id, text), per_cent), "near-links")
     labels = forest_roots(links.select(F.col("a").alias("u"), F.col("b").alias("parent")), "near-labels")
 
-    rows = written(_labelled(shared.select("node", "tree", "key", "n"), labels), "near-rows")
+    rows = written(_labelled(shared.select("node", "key", "n"), labels), "near-rows")
     small_nodes = rows.where(F.col("n") <= node_limit)
-    small_nodes = small_nodes.join(_open_nodes(small_nodes).select("node"), "node", "left_semi")
-    masks = small_nodes.groupBy("key").agg(F.sum(F.expr("shiftleft(1L, tree)")).alias("mask"))
-    small_nodes = small_nodes.join(masks, "key").join(members.select("key", "sketch", "roots"), "key")
-    wanted = _node_pairs(small_nodes.withColumn("side", F.lit(1)), screen)
+    small_nodes = small_nodes.join(_open_nodes(small_nodes).select("node"), "node", "left_semi").join(members.select("key", "sketch"), "key")
+    wanted = _node_forest(small_nodes.withColumn("side", F.lit(1)), screen)
 
     large = rows.where(F.col("n") > node_limit)
     deep = large.groupBy("key").agg(F.count("*").alias("large")).where(F.col("large") > TREES - SMALL_ROOTS).select("key")
-    large = large.join(deep, "key", "left_semi").drop("n", "tree")
+    large = large.join(deep, "key", "left_semi").drop("n")
     large = large.join(_open_nodes(large), "node").join(members.select("key", "sketch"), "key")
     for depth in range(1, max_depth + 1):
         large = written(large.select("node", "n", "key", "label", "sketch"), f"near-depth{depth}")
         if not large.head(1):
             break
-        wanted = wanted.unionByName(_node_pairs(large.where(F.col("n") <= node_limit).withColumn("side", F.lit(1)), screen))
+        wanted = wanted.unionByName(_node_forest(large.where(F.col("n") <= node_limit).withColumn("side", F.lit(1)), screen))
         large = large.where(F.col("n") > node_limit)
         if depth < max_depth:
             large = _children(large.drop("n")).dropDuplicates(["node", "key"])
@@ -319,10 +409,14 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
         elif large.head(1):
             by_label = large.groupBy("node", "label").agg(F.count("*").alias("size"))
             main = by_label.groupBy("node").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
-            wanted = wanted.unionByName(_node_pairs(_blocks(large, main, node_limit), screen))
+            wanted = wanted.unionByName(_node_forest(_blocks(large, main, node_limit), screen))
     wanted = written(wanted.distinct(), "near-wanted")
-    more = written(_confirmed(_gathered(wanted), members, documents, doc_id, text, per_cent), "near-more")
-    labels = components(links.unionByName(more), "near-labels")
+    if wanted.head(1):
+        involved = written(ends(wanted), "near-involved")
+        clusters = _labelled(involved, components(wanted, "near-groups")).withColumnRenamed("label", "cluster")
+        involved = _labelled(clusters, labels)
+        links = links.unionByName(_cluster_links(involved, _sets(involved.select("key"), members, documents, doc_id, text), members, screen, per_cent))
+        labels = components(links, "near-labels")
 
     classes = _labelled(members.select("key", "id"), labels)
     least = classes.groupBy("label").agg(F.min("id").alias("component_id"))
@@ -344,6 +438,4 @@ def deduplicated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
         left = documents.withColumn("_text_hash", F.xxhash64(text)).join(gone, [doc_id, "_text_hash"], "left_anti")
         return left.select(*documents.columns).dropDuplicates([doc_id, text])
     gone = written(near_duplicates(documents, doc_id, text, **options).where("NOT kept").select(doc_id).distinct(), "near-gone")
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
     return documents.join(gone, doc_id, "left_anti").select(*documents.columns)

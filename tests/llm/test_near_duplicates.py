@@ -94,3 +94,17 @@ def test_a_text_under_a_repeated_id_is_not_lost(spark):
     rows = [(5, "one two three four five six seven"), (2, "a b c d e f g h"), (5, "a b c d e f g h"), (None, "a b c d e f g h"), (7, None), (7, None)]
     got = N.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == [(0, rows[1][1]), (2, rows[1][1]), (5, rows[0][1]), (7, "")]
+
+
+def test_candidate_rows_grow_with_members_not_pairs(spark):
+    """A group around the threshold: candidates come as forests, links as unions of labels."""
+    rng = random.Random(4)
+    template = [f"t{k}" for k in range(100)]
+    rows = [(k, edited(rng, template, rng.randint(1, 5))) for k in range(300)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    found = N.signatures(documents, "doc_id", "text").selectExpr("key", "sketch").distinct()
+    node = found.selectExpr("1L AS node", "1 AS side", "key", "key AS label", "sketch")
+    forest = N._node_forest(node, 0.5).collect()
+    assert 0 < len(forest) < found.count()
+    assert len({r["a"] for r in forest} | {r["b"] for r in forest}) > 250
+    check(spark, rows)

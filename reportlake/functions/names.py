@@ -131,6 +131,12 @@ def warehouse_table_name(table: Column | str, version: Column | str) -> Column:
     return F.when(v != "", F.concat(_c(table), F.lit("_"), F.translate(v, "-", "_"))).otherwise(_c(table))
 
 
+def catalog_name(name: Column | str) -> Column:
+    """A table name the catalog takes: lower case, every other character than letters, digits and
+    underscores as one underscore each (Q16)."""
+    return F.regexp_replace(F.lower(_c(name)), "[^a-z0-9_]", "_")
+
+
 def full_table_id(project: Column | str, dataset: Column | str, table: Column | str) -> Column:
     return F.concat_ws(".", _c(project), _c(dataset), _c(table))
 

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportlake.operators import tables as T
-from reportlake.plans.fixtures import lake_columns, report_lake, report_store
+from reportlake.plans.fixtures import lake_columns, report_lake, report_store, write_report_lake
 from reportlake.plans.registry import register
+from reportlake.session import shared_dir
 
 
 def _fresh_db(spark: SparkSession) -> str:
@@ -77,6 +78,60 @@ def republish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_counts(spark, db, again)
 
 
+@register(
+    "republish_keeps_readers",
+    """SELECT last_day(CAST(o_orderdate AS DATE)) AS report_date, count(*) AS n_before, count(*) AS n_after,
+              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_before, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_after,
+              '1,2' AS generations
+       FROM orders GROUP BY 1""",
+)
+def republish_keeps_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A republished table is looked up, republished again, and read by both the old lookup and a new one;
+    the generations that are left: the one read now and the one before (T6)."""
+    db, _ = _publish(spark, sf_dir)
+    name = f"{db}.orders_v1_0"
+
+    def totals(table: DataFrame, which: str) -> DataFrame:
+        price = F.sum(F.col("total_price__usd").cast("decimal(18,2)")).cast("double")
+        return table.groupBy("report_date").agg(F.count("*").alias(f"n_{which}"), price.alias(f"sum_{which}"))
+
+    def again() -> None:
+        if not T.republish(spark, ["orders_v1_0"], database=db).first()["ok"]:
+            raise RuntimeError("table was not republished")
+
+    again()
+    before = totals(spark.table(name), "before")
+    again()
+    left = sorted(t.name.rsplit("_", 1)[1] for t in spark.catalog.listTables(db) if t.name.startswith(f"orders_v1_0{T.RAW_SUFFIX}"))
+    return before.join(totals(spark.table(name), "after"), "report_date", "full_outer").withColumn("generations", F.lit(",".join(left)))
+
+
+@register(
+    "publish_collisions",
+    """SELECT * FROM (SELECT 'east/orders-late' AS folder, 'orders_late' AS table_name, TRUE AS ok, '' AS collides_with, count(*) AS n_rows FROM orders WHERE o_orderkey % 3 = 2
+       UNION ALL SELECT 'north/orders_v1-0', 'orders_v1_0', FALSE, 'south/orders_v1-0', NULL
+       UNION ALL SELECT 'south/orders_v1-0', 'orders_v1_0', FALSE, 'north/orders_v1-0', NULL
+       UNION ALL SELECT 'west/orders.late', 'orders_late', FALSE, 'east/orders-late', NULL)""",
+)
+def publish_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders that propose one table name, at once or after a table has it: reported, not published (T5, Q16)."""
+    root, db = shared_dir(spark, "collisions"), _fresh_db(spark)
+    date_col, cols = lake_columns("orders")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    part = lambda k, folder: write_report_lake(orders.where(F.col("o_orderkey") % 3 == k), date_col, cols, f"{root}/{folder}")
+    for k, folder in enumerate(("north/orders_v1-0", "south/orders_v1-0", "east/orders-late")):
+        part(k, folder)
+    T.publish_missing(spark, root, database=db)
+    first = T.list_tables(spark, db).select("table_name", "location")
+    part(0, "west/orders.late")
+    again = T.publish_missing(spark, root, database=db)
+    within = lambda c: F.regexp_extract(c, r"([^/]+/[^/]+)$", 1)
+    held = first.select(within(F.col("location")).alias("folder"), "table_name", F.lit(True).alias("ok"), F.lit("").alias("collides_with"))
+    out = held.unionByName(again.select(within(F.col("folder")).alias("folder"), "table_name", "ok", within(F.col("error")).alias("collides_with")))
+    counted = spark.table(f"{db}.orders_late").agg(F.count("*").alias("n_rows")).withColumn("ok", F.lit(True))
+    return out.join(counted, "ok", "left").select("folder", "table_name", "ok", "collides_with", "n_rows")
+
+
 @register(
     "list_tables",
     """SELECT * FROM (VALUES ('orders_v1_0', TRUE, 'report_date', CAST(9 AS INTEGER)), ('lineitem', TRUE, 'report_date', CAST(%d AS INTEGER)))

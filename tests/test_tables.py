@@ -1,6 +1,7 @@
 """External table lifecycle over a small mixed-layout lake (reference table manager tests)."""
 
 import gzip
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +99,60 @@ def test_a_failed_republish_keeps_the_table(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(T, "typed_sql", lambda *a: "no_such_function(1)")
     assert not T.republish(spark, ["wind"], database="t_keep").first()["ok"]
     assert spark.table("t_keep.wind").count() == 15
+
+
+def test_republish_turns_the_view_and_keeps_the_generation_before(spark, tmp_path):
+    folder = f"{build_store(tmp_path)}/reports/wind"
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_gen")
+    assert T.create_table(spark, "t_gen.wind", folder)
+    reader = spark.table("t_gen.wind")
+    for k in (1, 2, 3):
+        done, looked, missed = threading.Event(), [], []
+
+        def look():
+            while not done.is_set():
+                looked.append(1)
+                try:
+                    spark.table("t_gen.wind").columns
+                except Exception as e:  # noqa: BLE001 - any failure is what the test is about
+                    missed.append(e)
+
+        thread = threading.Thread(target=look)
+        thread.start()
+        try:
+            assert T.republish(spark, ["wind"], database="t_gen").first()["ok"]
+        finally:
+            done.set()
+            thread.join()
+        assert looked and not missed
+        assert reader.count() == 15 == spark.table("t_gen.wind").count()
+        assert T._raw_of(spark, "t_gen.wind") == f"t_gen.wind__raw_{k}"
+        assert sorted(T._generations(spark, "t_gen.wind")) == [k - 1, k]
+    assert [r["table_name"] for r in T.list_tables(spark, "t_gen").collect()] == ["wind"]
+    T.drop_tables(spark, ["wind"], database="t_gen", dry_run=False)
+    assert not spark.catalog.listTables("t_gen")
+
+
+def test_collisions_are_reported_and_nothing_is_published_under_them(spark, tmp_path):
+    for folder in ("a/tide_v1-1", "b/tide_v1-1", "c/Ebb-tide", "d/wind"):
+        write_gz(tmp_path / folder / "x.csv.gz", "k,v\n" + "".join(f"{i},{i}\n" for i in range(12)))
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_coll")
+    res = {r["folder"].rsplit("/", 2)[-2]: r for r in T.publish_missing(spark, str(tmp_path), database="t_coll").collect()}
+    assert {k: r["ok"] for k, r in res.items()} == {"a": False, "b": False, "c": True, "d": True}
+    assert "b/tide_v1-1" in res["a"]["error"] and "a/tide_v1-1" in res["b"]["error"]
+    assert res["c"]["table_name"] == "ebb_tide" and spark.table("t_coll.ebb_tide").count() == 12
+    write_gz(tmp_path / "e" / "wind" / "x.csv.gz", "k,v\n1,2\n")
+    again = {r["folder"].rsplit("/", 2)[-2]: r for r in T.publish_missing(spark, str(tmp_path), database="t_coll").collect()}
+    assert set(again) == {"a", "b", "e"}  # d has its table
+    assert not again["e"]["ok"] and "d/wind" in again["e"]["error"]
+    assert spark.table("t_coll.wind").count() == 12
+
+
+def test_landed_files_of_one_bare_name_and_undated_rows_are_all_shown(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    rows = spark.createDataFrame([(str(i), f"/x/{p}/r.csv.gz", d) for p, n, d in (("a", 3, "2020-01-31"), ("b", 5, "2020-01-31"), ("c", 4, None)) for i in range(n)], "key string, src_file string, d string")
+    L.land(spark, rows.withColumn("report_date", F.col("d").cast("date")).drop("d"), lake, "tide")
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_same")
+    assert T.create_table(spark, "t_same.tide", f"{lake}/tide")
+    got = {(r["src_file"], r["report_date"] is None): r["n"] for r in spark.sql("SELECT src_file, report_date, count(*) AS n FROM t_same.tide GROUP BY 1, 2").collect()}
+    assert got == {("/x/a/r.csv.gz", False): 3, ("/x/b/r.csv.gz", False): 5, ("/x/c/r.csv.gz", True): 4}

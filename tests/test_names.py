@@ -81,3 +81,7 @@ def test_stored_paths_come_apart(spark):
 def test_destination_path(spark):
     df = spark.createDataFrame([("grain", "2011-11-30", "x.csv.gz"), ("grain", None, "y.csv")], "f string, d string, n string")
     assert col_values(df, N.destination_path("f", "d", "n")) == ["grain/report_date=2011-11-30/x.csv.gz", "grain/y.csv"]
+
+
+def test_catalog_name_keeps_letters_digits_and_underscores(spark):
+    assert col_values(one_col(spark, ["Ebb-tide", "a.b c", "x_1", None]), N.catalog_name("v")) == ["ebb_tide", "a_b_c", "x_1", None]

@@ -297,17 +297,20 @@ def publish_missing(
     db = database or spark.catalog.currentDatabase()
     folders = C.folder_summary(C.list_files(spark, store_root, csvlake.GZ_GLOB))
     folders = folders.withColumn("proposed_table_name", N.catalog_name("proposed_table_name"))
-    held = [(t, _plain(_describe(spark, f"{db}.{t}").location or "")) for t in _published(spark, db)]
-    for t, _ in held:
-        refresh_table(spark, f"{db}.{t}")
-    existing = spark.createDataFrame([(t, at) for t, at in held], "table_name string, location string")
+    held, results = [], []
+    for t in _published(spark, db):
+        try:
+            refresh_table(spark, f"{db}.{t}")
+            held.append((t, _plain(_describe(spark, f"{db}.{t}").location or "")))
+        except Exception as e:  # noqa: BLE001 - report and continue with the next table
+            results.append((t, None, False, f"not refreshed: {str(e)[:500]}"))
+    existing = spark.createDataFrame(held, "table_name string, location string")
     todo = folders.join(existing, folders["proposed_table_name"] == existing["table_name"], "left").select(
         "storage_folder_name", "proposed_table_name", "has_partitioning", "location"
     ).collect()  # one row per folder
     claims: dict[str, list[str]] = {}
     for r in todo:
         claims.setdefault(r["proposed_table_name"], []).append(r["storage_folder_name"])
-    results = []
     for r in sorted(todo, key=lambda r: r["storage_folder_name"]):
         folder, t = r["storage_folder_name"], r["proposed_table_name"]
         if r["location"] is not None:

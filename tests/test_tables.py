@@ -156,3 +156,14 @@ def test_landed_files_of_one_bare_name_and_undated_rows_are_all_shown(spark, tmp
     assert T.create_table(spark, "t_same.tide", f"{lake}/tide")
     got = {(r["src_file"], r["report_date"] is None): r["n"] for r in spark.sql("SELECT src_file, report_date, count(*) AS n FROM t_same.tide GROUP BY 1, 2").collect()}
     assert got == {("/x/a/r.csv.gz", False): 3, ("/x/b/r.csv.gz", False): 5, ("/x/c/r.csv.gz", True): 4}
+
+
+def test_a_table_that_can_not_be_refreshed_does_not_stop_the_others(spark, tmp_path):
+    store = build_store(tmp_path)
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_stuck")
+    assert T.create_table(spark, "t_stuck.wind", f"{store}/reports/wind")
+    spark.sql("ALTER VIEW t_stuck.wind AS SELECT 1 AS k")  # reads no raw table any more
+    res = {r["table_name"]: [] for r in T.publish_missing(spark, store, database="t_stuck").collect()}
+    for r in T.publish_missing(spark, store, database="t_stuck").collect():
+        res[r["table_name"]].append(r["ok"])
+    assert res["wind"] == [False, False] and spark.table("t_stuck.tide_v1_1").count() == 50

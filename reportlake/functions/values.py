@@ -7,6 +7,9 @@ value trimmed of surrounding whitespace; null tokens are removed before.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,6 +67,9 @@ def is_date(v: Column | str) -> Column:
     return _c(v).rlike(DATE_PATTERN)
 
 
+_SIGNS = [ord(c) for c in "+-"]
+_BOOL_STARTS = sorted({ord(c) for token in BOOL_TOKENS for c in (token[0], token[0].upper())})
+_NUMERIC_STARTS = [ord(c) for c in "+-.iInN"]
 CLASS_NAMES = ["STRING", "INT64", "BOOL", "BIGNUMERIC", "TIMESTAMP", "DATE"]  # index = class code
 
 
@@ -77,17 +83,56 @@ def class_code(v: Column | str, leading_zero: str = "decimal") -> Column:
     numeric = is_numeric(t)
     if leading_zero == "string":
         numeric = numeric & ~t.rlike(r"^[+-]?0[0-9]")
+    first = F.ascii(t)  # every test but is_bool is anchored, so the first character rules most out
+    digit = first.between(48, 57)
     return (
         F.when(t.isNull(), F.lit(None).cast("int"))
-        .when(is_int64(t), F.lit(1))
-        .when(is_bool(t), F.lit(2))
-        .when(numeric, F.lit(3))
-        .when(is_timestamp(t), F.lit(4))
-        .when(is_date(t), F.lit(5))
+        .when((digit | first.isin(*_SIGNS)) & is_int64(t), F.lit(1))
+        .when(first.isin(*_BOOL_STARTS) & is_bool(t), F.lit(2))
+        .when((digit | first.isin(*_NUMERIC_STARTS)) & numeric, F.lit(3))
+        .when(digit & is_timestamp(t), F.lit(4))
+        .when(digit & is_date(t), F.lit(5))
         .otherwise(F.lit(0))
     )
 
 
+#: As Java's ``$``: one line terminator may follow. ``(?i)`` in ASCII, spelled out.
+_END = r"(?:\r\n|[\n\r\x{85}\x{2028}\x{2029}])?$"
+_ARROW_NUMERIC = NUMERIC_PATTERN.removeprefix("(?i)").replace("(e[", "([eE][").replace("inf(inity)?", "[iI][nN][fF]([iI][nN][iI][tT][yY])?").replace("nan", "[nN][aA][nN]")
+_ARROW_TESTS = [(code, p.removesuffix("$") + _END) for code, p in ((3, _ARROW_NUMERIC), (4, TIMESTAMP_PATTERN), (5, DATE_PATTERN))]
+_INT64_DIGITS = 18  # that fit in any case
+
+
+def class_counts(cells: pa.Array, leading_zero: str = "decimal") -> np.ndarray:
+    """Cells of each class, index as in ``CLASS_NAMES``, of an Arrow array of raw text: what ``class_code``
+    of ``null_if_token`` gives, null tokens left out. Each distinct value is tested once."""
+    counted = pc.value_counts(cells)
+    text, n = pc.utf8_trim(counted.field("values"), characters=WHITESPACE), counted.field("counts")
+    lower = pc.utf8_lower(text)
+    keep = pc.fill_null(pc.invert(pc.is_in(lower, value_set=pa.array(NULL_TOKENS, text.type))), False)
+    keep = pc.and_(keep, pc.is_valid(text))
+    text, lower, n = text.filter(keep), lower.filter(keep), n.filter(keep).to_numpy()
+    codes = np.zeros(len(text), np.int64)
+
+    def match(some: pa.Array, pattern: str) -> np.ndarray:
+        return pc.match_substring_regex(some, pattern).to_numpy(zero_copy_only=False).astype(bool)
+
+    whole = match(text, INT_PATTERN) & ~match(text, LEADING_ZERO_PATTERN)
+    for i in np.flatnonzero(whole & (pc.utf8_length(text).to_numpy() > _INT64_DIGITS)).tolist():
+        whole[i] = -(1 << 63) <= int(text[i].as_py()) < 1 << 63
+    codes[whole] = 1
+    is_token = pc.is_in(lower, value_set=pa.array(BOOL_TOKENS, text.type)).to_numpy(zero_copy_only=False).astype(bool)
+    codes[~whole & is_token] = 2
+    for code, pattern in _ARROW_TESTS:
+        left = np.flatnonzero(codes == 0)
+        some = text.take(pa.array(left))
+        hit = match(some, pattern)
+        if code == 3 and leading_zero == "string":
+            hit &= ~match(some, r"^[+-]?0[0-9]")
+        codes[left[hit]] = code
+    return np.bincount(codes, weights=n, minlength=len(CLASS_NAMES)).astype(np.int64)
+
+
 def value_class(v: Column | str, leading_zero: str = "decimal") -> Column:
     """Class name of one cleaned value (INT64, BOOL, BIGNUMERIC, TIMESTAMP, DATE, STRING); NULL stays NULL."""
     code = class_code(v, leading_zero)

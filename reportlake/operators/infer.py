@@ -6,15 +6,18 @@ that holds at least ``threshold`` of its non-null values; fewer than
 ``min_non_null`` values give STRING. Columns whose name contains "revenue"
 become BIGNUMERIC when INT64 and BIGNUMERIC together reach the threshold.
 
-The profile is one global aggregate with ``count_if`` per (column, class): a
-single pass, no explode, partial aggregation per task, one small row shuffled
-per task. Only the per-column counts (schema-sized) ever reach the driver.
+The profile of a whole frame is one pass: each task counts the classes of its cells on Arrow batches
+(``values.class_counts``, tested once for each distinct value of a batch) and sends one small row on.
+That of groups is an aggregate with ``count_if`` per (column, class). Only the per-column counts
+(schema-sized) ever reach the driver.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,16 +48,39 @@ def profile(df: DataFrame, columns: list[str] | None = None, leading_zero: str =
     """Per column (and group of ``by``): position, non-null count and count per class (I2). The counts of
     groups add up to those of all rows. ``extra``: other aggregates of the same pass, which stay columns."""
     cols = columns if columns is not None else list(df.columns)
-    cleaned = df.select(*[V.null_if_token(F.col(c)).alias(f"{c}__v") for c in cols], *([F.col(c) for c in df.columns] if by or extra else []))
+    if not by and not extra:
+        return _column_rows(_counted(df.select(*[F.make_valid_utf8(F.col(c).cast("string")).alias(f"c{i}") for i, c in enumerate(cols)]), leading_zero), cols)
+    cleaned = df.select(*[V.null_if_token(F.col(c)).alias(f"{c}__v") for c in cols], *[F.col(c) for c in df.columns])
     # Small integer codes instead of class names: the counts compare ints, not strings.
-    classes = cleaned.select(*[V.class_code(F.col(f"{c}__v"), leading_zero).alias(f"{c}__k") for c in cols], *([F.col(c) for c in df.columns] if by or extra else []))
+    classes = cleaned.select(*[V.class_code(F.col(f"{c}__v"), leading_zero).alias(f"{c}__k") for c in cols], *[F.col(c) for c in df.columns])
     aggs = []
     for i, c in enumerate(cols):
         k = F.col(f"{c}__k")
         aggs.append(F.count(k).alias(f"{i}__n"))
         for code, cnt in enumerate(COUNT_COLUMNS, start=1):
             aggs.append(F.count_if(k == code).alias(f"{i}__{cnt}"))
-    wide = classes.groupBy(*by).agg(*aggs, *extra) if by or extra else classes.agg(*aggs)
+    return _column_rows(classes.groupBy(*by).agg(*aggs, *extra), cols)
+
+
+def _counted(cells: DataFrame, leading_zero: str) -> DataFrame:
+    """One row with the counts of all columns. Tests written out for every column make Spark generate a method
+    too large for its JIT."""
+    width, names = len(cells.columns), ["n", *COUNT_COLUMNS]
+
+    def run(batches):
+        total = np.zeros((width, len(V.CLASS_NAMES)), np.int64)
+        for batch in batches:
+            for i in range(width):
+                total[i] += V.class_counts(batch.column(i), leading_zero)
+        total[:, 0] = total.sum(axis=1)  # non-null cells in the place of those of no class
+        yield pa.RecordBatch.from_arrays([pa.array([int(v)]) for v in total.ravel()], names=[f"{i}__{n}" for i in range(width) for n in names])
+
+    found = cells.mapInArrow(run, ", ".join(f"`{i}__{n}` long" for i in range(width) for n in names))
+    return found.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in found.columns])
+
+
+def _column_rows(wide: DataFrame, cols: list[str]) -> DataFrame:
+    """One row a column (and group) from the counts in columns ``<position>__<count>``."""
     rows = F.array(
         *[
             F.struct(

@@ -12,11 +12,13 @@ Each Spark builder has a DuckDB twin (``*_SQL``) that the oracle queries use.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reportlake.session import shared_dir, spread
 from reportlake.sources.specs import SourceSpec
@@ -203,7 +205,8 @@ class LakeColumn:
 
 
 def _fmt2(c: Column) -> Column:
-    return F.format_string("%.2f", c)
+    """``%.2f``; a positive number goes by its decimal, which rounds alike and is cheaper."""
+    return F.when(c > 0, F.coalesce(c.try_cast("decimal(18,2)").cast("string"), F.format_string("%.2f", c))).otherwise(F.format_string("%.2f", c))
 
 
 def _mixed_units() -> Column:
@@ -293,28 +296,14 @@ def _title_month(rd: Column) -> Column:
     return F.month(rd) % 2 == 0
 
 
-def _heads_then_rows(header_line: str, titled_months: set[int], keyed: bool = False):
-    """mapInPandas body: per task, put title/header lines before the first row of each month
-    (or of each group key ``<...>|yyyymm`` when ``keyed``)."""
-
-    def month_of(d):
-        return int(d.rsplit("|", 1)[1][4:6]) if keyed else d.month
-
-    def run(batches):
-        seen: set = set()
-        for pdf in batches:
-            new = [d for d in pd.unique(pdf["report_date"]) if d not in seen]
-            heads = []
-            for d in new:
-                seen.add(d)
-                if month_of(d) in titled_months:
-                    heads.append((d, 0, TITLE))
-                heads.append((d, 1, header_line))
-            if heads:
-                yield pd.DataFrame(heads, columns=["report_date", "kind", "line"])
-            yield pdf[["report_date", "kind", "line"]]
-
-    return run
+@F.pandas_udf(T.BooleanType())
+def _first_of_key(keys: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Whether a row is the first of its key in its task. Only the key goes to Python."""
+    seen: set = set()
+    for some in keys:
+        first = ~some.duplicated() & ~some.isin(seen)
+        seen.update(some[first])
+        yield first
 
 
 def write_report_lake(
@@ -330,8 +319,8 @@ def write_report_lake(
 
     Rows of a month are spread over ``files_per_month`` hash buckets, so a hot
     month is several tasks and files, never one. Each file starts with the
-    header (and the title in even months); the per-task head lines come from a
-    small pandas step after the shuffle, and a local sort puts them first.
+    header (and the title in even months): the first row of a month in its task
+    brings them along, and a local sort puts them first.
     """
     rd = F.last_day(F.to_date(F.col(date_col))) if group is None else group
     line = F.to_csv(
@@ -340,20 +329,17 @@ def write_report_lake(
     )
     if short_row is not None:
         line = F.when(short_row, F.regexp_replace(line, ",[^,]*$", "")).otherwise(line)
-    rows = df.select(rd.alias("report_date"), F.lit(2).alias("kind"), line.alias("line"))
-    bucket = F.pmod(F.xxhash64("line"), F.lit(files_per_month))
+    rows = df.select(rd.alias("report_date"), line.alias("line"))
     header_line = ",".join(c.header if "," not in c.header else '"' + c.header + '"' for c in columns)
-    titled = {m for m in range(1, 13) if m % 2 == 0}
+    titled = _title_month(F.col("report_date")) if group is None else F.substring_index("report_date", "|", -1).substr(5, 2).cast("int") % 2 == 0
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     n_tasks = max(parallelism, df.rdd.getNumPartitions()) * files_per_month
-    out = (
-        rows.repartition(n_tasks, "report_date", bucket)
-        .mapInPandas(
-            _heads_then_rows(header_line, titled, group is not None),
-            f"report_date {'string' if group is not None else 'date'}, kind int, line string",
-        )
-        .sortWithinPartitions("report_date", "kind")
-    )
+    bucket = F.pmod(F.xxhash64("line"), F.lit(files_per_month))
+    dealt = rows.repartition(n_tasks, "report_date", bucket).withColumn("first", _first_of_key(F.col("report_date").cast("string")))
+    entry = lambda kind, text: F.struct(F.lit(kind).alias("kind"), text.alias("line"))
+    title, header, row = entry(0, F.lit(TITLE)), entry(1, F.lit(header_line)), entry(2, F.col("line"))
+    lines = F.when(F.col("first") & titled, F.array(title, header, row)).when(F.col("first"), F.array(header, row)).otherwise(F.array(row))
+    out = dealt.select("report_date", F.inline(lines)).sortWithinPartitions("report_date", "kind")
     (
         out.select("report_date", "line")
         .write.mode("overwrite")

@@ -59,10 +59,11 @@ def upload_batch(files: DataFrame, number: int, specs: list[SourceSpec], lake_ro
         L.upload(spark, C.build_catalog(listing, specs), lake_root, load=load, **options)
 
 
-def run_uploads(spark: SparkSession, root: str, specs: list[SourceSpec], lake_root: str, checkpoint: str, stream: str = "stream", max_files_per_trigger: int = FILES_PER_BATCH, **options) -> None:
+def run_uploads(spark: SparkSession, root: str, specs: list[SourceSpec], lake_root: str, checkpoint: str, stream: str = "stream", max_files_per_trigger: int = L.FILES_PER_PASS, **options) -> None:
     """Load every file under ``root`` that isn't in the checkpoint yet, then stop (``options``: of ``load.upload``).
 
-    ``stream`` names the load ids; a checkpoint and a name belong together."""
+    A batch takes what one pass of ``upload`` does: every batch costs some dozens of jobs whatever its size, so
+    small ones make the time grow with their number. ``stream`` names the load ids; a checkpoint and a name belong together."""
     _run(
         arrivals(spark, root, max_files_per_trigger=max_files_per_trigger),
         lambda files, number: upload_batch(files, number, specs, lake_root, stream, **options),

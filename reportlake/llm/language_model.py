@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -155,18 +156,8 @@ def vocabulary(counted: DataFrame, head: int = HEAD) -> tuple[Vocabulary, int]:
 
 def look_up(v: Vocabulary, hashes: np.ndarray) -> np.ndarray:
     """Place of each token in the head, or -1."""
-    order = np.argsort(hashes)
-    ordered = hashes[order]
-    first = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, bool)
-    distinct = ordered[first]
-    place = np.searchsorted(v.keys, distinct)
-    if len(v.keys):
-        place = np.where(v.keys[np.minimum(place, len(v.keys) - 1)] == distinct, place, -1)
-    else:
-        place = np.full(len(distinct), -1)
-    out = np.empty(len(hashes), np.int64)
-    out[order] = place[np.cumsum(first) - 1]
-    return out
+    place = pc.index_in(pa.array(hashes, pa.int64()), value_set=pa.array(v.keys, pa.int64()))
+    return pc.fill_null(place, -1).to_numpy().astype(np.int64)
 
 
 Parameters = dict[str, np.ndarray]
@@ -216,7 +207,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Recurrent:
-    """The model over one slice laid out in lanes."""
+    """The model over one slice laid out in lanes. Arrays have their units first and the lanes last, so
+    that numpy's loops run over lanes; the methods take and give views with the units last."""
 
     def __init__(self, p: Parameters):
         self.p = p
@@ -225,79 +217,93 @@ class Recurrent:
         """States before each token (steps, lanes, HIDDEN) -- after reading ``inputs`` -- and what
         backpropagation needs."""
         p, H = self.p, HIDDEN
-        states, kept = np.empty((inputs.shape[1], len(inputs), H), np.float32), []
-        given = p["in"][inputs.T]
+        states, kept = np.empty((H, inputs.shape[1], len(inputs)), np.float32), []
+        given = np.take(np.ascontiguousarray(p["in"].T), inputs.T, axis=1)
+        weights, h, starts = np.ascontiguousarray(p["state"].T), h.T, first.any(axis=0)
         for t in range(inputs.shape[1]):
-            h = np.where(first[:, t, None], np.float32(0), h)
-            moved = h @ p["state"]
-            gates = _sigmoid(given[t, :, : 2 * H] + moved[:, : 2 * H])
-            z, r = gates[:, :H], gates[:, H:]
-            new = np.tanh(given[t, :, 2 * H :] + r * moved[:, 2 * H :])
-            kept.append((h, z, r, new, moved[:, 2 * H :]))
+            if starts[t]:
+                h = np.where(first[:, t], np.float32(0), h)
+            moved = weights @ h
+            gates = _sigmoid(given[: 2 * H, t] + moved[: 2 * H])
+            z, r = gates[:H], gates[H:]
+            new = np.tanh(given[2 * H :, t] + r * moved[2 * H :])
+            kept.append((h, z, r, new, moved[2 * H :]))
             h = new + z * (h - new)
-            states[t] = h
-        return states, kept
+            states[:, t] = h
+        return states.transpose(1, 2, 0), kept
 
     def back(self, grad: np.ndarray, inputs: np.ndarray, first: np.ndarray, kept: list, out: Parameters) -> None:
         """Gradients of the recurrent part from those of the states."""
         p, H = self.p, HIDDEN
-        d_in = np.empty((*grad.shape[:2], 3 * H), np.float32)
-        d_moved = np.empty_like(d_in)
-        before = np.stack([k[0] for k in kept])
-        carry = np.zeros(grad.shape[1:], np.float32)
-        for t in range(len(kept) - 1, -1, -1):
+        steps, n = grad.shape[:2]
+        grad = grad.transpose(2, 0, 1)
+        flat = np.empty((steps, n, 3 * H), np.float32)
+        carry, starts = np.zeros((H, n), np.float32), first.any(axis=0)
+        part, weights = np.empty((3 * H, n), np.float32), np.zeros((H, 3 * H), np.float32)
+        for t in range(steps - 1, -1, -1):
             h, z, r, new, moved = kept[t]
-            d = grad[t] + carry
-            d_new = d * (1 - z) * (1 - new * new)
-            d_in[t, :, :H] = d * (h - new) * z * (1 - z)
-            d_in[t, :, H : 2 * H] = d_new * moved * r * (1 - r)
-            d_in[t, :, 2 * H :] = d_new
-            d_moved[t, :, : 2 * H] = d_in[t, :, : 2 * H]
-            d_moved[t, :, 2 * H :] = d_new * r
-            carry = np.where(first[:, t, None], np.float32(0), d * z + d_moved[t] @ p["state"].T)
-        out["state"] += before.reshape(-1, H).T @ d_moved.reshape(-1, 3 * H)
-        ids, flat = inputs.T.ravel(), d_in.reshape(-1, 3 * H)
+            d = grad[:, t] + carry
+            stay = d * z
+            d_new = np.multiply(d - stay, 1 - new * new, out=part[2 * H :])
+            np.multiply((h - new) * stay, 1 - z, out=part[:H])
+            np.multiply(d_new * moved, r * (1 - r), out=part[H : 2 * H])
+            flat[t] = part.T
+            d_new *= r
+            weights += h @ part.T
+            carry = stay + p["state"] @ part
+            if starts[t]:
+                carry = np.where(first[:, t], np.float32(0), carry)
+        out["state"] += weights
+        ids = inputs.T.ravel().astype(np.int16)  # sorted by radix
         order = np.argsort(ids, kind="stable")
         ordered = ids[order]
         at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        out["in"][ordered[at]] += np.add.reduceat(flat[order], at, axis=0)
+        out["in"][ordered[at]] += np.add.reduceat(flat.reshape(-1, 3 * H)[order], at, axis=0)
 
     def output(self, states: np.ndarray, classes: np.ndarray, numbers: np.ndarray, out: Parameters | None) -> tuple[np.ndarray, np.ndarray | None]:
         """(log-probability of class and word, gradient of the states if ``out`` is given)."""
         p, n = self.p, len(states)
-        rows = np.arange(n)
-        logits = states @ p["class"] + p["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        logp = logits[rows, classes] - np.log(total)
+        states, rows = states.T, np.arange(n)
+        logits = p["class"].T @ states
+        logits += p["class_bias"][:, None]
+        logp, e = _softmax(logits, classes, rows, out is not None)
         grad = None
         if out is not None:
-            e /= total[:, None]
-            e[rows, classes] -= 1
-            out["class"] += states.T @ e
-            out["class_bias"] += e.sum(axis=0)
-            grad = e @ p["class"].T
-        order = np.argsort(classes, kind="stable")
+            out["class"] += states @ e.T
+            out["class_bias"] += e.sum(axis=1)
+            grad = p["class"] @ e
+        order = np.argsort(classes.astype(np.int16), kind="stable")
         limits = np.searchsorted(classes[order], np.arange(len(p["word"]) + 1))
-        for c in range(len(p["word"])):
-            at = order[limits[c] : limits[c + 1]]
-            if not len(at):
-                continue
-            some = states[at]
-            logits = some @ p["word"][c] + p["word_bias"][c]
-            logits -= logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(axis=1)
-            here = np.arange(len(at))
-            logp[at] += logits[here, numbers[at]] - np.log(total)
+        order = order[: limits[-1]]
+        if len(order):
+            some, parts = np.take(states, order, axis=1), []
+            logits = np.empty((CLASS, len(order)), states.dtype)
+            for c in range(len(p["word"])):
+                part = slice(int(limits[c]), int(limits[c + 1]))
+                if part.start < part.stop:
+                    parts.append((c, part))
+                    np.add(p["word"][c].T @ some[:, part], p["word_bias"][c][:, None], out=logits[:, part], casting="same_kind")
+            more, e = _softmax(logits, numbers[order], np.arange(len(order)), out is not None)
+            logp[order] += more
             if out is not None:
-                e /= total[:, None]
-                e[here, numbers[at]] -= 1
-                out["word"][c] += some.T @ e
-                out["word_bias"][c] += e.sum(axis=0)
-                grad[at] += e @ p["word"][c].T
-        return logp, grad
+                for c, part in parts:
+                    out["word"][c] += some[:, part] @ e[:, part].T
+                    out["word_bias"][c] += e[:, part].sum(axis=1)
+                    some[:, part] = p["word"][c] @ e[:, part]
+                grad[:, order] += some
+        return logp, None if grad is None else grad.T
+
+
+def _softmax(logits: np.ndarray, chosen: np.ndarray, rows: np.ndarray, gradient: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(log-probability of the chosen row of each column, gradient of the logits if wanted)."""
+    logits -= logits.max(axis=0)
+    logp = logits[chosen, rows]
+    e = np.exp(logits, out=logits)
+    total = e.sum(axis=0)
+    if gradient:
+        e /= total
+        e[chosen, rows] -= 1
+    return logp - np.log(total), e
 
 
 def _laid_out(v: Vocabulary, place: np.ndarray, limits: np.ndarray) -> tuple:
@@ -344,11 +350,14 @@ def learn_slice(v: Vocabulary, p: Parameters, adam: Adam, hashes: np.ndarray, li
         h = states[-1]
         real = g >= 0
         grad = {k: np.zeros_like(a) for k, a in p.items()}
-        _, d = model.output(states[real], classes[g[real]], numbers[g[real]], grad)
+        tokens, whole = g[real], real.all()
+        units = states.transpose(2, 0, 1)
+        _, d = model.output((units.reshape(HIDDEN, -1) if whole else units[:, real]).T, classes[tokens], numbers[tokens], grad)
         n = np.float32(STEPS * len(grid))  # windows with few lanes left count for less
-        full = np.zeros_like(states)
-        full[real] = d
-        model.back(full, x, f, kept, grad)
+        full = d.T.reshape(units.shape) if whole else np.zeros(units.shape, np.float32)
+        if not whole:
+            full[:, real] = d.T
+        model.back(full.transpose(1, 2, 0), x, f, kept, grad)
         for a in grad.values():
             a /= n
         adam.step(grad)
@@ -366,7 +375,8 @@ def score_slice(v: Vocabulary, p: Parameters, place: np.ndarray, limits: np.ndar
         g = grid[:live, part].T
         real = g >= 0
         tokens = g[real]
-        out[tokens] = model.output(states[real], classes[tokens], numbers[tokens], None)[0]
+        units = states.transpose(2, 0, 1)
+        out[tokens] = model.output((units.reshape(HIDDEN, -1) if real.all() else units[:, real]).T, classes[tokens], numbers[tokens], None)[0]
     known = place >= 0
     out[known] += v.inside[place[known]]
     return out

@@ -112,3 +112,14 @@ def test_edges(empty, widened, documents):
     check_base(L.score(widened, condition()), documents)
     untrained = L.score(documents, F.lit(True)).collect()
     assert {r["train_tokens"] for r in untrained} == {0} and {r["n_known"] for r in untrained} == {0}
+
+
+def test_lanes_are_the_inner_loop():
+    """Units first in memory: with the lanes inside, numpy's loops are as long as there are lanes."""
+    rng = np.random.default_rng(5)
+    p = {"in": rng.normal(size=(9, 3 * L.HIDDEN)).astype(np.float32), "state": rng.normal(size=(L.HIDDEN, 3 * L.HIDDEN)).astype(np.float32)}
+    first = np.zeros((50, 7), bool)
+    first[3, 4] = True
+    states, kept = L.Recurrent(p).run(rng.integers(0, 9, (50, 7)), first, np.zeros((50, L.HIDDEN), np.float32))
+    assert states.shape == (7, 50, L.HIDDEN) and states.strides[1] == states.itemsize
+    assert all(k.shape == (L.HIDDEN, 50) for step in kept for k in step)

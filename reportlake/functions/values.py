@@ -106,12 +106,25 @@ _INT64_DIGITS = 18  # that fit in any case
 def class_counts(cells: pa.Array, leading_zero: str = "decimal") -> np.ndarray:
     """Cells of each class, index as in ``CLASS_NAMES``, of an Arrow array of raw text: what ``class_code``
     of ``null_if_token`` gives, null tokens left out. Each distinct value is tested once."""
-    counted = pc.value_counts(cells)
-    text, n = pc.utf8_trim(counted.field("values"), characters=WHITESPACE), counted.field("counts")
+    return class_counts_of(cells, np.zeros(len(cells), np.int64), 1, leading_zero)[0]
+
+
+def class_counts_of(cells: pa.Array, group: np.ndarray, n_groups: int, leading_zero: str = "decimal") -> np.ndarray:
+    """The same for each group of cells, one row a group."""
+    found = pc.dictionary_encode(cells, null_encoding="encode")
+    codes = _codes_of(found.dictionary, leading_zero)[found.indices.to_numpy()]
+    width = len(CLASS_NAMES)
+    known = codes >= 0
+    return np.bincount(group[known] * width + codes[known], minlength=n_groups * width).reshape(n_groups, width)
+
+
+def _codes_of(values: pa.Array, leading_zero: str) -> np.ndarray:
+    """The class code of each value, -1 for a null token."""
+    text = pc.utf8_trim(values, characters=WHITESPACE)
     lower = pc.utf8_lower(text)
     keep = pc.fill_null(pc.invert(pc.is_in(lower, value_set=pa.array(NULL_TOKENS, text.type))), False)
     keep = pc.and_(keep, pc.is_valid(text))
-    text, lower, n = text.filter(keep), lower.filter(keep), n.filter(keep).to_numpy()
+    text, lower = text.filter(keep), lower.filter(keep)
     codes = np.zeros(len(text), np.int64)
 
     def match(some: pa.Array, pattern: str) -> np.ndarray:
@@ -130,7 +143,9 @@ def class_counts(cells: pa.Array, leading_zero: str = "decimal") -> np.ndarray:
         if code == 3 and leading_zero == "string":
             hit &= ~match(some, r"^[+-]?0[0-9]")
         codes[left[hit]] = code
-    return np.bincount(codes, weights=n, minlength=len(CLASS_NAMES)).astype(np.int64)
+    out = np.full(len(values), -1)
+    out[keep.to_numpy(zero_copy_only=False).astype(bool)] = codes
+    return out
 
 
 def value_class(v: Column | str, leading_zero: str = "decimal") -> Column:

@@ -8,7 +8,8 @@ become BIGNUMERIC when INT64 and BIGNUMERIC together reach the threshold.
 
 The profile of a whole frame is one pass: each task counts the classes of its cells on Arrow batches
 (``values.class_counts``, tested once for each distinct value of a batch) and sends one small row on.
-That of groups is an aggregate with ``count_if`` per (column, class). Only the per-column counts
+That of groups is an aggregate with ``count_if`` per (column, class), or where they are many (the files of a
+load) counted on batches too, a row a group. Only the per-column counts
 (schema-sized) ever reach the driver.
 """
 
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,11 +46,11 @@ def classify(df: DataFrame, columns: list[str] | None = None, leading_zero: str
     return cleaned.select(*[V.value_class(F.col(f"{c}__v"), leading_zero).alias(f"{c}__class") for c in cols])
 
 
-def profile(df: DataFrame, columns: list[str] | None = None, leading_zero: str = "decimal", by: list[str] = (), extra: list = ()) -> DataFrame:
+def profile(df: DataFrame, columns: list[str] | None = None, leading_zero: str = "decimal", by: list[str] = ()) -> DataFrame:
     """Per column (and group of ``by``): position, non-null count and count per class (I2). The counts of
-    groups add up to those of all rows. ``extra``: other aggregates of the same pass, which stay columns."""
+    groups add up to those of all rows."""
     cols = columns if columns is not None else list(df.columns)
-    if not by and not extra:
+    if not by:
         return _column_rows(_counted(df.select(*[F.make_valid_utf8(F.col(c).cast("string")).alias(f"c{i}") for i, c in enumerate(cols)]), leading_zero), cols)
     cleaned = df.select(*[V.null_if_token(F.col(c)).alias(f"{c}__v") for c in cols], *[F.col(c) for c in df.columns])
     # Small integer codes instead of class names: the counts compare ints, not strings.
@@ -59,7 +61,7 @@ def profile(df: DataFrame, columns: list[str] | None = None, leading_zero: str =
         aggs.append(F.count(k).alias(f"{i}__n"))
         for code, cnt in enumerate(COUNT_COLUMNS, start=1):
             aggs.append(F.count_if(k == code).alias(f"{i}__{cnt}"))
-    return _column_rows(classes.groupBy(*by).agg(*aggs, *extra), cols)
+    return _column_rows(classes.groupBy(*by).agg(*aggs), cols)
 
 
 def _counted(cells: DataFrame, leading_zero: str) -> DataFrame:
@@ -79,6 +81,46 @@ def _counted(cells: DataFrame, leading_zero: str) -> DataFrame:
     return found.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in found.columns])
 
 
+def profile_by(df: DataFrame, columns: list[str], by: list[str], sums: list[str] = (), leading_zero: str = "decimal") -> DataFrame:
+    """``profile`` of many groups, with their number of ``rows`` and the exact sums of the long columns
+    ``sums`` as decimals. Each task counts the groups of an Arrow batch and sends one row a group on."""
+    width, names = len(columns), ["n", *COUNT_COLUMNS]
+    cells = [F.make_valid_utf8(F.col(c).cast("string")).alias(f"c{i}") for i, c in enumerate(columns)]
+    halves = [(F.shiftright(F.col(c).cast("bigint"), 32), F.col(c).cast("bigint").bitwiseAND(F.lit(_LOW_HALF))) for c in sums]
+    given = df.select(*by, *cells, *[half.alias(f"s{i}_{k}") for i, pair in enumerate(halves) for k, half in enumerate(pair)])
+    totals = ["rows", *[c for c in given.columns if c not in by and c.startswith("s")]]
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = np.zeros(batch.num_rows, np.int64)
+            for i in range(len(by)):
+                codes = pc.dictionary_encode(batch.column(i), null_encoding="encode").indices.to_numpy()
+                _, group = np.unique(group * (int(codes.max()) + 1) + codes, return_inverse=True)
+            _, first, n = np.unique(group, return_index=True, return_counts=True)
+            out = [batch.column(i).take(pa.array(first)) for i in range(len(by))]
+            for i in range(width):
+                counts = V.class_counts_of(batch.column(len(by) + i), group, len(first), leading_zero)
+                out += [pa.array(v) for v in (counts.sum(axis=1), *counts.T[1:])]
+            out.append(pa.array(n))
+            for i in range(len(by) + width, batch.num_columns):
+                total = np.zeros(len(first), np.int64)
+                np.add.at(total, group, batch.column(i).to_numpy())
+                out.append(pa.array(total))
+            yield pa.RecordBatch.from_arrays(out, names=[*by, *counted, *totals])
+
+    counted = [f"{i}__{n}" for i in range(width) for n in names]
+    kinds = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by]
+    found = given.mapInArrow(run, ", ".join([*kinds, *[f"`{c}` long" for c in [*counted, *totals]]]))
+    found = found.groupBy(*by).agg(*[F.sum(c).alias(c) for c in [*counted, "rows"]], *[F.sum(F.col(c).cast("decimal(20,0)")).alias(c) for c in totals[1:]])
+    whole = [(F.col(f"s{i}_0").cast("decimal(25,0)") * F.lit(_LOW_HALF + 1) + F.col(f"s{i}_1")).cast("decimal(38,0)").alias(c) for i, c in enumerate(sums)]
+    return _column_rows(found.select(*by, *counted, "rows", *whole), columns)
+
+
+_LOW_HALF = (1 << 32) - 1
+
+
 def _column_rows(wide: DataFrame, cols: list[str]) -> DataFrame:
     """One row a column (and group) from the counts in columns ``<position>__<count>``."""
     rows = F.array(

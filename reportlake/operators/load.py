@@ -46,6 +46,8 @@ LOG_SCHEMA = (
     "file_key string, version bigint, digest string"
 )
 FILE_SCHEMA = "src_file string, file_name string, report_date date, bytes bigint, modified_at timestamp, file_key string"
+#: Catalog columns that a plan takes.
+PLANNED = ("file_path", "file_name", "storage_folder_name", "report_date", "report_date_str", "table_append_or_replace", "file_size_in_bytes", "modified_at", "error")
 #: Files of one pass of ``upload``: the driver holds that many paths at most.
 FILES_PER_PASS = 100_000
 
@@ -134,10 +136,14 @@ def committed(spark: SparkSession, rows: DataFrame, lake_root: str) -> DataFrame
     return rows.join(current_files(log).select("load_id", "src_file").distinct(), ["load_id", "src_file"], "left_semi").select(*rows.columns)
 
 
+def _row_hashes(columns: list[str]) -> list[Column]:
+    text = F.concat_ws("\u0001", *[F.concat(F.lit(f"{c}\u0002"), F.col(c)) for c in columns])
+    return [F.xxhash64(text), F.hash(text)]
+
+
 def row_digest(columns: list[str]) -> list[Column]:
     """Two hashes of a row's named cells that aren't null, so a column added later changes nothing."""
-    text = F.concat_ws("\u0001", *[F.concat(F.lit(f"{c}\u0002"), F.col(c)) for c in columns])
-    return [F.xxhash64(text).cast("decimal(38,0)"), F.hash(text).cast("decimal(38,0)")]
+    return [h.cast("decimal(38,0)") for h in _row_hashes(columns)]
 
 
 def _digest_sums(columns: list[str]) -> list[Column]:
@@ -286,7 +292,8 @@ def land(
     landed = read_landed(spark, dest, fmt, load_id) if seen.get["rows"] else read_landed(spark, dest, fmt).limit(0)
     # one pass over what was written: rows, digests and the class counts of every column, per file
     kept = f"{dest}/{PROFILE_DIR}/load_id={load_id}"
-    found = infer.profile(landed, columns or ["src_file"], by=["src_file", N.PARTITION_KEY], extra=_digest_sums(columns)).withColumn("digest", _digest_text())
+    hashes = dict(zip(("d1", "d2"), _row_hashes(columns)))
+    found = infer.profile_by(landed.withColumns(hashes), columns or ["src_file"], ["src_file", N.PARTITION_KEY], list(hashes)).withColumn("digest", _digest_text())
     found.drop("d1", "d2").write.mode("overwrite").parquet(kept)
     first = F.col("position") == 0
     counts = spark.read.schema(found.drop("d1", "d2").schema).parquet(kept).where(first).select("src_file", N.PARTITION_KEY, "rows", "digest")
@@ -401,8 +408,9 @@ def upload(
     many paths at most and one header a layout. Returns one row a folder.
     """
     load = load or f"load-{uuid.uuid4().hex}"
-    path = shared_dir(spark, "upload-plan")
-    plan_upload(spark, catalog, lake_root, mode, recompress).write.parquet(path)
+    path, kept = shared_dir(spark, "upload-plan"), shared_dir(spark, "upload-catalog")
+    csvlake.in_shares(catalog.select(*PLANNED)).write.parquet(kept)  # the plan reads it twice
+    plan_upload(spark, spark.read.schema(catalog.select(*PLANNED).schema).parquet(kept), lake_root, mode, recompress).write.parquet(path)
     plan = spark.read.parquet(path)
     _log_others(spark, plan.where("status <> 'new'"), lake_root, load)
     todo = plan.where("status = 'new'")
@@ -504,4 +512,6 @@ def _land_files(spark: SparkSession, files: DataFrame, paths: set[str], lake_roo
     rows = parts[0] if parts else spark.createDataFrame([], T.StructType([*[T.StructField(c, T.StringType()) for c in [*columns, "src_file"]], T.StructField("report_date", T.DateType())]))
     for part in parts[1:]:
         rows = rows.unionByName(part)
+    # by dates: a task of many small files would write a file for each of its dates
+    rows = rows.hint("rebalance", F.col("report_date"))
     land(spark, rows, lake_root, folder, "replace", fmt, f"{load}-{uuid.uuid4().hex[:8]}", files.select("src_file", "file_name", "report_date", "bytes", "modified_at", "file_key"))

@@ -15,7 +15,7 @@ from reportlake.operators import load as L
 from reportlake.operators import catalog as C
 from reportlake.plans.fixtures import FIXTURE_SPECS, LANDING_SPEC, landing_files, report_lake, write_named_gzip
 from reportlake.plans.registry import register
-from reportlake.session import shared_dir
+from reportlake.session import shared_dir, spread
 from reportlake.sources import csvlake
 from reportlake.streaming import ingest
 
@@ -157,7 +157,7 @@ _SPECS = [s for s in FIXTURE_SPECS if s.source_id in ("ledger", "stock", "tariff
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as cells of a report: owner, month, bucket, key, note (with quotes, a comma and a line break), price."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    o = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate", "o_totalprice"))
     owner = F.element_at(F.array(*[F.lit(x) for x in _AWKWARD]), (F.col("o_orderkey") % 6 + 1).cast("int"))
     text = F.concat(F.lit('"say ""'), F.col("o_orderkey").cast("string"), F.lit('"",\n ok"'))
     return o.select(
@@ -178,12 +178,13 @@ def _awkward_landing(spark: SparkSession, sf_dir: str, root: str, owners: tuple[
         _file_of(F.concat_ws(",", "key", "note", "price")).alias("ledger"),
         _file_of(F.concat_ws(",", "price", "key", "note", F.lit("x"))).alias("stock"),
     )
-    parts = [spark.createDataFrame(_EXTRA, "name string, content string")] if extra else []
+    files = []
     for family, column, head in (("ledger", "ledger", "Title\nkey,note,price\n"), ("stock", "stock", "price,key,note,extra\n"), ("tariff", "ledger", "key,note,price\n")):
         name = F.concat(F.lit(f"{family}__"), "ym", F.lit("__"), "owner", F.lit("__d1"), F.col("bucket").cast("string"), F.lit(".csv.gz"))
-        parts.append(lines.select(name.alias("name"), F.concat(F.lit(head), column, F.lit("\n")).alias("content")))
-    for part in parts:
-        write_named_gzip(part, root)
+        files.append(F.struct(name.alias("name"), F.concat(F.lit(head), column, F.lit("\n")).alias("content")))
+    if extra:
+        write_named_gzip(spark.createDataFrame(_EXTRA, "name string, content string"), root)
+    write_named_gzip(lines.select(F.inline(F.array(*files))), root)
 
 
 def _accounted(spark: SparkSession, lake_root: str) -> DataFrame:

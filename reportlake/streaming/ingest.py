@@ -38,8 +38,9 @@ def arrivals(spark: SparkSession, root: str, glob: str = "*", max_files_per_trig
 
 
 def _run(files: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    query = files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    with csvlake.listed_in_shares(files.sparkSession):  # the source lists each batch by the settings of this session
+        query = files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
 
 
 def upload_batch(files: DataFrame, number: int, specs: list[SourceSpec], lake_root: str, stream: str, **options) -> None:

@@ -8,6 +8,7 @@ from reportlake.operators import load as L
 from reportlake.plans.fixtures import LANDING_SPEC, write_named_gzip
 from reportlake.session import shared_dir
 from reportlake.sources import csvlake
+from reportlake.streaming import ingest
 
 
 def test_many_files_take_few_tasks_and_land_in_few_files(spark):
@@ -33,6 +34,25 @@ def test_many_files_take_few_tasks_and_land_in_few_files(spark):
     assert spark.conf.get(csvlake.LISTING_TASKS) == "10000"
 
 
+def test_a_batch_of_a_stream_lists_its_files_in_few_tasks(spark):
+    root, lake = shared_dir(spark, "stream-files"), shared_dir(spark, "stream-lake")
+    n = 12 * spark.sparkContext.defaultParallelism
+    names = [(f"ledger__199501__o{k}__d1.csv.gz", f"key,price\n{k},1.00\n") for k in range(n)]
+    write_named_gzip(spark.createDataFrame(names, "name string, content string").repartition(8), root)
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("before-stream", "")
+    spark.range(1).count()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    job = max(status.getJobIdsForGroup("before-stream")) + 1
+    ingest.run_uploads(spark, root, [LANDING_SPEC], lake, shared_dir(spark, "stream-checkpoint"))
+    tasks = []
+    while info := status.getJobInfo(job):
+        tasks += [s.numTasks for s in map(status.getStageInfo, info.stageIds) if s is not None]
+        job += 1
+    assert len(tasks) > 10 and max(tasks) <= csvlake.SHARES_PER_CORE * spark.sparkContext.defaultParallelism < n
+    assert L.read_log(spark, lake).where("status = 'ok'").count() == n
+
+
 def test_profile_of_groups_on_batches_equals_the_aggregate(spark):
     cells = [None, "", " none ", "1", "00123", "-7", "yes", "1.5", "nan", "2020-01-01", "2020-01-01 10:11:12", "x y", "9223372036854775808"]
     big = F.when(F.col("id") % 2 == 0, F.lit((1 << 63) - 1)).otherwise(F.lit(-(1 << 63)))

@@ -294,3 +294,25 @@ def test_groups_that_go_over_many_batches_lose_no_link(spark):
             spark.conf.set(name, before)
         assert set(got) == set(want)
         assert all(places <= got[i] for i, places in want.items())
+
+
+def test_near_passages_with_edits_on_both_sides_of_a_frequent_line(spark):
+    """Two documents share a passage but for a word on either side of a line that many others have, too,
+    in every slice."""
+    rng = random.Random(13)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts, pairs = [], []
+    for _ in range(60):
+        line, before, after = words(45), words(19), words(19)
+        other = before[:-1] + ["changed"] + line + ["altered"] + after[1:]
+        group = [before + line + after, other] + [line] * 30
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [words(rng.randint(30, 60)) + g + words(rng.randint(30, 60)) for g in group]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    random.Random(4).shuffle(rows)
+    for parts in (1, 8):
+        out = P.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        got = {tuple(sorted((r["doc_id"], r["other_doc_id"]))) for r in out}
+        share = sum(p in got for p in pairs) / len(pairs)
+        assert share >= 0.95, (parts, share)
+        assert got <= set(pairs)
